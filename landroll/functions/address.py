@@ -5,9 +5,10 @@ compose            parts joined by one blank, whitespace runs collapsed,
 match_address_raw  parts (NULL -> '') joined by one blank, no collapsing.
 normalize_address  our normaliser for match keys (the original's body is not
                    available, so this is a documented definition of ours):
-                   upper-case, every character other than A-Z, 0-9 and blank
-                   becomes a blank, whitespace collapsed and trimmed, then each
-                   word found in ABBREVIATIONS is replaced by its short form.
+                   upper-case, Latin-1 accented letters to their base letter,
+                   every character other than A-Z, 0-9 and blank becomes a
+                   blank, whitespace collapsed and trimmed, then each word
+                   found in ABBREVIATIONS is replaced by its short form.
 make_point         (lon, lat, srid) struct, NULL when either coordinate is NULL.
 """
 
@@ -44,6 +45,10 @@ ABBREVIATIONS = {
     "SUITE": "STE",
 }
 
+# Upper-case Latin-1 letters with accents and their base letters.
+ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ"
+UNACCENTED = "AAAAAACEEEEIIIINOOOOOOUUUUY"
+
 DEFAULT_SRID = 4326
 
 
@@ -67,7 +72,8 @@ def match_address_raw(*parts: str | Column) -> Column:
 
 
 def normalize_address(col: str | Column) -> Column:
-    cleaned = collapse_ws(F.regexp_replace(F.upper(_c(col)), "[^A-Z0-9 ]", " "))
+    plain = F.translate(F.upper(_c(col)), ACCENTED, UNACCENTED)
+    cleaned = collapse_ws(F.regexp_replace(plain, "[^A-Z0-9 ]", " "))
     table = F.create_map(*[F.lit(x) for kv in ABBREVIATIONS.items() for x in kv])
     words = F.split(cleaned, " ")
     return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")

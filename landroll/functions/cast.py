@@ -53,7 +53,7 @@ def parse_bool(col: str | Column) -> Column:
 
 def parse_date(col: str | Column) -> Column:
     t = F.trim(_c(col))
-    return F.coalesce(*[F.try_to_date(t, F.lit(f)) for f in DATE_FORMATS])
+    return F.coalesce(*[F.try_to_date(t, f) for f in DATE_FORMATS])
 
 
 def cast_value(col: str | Column, spec: ColumnSpec) -> Column:

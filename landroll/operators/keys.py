@@ -2,17 +2,27 @@
 
 ``next_id`` is the "largest id plus one, or 1 when empty" continuation value.
 ``assign_ids`` numbers rows 1..n in a total order, on top of a base, without
-moving all rows into one task: rows are range-partitioned on the order
-columns and sorted inside each partition; the only global step is a running
-sum over the per-partition row counts, whose size is the partition count.
-Because the ids equal the global rank of each row in the given total order,
-recomputing them (after a lost executor, or in another query) yields the
-same ids.
+moving all rows into one task:
+
+1. rows are range-partitioned on the order columns and sorted inside each
+   partition; ``monotonically_increasing_id`` then encodes (range partition,
+   position in partition) in one long;
+2. that ranked copy is materialised once (a staged table), so the counting
+   pass and the numbering pass read the very same partition assignment
+   (two separately planned range exchanges may sample different bounds);
+3. rows per range partition are counted (at most one row per partition),
+   a running sum over those counts gives each partition's offset, and the
+   offsets are broadcast; that table's size is bounded by the partition
+   count, not by the data.
+
+Because an id equals the row's global rank in the given total order, the ids
+do not depend on partitioning, and a rerun over the same rows gives the same
+ids.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,29 +42,31 @@ def max_id(df: DataFrame, id_col: str = "id") -> Column:
 
 
 def assign_ids(df: DataFrame, order_by: Sequence[str | Column], base: int | Column = 0,
-               id_col: str = "id", num_partitions: int | None = None) -> DataFrame:
+               id_col: str = "id", num_partitions: int | None = None,
+               materialize: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Add ``id_col`` = base + row number of each row under ``order_by``.
 
-    ``order_by`` must be a total order over the rows (unique keys) for the
-    numbering to be deterministic.  ``base`` may be a literal or a scalar
-    subquery column such as :func:`max_id` of the current table.
+    ``order_by`` must be a total order over the rows (unique keys).  ``base``
+    may be a literal or a scalar subquery such as :func:`max_id` of the
+    current table.  ``materialize(df, name)`` stores the ranked rows
+    (default: :func:`landroll.session.stage`).  Without ``num_partitions``
+    AQE may merge neighbouring range partitions, which keeps the order.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if materialize is None:
+        from landroll.session import stage as materialize
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    parted = df.repartitionByRange(n, *order_cols)
-    # Row count per range partition; at most ``n`` rows, so the window and
-    # the broadcast below have a size bound that does not grow with data.
-    counts = parted.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    parted = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols))
+    ranked = materialize(parted.sortWithinPartitions(*order_cols)
+                         .withColumn("_mid", F.monotonically_increasing_id()), "ranked")
+    pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
+    counts = ranked.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_off"),
+        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
     )
-    ranked = parted.sortWithinPartitions(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
     base_col = base if isinstance(base, Column) else F.lit(base)
-    out = ranked.join(F.broadcast(offsets), F.shiftright(F.col("_mid"), _LOCAL_BITS) == F.col("_pid"))
-    new_id = (base_col.cast("long") + F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)) + 1)
+    out = ranked.join(F.broadcast(offsets), pid == F.col("_pid"))
+    new_id = base_col.cast("long") + F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)) + 1
     return out.withColumn(id_col, new_id.cast("long")).drop("_mid", "_pid", "_off")

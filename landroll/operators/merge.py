@@ -5,14 +5,16 @@ Row-at-a-time "select, then insert or update" becomes joins:
 * get-or-insert: delta keys not present in the state get new ids after the
   state's largest id; existing rows keep every attribute.
 * reactivation: a matched row flagged inactive gets the flag set to NULL.
-* upsert: one full outer join on the business key labels every row
-  insert / update / keep and takes each column from the delta side for
-  inserts and updates.
+* upsert: state rows are left-joined to the delta on the business key
+  (labelled update or keep, ids kept); delta rows whose key is not in the
+  state are numbered after the state's largest id (labelled insert).
+  Neither input is planned twice, so plans stay small however many phases
+  are chained.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,31 +24,30 @@ from landroll.operators.keys import assign_ids, max_id
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
 
+def _conform(df: DataFrame, schema_df: DataFrame) -> DataFrame:
+    """Select ``schema_df``'s columns from ``df`` (cast), NULL where missing."""
+    cols = []
+    for f in schema_df.schema.fields:
+        cols.append(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
+                    else F.lit(None).cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
 def get_or_insert(state: DataFrame, candidates: DataFrame, keys: Sequence[str],
                   id_col: str = "id", defaults: Mapping[str, Column] | None = None,
-                  order_by: Sequence[str] | None = None,
-                  materialize: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+                  order_by: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Insert the ``candidates`` whose ``keys`` are not in ``state``.
 
     ``candidates`` must be unique on ``keys`` (see ``keep_first``).  New ids
     continue after ``max(state.id)`` in the order of ``order_by`` (default
     ``keys``).  ``defaults`` fill state columns the candidates lack.
-    Returns ``(new_state, inserted)``; ``new_state`` has ``state``'s columns.
-    ``materialize`` (e.g. :func:`landroll.session.stage`) is applied to the
-    inserted rows before they are unioned, so both results share them.
+    Returns ``(new_state, inserted)``; both have ``state``'s columns.
     """
     keys = list(keys)
     new = candidates.join(state.select(*keys).distinct(), keys, "left_anti")
     for name, value in (defaults or {}).items():
         new = new.withColumn(name, value)
-    inserted = assign_ids(new, order_by or keys, base=max_id(state, id_col), id_col=id_col)
-    cols = []
-    for f in state.schema.fields:
-        cols.append(F.col(f.name).cast(f.dataType) if f.name in inserted.columns
-                    else F.lit(None).cast(f.dataType).alias(f.name))
-    inserted = inserted.select(*cols)
-    if materialize:
-        inserted = materialize(inserted)
+    inserted = _conform(assign_ids(new, order_by or keys, base=max_id(state, id_col), id_col=id_col), state)
     return state.unionByName(inserted), inserted
 
 
@@ -69,49 +70,37 @@ def reactivate(state: DataFrame, delta_keys: DataFrame, keys: Sequence[str],
 
 def upsert(state: DataFrame, delta: DataFrame, key: str, columns: Sequence[str] | None = None,
            id_col: str | None = "id", op_col: str = "op", overwrite_nulls: bool = True,
-           keep_state_cols: Sequence[str] = (),
-           materialize: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Full outer join of ``state`` and ``delta`` on the unique ``key``.
-
-    Each output row is labelled ``insert`` (only in delta), ``update`` (in
-    both) or ``keep`` (only in state).  ``columns`` (default: delta columns
-    besides the key) are taken from the delta for insert/update; with
-    ``overwrite_nulls=False`` a NULL delta value keeps the state value.
-    State columns not in ``columns`` keep their state value, except that
-    they are NULL for inserts.  ``id_col`` is kept on update and assigned
-    after the state's largest id on insert (ordered by ``key``).
-    ``materialize`` is applied to the joined rows before ids are assigned.
+           keep_state_cols: Sequence[str] = ()) -> DataFrame:
+    """Merge ``delta`` into ``state`` on the unique ``key``, labelling each row.
+
+    ``update`` (key in both): ``columns`` (default: delta columns besides the
+    key) come from the delta, other state columns and the id are kept; with
+    ``overwrite_nulls=False`` (or for ``keep_state_cols``) a NULL delta value
+    keeps the state value.  ``keep`` (only in state): unchanged.  ``insert``
+    (only in delta): delta values, other state columns NULL, ``id_col``
+    numbered after the state's largest id in ``key`` order.
     """
     columns = [c for c in (columns or delta.columns) if c != key and c != id_col]
-    s = state.alias("s")
-    d = delta.select(key, *columns).withColumn("_in_delta", F.lit(True)).alias("d")
-    joined = s.join(d, F.col(f"s.{key}") == F.col(f"d.{key}"), "full_outer")
-    in_delta = F.col("d._in_delta").isNotNull()
-    in_state = F.col(f"s.{key}").isNotNull()
-    op = F.when(~in_state, F.lit(INSERT)).when(in_delta, F.lit(UPDATE)).otherwise(F.lit(KEEP))
-    out = [F.coalesce(F.col(f"s.{key}"), F.col(f"d.{key}")).alias(key)]
     state_types = {f.name: f.dataType for f in state.schema.fields}
+    d = delta.select(key, *[F.col(c).alias(f"_d_{c}") for c in columns]).withColumn("_in_delta", F.lit(True))
+    joined = state.join(d, key, "left")
+    in_delta = F.col("_in_delta").isNotNull()
+    out = {}
     for c in columns:
-        new = F.col(f"d.{c}")
+        new = F.col(f"_d_{c}")
         if c in state_types:
-            old = F.col(f"s.{c}")
             if not overwrite_nulls or c in keep_state_cols:
-                new = F.coalesce(new, old)
-            val = F.when(in_delta, new.cast(state_types[c])).otherwise(old)
+                new = F.coalesce(new, F.col(c))
+            out[c] = F.when(in_delta, new.cast(state_types[c])).otherwise(F.col(c))
         else:
-            val = new
-        out.append(val.alias(c))
-    for c in state.columns:
-        if c not in columns and c != key and c != id_col:
-            out.append(F.col(f"s.{c}").alias(c))
+            out[c] = new
+    out[op_col] = F.when(in_delta, F.lit(UPDATE)).otherwise(F.lit(KEEP))
+    kept = joined.withColumns(out).drop("_in_delta", *[f"_d_{c}" for c in columns])
+
+    fresh = delta.select(key, *columns).join(state.select(key), key, "left_anti")
     if id_col and id_col in state_types:
-        out.append(F.col(f"s.{id_col}").alias(id_col))
-    out.append(op.alias(op_col))
-    merged = joined.select(*out)
-    if materialize:
-        merged = materialize(merged)
-    if not id_col or id_col not in state_types:
-        return merged
-    base = max_id(state, id_col)
-    inserts = assign_ids(merged.where(F.col(op_col) == INSERT).drop(id_col), [key], base=base, id_col=id_col)
-    return merged.where(F.col(op_col) != INSERT).unionByName(inserts)
+        fresh = assign_ids(fresh, [key], base=max_id(state, id_col), id_col=id_col)
+    fresh = fresh.withColumn(op_col, F.lit(INSERT))
+    return kept.unionByName(fresh.select(*[F.col(c) if c in fresh.columns else
+                                           F.lit(None).cast(kept.schema[c].dataType).alias(c)
+                                           for c in kept.columns]))

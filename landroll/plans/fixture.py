@@ -50,13 +50,14 @@ class Scenario:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _stage(self, name: str):
-        """Phase outputs are written as staged tables (see landroll.session.stage)."""
-        return lambda df: stage(df, name)
-
     # ---- base frames ---------------------------------------------------
     @cached_property
     def feed(self) -> DataFrame:
+        """The stitched monthly feed; staged once like the stitched table of a real run."""
+        return stage(self.feed_view, "feed")
+
+    @cached_property
+    def feed_view(self) -> DataFrame:
         o, c = self.table("orders"), self.table("customer")
         n, r = self.table("nation"), self.table("region")
         return (o.join(c, o.o_custkey == c.c_custkey)
@@ -72,7 +73,7 @@ class Scenario:
     @cached_property
     def ident_counted(self) -> DataFrame:
         first = keep_first(self.feed.select(*ADDR, "attr"), ADDR, count_col="n")
-        return stage(assign_ids(first, ADDR), "delta_identity")
+        return assign_ids(first, ADDR)
 
     @cached_property
     def ident(self) -> DataFrame:
@@ -90,7 +91,7 @@ class Scenario:
     @cached_property
     def ent_counted(self) -> DataFrame:
         first = keep_first(self.feed_resolved.select(*OWNER), OWNER, count_col="n")
-        return stage(assign_ids(first, OWNER), "delta_entity")
+        return assign_ids(first, OWNER)
 
     @cached_property
     def ent(self) -> DataFrame:
@@ -111,13 +112,13 @@ class Scenario:
             "primary_name": F.lit(None).cast("string"),
             "rental_count": F.lit(None).cast("int"),
         })
-        return stage(assign_ids(flagged, ADDR), "identity")
+        return assign_ids(flagged, ADDR)
 
     @cached_property
     def pent(self) -> DataFrame:
         rows = (self.feed.where(F.col("attr") < 5000)
                 .join(self.pid.select(*ADDR, F.col("id").alias("identity_id")), ADDR))
-        return stage(assign_ids(distinct_rows(rows, OWNER), OWNER), "entity")
+        return assign_ids(distinct_rows(rows, OWNER), OWNER)
 
     @cached_property
     def ppar(self) -> DataFrame:
@@ -125,7 +126,7 @@ class Scenario:
         rows = (f.join(self.pid.select(*ADDR, F.col("id").alias("identity_id")), ADDR)
                 .join(self.pent.select(*OWNER, F.col("id").alias("entity_id")), OWNER)
                 .select("admid", "price", (F.col("stat") == "F").alias("flag"), "identity_id", "entity_id"))
-        return stage(assign_ids(rows, ["admid"]), "parcel")
+        return assign_ids(rows, ["admid"])
 
     @cached_property
     def d(self) -> DataFrame:
@@ -138,13 +139,12 @@ class Scenario:
     # Merge pass 1: identities and entities.
     @cached_property
     def delta_ident(self) -> DataFrame:
-        return stage(keep_first(self.d.select(*ADDR, "attr"), ADDR, count_col="n"), "delta_keys")
+        return keep_first(self.d.select(*ADDR, "attr"), ADDR, count_col="n")
 
     @cached_property
     def id2_and_new(self) -> tuple[DataFrame, DataFrame]:
         cands = self.delta_ident.drop("n")
-        return get_or_insert(self.pid, cands, ADDR, defaults={"primary_name": F.lit(""), "rental_count": F.lit(0)},
-                             materialize=self._stage("identity_new"))
+        return get_or_insert(self.pid, cands, ADDR, defaults={"primary_name": F.lit(""), "rental_count": F.lit(0)})
 
     @cached_property
     def id2(self) -> DataFrame:
@@ -153,13 +153,12 @@ class Scenario:
     @cached_property
     def d_identity(self) -> DataFrame:
         hot = hot_keys(self.delta_ident, ADDR, count_col="n")
-        keyed = lookup_first(self.d, self.id2, ADDR, out_col="identity_id", hot=hot, salt_cols=["admid"])
-        return stage(keyed, "delta_identity_keyed")
+        return lookup_first(self.d, self.id2, ADDR, out_col="identity_id", hot=hot, salt_cols=["admid"])
 
     @cached_property
     def ent2_and_new(self) -> tuple[DataFrame, DataFrame]:
         cands = distinct_rows(self.d_identity, OWNER)
-        return get_or_insert(self.pent, cands, OWNER, materialize=self._stage("entity_new"))
+        return get_or_insert(self.pent, cands, OWNER)
 
     @cached_property
     def ent2(self) -> DataFrame:
@@ -174,7 +173,7 @@ class Scenario:
     @cached_property
     def par2(self) -> DataFrame:
         delta = self.dfk.withColumn("flag", F.lit(None).cast("boolean"))
-        return stage(upsert(self.ppar, delta, "admid", materialize=self._stage("parcel_joined")), "parcel_upserted")
+        return stage(upsert(self.ppar, delta, "admid"), "parcel_upserted")
 
     @cached_property
     def par3(self) -> DataFrame:
@@ -196,7 +195,7 @@ def _nullif(c, v):
 # ---- one function per query key ------------------------------------------
 
 def q_feed_scan(s: Scenario) -> DataFrame:
-    return s.feed
+    return s.feed_view
 
 
 def q_force_not_null(s: Scenario) -> DataFrame:

@@ -7,7 +7,7 @@ same total orders the Spark side uses.
 
 from __future__ import annotations
 
-from landroll.functions.address import ABBREVIATIONS
+from landroll.functions.address import ABBREVIATIONS, ACCENTED, UNACCENTED
 
 VIEWS = {
     "feed": """select o_orderkey admid, c_custkey, c_name owner, c_mktsegment a, n_name ci, r_name st,
@@ -62,7 +62,8 @@ def _compose_sql(*parts: str) -> str:
 
 
 def _normalize_sql(expr: str) -> str:
-    s = f"trim(regexp_replace(regexp_replace(upper({expr}), '[^A-Z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"
+    plain = f"translate(upper({expr}), '{ACCENTED}', '{UNACCENTED}')"
+    s = f"trim(regexp_replace(regexp_replace({plain}, '[^A-Z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"
     for word, short in ABBREVIATIONS.items():
         s = f"regexp_replace({s}, '\\b{word}\\b', '{short}', 'g')"
     return s
