@@ -181,3 +181,26 @@ def test_failed_run_keeps_previous_version(spark, month, workdir):
         run_cycle(spark, store, "001", bad, bad_std, deletes)
     assert store.current()[0] == "000"
     assert store.read("parcel").count() == 4
+
+
+def test_stream_applies_each_month_once(spark, month, workdir):
+    import json
+
+    from landroll.streaming.monthly import watch_deliveries
+
+    store, feed, std, deletes = month
+    inbox = os.path.join(workdir, "inbox")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "m001.json"), "w") as f:
+        json.dump({"version": "001", "feed": feed, "std": std, "deletes": deletes}, f)
+    ckpt = os.path.join(workdir, "stream-ckpt")
+    watch_deliveries(spark, inbox, store, checkpoint=ckpt).awaitTermination()
+    assert store.current()[0] == "001"
+    parcels = store.read("parcel").count()
+    # A delete-only month arrives later; the first month is not applied again.
+    later = write_deletes(os.path.join(workdir, "in", "deletes2.txt"), [2001])
+    with open(os.path.join(inbox, "m002.json"), "w") as f:
+        json.dump({"version": "002", "deletes": later}, f)
+    watch_deliveries(spark, inbox, store, checkpoint=ckpt).awaitTermination()
+    assert store.current()[0] == "002"
+    assert store.read("parcel").count() == parcels - 1
