@@ -82,9 +82,9 @@ def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict") -
     feed = read_feed(spark, feed_path, mode)
     std = read_standardized(spark, std_path, mode)
     stitched = stitch_feed(feed.rows, std.rows)
+    # Each trio table is backed by the staged ranked rows of its id
+    # assignment, so re-reading it does not recompute the stitch.
     trio = build_trio(stitched)
-    trio = Trio(stage(trio.identity, "delta_identity"), stage(trio.entity, "delta_entity"),
-                stage(trio.parcel, "delta_parcel"))
     bad = enforce(check_trio(trio), mode)
     rejects = {"feed": feed.rejects, "standardized": std.rejects, "constraints": bad}
     if mode == "quarantine":

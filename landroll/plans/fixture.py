@@ -34,7 +34,8 @@ from landroll.operators.keys import assign_ids
 from landroll.operators.merge import get_or_insert, reactivate, upsert
 from landroll.operators.prune import delete_by_keys, drop_orphans, flag_orphans, null_references, orphans
 from landroll.operators.quality import cascade_delete, check_fk, check_lengths, check_not_null, check_unique
-from landroll.session import stage
+from landroll.session import stage, stage_path
+from landroll.sources.delimited import load_typed
 
 ADDR = ["a", "ci", "st"]
 OWNER = ["owner", "identity_id"]
@@ -198,6 +199,22 @@ def q_feed_scan(s: Scenario) -> DataFrame:
     return s.feed_view
 
 
+def q_feed_text_roundtrip(s: Scenario) -> DataFrame:
+    """Orders as a ``||``-separated text file (header, no quoting), read back by the strict typed reader."""
+    o = s.table("orders")
+    text = o.select(F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus",
+                    F.format_string("%.2f", "o_totalprice").alias("o_totalprice"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority")
+    path = stage_path(s.spark, "orders_text")
+    text.write.option("sep", "||").option("header", True).option("quote", "").option("escape", "").csv(path)
+    specs = [ColumnSpec("o_orderkey", "long"), ColumnSpec("o_custkey", "long"),
+             ColumnSpec("o_orderstatus", "char", length=1),
+             ColumnSpec("o_totalprice", "decimal", precision=12, scale=2), ColumnSpec("o_orderdate", "date"),
+             ColumnSpec("o_orderpriority", "string", length=15)]
+    return load_typed(s.spark, path, specs, "||", forced=["o_orderpriority"], required=["o_orderkey"],
+                      mode="strict", name="orders_text").rows
+
+
 def q_force_not_null(s: Scenario) -> DataFrame:
     o = s.table("orders").select("o_orderkey", _nullif("o_orderstatus", "F").alias("s"),
                                  _nullif("o_orderpriority", "1-URGENT").alias("p"))

@@ -75,6 +75,9 @@ _STREET_TEXT = "concat_ws(' ', c_mktsegment, 'Street', c_name)"
 
 QUERIES = {
     "feed_scan": "select * from feed",
+    "feed_text_roundtrip": """select o_orderkey, o_custkey, o_orderstatus,
+        cast(round(o_totalprice, 2) as decimal(12, 2)) o_totalprice, cast(o_orderdate as date) o_orderdate,
+        o_orderpriority from orders""",
     "force_not_null": "select o_orderkey, coalesce(nullif(o_orderstatus, 'F'), '') s, nullif(o_orderpriority, '1-URGENT') p from orders",
     "std_enrich": """select c_custkey, n_name std_city, n_name is not null matched
         from customer left join (select * from nation where n_regionkey <> 0) on c_nationkey = n_nationkey""",

@@ -81,7 +81,12 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     ``folder`` defaults to a run folder under the session's checkpoint dir.
     """
     spark = df.sparkSession
-    base = folder or f"{checkpoint_dir(spark).rstrip('/')}/stage"
-    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name, folder)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def stage_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A fresh, unique path for a staged table under the shared staging folder."""
+    base = folder or f"{checkpoint_dir(spark).rstrip('/')}/stage"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
