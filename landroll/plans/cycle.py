@@ -39,7 +39,7 @@ from landroll.operators.prune import deleted_rows, delete_by_keys, drop_orphans,
 from landroll.operators.quality import enforce
 from landroll.plans.relate import (ENTITY_SOURCE, IDENTITY_KEY, IDENTITY_SOURCE, Trio, build_trio, check_trio,
                                    flatten, stitch_feed)
-from landroll.session import stage
+from landroll.session import drop_path, stage, staging_area
 from landroll.sources.delimited import read_delete_list, read_feed, read_standardized
 from landroll.sources.schemas import STATE_DDL
 from landroll.sources.state import StateStore
@@ -68,6 +68,7 @@ class CycleResult:
     rejects: dict[str, DataFrame] = field(default_factory=dict)
     reports: dict[str, DataFrame] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
+    staging: str | None = None   # staging folder, when kept
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
@@ -154,9 +155,44 @@ def sweep(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=None, std_path=None,
               delete_path=None, mode: str = "strict", overwrite_nulls: bool = True,
-              phases: Sequence[str] = PHASES, publish: bool = True,
+              phases: Sequence[str] = PHASES, publish: bool = True, keep_staging: bool = False,
               normalizer: Callable[[Column], Column] = normalize_address) -> CycleResult:
-    """Apply one month.  ``phases`` may drop "load"+"merge" (only deletes and sweeps run)."""
+    """Apply one month.  ``phases`` may drop "load"+"merge" (only deletes and sweeps run).
+
+    Intermediate tables live in a staging folder of this run under the
+    shared checkpoint folder.  After a successful publish the reports are
+    stored with the version (``store.read_report``) and the staging folder is
+    deleted, unless ``keep_staging``; without ``publish`` the result frames
+    still read the staged tables, so the folder is kept.
+    """
+    with staging_area(spark, f"run-{version}") as folder:
+        result = _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls,
+                      phases, normalizer)
+        if not publish:
+            result.staging = folder
+            return result
+        final = Observation("final")
+        tables = dict(result.tables)
+        tables["parcel"] = tables["parcel"].observe(final, F.count(F.lit(1)).alias("parcels"))
+        reports = {name: df for name, df in result.reports.items()}
+        rejects = {f"rejects_{name}": df for name, df in result.rejects.items()}
+        store.publish(tables, version, reports={**reports, **rejects})
+        result.counts.update(final.get)
+        if "insert" in result.counts:
+            before = result.counts["insert"] + result.counts["update"] + result.counts["keep"]
+            result.counts["deleted"] = before - result.counts["parcels"]
+        result.tables = {t: store.read(t, version) for t in STATE_DDL}
+        result.reports = {name: store.read_report(name, version) for name in reports}
+        result.rejects = {name[len("rejects_"):]: store.read_report(name, version) for name in rejects}
+    if keep_staging:
+        result.staging = folder
+    else:
+        drop_path(spark, folder)
+    return result
+
+
+def _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls, phases,
+         normalizer) -> CycleResult:
     state = {t: store.read(t) for t in STATE_DDL}
     result = CycleResult(version, {})
     tables = dict(state)
@@ -177,16 +213,5 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
         tables = apply_deletes(tables, deletes.rows)
     if "sweep" in phases:
         tables = sweep(tables)
-
-    tables = {name: _conform(df, name) for name, df in tables.items()}
-    result.tables = tables
-    if publish:
-        final = Observation("final")
-        tables["parcel"] = tables["parcel"].observe(final, F.count(F.lit(1)).alias("parcels"))
-        store.publish(tables, version)
-        result.counts.update(final.get)
-        if "insert" in result.counts:
-            before = result.counts["insert"] + result.counts["update"] + result.counts["keep"]
-            result.counts["deleted"] = before - result.counts["parcels"]
-        result.tables = {t: store.read(t, version) for t in STATE_DDL}
+    result.tables = {name: _conform(df, name) for name, df in tables.items()}
     return result

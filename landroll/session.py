@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,7 +88,33 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_STAGING_FOLDER: list[str] = []
+
+
 def stage_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
-    """A fresh, unique path for a staged table under the shared staging folder."""
-    base = folder or f"{checkpoint_dir(spark).rstrip('/')}/stage"
+    """A fresh, unique path for a staged table.
+
+    Inside :func:`staging_area` the path is under that run's folder,
+    otherwise under ``<checkpoint dir>/stage``.
+    """
+    base = folder or (_STAGING_FOLDER[-1] if _STAGING_FOLDER else f"{checkpoint_dir(spark).rstrip('/')}/stage")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging_area(spark: SparkSession, name: str) -> Iterator[str]:
+    """Stage every table of the enclosed job under one folder of its own."""
+    folder = stage_path(spark, name)
+    _STAGING_FOLDER.append(folder)
+    try:
+        yield folder
+    finally:
+        _STAGING_FOLDER.pop()
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder recursively through the cluster's Hadoop filesystem API."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))

@@ -46,6 +46,12 @@ class StateStore:
             return None
         return row["version"], json.loads(row["tables"])
 
+    def report_path(self, name: str, version: str) -> str:
+        return f"{self.root}/_reports/{name}/v={version}"
+
+    def read_report(self, name: str, version: str) -> DataFrame:
+        return self.spark.read.parquet(self.report_path(name, version))
+
     def read(self, table: str, version: str | None = None) -> DataFrame:
         """A table of the current (or a given) version; an empty table if it was never published."""
         if version is None:
@@ -60,8 +66,13 @@ class StateStore:
             return self.spark.read.parquet(paths[table])
         return self.spark.createDataFrame([], StructType.fromDDL(STATE_DDL[table]))
 
-    def publish(self, tables: Mapping[str, DataFrame], version: str) -> dict[str, str]:
-        """Write every table, then the manifest naming them (plus unchanged tables of the last version)."""
+    def publish(self, tables: Mapping[str, DataFrame], version: str,
+                reports: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
+        """Write every table, then the manifest naming them (plus unchanged tables of the last version).
+
+        ``reports`` (audit tables of the run) are written under
+        ``_reports/<name>/v=<version>`` before the manifest.
+        """
         cur = self.current()
         if cur and version <= cur[0]:
             raise ValueError(f"version {version!r} is not after current {cur[0]!r}")
@@ -70,6 +81,8 @@ class StateStore:
             path = f"{self.root}/{name}/v={version}"
             df.write.mode("error").parquet(path)
             paths[name] = path
+        for name, df in (reports or {}).items():
+            df.write.mode("error").parquet(self.report_path(name, version))
         manifest = self.spark.createDataFrame([(json.dumps(paths, sort_keys=True), version)],
                                               "tables string, version string")
         manifest.coalesce(1).write.mode("error").json(f"{self.root}/_manifests/v={version}")

@@ -159,9 +159,16 @@ def test_rerun_is_idempotent(spark, month):
 
 def test_keep_flags_when_not_overwriting(spark, month):
     store, feed, std, deletes = month
-    res = run_cycle(spark, store, "001", feed, std, deletes, overwrite_nulls=False)
+    res = run_cycle(spark, store, "001", feed, std, deletes, overwrite_nulls=False, keep_staging=True)
     par = _rows(res.tables["parcel"], "admid")
     assert par[1001]["parcel_privacy"] is True and par[1001]["rental_flag"] is True
+    staged = res.staging.replace("file:", "")
+    assert os.path.isdir(staged)
+    from landroll.session import drop_path
+    drop_path(spark, res.staging)
+    assert not os.path.exists(staged)
+    # Reports were stored with the version and stay readable.
+    assert store.read_report("identity_multi_match", "001").count() == 1
 
 
 def test_delete_only_phases(spark, month):
