@@ -37,8 +37,8 @@ from landroll.operators.joins import hot_keys, lookup_first, multi_match_report
 from landroll.operators.merge import get_or_insert, reactivate, upsert
 from landroll.operators.prune import deleted_rows, delete_by_keys, drop_orphans, flag_orphans, null_references
 from landroll.operators.quality import enforce
-from landroll.plans.relate import (ENTITY_SOURCE, IDENTITY_KEY, IDENTITY_SOURCE, Trio, build_trio, check_trio,
-                                   flatten, stitch_feed)
+from landroll.plans.relate import (ENTITY_SOURCE, IDENTITY_KEY, IDENTITY_SOURCE, TRIO_INPUT_COLUMNS, Trio,
+                                   build_trio, check_trio, flatten, stitch_feed)
 from landroll.session import drop_path, stage, staging_area
 from landroll.sources.delimited import read_delete_list, read_feed, read_standardized
 from landroll.sources.schemas import STATE_DDL
@@ -82,7 +82,9 @@ def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict") -
     """Read, stitch, build and check the delta; returns (trio, flattened delta, rejects)."""
     feed = read_feed(spark, feed_path, mode)
     std = read_standardized(spark, std_path, mode)
-    stitched = stitch_feed(feed.rows, std.rows)
+    # Stitched once, narrowed to the columns the trio reads: the three id
+    # assignments below would otherwise each redo the feed x standardised join.
+    stitched = stage(stitch_feed(feed.rows, std.rows).select(*TRIO_INPUT_COLUMNS), "stitched")
     # Each trio table is backed by the staged ranked rows of its id
     # assignment, so re-reading it does not recompute the stitch.
     trio = build_trio(stitched)

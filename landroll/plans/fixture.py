@@ -35,7 +35,7 @@ from landroll.operators.merge import get_or_insert, reactivate, upsert
 from landroll.operators.prune import delete_by_keys, drop_orphans, flag_orphans, null_references, orphans
 from landroll.operators.quality import cascade_delete, check_fk, check_lengths, check_not_null, check_unique
 from landroll.session import stage, stage_path
-from landroll.sources.delimited import load_typed
+from landroll.sources.delimited import load_typed, read_delete_list
 
 ADDR = ["a", "ci", "st"]
 OWNER = ["owner", "identity_id"]
@@ -228,7 +228,10 @@ def q_std_enrich(s: Scenario) -> DataFrame:
 
 
 def q_delete_list(s: Scenario) -> DataFrame:
-    return s.dele
+    """The delete list written as a text file (header line, one admid per line), read back by its reader."""
+    path = stage_path(s.spark, "deletes_text")
+    s.dele.write.option("header", True).csv(path)
+    return read_delete_list(s.spark, path, mode="strict").rows
 
 
 def q_stitch(s: Scenario) -> DataFrame:
