@@ -35,7 +35,8 @@ from landroll.operators.merge import get_or_insert, reactivate, upsert
 from landroll.operators.prune import delete_by_keys, drop_orphans, flag_orphans, null_references, orphans
 from landroll.operators.quality import cascade_delete, check_fk, check_lengths, check_not_null, check_unique
 from landroll.session import stage, stage_path
-from landroll.sources.delimited import load_typed, read_delete_list
+from landroll.sources.delimited import load_typed, read_delete_list, read_standardized, write_address_extract
+from landroll.sources.schemas import STD_COLUMNS
 
 ADDR = ["a", "ci", "st"]
 OWNER = ["owner", "identity_id"]
@@ -221,6 +222,31 @@ def q_force_not_null(s: Scenario) -> DataFrame:
     return force_not_null(o, ["s"])
 
 
+def q_address_extract(s: Scenario) -> DataFrame:
+    """The standardiser's input file (tab-separated, header, CRLF) written from the feed and read back."""
+    rows = s.feed.select("admid", compose("owner", "a").alias("street"),
+                         _nullif("pri", "1-URGENT").alias("secondary"), F.col("ci").alias("city"),
+                         F.col("st").alias("state"))
+    path = stage_path(s.spark, "address_extract")
+    write_address_extract(rows, path)
+    specs = [ColumnSpec("admid", "long")] + [ColumnSpec(c, "string") for c in ("street", "secondary", "city", "state")]
+    return load_typed(s.spark, path, specs, "\t", mode="strict", name="address_extract").rows
+
+
+def q_standardized_load(s: Scenario) -> DataFrame:
+    """A 60-column standardiser output file built from the feed, read back by the strict reader."""
+    given = {"admid": F.col("admid").cast("string"), "delivery_line_1": F.col("a"), "city_name": F.col("ci"),
+             "state_abbreviation": F.col("st"), "zipcode": F.col("nk").cast("string"),
+             "latitude": F.format_string("%.6f", F.col("attr") / 1000),
+             "longitude": F.format_string("%.6f", -F.col("attr") / 100)}
+    rows = s.feed.select(*[given.get(c, F.lit(None).cast("string")).alias(c) for c in STD_COLUMNS])
+    path = stage_path(s.spark, "standardized")
+    rows.write.option("sep", "\t").option("header", True).option("quote", "").option("escape", "").csv(path)
+    std = read_standardized(s.spark, path, mode="strict").rows
+    return std.select("admid", "delivery_line_1", "city_name", "state_abbreviation", "zipcode", "latitude",
+                      "longitude", "county_name")
+
+
 def q_std_enrich(s: Scenario) -> DataFrame:
     std = s.table("nation").where(F.col("n_regionkey") != 0)
     return left_enrich(s.table("customer"), std, "c_nationkey", "n_nationkey",

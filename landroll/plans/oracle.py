@@ -79,6 +79,11 @@ QUERIES = {
         cast(round(o_totalprice, 2) as decimal(12, 2)) o_totalprice, cast(o_orderdate as date) o_orderdate,
         o_orderpriority from orders""",
     "force_not_null": "select o_orderkey, coalesce(nullif(o_orderstatus, 'F'), '') s, nullif(o_orderpriority, '1-URGENT') p from orders",
+    "address_extract": f"""select admid, {_compose_sql('owner', 'a')} street, nullif(pri, '1-URGENT') secondary,
+        ci city, st state from feed""",
+    "standardized_load": """select admid, a delivery_line_1, ci city_name, st state_abbreviation,
+        cast(nk as varchar) zipcode, cast(round(attr / 1000, 6) as decimal(10, 6)) latitude,
+        cast(round(-attr / 100, 6) as decimal(10, 6)) longitude, '' county_name from feed""",
     "std_enrich": """select c_custkey, n_name std_city, n_name is not null matched
         from customer left join (select * from nation where n_regionkey <> 0) on c_nationkey = n_nationkey""",
     "delete_list": "select admid from del",
