@@ -487,4 +487,9 @@ def q_full_cycle(s: Scenario) -> DataFrame:
         "admid", "price", "identity_id", "entity_id", "owner", *ADDR, "attr")
 
 
+def q_cycle_from_files(s: Scenario) -> DataFrame:
+    from landroll.plans.fixture_files import cycle_from_files
+    return cycle_from_files(s)
+
+
 QUERY_FUNCS = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

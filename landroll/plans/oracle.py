@@ -150,6 +150,7 @@ QUERIES = {
         else case when inactive and exists (select 1 from d where d.a = id2.a and d.ci = id2.ci and d.st = id2.st)
         then null else inactive end end inactive from id2""",
     "drop_orphan_entities": "select id, owner, identity_id from ent2 where id in (select entity_id from par3)",
+    "cycle_from_files": """select admid, cast(floor(price) as bigint) price, identity_id, entity_id from par3""",
     "full_cycle": """select p.admid, p.price, p.identity_id, p.entity_id, e.owner, i.a, i.ci, i.st, i.attr
         from par3 p join id2 i on i.id = p.identity_id join ent2 e on e.id = p.entity_id""",
 }
