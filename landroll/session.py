@@ -112,9 +112,18 @@ def staging_area(spark: SparkSession, name: str) -> Iterator[str]:
         _STAGING_FOLDER.pop()
 
 
-def drop_path(spark: SparkSession, path: str) -> bool:
-    """Delete a folder recursively through the cluster's Hadoop filesystem API."""
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder recursively through the cluster's Hadoop filesystem API."""
+    fs, hpath = _fs_path(spark, path)
     return bool(fs.delete(hpath, True))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _fs_path(spark, path)
+    return bool(fs.exists(hpath))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from landroll.session import path_exists
 from landroll.sources.schemas import STATE_DDL
 
 
@@ -31,10 +32,10 @@ class StateStore:
         self.root = root.rstrip("/")
 
     def _manifests(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("tables string, version string").json(f"{self.root}/_manifests")
-        except Exception:  # no manifest folder yet
+        path = f"{self.root}/_manifests"
+        if not path_exists(self.spark, path):
             return None
+        return self.spark.read.schema("tables string, version string").json(path)
 
     def current(self) -> tuple[str, dict[str, str]] | None:
         """(version, {table: path}) of the newest committed manifest, or None."""
