@@ -177,13 +177,14 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
         tables = dict(result.tables)
         tables["parcel"] = tables["parcel"].observe(final, F.count(F.lit(1)).alias("parcels"))
         reports = {name: df for name, df in result.reports.items()}
-        rejects = {f"rejects_{name}": df for name, df in result.rejects.items()}
-        store.publish(tables, version, reports={**reports, **rejects})
+        # In strict mode any reject has already aborted the run: nothing to keep.
+        rejects = {} if mode == "strict" else {f"rejects_{n}": df for n, df in result.rejects.items()}
+        paths = store.publish(tables, version, reports={**reports, **rejects})
         result.counts.update(final.get)
         if "insert" in result.counts:
             before = result.counts["insert"] + result.counts["update"] + result.counts["keep"]
             result.counts["deleted"] = before - result.counts["parcels"]
-        result.tables = {t: store.read(t, version) for t in STATE_DDL}
+        result.tables = store.snapshot(paths=paths)
         result.reports = {name: store.read_report(name, version) for name in reports}
         result.rejects = {name[len("rejects_"):]: store.read_report(name, version) for name in rejects}
     if keep_staging:
@@ -195,7 +196,7 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
 
 def _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls, phases,
          normalizer) -> CycleResult:
-    state = {t: store.read(t) for t in STATE_DDL}
+    state = store.snapshot()
     result = CycleResult(version, {})
     tables = dict(state)
     if "load" in phases or "merge" in phases:

@@ -25,7 +25,8 @@ def _write_text(df: DataFrame, columns: list[str], given: dict, path: str, sep:
     return path
 
 
-def cycle_from_files(s) -> DataFrame:
+def prepare_month(s) -> tuple[StateStore, str, str, str]:
+    """Publish the scenario's production state as version "000"; write the month's three files."""
     spark = s.spark
     root = stage_path(spark, "cycle_files")
     store = StateStore(spark, f"{root}/state")
@@ -53,5 +54,15 @@ def cycle_from_files(s) -> DataFrame:
     }, f"{root}/std", "\t")
     deletes = _write_text(s.dele, ["admid"], {"admid": F.col("admid")}, f"{root}/deletes", "\t")
 
-    result = run_cycle(spark, store, "001", feed, std, deletes, mode="strict")
+    return store, feed, std, deletes
+
+
+def apply_month(s, prepared) -> DataFrame:
+    """Run the monthly cycle over the prepared files; the final parcels in the oracle's shape."""
+    store, feed, std, deletes = prepared
+    result = run_cycle(s.spark, store, "001", feed, std, deletes, mode="strict")
     return result.tables["parcel"].select("admid", F.col("total_value").alias("price"), "identity_id", "entity_id")
+
+
+def cycle_from_files(s) -> DataFrame:
+    return apply_month(s, prepare_month(s))

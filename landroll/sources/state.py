@@ -47,6 +47,27 @@ class StateStore:
             return None
         return row["version"], json.loads(row["tables"])
 
+    def paths(self, version: str | None = None) -> dict[str, str]:
+        """{table: path} of the current (or a given) version; one small read of the manifests."""
+        if version is None:
+            cur = self.current()
+            return cur[1] if cur else {}
+        m = self._manifests()
+        row = m.where(F.col("version") == version).first() if m is not None else None
+        if row is None:
+            raise KeyError(f"no version {version}")
+        return json.loads(row["tables"])
+
+    def snapshot(self, version: str | None = None, paths: dict[str, str] | None = None) -> dict[str, DataFrame]:
+        """Every state table of one version (empty tables for ones never published)."""
+        paths = self.paths(version) if paths is None else paths
+        return {t: self._load(t, paths) for t in STATE_DDL}
+
+    def _load(self, table: str, paths: dict[str, str]) -> DataFrame:
+        if table in paths:
+            return self.spark.read.parquet(paths[table])
+        return self.spark.createDataFrame([], StructType.fromDDL(STATE_DDL[table]))
+
     def report_path(self, name: str, version: str) -> str:
         return f"{self.root}/_reports/{name}/v={version}"
 
@@ -55,17 +76,7 @@ class StateStore:
 
     def read(self, table: str, version: str | None = None) -> DataFrame:
         """A table of the current (or a given) version; an empty table if it was never published."""
-        if version is None:
-            cur = self.current()
-            paths = cur[1] if cur else {}
-        else:
-            row = self._manifests().where(F.col("version") == version).first()
-            if row is None:
-                raise KeyError(f"no version {version}")
-            paths = json.loads(row["tables"])
-        if table in paths:
-            return self.spark.read.parquet(paths[table])
-        return self.spark.createDataFrame([], StructType.fromDDL(STATE_DDL[table]))
+        return self._load(table, self.paths(version))
 
     def publish(self, tables: Mapping[str, DataFrame], version: str,
                 reports: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
