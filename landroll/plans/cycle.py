@@ -39,9 +39,9 @@ from landroll.operators.prune import deleted_rows, delete_by_keys, drop_orphans,
 from landroll.operators.quality import enforce
 from landroll.plans.relate import (ENTITY_SOURCE, IDENTITY_KEY, IDENTITY_SOURCE, TRIO_INPUT_COLUMNS, Trio,
                                    build_trio, check_trio, flatten, stitch_feed)
-from landroll.session import drop_path, stage, staging_area
+from landroll.session import drop_path, phase, stage, staging_area
 from landroll.sources.delimited import read_delete_list, read_feed, read_standardized
-from landroll.sources.schemas import STATE_DDL
+from landroll.sources.schemas import STATE_DDL, STD_COLUMNS
 from landroll.sources.state import StateStore
 
 ENTITY_NAMES = list(ENTITY_SOURCE)
@@ -80,20 +80,29 @@ def _conform(df: DataFrame, table: str) -> DataFrame:
 
 def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict") -> tuple[Trio, DataFrame, dict]:
     """Read, stitch, build and check the delta; returns (trio, flattened delta, rejects)."""
-    feed = read_feed(spark, feed_path, mode)
-    std = read_standardized(spark, std_path, mode)
+    # Every column is validated, but only the ones the trio reads are staged.
+    std_needed = [c for c in TRIO_INPUT_COLUMNS if c in STD_COLUMNS]
+    with phase(spark, "read feed"):
+        feed = read_feed(spark, feed_path, mode, columns=[c for c in TRIO_INPUT_COLUMNS if c not in std_needed])
+    with phase(spark, "read standardized"):
+        std = read_standardized(spark, std_path, mode, columns=std_needed)
     # Stitched once, narrowed to the columns the trio reads: the three id
     # assignments below would otherwise each redo the feed x standardised join.
-    stitched = stage(stitch_feed(feed.rows, std.rows).select(*TRIO_INPUT_COLUMNS), "stitched")
+    with phase(spark, "stitch"):
+        stitched = stage(stitch_feed(feed.rows, std.rows).select(*TRIO_INPUT_COLUMNS), "stitched")
     # Each trio table is backed by the staged ranked rows of its id
     # assignment, so re-reading it does not recompute the stitch.
-    trio = build_trio(stitched)
-    bad = enforce(check_trio(trio), mode)
+    with phase(spark, "build trio"):
+        trio = build_trio(stitched)
+    with phase(spark, "check trio"):
+        bad = enforce(check_trio(trio), mode)
     rejects = {"feed": feed.rejects, "standardized": std.rejects, "constraints": bad}
     if mode == "quarantine":
         bad_admids = bad.where(F.col("table") == "parcel").select(F.col("key").cast("long").alias("admid"))
         trio = Trio(trio.identity, trio.entity, delete_by_keys(trio.parcel, bad_admids, "admid"))
-    return trio, stage(flatten(trio), "delta_flat"), rejects
+    with phase(spark, "flatten"):
+        flat = stage(flatten(trio), "delta_flat")
+    return trio, flat, rejects
 
 
 def merge_delta(state: dict[str, DataFrame], delta: DataFrame, overwrite_nulls: bool = True,
@@ -179,7 +188,8 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
         reports = {name: df for name, df in result.reports.items()}
         # In strict mode any reject has already aborted the run: nothing to keep.
         rejects = {} if mode == "strict" else {f"rejects_{n}": df for n, df in result.rejects.items()}
-        paths = store.publish(tables, version, reports={**reports, **rejects})
+        with phase(spark, "publish"):
+            paths = store.publish(tables, version, reports={**reports, **rejects})
         result.counts.update(final.get)
         if "insert" in result.counts:
             before = result.counts["insert"] + result.counts["update"] + result.counts["keep"]
@@ -202,16 +212,19 @@ def _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrit
     if "load" in phases or "merge" in phases:
         trio, delta, rejects = load_delta(spark, feed_path, std_path, mode)
         result.rejects.update(rejects)
-        tables, reports = merge_delta(tables, delta, overwrite_nulls, normalizer)
+        with phase(spark, "merge pass 1 and parcel delta"):
+            tables, reports = merge_delta(tables, delta, overwrite_nulls, normalizer)
         result.reports.update(reports)
         ops = Observation("merge")
         op = F.col("op")
         counted = tables["parcel"].observe(
             ops, *[F.count(F.when(op == name, 1)).alias(name) for name in ("insert", "update", "keep")])
-        tables["parcel"] = stage(counted, "parcel_merged").drop("op")
+        with phase(spark, "merge pass 2"):
+            tables["parcel"] = stage(counted, "parcel_merged").drop("op")
         result.counts.update(ops.get)
     if "delete" in phases and delete_path is not None:
-        deletes = read_delete_list(spark, delete_path, mode)
+        with phase(spark, "read deletes"):
+            deletes = read_delete_list(spark, delete_path, mode)
         result.rejects["deletes"] = deletes.rejects
         tables = apply_deletes(tables, deletes.rows)
     if "sweep" in phases:

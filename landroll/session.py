@@ -112,6 +112,18 @@ def staging_area(spark: SparkSession, name: str) -> Iterator[str]:
         _STAGING_FOLDER.pop()
 
 
+@contextmanager
+def phase(spark: SparkSession, name: str) -> Iterator[None]:
+    """Label the Spark jobs of the enclosed block (visible in event logs and job lists)."""
+    sc = spark.sparkContext
+    previous = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(f"landroll: {name}")
+    try:
+        yield
+    finally:
+        sc.setJobDescription(previous)
+
+
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

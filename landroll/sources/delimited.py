@@ -55,13 +55,22 @@ def read_text_columns(spark: SparkSession, path: str | Sequence[str], columns: S
 
 def load_typed(spark: SparkSession, path: str | Sequence[str], specs: Sequence[ColumnSpec], sep: str,
                forced: Sequence[str] = (), required: Sequence[str] = (), mode: str = "strict",
-               name: str = "load") -> Loaded:
+               name: str = "load", columns: Sequence[str] | None = None) -> Loaded:
+    """Read, cast and check every column; stage the result once.
+
+    ``columns`` limits what is kept in the staged table (and in ``rows``);
+    every column is still cast and checked while the table is written.
+    """
     raw = read_text_columns(spark, path, [s.name for s in specs], sep)
     typed, bad = typed_cast(raw, specs, forced=forced, required=required, keep=[CORRUPT])
     problems = F.when(F.col(CORRUPT).isNotNull(),
                       F.array_union(F.array(F.lit("row:field_count")), F.col("_problems"))
                       ).otherwise(F.col("_problems"))
-    staged = stage(typed.withColumn("_problems", problems), name)
+    checked = typed.withColumn("_problems", problems)
+    if columns is not None:
+        kept = list(dict.fromkeys([specs[0].name, *columns]))
+        checked = checked.select(*kept, "_problems", CORRUPT)
+    staged = stage(checked, name)
     rejects = staged.where(F.size("_problems") > 0).select(
         specs[0].name, F.col(CORRUPT).alias("raw_line"), F.col("_problems").alias("problems"))
     rows = staged.where(F.size("_problems") == 0).drop("_problems", CORRUPT)
@@ -75,16 +84,21 @@ def load_typed(spark: SparkSession, path: str | Sequence[str], specs: Sequence[C
     return Loaded(rows, rejects)
 
 
-def read_feed(spark: SparkSession, path: str | Sequence[str], mode: str = "strict") -> Loaded:
-    """The 332-column ``||``-separated property feed.  ``admid`` is required."""
+def read_feed(spark: SparkSession, path: str | Sequence[str], mode: str = "strict",
+              columns: Sequence[str] | None = None) -> Loaded:
+    """The 332-column ``||``-separated property feed.  ``admid`` is required.
+
+    All columns are validated; ``columns`` limits the ones kept.
+    """
     return load_typed(spark, path, FEED_SPECS, "||", forced=FEED_FORCED, required=["admid"], mode=mode,
-                      name="feed")
+                      name="feed", columns=columns)
 
 
-def read_standardized(spark: SparkSession, path: str | Sequence[str], mode: str = "strict") -> Loaded:
+def read_standardized(spark: SparkSession, path: str | Sequence[str], mode: str = "strict",
+                      columns: Sequence[str] | None = None) -> Loaded:
     """The 60-column tab-separated standardiser output; admid, latitude, longitude required."""
     return load_typed(spark, path, STD_SPECS, "\t", forced=STD_FORCED, required=STD_REQUIRED, mode=mode,
-                      name="standardized")
+                      name="standardized", columns=columns)
 
 
 def read_delete_list(spark: SparkSession, path: str | Sequence[str], mode: str = "strict") -> Loaded:

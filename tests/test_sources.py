@@ -34,6 +34,10 @@ def test_feed_reader_keeps_data_and_quarantines(spark, workdir):
     assert len(loaded.rows.columns) == len(FEED_COLUMNS)
     with pytest.raises(ConstraintViolation):
         read_feed(spark, path, mode="strict")
+    # Keeping few columns must not skip validating the others.
+    narrow = read_feed(spark, path, mode="quarantine", columns=["partyowner1namefull"])
+    assert narrow.rows.columns == ["admid", "partyowner1namefull"]
+    assert sorted(r.admid for r in narrow.rejects.collect()) == [2, 3, 4]
 
 
 def test_std_reader_requires_coordinates(spark, workdir):
