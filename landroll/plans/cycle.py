@@ -123,8 +123,10 @@ def merge_delta(state: dict[str, DataFrame], delta: DataFrame, overwrite_nulls:
     # Reactivation changes no id or key, so lookups use state + inserted rows.
     lookup_ident = identity.select("id", *IDENTITY_KEY).unionByName(new_ident.select("id", *IDENTITY_KEY))
     identity = reactivate(identity, cands, IDENTITY_KEY).unionByName(new_ident)
-    with_ident = lookup_first(delta.drop("identity_id"), lookup_ident, IDENTITY_KEY,
-                              out_col="identity_id", hot=hot_ident, salt_cols=["admid"])
+    # Read twice below (entity candidates, entity lookup): staged so the
+    # first-match aggregation over the state identities and the join run once.
+    with_ident = stage(lookup_first(delta.drop("identity_id"), lookup_ident, IDENTITY_KEY,
+                                    out_col="identity_id", hot=hot_ident, salt_cols=["admid"]), "with_identity")
 
     # Pass 1b: entities under the resolved (state) identity.
     ent_cands = keep_first(with_ident.select(*ENTITY_KEY), ENTITY_KEY, count_col="_rows")

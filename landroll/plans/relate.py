@@ -24,6 +24,7 @@ from landroll.operators.dedup import keep_first
 from landroll.operators.joins import hot_keys, salted_join
 from landroll.operators.keys import assign_ids
 from landroll.operators.quality import check_fk, check_lengths, check_not_null, check_unique, violations
+from landroll.session import stage
 from landroll.sources.schemas import ENTITY_LIMITS, IDENTITY_LIMITS, PARCEL_LIMITS
 
 # Where each relational column comes from in the stitched feed.
@@ -138,7 +139,8 @@ def build_trio(stitched: DataFrame) -> Trio:
         stitched.withColumns({dst: F.col(src) for dst, src in IDENTITY_SOURCE.items() if dst in IDENTITY_KEY}),
         identity.select(*IDENTITY_KEY, F.col("id").alias("identity_id")), IDENTITY_KEY, "left",
         hot=hot_keys(ident_counted, IDENTITY_KEY, count_col="_rows"), salt_cols=["admid"])
-    resolved = resolved.withColumns({dst: F.col(src) for dst, src in ENTITY_SOURCE.items()})
+    # Read twice below (entity build, parcel keying): staged so the join runs once.
+    resolved = stage(resolved.withColumns({dst: F.col(src) for dst, src in ENTITY_SOURCE.items()}), "resolved")
 
     ent_counted = assign_ids(keep_first(resolved.select(*ENTITY_KEY), ENTITY_KEY, count_col="_rows"), ENTITY_KEY)
     entity = ent_counted.drop("_rows")
