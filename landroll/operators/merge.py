@@ -35,16 +35,22 @@ def _conform(df: DataFrame, schema_df: DataFrame) -> DataFrame:
 
 def get_or_insert(state: DataFrame, candidates: DataFrame, keys: Sequence[str],
                   id_col: str = "id", defaults: Mapping[str, Column] | None = None,
-                  order_by: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                  order_by: Sequence[str] | None = None,
+                  existing_keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Insert the ``candidates`` whose ``keys`` are not in ``state``.
 
     ``candidates`` must be unique on ``keys`` (see ``keep_first``).  New ids
     continue after ``max(state.id)`` in the order of ``order_by`` (default
     ``keys``).  ``defaults`` fill state columns the candidates lack.
     Returns ``(new_state, inserted)``; both have ``state``'s columns.
+    ``existing_keys`` may pass an already distinct key set of ``state`` (for
+    example its first-match table) to save another aggregation of it.
     """
     keys = list(keys)
-    new = candidates.join(state.select(*keys).distinct(), keys, "left_anti")
+    known = (existing_keys if existing_keys is not None else state).select(*keys)
+    if existing_keys is None:
+        known = known.distinct()
+    new = candidates.join(known, keys, "left_anti")
     for name, value in (defaults or {}).items():
         new = new.withColumn(name, value)
     inserted = _conform(assign_ids(new, order_by or keys, base=max_id(state, id_col), id_col=id_col), state)

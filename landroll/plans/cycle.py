@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from landroll.functions.address import match_address_raw, normalize_address
 from landroll.operators.dedup import keep_first
-from landroll.operators.joins import hot_keys, lookup_first, multi_match_report
+from landroll.operators.joins import first_match, hot_keys, multi_match_report, salted_join
 from landroll.operators.merge import get_or_insert, reactivate, upsert
 from landroll.operators.prune import deleted_rows, delete_by_keys, drop_orphans, flag_orphans, null_references
 from landroll.operators.quality import enforce
@@ -115,25 +115,32 @@ def merge_delta(state: dict[str, DataFrame], delta: DataFrame, overwrite_nulls:
     ident_cols = list(IDENTITY_SOURCE) + ["mail_location"]
 
     # Pass 1a: identities.  Delta rows of one key carry the same survivor
-    # attributes, so keep_first only picks one row per key (map-side).
+    # attributes, so keep_first only picks one row per key (map-side).  The
+    # state is reduced once to its lowest id per key; that table serves both
+    # the "already known" test and the lookup.
     cands = keep_first(delta.select(*ident_cols), IDENTITY_KEY, count_col="_rows")
     hot_ident = hot_keys(cands, IDENTITY_KEY, count_col="_rows")
-    _, new_ident = get_or_insert(identity, cands.drop("_rows"), IDENTITY_KEY,
+    ident_first = first_match(identity, IDENTITY_KEY)
+    _, new_ident = get_or_insert(identity, cands.drop("_rows"), IDENTITY_KEY, existing_keys=ident_first,
                                  defaults={"primary_name": F.lit(""), "rental_count": F.lit(0)})
-    # Reactivation changes no id or key, so lookups use state + inserted rows.
-    lookup_ident = identity.select("id", *IDENTITY_KEY).unionByName(new_ident.select("id", *IDENTITY_KEY))
+    # Reactivation changes no id or key; inserted keys are new, so the
+    # union stays one row per key.
+    lookup_ident = ident_first.unionByName(new_ident.select("id", *IDENTITY_KEY))
     identity = reactivate(identity, cands, IDENTITY_KEY).unionByName(new_ident)
     # Read twice below (entity candidates, entity lookup): staged so the
     # first-match aggregation over the state identities and the join run once.
-    with_ident = stage(lookup_first(delta.drop("identity_id"), lookup_ident, IDENTITY_KEY,
-                                    out_col="identity_id", hot=hot_ident, salt_cols=["admid"]), "with_identity")
+    with_ident = stage(salted_join(delta.drop("identity_id"),
+                                   lookup_ident.withColumnRenamed("id", "identity_id"), IDENTITY_KEY, "left",
+                                   hot=hot_ident, salt_cols=["admid"]), "with_identity")
 
     # Pass 1b: entities under the resolved (state) identity.
     ent_cands = keep_first(with_ident.select(*ENTITY_KEY), ENTITY_KEY, count_col="_rows")
     hot_ent = hot_keys(ent_cands, ENTITY_KEY, count_col="_rows")
-    entity, new_ent = get_or_insert(entity, ent_cands.drop("_rows"), ENTITY_KEY)
-    keyed = lookup_first(with_ident.drop("entity_id"), entity.select("id", *ENTITY_KEY), ENTITY_KEY,
-                         out_col="entity_id", hot=hot_ent, salt_cols=["admid"])
+    ent_first = first_match(entity, ENTITY_KEY)
+    entity, new_ent = get_or_insert(entity, ent_cands.drop("_rows"), ENTITY_KEY, existing_keys=ent_first)
+    lookup_ent = ent_first.unionByName(new_ent.select("id", *ENTITY_KEY))
+    keyed = salted_join(with_ident.drop("entity_id"), lookup_ent.withColumnRenamed("id", "entity_id"),
+                        ENTITY_KEY, "left", hot=hot_ent, salt_cols=["admid"])
 
     # Pass 2: parcels, labelled insert / update / keep.
     match = normalizer(match_address_raw("parcel_address1", "parcel_address2", "parcel_city", "parcel_state"))
