@@ -98,8 +98,14 @@ def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict") -
         bad = enforce(check_trio(trio), mode)
     rejects = {"feed": feed.rejects, "standardized": std.rejects, "constraints": bad}
     if mode == "quarantine":
-        bad_admids = bad.where(F.col("table") == "parcel").select(F.col("key").cast("long").alias("admid"))
-        trio = Trio(trio.identity, trio.entity, delete_by_keys(trio.parcel, bad_admids, "admid"))
+        # Hold back every parcel that breaks a rule or points at an entity or
+        # identity that does; the rest of the month is applied.
+        def bad_keys(table: str, as_col: str) -> DataFrame:
+            return bad.where(F.col("table") == table).select(F.col("key").cast("long").alias(as_col))
+        parcel = delete_by_keys(trio.parcel, bad_keys("parcel", "admid"), "admid")
+        parcel = delete_by_keys(parcel, bad_keys("entity", "entity_id"), "entity_id")
+        parcel = delete_by_keys(parcel, bad_keys("identity", "identity_id"), "identity_id")
+        trio = Trio(trio.identity, trio.entity, parcel)
     with phase(spark, "flatten"):
         flat = stage(flatten(trio), "delta_flat")
     return trio, flat, rejects

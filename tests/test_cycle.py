@@ -211,3 +211,24 @@ def test_stream_applies_each_month_once(spark, month, workdir):
     watch_deliveries(spark, inbox, store, checkpoint=ckpt).awaitTermination()
     assert store.current()[0] == "002"
     assert store.read("parcel").count() == parcels - 1
+
+
+def test_quarantine_holds_back_bad_rows(spark, month, workdir):
+    """Length and not-null violations: strict aborts, quarantine applies the rest."""
+    store, _, _, deletes = month
+    feed = write_feed(os.path.join(workdir, "in", "q.txt"), [
+        _feed(4001, "OK"), _feed(4002, "X" * 140), _feed(4003, "USE", propertyusegroup=""),
+        _feed(4004, "SITUS", propertyaddressstreetname="S" * 100, propertyaddresshousenumber="9" * 25,
+              propertyaddressstreetsuffix="T" * 10),
+        _feed(4005, "BOOL", companyflag="perhaps")])
+    std = write_std(os.path.join(workdir, "in", "q_std.tsv"), [
+        _std(a, f"{a} Q ST", "QTOWN") for a in (4001, 4002, 4003, 4004, 4005)])
+    with pytest.raises(ConstraintViolation):
+        run_cycle(spark, store, "001", feed, std, deletes)
+    res = run_cycle(spark, store, "001", feed, std, deletes, mode="quarantine")
+    admids = {r.admid for r in res.tables["parcel"].collect()}
+    assert 4001 in admids and not admids & {4002, 4003, 4004, 4005}
+    rules = {(r.table, r.rule) for r in res.rejects["constraints"].collect()}
+    assert {("entity", "length"), ("parcel", "not_null"), ("parcel", "length")} <= rules
+    assert [r.admid for r in res.rejects["feed"].collect()] == [4005]
+    assert "X" * 140 not in {r.owner for r in res.tables["entity"].collect()}
