@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql.types import StructType
 
 from filegen import write_deletes, write_feed, write_std
-from landroll.operators.quality import ConstraintViolation
+from landroll.operators.quality import ConstraintViolation, check_fk, check_unique
 from landroll.plans.cycle import run_cycle
 from landroll.sources.schemas import STATE_DDL
 from landroll.sources.state import StateStore
@@ -141,6 +141,32 @@ def test_full_cycle(spark, month):
     assert res.counts["insert"] == 8 and res.counts["update"] == 3 and res.counts["keep"] == 1
     assert res.counts["deleted"] == 2
     assert res.reports["identity_multi_match"].count() == 1
+    # Referential integrity of the published state.
+    t = res.tables
+    assert check_fk(t["parcel"], t["identity"], "identity_id").count() == 0
+    assert check_fk(t["parcel"], t["entity"], "entity_id").count() == 0
+    assert check_fk(t["entity"], t["identity"], "identity_id").count() == 0
+    assert check_fk(t["postcard"], t["parcel"], "parcel_id").count() == 0
+    assert check_unique(t["parcel"], ["admid"]).count() == 0
+
+
+def test_feed_row_order_does_not_matter(spark, month, workdir):
+    """The same month with its feed and standardised lines reversed gives the same state."""
+    store, feed, std, deletes = month
+    first = run_cycle(spark, store, "001", feed, std, deletes, publish=False)
+    expected = {t: sorted(map(tuple, first.tables[t].collect()), key=repr) for t in ("identity", "entity", "parcel")}
+
+    def reversed_copy(path, name):
+        lines = open(path, "rb").read().splitlines()
+        out = os.path.join(workdir, "in", name)
+        with open(out, "wb") as f:
+            f.write(b"\n".join([lines[0]] + lines[1:][::-1]) + b"\n")
+        return out
+
+    again = run_cycle(spark, store, "001", reversed_copy(feed, "feed_rev.txt"), reversed_copy(std, "std_rev.tsv"),
+                      deletes, publish=False)
+    for t, rows in expected.items():
+        assert sorted(map(tuple, again.tables[t].collect()), key=repr) == rows
 
 
 def test_rerun_is_idempotent(spark, month):

@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from landroll.operators.dedup import distinct_rows, keep_first
@@ -142,3 +144,13 @@ def test_quality_checks(spark):
     with pytest.raises(ConstraintViolation):
         enforce(found, "strict")
     assert enforce(found, "quarantine").count() == 1
+
+
+@settings(max_examples=8, deadline=None)
+@given(keys=st.lists(st.tuples(st.sampled_from(["", "a", "b", "zz"]), st.integers(-5, 50)), unique=True,
+                     min_size=0, max_size=60),
+       parts=st.integers(1, 9), base=st.integers(0, 1000))
+def test_assign_ids_property(spark, keys, parts, base):
+    df = spark.createDataFrame(keys, "k string, n int").repartition(parts)
+    got = sorted((r.k, r.n, r.id) for r in assign_ids(df, ["k", "n"], base=base, num_partitions=parts).collect())
+    assert got == [(k, n, base + i + 1) for i, (k, n) in enumerate(sorted(keys))]
