@@ -50,3 +50,14 @@ def test_typed_cast_reports_problems(spark):
     assert str(out[0].dt) == "2019-04-29" and str(out[1].dt) == "2019-04-29"
     assert sorted(out[1]._problems) == ["b:type", "d:type", "s:type", "t:length"]
     assert sorted(out[2]._problems) == ["dt:type", "k:required"]
+
+
+def test_standardize_batches_runs_per_arrow_batch(spark):
+    from landroll.operators.enrich import standardize_batches
+
+    def upper_streets(pdf):
+        return pdf.assign(delivery_line_1=pdf["street"].str.upper().str.strip())
+
+    df = spark.createDataFrame([(1, " 12 main st "), (2, "9 elm")], "admid long, street string").repartition(2)
+    out = standardize_batches(df, upper_streets, "admid long, street string, delivery_line_1 string")
+    assert sorted((r.admid, r.delivery_line_1) for r in out.collect()) == [(1, "12 MAIN ST"), (2, "9 ELM")]
