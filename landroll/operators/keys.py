@@ -8,12 +8,13 @@ moving all rows into one task:
    partition; ``monotonically_increasing_id`` then encodes (range partition,
    position in partition) in one long;
 2. that ranked copy is materialised once (a staged table), so the counting
-   pass and the numbering pass read the very same partition assignment
-   (two separately planned range exchanges may sample different bounds);
-3. rows per range partition are counted (at most one row per partition),
-   a running sum over those counts gives each partition's offset, and the
-   offsets are broadcast; that table's size is bounded by the partition
-   count, not by the data.
+   and the numbering read the very same partition assignment (two
+   separately planned range exchanges may sample different bounds);
+3. the rows per range partition are counted and the counts (one number per
+   partition, as ``RDD.zipWithIndex`` does) come back to the driver, whose
+   running sum gives each partition's offset; the offsets go into the
+   numbering projection as a literal array.  Their size is bounded by the
+   partition count, not by the data, and no window or join is needed.
 
 Because an id equals the row's global rank in the given total order, the ids
 do not depend on partitioning, and a rerun over the same rows gives the same
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition index << 33 | row index
@@ -60,13 +61,13 @@ def assign_ids(df: DataFrame, order_by: Sequence[str | Column], base: int | Colu
     ranked = materialize(parted.sortWithinPartitions(*order_cols)
                          .withColumn("_mid", F.monotonically_increasing_id()), "ranked")
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    counts = ranked.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-    )
+    counts = dict(ranked.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1))).collect())
+    offsets, running = [], 0
+    for p in range(max(counts) + 1 if counts else 0):
+        offsets.append(running)
+        running += counts.get(p, 0)
+    offset = (F.expr("array(" + ", ".join(f"{o}L" for o in offsets) + ")")[pid.cast("int")]
+              if offsets else F.lit(0).cast("long"))
     base_col = base if isinstance(base, Column) else F.lit(base)
-    out = ranked.join(F.broadcast(offsets), pid == F.col("_pid"))
-    new_id = base_col.cast("long") + F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)) + 1
-    return out.withColumn(id_col, new_id.cast("long")).drop("_mid", "_pid", "_off")
+    new_id = base_col.cast("long") + offset + F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)) + 1
+    return ranked.withColumn(id_col, new_id.cast("long")).drop("_mid")
