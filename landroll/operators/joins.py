@@ -8,9 +8,10 @@ plain shuffle join sends all rows of such a key to one task.
 get a salt from a hash of their own content (deterministic, so a retried
 task routes every row the same way), and only the dimension rows of hot
 keys are replicated once per salt.  The hot-key table is bounded
-(``max_keys`` keys x ``max_salts`` salts), so what is broadcast does not grow
-with the data.  The result equals the plain join.  AQE's skew-join split
-stays enabled as a second line for keys below the threshold.
+(``max_keys`` keys x ``max_salts`` salts), so what is fetched and broadcast
+does not grow with the data; without hot keys the join is a plain join.
+The result equals the plain join.  AQE's skew-join split stays enabled as a
+second line for keys below the threshold.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ MAX_SALTS = 512
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], count_col: str | None = None,
-             min_rows: int = HOT_ROWS, max_keys: int = MAX_HOT) -> DataFrame:
+             min_rows: int | None = None, max_keys: int | None = None) -> DataFrame:
     """The heaviest keys (at most ``max_keys``) with ``min_rows`` rows or more.
 
     With ``count_col`` the rows of ``df`` are already per-key counts (for
@@ -40,6 +41,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], count_col: str | None = None,
     Returns ``keys`` + ``_n``.
     """
     keys = list(keys)
+    min_rows = HOT_ROWS if min_rows is None else min_rows
+    max_keys = MAX_HOT if max_keys is None else max_keys
     if count_col:
         counts = df.select(*keys, F.col(count_col).cast("long").alias("_n"))
     else:
@@ -50,7 +53,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], count_col: str | None = None,
 
 def salted_join(big: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
                 hot: DataFrame | None = None, salt_cols: Sequence[str] | None = None,
-                rows_per_salt: int = ROWS_PER_SALT, max_salts: int = MAX_SALTS) -> DataFrame:
+                rows_per_salt: int | None = None, max_salts: int | None = None) -> DataFrame:
     """``big.join(dim, on, how)`` for ``how`` in inner/left, hot keys spread by salt.
 
     ``hot`` holds ``on`` + ``_n`` (see :func:`hot_keys`); when omitted it is
@@ -60,8 +63,17 @@ def salted_join(big: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "l
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     on = list(on)
+    rows_per_salt = ROWS_PER_SALT if rows_per_salt is None else rows_per_salt
+    max_salts = MAX_SALTS if max_salts is None else max_salts
     if hot is None:
         hot = hot_keys(big, on)
+    # The hot set is small by construction (at most MAX_HOT keys), so it is
+    # fetched once: with no hot key the join stays a plain join.
+    hot = hot.select(*on, "_n")
+    found = hot.collect()
+    if not found:
+        return big.join(dim, on, how)
+    hot = big.sparkSession.createDataFrame(found, hot.schema)
     salts = F.least(F.lit(max_salts), F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_salt)))
     hot = F.broadcast(hot.select(*on, salts.cast("int").alias("_salts")))
     row_hash = F.xxhash64(*[F.col(c) for c in (salt_cols or big.columns)])

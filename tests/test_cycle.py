@@ -258,3 +258,17 @@ def test_quarantine_holds_back_bad_rows(spark, month, workdir):
     assert {("entity", "length"), ("parcel", "not_null"), ("parcel", "length")} <= rules
     assert [r.admid for r in res.rejects["feed"].collect()] == [4005]
     assert "X" * 140 not in {r.owner for r in res.tables["entity"].collect()}
+
+
+def test_cycle_with_every_key_salted(spark, month, monkeypatch):
+    """Forcing every key through the salted (hot-key) path changes nothing."""
+    import landroll.operators.joins as joins
+
+    store, feed, std, deletes = month
+    plain = run_cycle(spark, store, "001", feed, std, deletes, publish=False)
+    expected = {t: sorted(map(tuple, plain.tables[t].collect()), key=repr) for t in ("identity", "entity", "parcel")}
+    monkeypatch.setattr(joins, "HOT_ROWS", 1)
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 1)
+    salted = run_cycle(spark, store, "001", feed, std, deletes, publish=False)
+    for t, rows in expected.items():
+        assert sorted(map(tuple, salted.tables[t].collect()), key=repr) == rows
