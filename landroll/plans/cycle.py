@@ -179,6 +179,25 @@ def sweep(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             "entity": drop_orphans(tables["entity"], parcel, "entity_id")}
 
 
+def export_address_extract(spark: SparkSession, feed_path, out_path: str, mode: str = "strict") -> DataFrame:
+    """Validate the feed and write the standardiser's input (admid, street, secondary, city, state).
+
+    This is the export that precedes the external standardiser; its output
+    file is then the ``std_path`` of :func:`run_cycle`.  Returns the rejects.
+    """
+    from landroll.plans.relate import MAIL_RENAMES, MAIL_STREET_PARTS, address_extract
+    from landroll.sources.delimited import write_address_extract
+    with staging_area(spark, "export") as folder, phase(spark, "export address extract"):
+        feed = read_feed(spark, feed_path, mode, columns=["admid", *MAIL_STREET_PARTS, *MAIL_RENAMES])
+        write_address_extract(address_extract(feed.rows), out_path)
+        rejects = feed.rejects
+        if mode == "quarantine":
+            rejects_path = f"{out_path.rstrip('/')}_rejects"
+            rejects.write.mode("error").parquet(rejects_path)
+    drop_path(spark, folder)
+    return spark.read.parquet(rejects_path) if mode == "quarantine" else spark.createDataFrame([], rejects.schema)
+
+
 def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=None, std_path=None,
               delete_path=None, mode: str = "strict", overwrite_nulls: bool = True,
               phases: Sequence[str] = PHASES, publish: bool = True, keep_staging: bool = False,

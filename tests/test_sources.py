@@ -79,3 +79,18 @@ def test_state_store_versions(spark, workdir):
     assert store.read("postcard", "001").first().parcel_id == 10
     with pytest.raises(ValueError):
         store.publish({}, "001")
+
+
+def test_export_for_standardizer(spark, workdir):
+    from landroll.plans.cycle import export_address_extract
+
+    path = write_feed(os.path.join(workdir, "feed.txt"), [
+        {"admid": 7, "contactownermailaddresshousenumber": "5", "contactownermailaddressstreetname": "Oak",
+         "contactownermailaddressunit": "B", "contactownermailaddresscity": "Ogden",
+         "contactownermailaddressstate": "UT"},
+        {"admid": 8, "companyflag": "perhaps"}])
+    out = os.path.join(workdir, "ss_in")
+    rejects = export_address_extract(spark, path, out, mode="quarantine")
+    assert [r.admid for r in rejects.collect()] == [8]
+    text = b"".join(open(p, "rb").read() for p in sorted(glob.glob(out + "/part-*")))
+    assert text == b"admid\tstreet\tsecondary\tcity\tstate\r\n7\t5 Oak\tB\tOgden\tUT\r\n"
