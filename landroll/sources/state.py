@@ -11,6 +11,9 @@ when its write job commits, and readers take the manifest with the highest
 version.  A run that fails before that leaves the previous version current;
 its half-written table folders are never referenced.  Only Spark readers and
 writers are used, so the store works on any filesystem the cluster shares.
+A store has one writer at a time (the monthly job, or the delivery stream);
+the version check in ``publish`` guards against replays, not against two
+concurrent writers.
 """
 
 from __future__ import annotations
