@@ -154,3 +154,36 @@ def test_assign_ids_property(spark, keys, parts, base):
     df = spark.createDataFrame(keys, "k string, n int").repartition(parts)
     got = sorted((r.k, r.n, r.id) for r in assign_ids(df, ["k", "n"], base=base, num_partitions=parts).collect())
     assert got == [(k, n, base + i + 1) for i, (k, n) in enumerate(sorted(keys))]
+
+
+def _nulls_first(t):
+    return tuple((x is not None, x if x is not None else 0) for x in t)
+
+
+@settings(max_examples=8, deadline=None)
+@given(rows=st.lists(st.tuples(st.sampled_from(["", "k1", "k2"]), st.one_of(st.none(), st.integers(-3, 3)),
+                               st.one_of(st.none(), st.integers(0, 5))), min_size=1, max_size=40))
+def test_keep_first_property(spark, rows):
+    df = spark.createDataFrame(rows, "k string, v int, w int").repartition(3)
+    got = {r.k: (r.v, r.w, r.n) for r in keep_first(df, ["k"], count_col="n").collect()}
+    expected = {}
+    for k in {r[0] for r in rows}:
+        group = [r[1:] for r in rows if r[0] == k]
+        expected[k] = (*min(group, key=_nulls_first), len(group))
+    assert got == expected
+
+
+@settings(max_examples=6, deadline=None)
+@given(state_keys=st.sets(st.integers(0, 30), max_size=15), delta_keys=st.sets(st.integers(0, 30), max_size=15))
+def test_upsert_property(spark, state_keys, delta_keys):
+    state_rows = [(100 + i, k, f"s{k}") for i, k in enumerate(sorted(state_keys))]
+    state = spark.createDataFrame(state_rows, "id long, admid long, v string")
+    delta = spark.createDataFrame([(k, f"d{k}") for k in sorted(delta_keys)], "admid long, v string")
+    got = {r.admid: (r.id, r.v, r.op) for r in upsert(state, delta, "admid").collect()}
+    ids = {k: i for i, k, _ in state_rows}
+    top = max(ids.values(), default=0)
+    fresh = sorted(delta_keys - state_keys)
+    expected = {k: (ids[k], f"d{k}" if k in delta_keys else f"s{k}", "update" if k in delta_keys else "keep")
+                for k in state_keys}
+    expected.update({k: (top + 1 + i, f"d{k}", "insert") for i, k in enumerate(fresh)})
+    assert got == expected
