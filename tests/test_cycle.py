@@ -272,3 +272,15 @@ def test_cycle_with_every_key_salted(spark, month, monkeypatch):
     salted = run_cycle(spark, store, "001", feed, std, deletes, publish=False)
     for t, rows in expected.items():
         assert sorted(map(tuple, salted.tables[t].collect()), key=repr) == rows
+
+
+def test_empty_feed_month(spark, month, workdir):
+    """A month whose feed and standardised files hold only their header lines."""
+    store, _, _, deletes = month
+    feed = write_feed(os.path.join(workdir, "in", "empty.txt"), [])
+    std = write_std(os.path.join(workdir, "in", "empty_std.tsv"), [])
+    res = run_cycle(spark, store, "001", feed, std, deletes)
+    assert sorted(r.admid for r in res.tables["parcel"].collect()) == [1001, 1002, 1004]
+    assert res.counts["insert"] == 0 and res.counts["update"] == 0 and res.counts["deleted"] == 1
+    ident = _rows(res.tables["identity"], "id")
+    assert ident[3]["inactive"] is True and ident[2]["inactive"] is True
