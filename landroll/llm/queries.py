@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality, simhash, toxicity
+from . import bpe, langid, mixing, quality, simhash, sitetree, topk, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +25,16 @@ def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sitetree.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,7 +57,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_bpe_encode_decode, op5_quality_rules,
-                            op6_toxicity_severity, op9_mix_sources, op10_language_id)}
-
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_bpe_encode_decode, op3_exact_top_k, op4_main_text,
+                            op5_quality_rules, op6_toxicity_severity, op9_mix_sources, op10_language_id)}
+
+ORACLES: dict[str, str] = {
+    "op3_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id
+            WHERE q.vec_id % 50 = 0),
+        r AS (
+            SELECT query_id, vec_id, score,
+                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
