@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality, simhash, sitetree, topk, toxicity
+from . import bpe, langid, mixing, quality, simhash, sitetree, substring, topk, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,6 +44,11 @@ def op6_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -58,7 +63,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash_near_dedup, op2_bpe_encode_decode, op3_exact_top_k, op4_main_text,
-                            op5_quality_rules, op6_toxicity_severity, op9_mix_sources, op10_language_id)}
+                            op5_quality_rules, op6_toxicity_severity, op7_substring_dedup, op9_mix_sources, op10_language_id)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_top_k": """
