@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landroll.llm import bpe, mixing, quality, simhash
+from landroll.llm import bpe, mixing, pii, quality, simhash
 from landroll.llm.common import staged, table
 from landroll.llm.queries import TOKENIZER
 
@@ -26,6 +26,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_of_each(docs)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, personal data replaced by its kind."""
+    return pii.redacted(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes: a row for each whole pass over a document, and one for its extra blocks."""
     return mixing.taken_texts(docs)
@@ -40,6 +45,7 @@ def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
+    ("personal_data", personal_data),
     ("mix_sources", mix_sources),
     ("bpe_codec", bpe_codec),
 ]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality, simhash, sitetree, substring, topk, toxicity
+from . import bpe, langid, mixing, pii, quality, simhash, sitetree, substring, topk, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -49,6 +49,18 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(k: int) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long")
+
+    counts = [number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -63,7 +75,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash_near_dedup, op2_bpe_encode_decode, op3_exact_top_k, op4_main_text,
-                            op5_quality_rules, op6_toxicity_severity, op7_substring_dedup, op9_mix_sources, op10_language_id)}
+                            op5_quality_rules, op6_toxicity_severity, op7_substring_dedup, op8_personal_data,
+                            op9_mix_sources, op10_language_id)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_top_k": """
