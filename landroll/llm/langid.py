@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import text_or_empty
 
 DIMENSIONS = 4096
-DOCS_PER_LANG = 400
+DOCS_PER_LANG = 300
 SEED = 29
 UNKNOWN = "und"
 
@@ -79,16 +79,23 @@ def _vectors(column: pa.Array) -> np.ndarray:
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and offset of a linear SVM (squared hinge, accelerated gradient); y is +1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    step = 1 / (2 * np.linalg.norm(x * np.sqrt(share)[:, None], 2) ** 2 + l2)
-    w = momentum = np.zeros(x.shape[1])
+    """Weights and offset of a linear SVM (squared hinge, accelerated gradient); y is +1 or -1.
+
+    The weights stay combinations of the rows, so the steps are made on the
+    rows' coefficients with their matrix of inner products.
+    """
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float32)
+    inner = x @ x.T
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    y = y.astype(np.float32)
+    step = 1 / (4 + l2)  # rows have length sqrt(2) and the shares sum to 1
+    a = momentum = np.zeros(len(x), np.float32)
     for k in range(rounds):
-        slack = np.maximum(0, 1 - y * (x @ momentum))
-        new = momentum - step * (l2 * momentum - 2 * x.T @ (share * slack * y))
-        momentum = new + k / (k + 3) * (new - w)
-        w = new
+        slack = np.maximum(0, 1 - y * (inner @ momentum))
+        new = momentum - step * (l2 * momentum - 2 * share * slack * y)
+        momentum = new + k / (k + 3) * (new - a)
+        a = new
+    w = a @ x
     return w[:-1].astype(np.float32), float(w[-1])
 
 

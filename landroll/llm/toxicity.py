@@ -39,9 +39,9 @@ from .common import staged, text_or_empty
 GRADES = 3
 SAMPLE_DOCS = 12_000
 VOCABULARY = 4_096
-MIN_DOCS = 3            # labelled documents that hold a term of the vocabulary
+MIN_DOCS = 5            # labelled documents that hold a term of the vocabulary
 STRONG = 2.0
-L2 = 2e-4
+L2 = 2e-5
 ROUNDS = 400
 SEED = 11
 
