@@ -89,21 +89,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, voca
     terms = {r.term: (i, r.odds) for i, r in enumerate(sorted(chosen.collect()))}
     if not terms:
         return {}
-    kept = F.filter("terms", lambda t: t["term"].isin(list(terms)))
-    rows = sample.select("doc_id", "toxic", kept.alias("terms")).orderBy("doc_id").collect()
-
-    row_of, column, value, strong = [], [], [], []
-    for i, r in enumerate(rows):
-        strong.append(sum(t.n for t in r.terms if terms[t.term][1] > STRONG))
-        for t in r.terms:
-            row_of.append(i)
-            column.append(terms[t.term][0])
-            value.append(math.log1p(t.n))
+    number = {t: i for t, (i, _) in terms.items()}
+    shared = docs.sparkSession.sparkContext.broadcast(number)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            found = [[(known[t["term"]], t["n"]) for t in row if t["term"] in known]
+                     for row in batch.column(2).to_pylist()]
+            cells = [np.array(f, np.int32).reshape(-1, 2).T.tobytes() for f in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, pa.binary())],
+                                             ["doc_id", "toxic", "features"])
+
+    # Packed (term number, count) pairs: a few MB for the whole sample.
+    rows = sorted(sample.select("doc_id", "toxic", "terms")
+                  .mapInArrow(packed, "doc_id long, toxic int, features binary").collect())
+    features = [np.frombuffer(r.features, np.int32).reshape(2, -1) for r in rows]
+    is_strong = np.zeros(len(terms), bool)
+    is_strong[[i for i, odds in terms.values() if odds > STRONG]] = True
+    row_of = np.repeat(np.arange(len(rows)), [f.shape[1] for f in features])
+    column, count = np.concatenate(features, axis=1)
+    strong = np.bincount(row_of, count * is_strong[column], len(rows))
     toxic = np.array([r.toxic for r in rows]) == 1
-    cuts = np.quantile(np.array(strong)[toxic], [k / grades for k in range(1, grades)], method="lower")
+    cuts = np.quantile(strong[toxic], [k / grades for k in range(1, grades)], method="lower")
     grade = np.where(toxic, 1 + np.searchsorted(cuts, strong, side="left"), 0)
-    weights, thresholds = fit_ordinal(np.array(row_of, int), np.array(column, int), np.array(value, float),
-                                      grade, len(terms), grades)
+    weights, thresholds = fit_ordinal(row_of, column, np.log1p(count), grade, len(terms), grades)
     return {"weights": {t: float(weights[i]) for t, (i, _) in terms.items()}, "thresholds": list(map(float, thresholds))}
 
 
