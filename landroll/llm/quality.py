@@ -91,8 +91,10 @@ def log_ratio(counts: DataFrame, smoothing: float = SMOOTHING) -> np.ndarray:
     if not trusted.any():
         return np.zeros(N_BUCKETS)
 
+    seen = np.count_nonzero(raw)  # every document to judge was counted, so no other bucket occurs
+
     def log_p(n: np.ndarray) -> np.ndarray:
-        return np.log(n + smoothing) - np.log(n.sum() + smoothing * N_BUCKETS)
+        return np.log(n + smoothing) - np.log(n.sum() + smoothing * seen)
 
     return log_p(trusted) - log_p(raw)
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import text_or_empty
 
 WINDOW = 20
-MER = 5
+MER = 3
 BUCKET_BYTES = 8 << 20      # of super-k-mers in a bucket, about
 CHUNK_BYTES = 8 << 20       # of text whose super-k-mers are packed together
 SAMPLE_DOCS = 1_000         # documents in which frequent MER-grams are looked for
@@ -128,7 +128,7 @@ class _Chunk:
             by_bucket.setdefault(bucket, []).append((text, self.places[text]))
         for text, bucket, place in self.equal:
             by_bucket.setdefault(bucket, []).append((text, place))
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack = zstandard.ZstdCompressor(level=5).compress
 
         def packed(rows: list[tuple[int, int, int, int]]) -> bytes:
             return pack(np.array(rows, np.int64).T.tobytes())

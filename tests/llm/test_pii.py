@@ -1,0 +1,100 @@
+import random
+
+import brute
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from landroll.llm import pii
+
+HARD = ["a@b@c.com_x@c.org", "x@y..z x@y.z. A@B.c-d", "1.2.3.4.5.6.7.8 999.1.1.1 01.002.255.256 1.2.3.4567",
+        "4111 1111 1111 1111", "4111-1111-1111-1112 4111111111111111", "+1 (487) 555-7209 +12 +123456789 ",
+        "+1 (487) 555-7209-4111111111111111", "😀 é@x.y ü1.2.3.4ü", "+1+22 3333 44444 +(1)", "1 2 3 4 5 6 7 8 9 0 1 2 3",
+        "a" * 3000 + "@b.c", "9" * 4000, "1 " * 3000, "+1" + " " * 3000, ".@" * 500, "x@" + "a." * 2000, None, "", "\n"]
+
+
+def found(spark, rows, **kw):
+    got = pii.detect(brute.documents(spark, rows, extra=True)) if not kw else None
+    return {r.doc_id: [(pii.KINDS[s.kind], s.start, s.end) for s in r.spans] for r in got.collect()}
+
+
+def test_base_spans_of_hard_texts(spark):
+    rows = list(enumerate(HARD))
+    got = found(spark, rows)
+    assert got == {i: brute.pii_base(t) for i, t in rows}
+
+
+@pytest.fixture(scope="module")
+def session(spark):
+    return spark
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("a1@.+- ()😀9"), max_size=50), min_size=20, max_size=40))
+def test_base_spans_of_random_texts(session, texts):
+    rows = list(enumerate(texts))
+    got = pii.candidates(brute.documents(session, rows)).where("base").collect()
+    want = sorted((i, pii.KINDS.index(k), a, b) for i, t in rows for k, a, b in brute.pii_base(t))
+    assert sorted((r.doc_id, r.kind, r.start, r.end) for r in got) == want
+
+
+def contact_rows():
+    rows = [(i, f"please write to Email: user{i}@mail.example.com or call {i} times") for i in range(8)]
+    return rows + [(50, "please write to Email: \"odd99@localhost\", or"), (51, "write to Email: me7(at)host now"),
+                   (52, "write to Email: nobody or 12345"), (53, "the number 98765 stands alone")]
+
+
+def test_patterns_of_seeds_find_unseen_identifiers(spark):
+    rows = contact_rows()
+    got = found(spark, rows)
+    for i, t in rows[:8]:
+        assert got[i] == brute.pii_base(t)
+    assert [rows[8][1][a:b] for _, a, b in got[50]] == ["odd99@localhost"]
+    assert [rows[9][1][a:b] for _, a, b in got[51]] == ["me7(at)host"]
+    assert got[52] == [] and got[53] == []
+
+
+def test_confidence_of_a_pattern(spark):
+    rows = [(i, f"id no: 10.0.0.{i}") for i in range(3)] + [(9, "id no: 12345")]
+    learned = pii.learn(pii._with_patterns(pii.candidates(brute.documents(spark, rows))), rounds=1,
+                        min_confidence=0.0).collect()
+    # 3 seeds among 4 instances: 3 / (4 + 1).
+    assert {(r.p, pii.KINDS[r.kind], round(r.confidence, 9)) for r in learned} == {("2 id no:", "ip", 0.6),
+                                                                                 ("1 no:", "ip", 0.6)}
+    # The next round counts the other instance by its own score, 1 - 0.4 * 0.4.
+    again = pii.learn(pii._with_patterns(pii.candidates(brute.documents(spark, rows))), rounds=2,
+                      min_confidence=0.0).collect()
+    assert {round(r.confidence, 9) for r in again} == {round((3 + 0.84) / 5, 9)}
+
+
+def test_too_few_seeds_teach_nothing(spark):
+    rows = [(0, "Email: a1@x.org"), (1, "Email: b2@x.org"), (2, "Email: c3@localhost")]
+    assert found(spark, rows)[2] == []
+
+
+def test_redaction_keeps_columns_and_the_rest_of_the_text(spark):
+    rows = [(1, "😀 mail a1@x.org, ip 1.2.3.4"), (2, "+4222222222222 x"), (3, None), (4, "clean 12"),
+            (1, "other"), (None, "b@c.de"), (1, "😀 mail a1@x.org, ip 1.2.3.4")]
+    docs = brute.documents(spark, rows, extra=True)
+    out = pii.redacted(docs)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "", r.n_chars) for r in out.collect())
+    clean = "😀 mail <EMAIL>, ip <IP>"
+    # The phone number is also a card number: spans that overlap are covered once.
+    assert got == sorted([(1, clean, 23), (1, clean, 23), (2, "<PHONE> x", 9), (3, "", None), (4, "clean 12", 8),
+                          (1, "other", 5), (0, "<EMAIL>", 7)])
+
+
+def test_native_plan_and_empty_table(spark):
+    docs = brute.documents(spark, contact_rows())
+    plan = pii.detect(docs)._jdf.queryExecution().toString() + pii.candidates(docs)._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"))
+    assert pii.detect(brute.documents(spark, [])).count() == 0
+
+
+def test_long_text_with_many_spans(spark):
+    r = random.Random(0)
+    text = " ".join(f"u{r.randrange(10**6)}@h.org and 10.1.{k % 250}.7" for k in range(6000))
+    got = pii.detect(brute.documents(spark, [(1, text)])).select(F.size("spans")).first()[0]
+    assert got == 12000
