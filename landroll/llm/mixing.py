@@ -187,7 +187,7 @@ def taken_texts(docs: DataFrame) -> DataFrame:
     ranged = F.expr("array_join(transform(__plan.extra, r -> array_join(slice(__words, cast(r.start + 1 as int),"
                     " cast(r.end - r.start as int)), ' ')), '\\n')")
     joined = (docs.withColumn("__size", word_count(text_or_empty()))
-              .join(plan.withColumnRenamed("__size", "__n"),
+              .join(plan.withColumnRenamed("__size", "__n").hint("merge"),
                     F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__n")))
               .withColumn("__covered", F.expr("aggregate(__plan.extra, 0L, (a, r) -> a + r.end - r.start)"))
               .withColumn("__words", F.when(F.expr("size(__plan.extra) > 0") & ~whole, words)))

@@ -185,18 +185,22 @@ def document_spans(docs: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("kind", "start", "end", "base"))).alias("spans")), "pii-spans")
 
 
-def _joined(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with __spans (empty, if none); a column mark of ``docs`` does not clash."""
-    keys = found.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("spans").alias("__found"))
+def _joined(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, __mark and others) with __spans, empty if there are none.
+
+    A merge join whatever the size: the spans are not broadcast.
+    """
+    keys = found.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__found_mark"),
+                        F.col("spans").alias("__found"))
     empty = "cast(array() as array<struct<kind: int, start: bigint, end: bigint, base: boolean>>)"
-    return (docs.join(keys, F.col("doc_id").eqNullSafe(F.col("__id"))
-                      & (F.xxhash64(text_or_empty()) == F.col("__mark")), "left")
+    return (rows.join(keys.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id"))
+                      & (F.col("__mark") == F.col("__found_mark")), "left")
             .withColumn("__spans", F.coalesce("__found", F.expr(empty))))
 
 
 def detect(docs: DataFrame) -> DataFrame:
     """(doc_id, spans) of every document."""
-    ids = docs.select("doc_id", "text")
+    ids = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("__mark"))
     return _joined(ids, document_spans(docs)).select("doc_id", F.col("__spans").alias("spans"))
 
 
@@ -224,7 +228,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     clean = F.aggregate(by_start, start, step, lambda done: F.concat(
         done["out"], F.substring("text", (done["at"] + 1).cast("int"), F.length("text"))))
-    out = _joined(docs, document_spans(docs)).withColumn(
+    marked = docs.withColumn("__mark", F.xxhash64(text_or_empty()))
+    out = _joined(marked, document_spans(docs)).withColumn(
         "__clean", F.when(F.size("__spans") > 0, clean).otherwise(F.col("text")))
     made = {"text": F.col("__clean"), "n_chars": F.length("__clean").cast("long")}
     return out.select(*[made.get(c, F.col(c)).alias(c) for c in docs.columns])

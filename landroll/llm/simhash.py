@@ -202,7 +202,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     found = near_duplicates(docs, shingle, max_bits)
     kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows"))
     kept = staged(kept, "kept")
-    once = docs.join(kept.where("__rows = 1").select("doc_id"), "doc_id", "left_semi")
+    # Texts meet ids by a merge join whatever the size: the ids are not broadcast.
+    once = docs.join(kept.where("__rows = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     # Several rows of one kept id: the smallest (hash, text) of them.
     again = docs.join(kept.where("__rows > 1").select("doc_id"), "doc_id", "left_semi")
     first = (again.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(c) for c in docs.columns]),

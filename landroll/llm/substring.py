@@ -288,5 +288,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, mer: int = MER) -> Dat
                     [batch.column(0), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()),
                      pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return (keyed.join(ranges, ["doc", "mark"], "left").select("doc_id", "text", "ranges")
+    return (keyed.join(ranges.hint("merge"), ["doc", "mark"], "left").select("doc_id", "text", "ranges")
             .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string"))
