@@ -13,6 +13,6 @@ plans      composed jobs: building the identity/entity/parcel trio from a
 streaming  a file-stream driver that applies each arriving month once.
 """
 
-from landroll.session import build_session, checkpoint_dir, cut_lineage, stage
+from landroll.session import build_session, checkpoint_dir, stage
 
-__all__ = ["build_session", "checkpoint_dir", "cut_lineage", "stage"]
+__all__ = ["build_session", "checkpoint_dir", "stage"]

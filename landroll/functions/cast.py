@@ -1,10 +1,12 @@
 """Typed casting of text columns with explicit violations.
 
 Files are read with every column as text; each column is then cast to its
-declared type with ``try_cast``.  A non-blank value whose cast fails, or a
-text longer than its declared length, is a violation instead of a silently
-NULL value.  Blank text follows the NULL policy: NULL, or '' for forced
-columns.
+declared type with ``try_cast``, by the rules of a bulk load:
+
+* an empty field is NULL, or '' for forced columns;
+* any other value whose cast fails is a violation, also one of blanks alone;
+* a text longer than its declared length loses blanks that are too many, and
+  is a violation if anything else is; blanks are a value.
 """
 
 from __future__ import annotations
@@ -40,37 +42,6 @@ class ColumnSpec:
         }.get(self.kind) or f"decimal({self.precision},{self.scale})"
 
 
-def _c(x: str | Column) -> Column:
-    return F.col(x) if isinstance(x, str) else x
-
-
-def parse_bool(col: str | Column) -> Column:
-    """PostgreSQL boolean text -> boolean; blank/NULL -> NULL; anything else -> NULL."""
-    t = F.lower(F.trim(_c(col)))
-    return (F.when(t.isin(TRUE_WORDS), F.lit(True))
-            .when(t.isin(FALSE_WORDS), F.lit(False)))
-
-
-def parse_date(col: str | Column) -> Column:
-    t = F.trim(_c(col))
-    return F.coalesce(*[F.try_to_date(t, f) for f in DATE_FORMATS])
-
-
-def cast_value(col: str | Column, spec: ColumnSpec) -> Column:
-    c = _c(col)
-    if spec.kind in ("string", "char"):
-        return c
-    if spec.kind == "bool":
-        return parse_bool(c)
-    if spec.kind == "date":
-        return parse_date(c)
-    return c.try_cast(spec.spark_type)
-
-
-def _blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")
-
-
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -79,12 +50,11 @@ def _words(words: Sequence[str]) -> str:
     return ", ".join("'" + w + "'" for w in words)
 
 
-def _blank_sql(c: str) -> str:
-    return f"({c} IS NULL OR trim({c}) = '')"
-
-
 def _value_sql(c: str, spec: ColumnSpec) -> str:
-    """SQL text of ``cast_value`` for the column reference ``c`` (same rules)."""
+    """SQL text of the value of column reference ``c`` as ``spec``; NULL if it does not parse."""
+    if spec.kind in ("string", "char"):
+        return f"CASE WHEN {_only_blanks_over(c, spec.length)} THEN substring({c}, 1, {spec.length}) ELSE {c} END" \
+            if spec.length else c
     if spec.kind == "bool":
         t = f"lower(trim({c}))"
         return f"CASE WHEN {t} IN ({_words(TRUE_WORDS)}) THEN true WHEN {t} IN ({_words(FALSE_WORDS)}) THEN false END"
@@ -93,6 +63,10 @@ def _value_sql(c: str, spec: ColumnSpec) -> str:
     return f"try_cast({c} AS {spec.spark_type})"
 
 
+def _only_blanks_over(c: str, length: int) -> str:
+    return f"length({c}) > {length} AND rtrim(substring({c}, {length + 1})) = ''"
+
+
 def typed_cast(df: DataFrame, specs: Sequence[ColumnSpec], forced: Sequence[str] = (),
                required: Sequence[str] = (), key: str | None = None,
                keep: Sequence[str] = ()) -> tuple[DataFrame, Column]:
@@ -101,8 +75,8 @@ def typed_cast(df: DataFrame, specs: Sequence[ColumnSpec], forced: Sequence[str]
     Returns ``(typed, problems)``: ``typed`` has one column per spec (plus
     ``keep`` columns) and a ``_problems`` array column naming every column
     of the row that failed: ``col:type`` (bad value), ``col:length``
-    (too long) or ``col:required`` (blank in a required column).
-    ``forced`` string columns keep '' for blank text instead of NULL.
+    (too long) or ``col:required`` (empty in a required column).
+    ``forced`` string columns get '' for an empty field instead of NULL.
     The projection is built as SQL text in one call, so a 332-column feed
     costs one round trip to the JVM instead of thousands.
     """
@@ -110,20 +84,17 @@ def typed_cast(df: DataFrame, specs: Sequence[ColumnSpec], forced: Sequence[str]
     out, problems = [], []
     for s in specs:
         c = _q(s.name)
+        val = _value_sql(c, s)
         if s.kind in ("string", "char"):
-            if s.name in forced_set:
-                val = f"coalesce({c}, '')"
-            elif s.kind == "char":
-                val = f"CASE WHEN {_blank_sql(c)} THEN NULL ELSE {c} END"
-            else:
-                val = c
             if s.length:
-                problems.append(f"CASE WHEN length({c}) > {s.length} THEN '{s.name}:length' END")
+                problems.append(f"CASE WHEN length({c}) > {s.length} AND NOT ({_only_blanks_over(c, s.length)})"
+                                f" THEN '{s.name}:length' END")
+            if s.name in forced_set:
+                val = f"coalesce({val}, '')"
         else:
-            val = _value_sql(c, s)
-            problems.append(f"CASE WHEN NOT {_blank_sql(c)} AND ({val}) IS NULL THEN '{s.name}:type' END")
+            problems.append(f"CASE WHEN {c} <> '' AND ({val}) IS NULL THEN '{s.name}:type' END")
         if s.name in required_set:
-            problems.append(f"CASE WHEN {_blank_sql(c)} THEN '{s.name}:required' END")
+            problems.append(f"CASE WHEN {c} IS NULL OR {c} = '' THEN '{s.name}:required' END")
         out.append(f"{val} AS {c}")
     arr = (f"filter(array({', '.join(problems)}), x -> x IS NOT NULL)" if problems
            else "cast(array() AS array<string>)")

@@ -10,21 +10,24 @@ callable must be a small per-batch function, not a service call per row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landroll.operators.dedup import keep_first
+
 
 def left_enrich(df: DataFrame, std: DataFrame, left_on: str, right_on: str,
                 columns: dict[str, str], matched_col: str = "matched") -> DataFrame:
     """``df`` plus ``columns`` (std name -> output name) from ``std``; unmatched rows get NULLs.
 
-    ``std`` must be unique on ``right_on``.
+    Rows are never multiplied: of several ``std`` rows with one key the
+    smallest (by the picked columns, NULLs first) is taken.
     """
-    picked = std.select(F.col(right_on).alias("_std_key"),
-                        *[F.col(src).alias(dst) for src, dst in columns.items()],
-                        F.lit(True).alias("_std_hit"))
+    picked = keep_first(std.select(F.col(right_on).alias("_std_key"),
+                                   *[F.col(src).alias(dst) for src, dst in columns.items()],
+                                   F.lit(True).alias("_std_hit")), ["_std_key"])
     out = df.join(picked, df[left_on] == picked["_std_key"], "left")
     return out.withColumn(matched_col, F.coalesce(F.col("_std_hit"), F.lit(False))).drop("_std_key", "_std_hit")
 
@@ -35,20 +38,3 @@ def standardize_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
         for pdf in batches:
             yield fn(pdf)
     return df.mapInPandas(run, schema=schema)
-
-
-def stitch(feed: DataFrame, std: DataFrame, on: str | Sequence[str] | None = None,
-           left_on: str | None = None, right_on: str | None = None,
-           std_columns: Sequence[str] | None = None) -> DataFrame:
-    """Inner join of the feed and its standardised rows (feed rows without one drop out).
-
-    Keeps every feed column and adds ``std_columns`` (default: all std
-    columns not already in the feed).
-    """
-    if on is not None:
-        keys = [on] if isinstance(on, str) else list(on)
-        cols = [c for c in (std_columns or std.columns) if c not in keys and c not in feed.columns]
-        return feed.join(std.select(*keys, *cols), keys, "inner")
-    cols = [c for c in (std_columns or std.columns) if c != right_on and c not in feed.columns]
-    s = std.select(F.col(right_on).alias("_std_key"), *cols)
-    return feed.join(s, feed[left_on] == s["_std_key"], "inner").drop("_std_key")

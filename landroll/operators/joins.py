@@ -4,14 +4,16 @@ Feeds have structurally hot keys: every unstandardised row carries the blank
 address ('', '', ''), every row without co-owners carries blank names.  A
 plain shuffle join sends all rows of such a key to one task.
 
-``salted_join`` spreads each hot key over several tasks: rows of the big side
-get a salt from a hash of their own content (deterministic, so a retried
-task routes every row the same way), and only the dimension rows of hot
-keys are replicated once per salt.  The hot-key table is bounded
-(``max_keys`` keys x ``max_salts`` salts), so what is fetched and broadcast
-does not grow with the data; without hot keys the join is a plain join.
-The result equals the plain join.  AQE's skew-join split stays enabled as a
-second line for keys below the threshold.
+``salted_join`` spreads each heavy key over ceil(rows / ROWS_PER_SALT) tasks:
+rows of the big side get a salt from a hash of their own content
+(deterministic, so a retried task routes every row the same way), and the
+dimension row of such a key is replicated once per salt.  The number of salts
+is a column of both sides, 1 for every other key: there is one plan for all
+sizes, no limit on heavy keys or salts, nothing is collected and nothing is
+marked for broadcast.  The table of heavy keys has at most one row per
+ROWS_PER_SALT rows of the big side; Spark joins it like any other table.  The
+result equals the plain join.  AQE's skew-join split stays enabled as a second
+line.
 """
 
 from __future__ import annotations
@@ -21,40 +23,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it has at least HOT_ROWS rows on the big side; at most
-# MAX_HOT keys are salted, each into ceil(rows / ROWS_PER_SALT) salts, capped
-# at MAX_SALTS.  Keys past the caps are still joined exactly (salt 0), just
-# without the spread.
-HOT_ROWS = 250_000
-MAX_HOT = 1_000
+# Rows of one key that a task of the big side should get.
 ROWS_PER_SALT = 100_000
-MAX_SALTS = 512
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], count_col: str | None = None,
-             min_rows: int | None = None, max_keys: int | None = None) -> DataFrame:
-    """The heaviest keys (at most ``max_keys``) with ``min_rows`` rows or more.
+             rows_per_salt: int | None = None) -> DataFrame:
+    """``keys`` + ``_n`` of every key with more than ``rows_per_salt`` rows.
 
     With ``count_col`` the rows of ``df`` are already per-key counts (for
     example from :func:`landroll.operators.dedup.keep_first`); otherwise the
     keys of ``df`` are counted with a map-side-combined aggregate.
-    Returns ``keys`` + ``_n``.
     """
     keys = list(keys)
-    min_rows = HOT_ROWS if min_rows is None else min_rows
-    max_keys = MAX_HOT if max_keys is None else max_keys
+    rows_per_salt = ROWS_PER_SALT if rows_per_salt is None else rows_per_salt
     if count_col:
         counts = df.select(*keys, F.col(count_col).cast("long").alias("_n"))
     else:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = counts.where(F.col("_n") >= min_rows)
-    return heavy.orderBy(F.col("_n").desc(), *keys).limit(max_keys)
+    return counts.where(F.col("_n") > rows_per_salt)
 
 
 def salted_join(big: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
                 hot: DataFrame | None = None, salt_cols: Sequence[str] | None = None,
-                rows_per_salt: int | None = None, max_salts: int | None = None) -> DataFrame:
-    """``big.join(dim, on, how)`` for ``how`` in inner/left, hot keys spread by salt.
+                rows_per_salt: int | None = None) -> DataFrame:
+    """``big.join(dim, on, how)`` for ``how`` in inner/left, heavy keys spread by salt.
 
     ``hot`` holds ``on`` + ``_n`` (see :func:`hot_keys`); when omitted it is
     computed from ``big``.  ``salt_cols`` are hashed to salt a big-side row
@@ -64,31 +57,26 @@ def salted_join(big: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "l
         raise ValueError("salted_join supports inner and left joins")
     on = list(on)
     rows_per_salt = ROWS_PER_SALT if rows_per_salt is None else rows_per_salt
-    max_salts = MAX_SALTS if max_salts is None else max_salts
     if hot is None:
-        hot = hot_keys(big, on)
-    # The hot set is small by construction (at most MAX_HOT keys), so it is
-    # fetched once: with no hot key the join stays a plain join.
-    hot = hot.select(*on, "_n")
-    found = hot.collect()
-    if not found:
-        return big.join(dim, on, how)
-    hot = big.sparkSession.createDataFrame(found, hot.schema)
-    salts = F.least(F.lit(max_salts), F.greatest(F.lit(1), F.ceil(F.col("_n") / rows_per_salt)))
-    hot = F.broadcast(hot.select(*on, salts.cast("int").alias("_salts")))
+        hot = hot_keys(big, on, rows_per_salt=rows_per_salt)
+    salts = hot.select(*on, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts"))
     row_hash = F.xxhash64(*[F.col(c) for c in (salt_cols or big.columns)])
-    big_s = (big.join(hot, on, "left")
-             .withColumn("_salt", F.coalesce(F.pmod(row_hash, F.col("_salts")), F.lit(0)).cast("int"))
-             .drop("_salts"))
-    dim_s = (dim.join(hot, on, "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-             .drop("_salts"))
+    one = F.coalesce(F.col("_salts"), F.lit(1))
+    big_s = big.join(salts, on, "left").withColumn("_salt", F.pmod(row_hash, one).cast("int")).drop("_salts")
+    dim_s = (dim.join(salts, on, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("_salts"))
     return big_s.join(dim_s, on + ["_salt"], how).drop("_salt")
 
 
-def first_match(dim: DataFrame, keys: Sequence[str], id_col: str = "id") -> DataFrame:
-    """Reduce ``dim`` to its lowest ``id_col`` per key (first match wins)."""
-    return dim.groupBy(*keys).agg(F.min(id_col).alias(id_col))
+def first_match(dim: DataFrame, keys: Sequence[str], id_col: str = "id", count_col: str | None = None) -> DataFrame:
+    """Reduce ``dim`` to its lowest ``id_col`` per key (first match wins).
+
+    ``count_col`` also keeps how many rows of ``dim`` have the key.
+    """
+    aggs = [F.min(id_col).alias(id_col)]
+    if count_col:
+        aggs.append(F.count(F.lit(1)).alias(count_col))
+    return dim.groupBy(*keys).agg(*aggs)
 
 
 def lookup_first(big: DataFrame, dim: DataFrame, keys: Sequence[str], id_col: str = "id",

@@ -10,11 +10,11 @@ moving all rows into one task:
 2. that ranked copy is materialised once (a staged table), so the counting
    and the numbering read the very same partition assignment (two
    separately planned range exchanges may sample different bounds);
-3. the rows per range partition are counted and the counts (one number per
-   partition, as ``RDD.zipWithIndex`` does) come back to the driver, whose
-   running sum gives each partition's offset; the offsets go into the
-   numbering projection as a literal array.  Their size is bounded by the
-   partition count, not by the data, and no window or join is needed.
+3. the rows per range partition are counted, and each partition's offset is
+   the running sum of the counts before it: within groups of ``_GROUP``
+   partitions, plus the running sum of the groups' totals.  The offsets are a
+   small frame joined to the rows by partition number; neither the driver nor
+   the plan holds anything that grows with the number of partitions.
 
 Because an id equals the row's global rank in the given total order, the ids
 do not depend on partitioning, and a rerun over the same rows gives the same
@@ -25,9 +25,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_GROUP = 4096  # partitions whose counts are summed up in one window
+
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition index << 33 | row index
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
@@ -61,13 +63,20 @@ def assign_ids(df: DataFrame, order_by: Sequence[str | Column], base: int | Colu
     ranked = materialize(parted.sortWithinPartitions(*order_cols)
                          .withColumn("_mid", F.monotonically_increasing_id()), "ranked")
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    counts = dict(ranked.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1))).collect())
-    offsets, running = [], 0
-    for p in range(max(counts) + 1 if counts else 0):
-        offsets.append(running)
-        running += counts.get(p, 0)
-    offset = (F.expr("array(" + ", ".join(f"{o}L" for o in offsets) + ")")[pid.cast("int")]
-              if offsets else F.lit(0).cast("long"))
     base_col = base if isinstance(base, Column) else F.lit(base)
-    new_id = base_col.cast("long") + offset + F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)) + 1
-    return ranked.withColumn(id_col, new_id.cast("long")).drop("_mid")
+    new_id = (base_col.cast("long") + F.col("_offset") + F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)) + 1)
+    return (ranked.withColumn("_pid", pid).join(_offsets(ranked.select(pid.alias("_pid"))), "_pid")
+            .withColumn(id_col, new_id.cast("long")).drop("_mid", "_pid", "_offset")
+            .select(*df.columns, id_col))
+
+
+def _offsets(pids: DataFrame) -> DataFrame:
+    """(_pid, _offset): rows in all partitions of a smaller number."""
+    counts = (pids.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_group", F.floor(F.col("_pid") / _GROUP)))
+    totals = counts.groupBy("_group").agg(F.sum("_n").alias("_total"))
+    groups = totals.select("_group", F.coalesce(F.sum("_total").over(
+        Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_group").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return (counts.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+            .join(groups, "_group").select("_pid", (F.col("_start") + F.col("_inside")).alias("_offset")))

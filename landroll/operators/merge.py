@@ -4,12 +4,11 @@ Row-at-a-time "select, then insert or update" becomes joins:
 
 * get-or-insert: delta keys not present in the state get new ids after the
   state's largest id; existing rows keep every attribute.
-* reactivation: a matched row flagged inactive gets the flag set to NULL.
-* upsert: state rows are left-joined to the delta on the business key
-  (labelled update or keep, ids kept); delta rows whose key is not in the
-  state are numbered after the state's largest id (labelled insert).
-  Neither input is planned twice, so plans stay small however many phases
-  are chained.
+* reactivation: the first match of a key, if flagged inactive, gets the flag
+  set to NULL; other rows of the same key stay as they are.
+* upsert: one full outer join on the business key labels every row update,
+  keep or insert.  Only the keys that are to be inserted are numbered, in a
+  narrow table of their own, so the state's rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -18,19 +17,17 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from landroll.operators.keys import assign_ids, max_id
 
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
 
-def _conform(df: DataFrame, schema_df: DataFrame) -> DataFrame:
-    """Select ``schema_df``'s columns from ``df`` (cast), NULL where missing."""
-    cols = []
-    for f in schema_df.schema.fields:
-        cols.append(F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
-                    else F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """Select the columns of ``schema`` from ``df`` (cast), NULL where missing."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
 
 
 def get_or_insert(state: DataFrame, candidates: DataFrame, keys: Sequence[str],
@@ -53,30 +50,44 @@ def get_or_insert(state: DataFrame, candidates: DataFrame, keys: Sequence[str],
     new = candidates.join(known, keys, "left_anti")
     for name, value in (defaults or {}).items():
         new = new.withColumn(name, value)
-    inserted = _conform(assign_ids(new, order_by or keys, base=max_id(state, id_col), id_col=id_col), state)
+    inserted = conform(assign_ids(new, order_by or keys, base=max_id(state, id_col), id_col=id_col), state.schema)
     return state.unionByName(inserted), inserted
 
 
-def reactivate(state: DataFrame, delta_keys: DataFrame, keys: Sequence[str],
-               flag_col: str = "inactive") -> DataFrame:
-    """Rows of ``state`` matched by ``delta_keys`` and flagged inactive get NULL.
+def reactivate(state: DataFrame, matched: DataFrame, id_col: str = "id", flag_col: str = "inactive") -> DataFrame:
+    """Rows of ``state`` whose id is in ``matched`` and that are flagged inactive get NULL.
 
     NULL and false both mean active; an inactive row is set to NULL, not
-    false.  ``delta_keys`` is reduced to distinct keys (map-side) first so
-    the join cannot multiply state rows.
+    false.  ``matched`` holds the ids of first matches (see
+    :func:`landroll.operators.joins.first_match`), so of several rows with
+    one key only the first is reactivated.
     """
-    keys = list(keys)
-    touched = delta_keys.select(*keys).distinct().withColumn("_touched", F.lit(True))
-    joined = state.join(touched, keys, "left")
+    touched = matched.select(id_col).distinct().withColumn("_touched", F.lit(True))
+    joined = state.join(touched, id_col, "left")
     hit = F.col("_touched").isNotNull() & F.coalesce(F.col(flag_col), F.lit(False))
     flag_type = state.schema[flag_col].dataType
     return (joined.withColumn(flag_col, F.when(hit, F.lit(None).cast(flag_type)).otherwise(F.col(flag_col)))
             .select(*state.columns))
 
 
+def existing_keys(state: DataFrame, delta: DataFrame, key: str) -> DataFrame:
+    """Keys of ``delta`` that ``state`` has: the update set."""
+    return delta.select(key).join(state.select(key), key, "left_semi")
+
+
+def missing_keys(state: DataFrame, delta: DataFrame, key: str) -> DataFrame:
+    """Keys of ``delta`` that ``state`` lacks: the insert set."""
+    return delta.select(key).join(state.select(key), key, "left_anti")
+
+
+def count_ops(merged: DataFrame, op_col: str = "op") -> DataFrame:
+    """Rows per label of an upserted table."""
+    return merged.groupBy(op_col).agg(F.count(F.lit(1)).alias("n"))
+
+
 def upsert(state: DataFrame, delta: DataFrame, key: str, columns: Sequence[str] | None = None,
            id_col: str | None = "id", op_col: str = "op", overwrite_nulls: bool = True,
-           keep_state_cols: Sequence[str] = ()) -> DataFrame:
+           keep_state_cols: Sequence[str] = (), delta_keys: DataFrame | None = None) -> DataFrame:
     """Merge ``delta`` into ``state`` on the unique ``key``, labelling each row.
 
     ``update`` (key in both): ``columns`` (default: delta columns besides the
@@ -84,14 +95,23 @@ def upsert(state: DataFrame, delta: DataFrame, key: str, columns: Sequence[str]
     ``overwrite_nulls=False`` (or for ``keep_state_cols``) a NULL delta value
     keeps the state value.  ``keep`` (only in state): unchanged.  ``insert``
     (only in delta): delta values, other state columns NULL, ``id_col``
-    numbered after the state's largest id in ``key`` order.
+    numbered after the state's largest id in ``key`` order.  A NULL key
+    matches nothing: such delta rows are inserts, such state rows are kept.
+    ``delta_keys`` may pass the delta's keys by a plan that is cheaper than
+    ``delta``'s.
     """
     columns = [c for c in (columns or delta.columns) if c != key and c != id_col]
     state_types = {f.name: f.dataType for f in state.schema.fields}
-    d = delta.select(key, *[F.col(c).alias(f"_d_{c}") for c in columns]).withColumn("_in_delta", F.lit(True))
-    joined = state.join(d, key, "left")
-    in_delta = F.col("_in_delta").isNotNull()
-    out = {}
+    fresh = delta.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_d_{c}") for c in columns]) \
+        .withColumn("_in_delta", F.lit(True))
+    numbered = bool(id_col) and id_col in state_types
+    if numbered:
+        ids = assign_ids(missing_keys(state, delta if delta_keys is None else delta_keys, key), [key], base=max_id(state, id_col), id_col="_new_id")
+        fresh = fresh.join(ids.select(F.col(key).alias("_key"), "_new_id"), "_key", "left")
+    joined = (state.withColumn("_in_state", F.lit(True))
+              .join(fresh, F.col(key) == F.col("_key"), "full_outer"))
+    in_delta, in_state = F.col("_in_delta").isNotNull(), F.col("_in_state").isNotNull()
+    out = {key: F.coalesce(F.col(key), F.col("_key").cast(state_types[key]))}
     for c in columns:
         new = F.col(f"_d_{c}")
         if c in state_types:
@@ -100,13 +120,9 @@ def upsert(state: DataFrame, delta: DataFrame, key: str, columns: Sequence[str]
             out[c] = F.when(in_delta, new.cast(state_types[c])).otherwise(F.col(c))
         else:
             out[c] = new
-    out[op_col] = F.when(in_delta, F.lit(UPDATE)).otherwise(F.lit(KEEP))
-    kept = joined.withColumns(out).drop("_in_delta", *[f"_d_{c}" for c in columns])
-
-    fresh = delta.select(key, *columns).join(state.select(key), key, "left_anti")
-    if id_col and id_col in state_types:
-        fresh = assign_ids(fresh, [key], base=max_id(state, id_col), id_col=id_col)
-    fresh = fresh.withColumn(op_col, F.lit(INSERT))
-    return kept.unionByName(fresh.select(*[F.col(c) if c in fresh.columns else
-                                           F.lit(None).cast(kept.schema[c].dataType).alias(c)
-                                           for c in kept.columns]))
+    if numbered:
+        out[id_col] = F.when(in_state, F.col(id_col)).otherwise(F.col("_new_id").cast(state_types[id_col]))
+    out[op_col] = (F.when(in_delta & in_state, F.lit(UPDATE)).when(in_delta, F.lit(INSERT))
+                   .otherwise(F.lit(KEEP)))
+    names = list(dict.fromkeys([*state.columns, *columns, op_col]))
+    return joined.select(*[out.get(c, F.col(c)).alias(c) for c in names])

@@ -9,20 +9,33 @@ the offending rows; :func:`violations` stacks any number of them into one
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landroll.session import checkpoint_dir
+
+
+_REST = 1 << 30  # more characters than a string has
+
 
 class ConstraintViolation(Exception):
-    pass
+    """A strict check failed; ``path`` is the Parquet table of every reject."""
 
+    def __init__(self, message: str, path: str | None = None):
+        super().__init__(message)
+        self.path = path
 
-def check_unique(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:
-    """Keys that occur more than once (``keys`` + ``count_col``)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-            .where(F.col(count_col) > 1))
+
+def check_unique(df: DataFrame, keys: Sequence[str], count_col: str = "n", null_keys: bool = True) -> DataFrame:
+    """Keys that occur more than once or, for a primary key, hold NULL (``keys`` + ``count_col``)."""
+    bad = F.col(count_col) > 1
+    if null_keys:
+        for k in keys:
+            bad = bad | F.col(k).isNull()
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).where(bad)
 
 
 def check_not_null(df: DataFrame, cols: Sequence[str], key: str | Sequence[str],
@@ -43,9 +56,9 @@ def check_fk(child: DataFrame, parent: DataFrame, fk: str, parent_key: str = "id
 
 def check_lengths(df: DataFrame, limits: Mapping[str, int], key: str | Sequence[str],
                   col_name: str = "col", len_name: str = "len") -> DataFrame:
-    """One row per (row, column) whose string is longer than its limit."""
+    """One row per (row, column) whose string is longer than its limit; blanks over the limit do not count."""
     keys = [key] if isinstance(key, str) else list(key)
-    items = [F.when(F.length(F.col(c)) > n, F.struct(F.lit(c).alias("c"), F.length(F.col(c)).cast("long").alias("l")))
+    items = [F.when(F.rtrim(F.substring(c, n + 1, _REST)) != "", F.struct(F.lit(c).alias("c"), F.length(F.col(c)).cast("long").alias("l")))
              for c, n in limits.items()]
     return (df.select(*keys, F.filter(F.array(*items), lambda x: x.isNotNull()).alias("_long"))
             .where(F.size("_long") > 0)
@@ -53,6 +66,12 @@ def check_lengths(df: DataFrame, limits: Mapping[str, int], key: str | Sequence[
             .select(*keys, F.col("_v.c").alias(col_name), F.col("_v.l").alias(len_name)))
 
 
+def fit_lengths(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
+    """Strings that exceed their limit by blanks alone lose these blanks."""
+    return df.withColumns({c: F.when((F.length(c) > n) & (F.rtrim(F.substring(c, n + 1, _REST)) == ""),
+                                     F.substring(c, 1, n)).otherwise(F.col(c)) for c, n in limits.items()})
+
+
 def cascade_delete(child: DataFrame, removed_parents: DataFrame, fk: str, parent_key: str = "id") -> DataFrame:
     """Children left after their parents in ``removed_parents`` are deleted with cascade."""
     gone = removed_parents.select(F.col(parent_key).alias("_gone")).distinct()
@@ -71,14 +90,25 @@ def violations(table: str, rule: str, df: DataFrame, key: Sequence[str],
                      _as_key(key).alias("key"), det.alias("detail"))
 
 
-def enforce(found: DataFrame, mode: str = "strict") -> DataFrame:
-    """Strict: raise when ``found`` has any row (one short job). Quarantine: return it."""
-    if mode == "strict":
-        first = found.limit(5).collect()
-        if first:
-            raise ConstraintViolation("; ".join(f"{r['table']}.{r['rule']} key={r['key']} {r['detail'] or ''}"
-                                                for r in first))
-        return found
-    if mode != "quarantine":
+def enforce(found: DataFrame, mode: str = "strict", name: str = "constraints") -> DataFrame:
+    """The violations, written once.  Strict: raise if there is any. Quarantine: return them."""
+    if mode not in ("strict", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
+    path = reject_path(found.sparkSession, name)
+    found.write.mode("error").parquet(path)
+    found = found.sparkSession.read.schema(found.schema).parquet(path)
+    if mode == "strict":
+        raise_if_any(found, name, path)
     return found
+
+
+def reject_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for rejects in the shared checkpoint folder; it outlives the run's staging folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/rejects/{name}-{uuid.uuid4().hex}"
+
+
+def raise_if_any(rejects: DataFrame, name: str, path: str) -> None:
+    """Raise with an example if the table of rejects at ``path`` has rows."""
+    example = rejects.first()
+    if example is not None:
+        raise ConstraintViolation(f"{name}: rejected rows, e.g. {tuple(example)}; all are in {path}", path)

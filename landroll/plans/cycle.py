@@ -2,9 +2,9 @@
 
 Phase order keeps referential integrity, as in the original:
 
-1. load    read feed and standardised file (strict or quarantine), stitch
-           them on admid, build the delta identity/entity/parcel trio,
-           check its constraints, flatten it to one row per parcel;
+1. load    read feed and standardised file (strict or quarantine; or run the
+           standardiser's callable on the feed), stitch them on admid to one
+           delta row per parcel, check the rules of the three tables;
 2. merge   pass 1: identity get-or-insert (first match = lowest id) with
            reactivation of matched inactive identities, then entity
            get-or-insert under the resolved identity;
@@ -17,10 +17,16 @@ Phase order keeps referential integrity, as in the original:
            parcels are removed;
 5. publish all four tables as one new version (see ``sources.state``).
 
-Every step is a join or an aggregate over whole tables; nothing is
-collected to the driver except the counts of ``Observation`` and the first
-few rejects of a strict check.  Phase outputs are staged tables in the
-shared checkpoint folder, so a lost executor recomputes at most one phase.
+The delta resolves both keys against the state directly: its mailing keys are
+grouped once for their survivors, and only keys and names that the state
+lacks are numbered.  The delta is written in full width four times: feed and
+standardised load, the stitched delta and, inside the merged parcels, its
+result; everything else that is staged is narrow (keys, ids and counts).
+
+Every step is a join or an aggregate over whole tables; nothing is collected
+to the driver except the counts of ``Observation`` and one example reject of
+a failed strict check.  Phase outputs are staged tables in the shared
+checkpoint folder, so a lost executor recomputes at most one phase.
 """
 
 from __future__ import annotations
@@ -30,32 +36,30 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from landroll.functions.address import match_address_raw, normalize_address
+from landroll.functions.address import make_point, match_address_raw, normalize_address
+from landroll.functions.cast import coalesce_defaults, typed_cast
 from landroll.operators.dedup import keep_first
-from landroll.operators.joins import first_match, hot_keys, multi_match_report, salted_join
-from landroll.operators.merge import get_or_insert, reactivate, upsert
+from landroll.operators.enrich import standardize_batches
+from landroll.operators.joins import first_match, hot_keys, salted_join
+from landroll.operators.merge import conform, get_or_insert, reactivate, upsert
 from landroll.operators.prune import deleted_rows, delete_by_keys, drop_orphans, flag_orphans, null_references
-from landroll.operators.quality import enforce
-from landroll.plans.relate import (ENTITY_SOURCE, IDENTITY_KEY, IDENTITY_SOURCE, TRIO_INPUT_COLUMNS, Trio,
-                                   build_trio, check_trio, flatten, stitch_feed)
+from landroll.operators.quality import enforce, raise_if_any, reject_path
+from landroll.plans.relate import (ENTITY_SOURCE, FLAT_TEXT_DEFAULTS, IDENTITY_KEY, IDENTITY_SOURCE,
+                                   MAIL_RENAMES, MAIL_STREET_PARTS, TRIO_INPUT_COLUMNS, address_extract, check_delta,
+                                   delta_rows, identity_survivors, stitch_feed)
 from landroll.session import drop_path, phase, stage, staging_area
-from landroll.sources.delimited import read_delete_list, read_feed, read_standardized
-from landroll.sources.schemas import STATE_DDL, STD_COLUMNS
+from landroll.sources.delimited import (read_delete_list, read_feed, read_standardized,
+                                        write_address_extract)
+from landroll.sources.schemas import EXTRACT_COLUMNS, STATE_DDL, STD_COLUMNS, STD_FORCED, STD_REQUIRED, STD_SPECS, state_columns
 from landroll.sources.state import StateStore
 
 ENTITY_NAMES = list(ENTITY_SOURCE)
 ENTITY_KEY = ENTITY_NAMES + ["identity_id"]
 PHASES = ("load", "merge", "delete", "sweep")
 # Parcel columns the delta carries into the state on insert/update.
-PARCEL_UPDATE_COLUMNS = [
-    "parcel_number", "parcel_county", "parcel_fips", "parcel_address1", "parcel_address2", "parcel_city",
-    "parcel_state", "parcel_zipcode", "parcel_privacy", "parcel_longitude", "parcel_latitude",
-    "parcel_geoquality", "parcel_location", "owner_occupied", "record_type", "land_use", "acres", "sqft_total",
-    "unit_count", "building_count", "bedroom_count", "bathroom_count", "pool", "guesthouse", "year_built",
-    "last_sale", "last_price", "year_assessed", "total_value", "rental_flag", "parcel_match_address",
-    "entity_id", "identity_id",
-]
+PARCEL_UPDATE_COLUMNS = [c for c in state_columns("parcel") if c not in ("id", "admid")]
 # Never filled by the feed: with overwrite_nulls=True an update writes NULL
 # over the stored value (the original's behaviour), otherwise it is kept.
 NEVER_IN_FEED = ["parcel_privacy", "rental_flag"]
@@ -71,92 +75,117 @@ class CycleResult:
     staging: str | None = None   # staging folder, when kept
 
 
-def _conform(df: DataFrame, table: str) -> DataFrame:
-    from pyspark.sql.types import StructType
-    schema = StructType.fromDDL(STATE_DDL[table])
-    return df.select(*[(F.col(f.name).cast(f.dataType) if f.name in df.columns
-                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+@dataclass
+class Delta:
+    rows: DataFrame         # one per parcel: identity, entity and parcel columns
+    identities: DataFrame   # survivor per mailing key, with the rows of the key as _rows
+
 
+def standardize(feed: DataFrame, standardizer: Callable, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
+    """(standardised rows, rejects) of a per-batch callable run on the feed's address extract.
 
-def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict") -> tuple[Trio, DataFrame, dict]:
-    """Read, stitch, build and check the delta; returns (trio, flattened delta, rejects)."""
+    The callable maps a pandas frame of the extract's columns to one of
+    ``STD_COLUMNS`` as text; its output passes the same checks as a file.
+    """
+    schema = ", ".join(f"`{c}` string" for c in STD_COLUMNS)
+    extract = address_extract(feed).select(*[F.col(c).cast("string").alias(c) for c in EXTRACT_COLUMNS])
+    typed, _ = typed_cast(standardize_batches(extract, standardizer, schema), STD_SPECS, forced=STD_FORCED,
+                          required=STD_REQUIRED)
+    out = stage(typed, "standardized")
+    rejects = out.where(F.size("_problems") > 0).select(
+        "admid", F.lit(None).cast("string").alias("raw_line"), F.col("_problems").alias("problems"))
+    if mode == "strict" and rejects.first() is not None:
+        path = reject_path(feed.sparkSession, "standardized")
+        rejects.write.mode("error").parquet(path)
+        raise_if_any(rejects, "standardized", path)
+    return out.where(F.size("_problems") == 0).drop("_problems"), rejects
+
+
+def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict",
+               standardizer: Callable | None = None) -> tuple[Delta, dict[str, DataFrame]]:
+    """Read, standardise, stitch and check the month; returns (delta, rejects)."""
     # Every column is validated, but only the ones the trio reads are staged.
     std_needed = [c for c in TRIO_INPUT_COLUMNS if c in STD_COLUMNS]
+    feed_needed = [c for c in TRIO_INPUT_COLUMNS if c not in std_needed]
+    if standardizer is not None:
+        feed_needed += [*MAIL_STREET_PARTS, *MAIL_RENAMES]
     with phase(spark, "read feed"):
-        feed = read_feed(spark, feed_path, mode, columns=[c for c in TRIO_INPUT_COLUMNS if c not in std_needed])
+        feed = read_feed(spark, feed_path, mode, columns=list(dict.fromkeys(feed_needed)))
+    rejects = {"feed": feed.rejects}
     with phase(spark, "read standardized"):
-        std = read_standardized(spark, std_path, mode, columns=std_needed)
-    # Stitched once, narrowed to the columns the trio reads: the three id
-    # assignments below would otherwise each redo the feed x standardised join.
+        if standardizer is None:
+            std = read_standardized(spark, std_path, mode, columns=std_needed)
+            std_rows, rejects["standardized"] = std.rows, std.rejects
+        else:
+            std_rows, rejects["standardized"] = standardize(feed.rows, standardizer, mode)
     with phase(spark, "stitch"):
-        stitched = stage(stitch_feed(feed.rows, std.rows).select(*TRIO_INPUT_COLUMNS), "stitched")
-    # Each trio table is backed by the staged ranked rows of its id
-    # assignment, so re-reading it does not recompute the stitch.
-    with phase(spark, "build trio"):
-        trio = build_trio(stitched)
-    with phase(spark, "check trio"):
-        bad = enforce(check_trio(trio), mode)
-    rejects = {"feed": feed.rejects, "standardized": std.rejects, "constraints": bad}
-    if mode == "quarantine":
-        # Hold back every parcel that breaks a rule or points at an entity or
-        # identity that does; the rest of the month is applied.
-        def bad_keys(table: str, as_col: str) -> DataFrame:
-            return bad.where(F.col("table") == table).select(F.col("key").cast("long").alias(as_col))
-        parcel = delete_by_keys(trio.parcel, bad_keys("parcel", "admid"), "admid")
-        parcel = delete_by_keys(parcel, bad_keys("entity", "entity_id"), "entity_id")
-        parcel = delete_by_keys(parcel, bad_keys("identity", "identity_id"), "identity_id")
-        trio = Trio(trio.identity, trio.entity, parcel)
-    with phase(spark, "flatten"):
-        flat = stage(flatten(trio), "delta_flat")
-    return trio, flat, rejects
-
-
-def merge_delta(state: dict[str, DataFrame], delta: DataFrame, overwrite_nulls: bool = True,
+        rows = stage(delta_rows(stitch_feed(feed.rows, std_rows.select("admid", *[c for c in std_needed
+                                                                                 if c != "admid"]))), "delta")
+        identities = stage(identity_survivors(rows), "delta_identities")
+    with phase(spark, "check delta"):
+        found, bad_keys = check_delta(rows, identities)
+        # The stitch multiplies a parcel whose admid the standardiser repeats: that shows as a repeated admid.
+        rejects["constraints"] = enforce(found, mode)
+        if mode == "quarantine":
+            # Hold back every parcel that breaks a rule or whose identity does.
+            bad = rejects["constraints"].where(F.col("table") != "identity")
+            rows = delete_by_keys(rows, bad.select(F.col("key").cast("long").alias("admid")), "admid")
+            same = [F.col(k).eqNullSafe(F.col(f"_bad_{k}")) for k in IDENTITY_KEY]
+            keys = bad_keys.select(*[F.col(k).alias(f"_bad_{k}") for k in IDENTITY_KEY])
+            rows = stage(rows.where("admid is not null").join(keys, same, "left_anti"), "delta_kept")
+            identities = stage(identity_survivors(rows), "delta_identities")
+    return Delta(rows, identities), rejects
+
+
+def _defaults(df: DataFrame) -> DataFrame:
+    return coalesce_defaults(df, [c for c in FLAT_TEXT_DEFAULTS if c in df.columns])
+
+
+def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool = True,
                 normalizer: Callable[[Column], Column] = normalize_address) -> tuple[dict[str, DataFrame], dict]:
     """Pass 1 (identity, entity) and pass 2 (parcel) of the merge; returns new tables and reports.
 
     The returned parcel table carries an ``op`` column (insert/update/keep).
     """
     identity, entity, parcel = state["identity"], state["entity"], state["parcel"]
-    ident_cols = list(IDENTITY_SOURCE) + ["mail_location"]
+    rows = _defaults(delta.rows)
 
-    # Pass 1a: identities.  Delta rows of one key carry the same survivor
-    # attributes, so keep_first only picks one row per key (map-side).  The
-    # state is reduced once to its lowest id per key; that table serves both
-    # the "already known" test and the lookup.
-    cands = keep_first(delta.select(*ident_cols), IDENTITY_KEY, count_col="_rows")
+    # Pass 1a: identities.  One pass over the state's identities gives the
+    # first match of each key and the multi-match report.
+    cands = _defaults(delta.identities)
     hot_ident = hot_keys(cands, IDENTITY_KEY, count_col="_rows")
-    ident_first = first_match(identity, IDENTITY_KEY)
-    _, new_ident = get_or_insert(identity, cands.drop("_rows"), IDENTITY_KEY, existing_keys=ident_first,
+    ident_first = stage(first_match(identity, IDENTITY_KEY, count_col="n"), "state_identity_keys")
+    new = cands.drop("_rows").withColumn("mail_location", make_point("mail_longitude", "mail_latitude"))
+    _, new_ident = get_or_insert(identity, new, IDENTITY_KEY, existing_keys=ident_first,
                                  defaults={"primary_name": F.lit(""), "rental_count": F.lit(0)})
-    # Reactivation changes no id or key; inserted keys are new, so the
-    # union stays one row per key.
-    lookup_ident = ident_first.unionByName(new_ident.select("id", *IDENTITY_KEY))
-    identity = reactivate(identity, cands, IDENTITY_KEY).unionByName(new_ident)
-    # Read twice below (entity candidates, entity lookup): staged so the
-    # first-match aggregation over the state identities and the join run once.
-    with_ident = stage(salted_join(delta.drop("identity_id"),
-                                   lookup_ident.withColumnRenamed("id", "identity_id"), IDENTITY_KEY, "left",
-                                   hot=hot_ident, salt_cols=["admid"]), "with_identity")
-
-    # Pass 1b: entities under the resolved (state) identity.
-    ent_cands = keep_first(with_ident.select(*ENTITY_KEY), ENTITY_KEY, count_col="_rows")
+    touched = ident_first.join(cands.select(*IDENTITY_KEY), IDENTITY_KEY, "left_semi").select("id")
+    identity = reactivate(identity, touched).unionByName(new_ident)
+    lookup_ident = (ident_first.select("id", *IDENTITY_KEY).unionByName(new_ident.select("id", *IDENTITY_KEY))
+                    .withColumnRenamed("id", "identity_id"))
+
+    # Pass 1b: entities under the resolved (state) identity, from names and keys alone.
+    named = salted_join(rows.select("admid", *IDENTITY_KEY, *ENTITY_NAMES), lookup_ident, IDENTITY_KEY, "left",
+                        hot=hot_ident, salt_cols=["admid"])
+    ent_cands = stage(keep_first(named.select(*ENTITY_KEY), ENTITY_KEY, count_col="_rows"), "delta_entities")
     hot_ent = hot_keys(ent_cands, ENTITY_KEY, count_col="_rows")
-    ent_first = first_match(entity, ENTITY_KEY)
+    ent_first = stage(first_match(entity, ENTITY_KEY, count_col="n"), "state_entity_keys")
     entity, new_ent = get_or_insert(entity, ent_cands.drop("_rows"), ENTITY_KEY, existing_keys=ent_first)
-    lookup_ent = ent_first.unionByName(new_ent.select("id", *ENTITY_KEY))
-    keyed = salted_join(with_ident.drop("entity_id"), lookup_ent.withColumnRenamed("id", "entity_id"),
-                        ENTITY_KEY, "left", hot=hot_ent, salt_cols=["admid"])
+    lookup_ent = (ent_first.select("id", *ENTITY_KEY).unionByName(new_ent.select("id", *ENTITY_KEY))
+                  .withColumnRenamed("id", "entity_id"))
 
     # Pass 2: parcels, labelled insert / update / keep.
+    keyed = salted_join(salted_join(rows, lookup_ident, IDENTITY_KEY, "left", hot=hot_ident, salt_cols=["admid"]),
+                        lookup_ent, ENTITY_KEY, "left", hot=hot_ent, salt_cols=["admid"])
     match = normalizer(match_address_raw("parcel_address1", "parcel_address2", "parcel_city", "parcel_state"))
-    parcel_delta = stage(keyed.withColumn("parcel_match_address", match)
-                         .select("admid", *PARCEL_UPDATE_COLUMNS), "parcel_delta")
+    parcel_delta = (keyed.withColumn("parcel_match_address", match)
+                    .withColumn("parcel_location", make_point("parcel_longitude", "parcel_latitude"))
+                    .withColumns({c: F.lit(None).cast("boolean") for c in NEVER_IN_FEED})
+                    .select("admid", *PARCEL_UPDATE_COLUMNS))
     parcel = upsert(parcel, parcel_delta, "admid", PARCEL_UPDATE_COLUMNS, overwrite_nulls=True,
-                    keep_state_cols=() if overwrite_nulls else NEVER_IN_FEED)
+                    keep_state_cols=() if overwrite_nulls else NEVER_IN_FEED, delta_keys=rows.select("admid"))
     reports = {
-        "identity_multi_match": multi_match_report(state["identity"], IDENTITY_KEY),
-        "entity_multi_match": multi_match_report(state["entity"], ENTITY_KEY),
+        "identity_multi_match": ident_first.where("n > 1").select(*IDENTITY_KEY, "n"),
+        "entity_multi_match": ent_first.where("n > 1").select(*ENTITY_KEY, "n"),
         "identity_inserted": new_ident,
         "entity_inserted": new_ent,
     }
@@ -185,68 +214,103 @@ def export_address_extract(spark: SparkSession, feed_path, out_path: str, mode:
     This is the export that precedes the external standardiser; its output
     file is then the ``std_path`` of :func:`run_cycle`.  Returns the rejects.
     """
-    from landroll.plans.relate import MAIL_RENAMES, MAIL_STREET_PARTS, address_extract
-    from landroll.sources.delimited import write_address_extract
     with staging_area(spark, "export") as folder, phase(spark, "export address extract"):
-        feed = read_feed(spark, feed_path, mode, columns=["admid", *MAIL_STREET_PARTS, *MAIL_RENAMES])
-        write_address_extract(address_extract(feed.rows), out_path)
-        rejects = feed.rejects
-        if mode == "quarantine":
-            rejects_path = f"{out_path.rstrip('/')}_rejects"
-            rejects.write.mode("error").parquet(rejects_path)
-    drop_path(spark, folder)
+        try:
+            feed = read_feed(spark, feed_path, mode, columns=["admid", *MAIL_STREET_PARTS, *MAIL_RENAMES])
+            write_address_extract(address_extract(feed.rows), out_path)
+            rejects = feed.rejects
+            if mode == "quarantine":
+                rejects_path = f"{out_path.rstrip('/')}_rejects"
+                rejects.write.mode("error").parquet(rejects_path)
+        finally:
+            drop_path(spark, folder)
     return spark.read.parquet(rejects_path) if mode == "quarantine" else spark.createDataFrame([], rejects.schema)
 
 
+def _check_options(phases: Sequence[str], feed_path, std_path, delete_path, standardizer,
+                   skip_standardize: bool) -> None:
+    """Refuse unknown phases, and phases without what they read."""
+    unknown = [p for p in phases if p not in PHASES]
+    if unknown or not phases:
+        raise ValueError(f"unknown phases {unknown}; choose from {PHASES}" if unknown else "no phase to run")
+    if ("load" in phases) != ("merge" in phases):
+        raise ValueError("load and merge go together: a loaded month is merged")
+    if "load" in phases:
+        if feed_path is None:
+            raise ValueError("phase load needs feed_path")
+        if skip_standardize and std_path is None:
+            raise ValueError("skip_standardize needs the std_path of an earlier standardisation")
+        if not skip_standardize and std_path is None and standardizer is None:
+            raise ValueError("phase load needs std_path or a standardizer")
+        if std_path is not None and standardizer is not None and not skip_standardize:
+            raise ValueError("give std_path or a standardizer, or skip_standardize to prefer the file")
+    if "delete" in phases and delete_path is None:
+        raise ValueError("phase delete needs delete_path")
+
+
 def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=None, std_path=None,
               delete_path=None, mode: str = "strict", overwrite_nulls: bool = True,
               phases: Sequence[str] = PHASES, publish: bool = True, keep_staging: bool = False,
-              normalizer: Callable[[Column], Column] = normalize_address) -> CycleResult:
-    """Apply one month.  ``phases`` may drop "load"+"merge" (only deletes and sweeps run).
-
-    Intermediate tables live in a staging folder of this run under the
-    shared checkpoint folder.  After a successful publish the reports are
-    stored with the version (``store.read_report``) and the staging folder is
-    deleted, unless ``keep_staging``; without ``publish`` the result frames
-    still read the staged tables, so the folder is kept.
+              normalizer: Callable[[Column], Column] = normalize_address,
+              standardizer: Callable | None = None, skip_standardize: bool = False) -> CycleResult:
+    """Apply one month.  ``phases`` may drop "load" and "merge" (only deletes and sweeps run).
+
+    Addresses are standardised by ``standardizer`` (see :func:`standardize`)
+    or come from ``std_path``; ``skip_standardize`` takes the file even if a
+    standardizer is given.
+
+    Intermediate tables live in a staging folder of this run under the shared
+    checkpoint folder.  It is deleted at the end, also of a failed run, unless
+    ``keep_staging``; without ``publish`` the result frames still read the
+    staged tables, so the folder is kept (``result.staging``).  The reports
+    are stored with the version (``store.read_report``).
     """
+    _check_options(phases, feed_path, std_path, delete_path, standardizer, skip_standardize)
+    if publish and store.has(version):
+        raise ValueError(f"version {version!r} is committed already")
+    keep = keep_staging
     with staging_area(spark, f"run-{version}") as folder:
-        result = _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls,
-                      phases, normalizer)
-        if not publish:
-            result.staging = folder
-            return result
-        final = Observation("final")
-        tables = dict(result.tables)
-        tables["parcel"] = tables["parcel"].observe(final, F.count(F.lit(1)).alias("parcels"))
-        reports = {name: df for name, df in result.reports.items()}
-        # In strict mode any reject has already aborted the run: nothing to keep.
-        rejects = {} if mode == "strict" else {f"rejects_{n}": df for n, df in result.rejects.items()}
-        with phase(spark, "publish"):
-            paths = store.publish(tables, version, reports={**reports, **rejects})
-        result.counts.update(final.get)
-        if "insert" in result.counts:
-            before = result.counts["insert"] + result.counts["update"] + result.counts["keep"]
-            result.counts["deleted"] = before - result.counts["parcels"]
-        result.tables = store.snapshot(paths=paths)
-        result.reports = {name: store.read_report(name, version) for name in reports}
-        result.rejects = {name[len("rejects_"):]: store.read_report(name, version) for name in rejects}
-    if keep_staging:
-        result.staging = folder
-    else:
-        drop_path(spark, folder)
+        try:
+            result = _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls, phases,
+                          normalizer, None if skip_standardize else standardizer)
+            if publish:
+                _publish(spark, store, result, mode)
+            else:
+                keep = True
+        finally:
+            if not keep:
+                drop_path(spark, folder)
+    result.staging = folder if keep else None
     return result
 
 
-def _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls, phases,
-         normalizer) -> CycleResult:
+def _publish(spark: SparkSession, store: StateStore, result: CycleResult, mode: str) -> None:
+    final = Observation("final")
+    tables = dict(result.tables)
+    tables["parcel"] = tables["parcel"].observe(final, F.count(F.lit(1)).alias("parcels"))
+    reports = {name: df for name, df in result.reports.items()}
+    # In strict mode any reject has already aborted the run: nothing to keep.
+    rejects = {} if mode == "strict" else {f"rejects_{n}": df for n, df in result.rejects.items()}
+    before = (sum(result.counts[op] for op in ("insert", "update", "keep")) if "insert" in result.counts
+              else store.read("parcel").count())
+    with phase(spark, "publish"):
+        paths = store.publish(tables, result.version, reports={**reports, **rejects})
+    result.counts.update(final.get)
+    result.counts["deleted"] = before - result.counts["parcels"]
+    result.tables = store.snapshot(paths=paths)
+    result.reports = {name: store.read_report(name, result.version) for name in reports}
+    result.rejects = {name[len("rejects_"):]: store.read_report(name, result.version) for name in rejects}
+
+
+def _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls, phases, normalizer,
+         standardizer) -> CycleResult:
     state = store.snapshot()
     result = CycleResult(version, {})
     tables = dict(state)
-    if "load" in phases or "merge" in phases:
-        trio, delta, rejects = load_delta(spark, feed_path, std_path, mode)
+    if "load" in phases:
+        delta, rejects = load_delta(spark, feed_path, std_path, mode, standardizer)
         result.rejects.update(rejects)
-        with phase(spark, "merge pass 1 and parcel delta"):
+        with phase(spark, "merge pass 1"):
             tables, reports = merge_delta(tables, delta, overwrite_nulls, normalizer)
         result.reports.update(reports)
         ops = Observation("merge")
@@ -256,12 +320,12 @@ def _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrit
         with phase(spark, "merge pass 2"):
             tables["parcel"] = stage(counted, "parcel_merged").drop("op")
         result.counts.update(ops.get)
-    if "delete" in phases and delete_path is not None:
+    if "delete" in phases:
         with phase(spark, "read deletes"):
             deletes = read_delete_list(spark, delete_path, mode)
         result.rejects["deletes"] = deletes.rejects
         tables = apply_deletes(tables, deletes.rows)
     if "sweep" in phases:
         tables = sweep(tables)
-    result.tables = {name: _conform(df, name) for name, df in tables.items()}
+    result.tables = {name: conform(df, StructType.fromDDL(STATE_DDL[name])) for name, df in tables.items()}
     return result

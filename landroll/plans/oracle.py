@@ -7,7 +7,13 @@ same total orders the Spark side uses.
 
 from __future__ import annotations
 
-from landroll.functions.address import ABBREVIATIONS, ACCENTED, UNACCENTED
+# Words of an address and their short forms (USPS Publication 28),
+# and accented capitals with their base letters, stated here on their own so
+# that a wrong entry in the library shows.
+SHORT_FORMS = """STREET ST, AVENUE AVE, BOULEVARD BLVD, DRIVE DR, ROAD RD, LANE LN, COURT CT, PLACE PL, CIRCLE CIR,
+    HIGHWAY HWY, PARKWAY PKWY, TERRACE TER, TRAIL TRL, NORTH N, SOUTH S, EAST E, WEST W, NORTHEAST NE, NORTHWEST NW,
+    SOUTHEAST SE, SOUTHWEST SW, APARTMENT APT, SUITE STE"""
+BASE_LETTERS = """A ÀÁÂÃÄÅ, C Ç, E ÈÉÊË, I ÌÍÎÏ, N Ñ, O ÒÓÔÕÖØ, U ÙÚÛÜ, Y Ý"""
 
 VIEWS = {
     "feed": """select o_orderkey admid, c_custkey, c_name owner, c_mktsegment a, n_name ci, r_name st,
@@ -49,6 +55,28 @@ VIEWS = {
         case when p.admid is null then 'insert' when n.admid is null then 'keep' else 'update' end op
         from ppar p full join dfk n on p.admid = n.admid""",
     "par3": """select * from par2 where admid not in (select admid from del)""",
+    # The file-based month: what every feed column was filled with (fixture_files.py).
+    "month_identity": """select a, ci, st, lpad(cast(nk as varchar), 5, '0') zip, substr(stat, 1, 1) verified,
+        cast(floor(attr) / 100 as decimal(10, 6)) lon, cast(nk + 0.75 as decimal(10, 6)) lat,
+        case when attr < 0 then 'Zip5' else 'Zip9' end geo, substr(pri, 1, 1) rdi from d""",
+    "month_survivor": """select * exclude (place) from (select *, row_number() over (partition by a, ci, st
+        order by zip, verified, lon, lat, geo, rdi) place from month_identity) where place = 1""",
+    "month_parcel": """select admid, 'P-' || c_custkey parcel_number, ci || ' COUNTY' parcel_county,
+        lpad(cast(nk as varchar), 5, '0') parcel_fips,
+        concat_ws(' ', cast(c_custkey as varchar), case when nk % 2 = 0 then 'N' end, 'OLD', a, 'RD',
+                  case when nk % 3 = 0 then 'W' end) parcel_address1,
+        case when stat = 'F' then 'APT ' || nk else '' end parcel_address2,
+        ci parcel_city, substr(st, 1, 2) parcel_state, lpad(cast(nk as varchar), 5, '0') parcel_zipcode,
+        cast(case when nk <> 5 then -(nk + 0.25) end as decimal(10, 6)) parcel_longitude,
+        cast(nk + 0.5 as decimal(10, 6)) parcel_latitude, substr(pri, 3, 20) parcel_geoquality,
+        case when stat = 'F' then true when stat = 'O' then false end owner_occupied, pri record_type,
+        lpad(cast(nk as varchar), 4, '0') land_use, cast(nk * 1.125 as decimal(18, 7)) acres,
+        cast(c_custkey + 10 as integer) sqft_total, cast(nk + 1 as integer) unit_count,
+        cast(nk + 2 as integer) building_count, cast(nk % 7 as smallint) bedroom_count,
+        cast((nk % 4) * 1.5 as decimal(7, 3)) bathroom_count, cast(nk % 5 as smallint) pool,
+        case when nk % 2 = 1 then true end guesthouse, cast(year(dt) - 30 as smallint) year_built,
+        cast(dt as date) last_sale, cast(floor(price) as bigint) last_price, cast(year(dt) as smallint) year_assessed,
+        cast(floor(price * 2) as bigint) total_value from d""",
 }
 
 
@@ -62,9 +90,12 @@ def _compose_sql(*parts: str) -> str:
 
 
 def _normalize_sql(expr: str) -> str:
-    plain = f"translate(upper({expr}), '{ACCENTED}', '{UNACCENTED}')"
+    letters = [x.split() for x in BASE_LETTERS.split(",")]
+    accented = "".join(many for _, many in letters)
+    base = "".join(one * len(many) for one, many in letters)
+    plain = f"translate(upper({expr}), '{accented}', '{base}')"
     s = f"trim(regexp_replace(regexp_replace({plain}, '[^A-Z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"
-    for word, short in ABBREVIATIONS.items():
+    for word, short in (x.split() for x in SHORT_FORMS.split(",")):
         s = f"regexp_replace({s}, '\\b{word}\\b', '{short}', 'g')"
     return s
 
@@ -73,6 +104,13 @@ _NULLIF_EN = "nullif(lang, 'en')"
 _NULLIF_ECONOMY = "nullif(p_type, 'ECONOMY')"
 _STREET_TEXT = "concat_ws(' ', c_mktsegment, 'Street', c_name)"
 
+_PARCEL_FROM_FEED = """parcel_number parcel_county parcel_address1 parcel_address2 parcel_city parcel_state
+    parcel_zipcode parcel_longitude parcel_latitude parcel_geoquality owner_occupied land_use acres sqft_total
+    unit_count building_count bedroom_count bathroom_count pool guesthouse year_built last_sale last_price
+    year_assessed""".split()
+_MATCH_TEXT = "concat_ws(' ', m.parcel_address1, m.parcel_address2, m.parcel_city, m.parcel_state)"
+_HAS_POINT = "m.parcel_longitude is not null and m.parcel_latitude is not null"
+
 QUERIES = {
     "feed_scan": "select * from feed",
     "feed_text_roundtrip": """select o_orderkey, o_custkey, o_orderstatus,
@@ -134,7 +172,62 @@ QUERIES = {
     "merge_counts": "select op, count(*) n from par2 group by op",
     "assign_ids": """select l_orderkey, l_linenumber, 100 + row_number() over (order by l_orderkey, l_linenumber) id
         from (select distinct l_orderkey, l_linenumber from lineitem)""",
-    "check_unique": "select l_orderkey, count(*) n from lineitem where l_linenumber = 1 group by 1 having count(*) > 1",
+    "check_unique": """select l_orderkey, l_linenumber, count(*) n from lineitem group by 1, 2
+        having count(*) > 1 or l_orderkey is null or l_linenumber is null""",
+    "cast_blank_rules": """select k, case when ok and nk >= 8 then nk end num,
+        case when ok and nk >= 14 then date '2020-02-03' end "day", case when ok and nk >= 16 then true end flag,
+        case when ok then case when nk > 20 then '  ' when nk <= 17 then 'ab' end end code,
+        concat_ws(',', case when nk between 8 and 10 then 'day:type' end,
+                  case when nk between 10 and 12 then 'flag:type' end, case when nk < 4 then 'num:type' end) problems
+        from (select c_custkey k, c_nationkey nk, not (c_nationkey < 4 or c_nationkey between 8 and 12) ok from customer)""",
+    "varchar_trim": """select p_partkey k, case when p_size < 15 then 'ab  ' when p_size >= 30 then 'ab ' end v,
+        case when p_size between 15 and 29 then 'v:length' else '' end problems from part""",
+    "standardize_hook": """select c_custkey, upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) || ', '
+        || upper(c_name) std from customer""",
+    "salted_resolve": "select f.admid, i.id identity_id from feed f left join ident i using (a, ci, st)",
+    "reactivate_first_match": """select c.c_custkey id, case when c.c_acctbal < 0 and not coalesce(c.c_custkey = k.first_id, false)
+        then true end inactive
+        from customer c left join (
+            select c_mktsegment, c_nationkey, min(c_custkey) first_id from customer x
+            where exists (select 1 from customer y join orders on o_custkey = y.c_custkey
+                where y.c_mktsegment = x.c_mktsegment and y.c_nationkey = x.c_nationkey
+                  and y.c_mktsegment <> 'MACHINERY' and o_orderdate >= timestamp '1998-01-01')
+            group by 1, 2) k on k.c_mktsegment = c.c_mktsegment and k.c_nationkey = c.c_nationkey""",
+    "cycle_parcel_full": f"""select
+        case when p.admid is null then (select coalesce(max(id), 0) from ppar)
+             + row_number() over (partition by p.admid is null order by coalesce(p.admid, m.admid)) else p.id end id,
+        coalesce(m.admid, p.admid) admid, {', '.join(f'm.{c}' for c in _PARCEL_FROM_FEED)},
+        case when m.admid is null then '00000' else m.parcel_fips end parcel_fips,
+        case when m.admid is null then 'PROD' else m.record_type end record_type,
+        case when m.admid is null then cast(floor(p.price) as bigint) else m.total_value end total_value,
+        cast(null as boolean) parcel_privacy, case when m.admid is null then p.flag end rental_flag,
+        case when m.admid is not null then {_normalize_sql(_MATCH_TEXT)} end parcel_match_address,
+        case when {_HAS_POINT} then cast(m.parcel_longitude as double) end parcel_location_lon,
+        case when {_HAS_POINT} then cast(m.parcel_latitude as double) end parcel_location_lat,
+        case when {_HAS_POINT} then 4326 end parcel_location_srid,
+        case when m.admid is null then p.entity_id else n.entity_id end entity_id,
+        case when m.admid is null then p.identity_id else n.identity_id end identity_id
+        from ppar p full join month_parcel m on p.admid = m.admid left join dfk n on n.admid = m.admid
+        qualify coalesce(m.admid, p.admid) not in (select admid from del)""",
+    "cycle_identity_full": """select i.id, i.a mail_address, i.ci mail_city, i.st mail_state, v.zip mail_zipcode,
+        v.verified mail_verified, v.lon mail_longitude, v.lat mail_latitude, v.geo mail_geoquality, v.rdi rdi,
+        case when v.a is not null then '' end primary_name, cast(case when v.a is not null then 0 end as smallint) rental_count,
+        case when i.id not in (select identity_id from par3) then true
+             when i.inactive and exists (select 1 from d where d.a = i.a and d.ci = i.ci and d.st = i.st) then null
+             else i.inactive end inactive,
+        cast(v.lon as double) mail_location_lon, cast(v.lat as double) mail_location_lat,
+        case when v.a is not null then 4326 end mail_location_srid
+        from id2 i left join month_survivor v on v.a = i.a and v.ci = i.ci and v.st = i.st
+            and i.id > (select coalesce(max(id), 0) from pid)""",
+    "cycle_entity_full": """select e.id, e.owner, substr(e.owner, 1, 8) owner1_firstname,
+        substr(e.owner, 10, 9) owner1_lastname, 'S' || n_nationkey owner2_firstname, i.ci owner2_lastname,
+        i.st coowner, substr(i.st, 1, 3) coowner1_firstname, substr(i.st, 4, 9) coowner1_lastname,
+        substr(i.ci, 1, 3) coowner2_firstname, substr(i.a, 1, 4) coowner2_lastname, e.identity_id
+        from ent2 e join id2 i on i.id = e.identity_id join nation on n_name = i.ci
+        where e.id in (select entity_id from par3)""",
+    "cycle_postcards": """select distinct l_orderkey * 8 + l_linenumber id,
+        case when l_orderkey not in (select admid from del) then p.id end parcel_id
+        from lineitem join ppar p on p.admid = l_orderkey""",
     "check_not_null": "select c_custkey, 'c_mktsegment' col from customer where nullif(c_mktsegment, 'BUILDING') is null",
     "check_fk": """select l_orderkey, l_partkey, l_linenumber from lineitem
         where not exists (select 1 from orders where o_orderkey = l_orderkey and o_orderstatus <> 'P')""",

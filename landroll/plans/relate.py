@@ -13,6 +13,7 @@ build, over whole tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,7 +24,8 @@ from landroll.functions.cast import coalesce_defaults
 from landroll.operators.dedup import keep_first
 from landroll.operators.joins import hot_keys, salted_join
 from landroll.operators.keys import assign_ids
-from landroll.operators.quality import check_fk, check_lengths, check_not_null, check_unique, violations
+from landroll.operators.quality import (check_fk, check_lengths, check_not_null, check_unique,
+                                        fit_lengths, violations)
 from landroll.session import stage
 from landroll.sources.schemas import ENTITY_LIMITS, IDENTITY_LIMITS, PARCEL_LIMITS
 
@@ -115,11 +117,60 @@ def address_extract(feed: DataFrame) -> DataFrame:
                        *[F.col(src).alias(dst) for src, dst in MAIL_RENAMES.items()])
 
 
-def stitch_feed(feed: DataFrame, std: DataFrame) -> DataFrame:
-    """Inner join on admid; feed rows without a standardised row drop out."""
+def stitch_feed(feed: DataFrame, std: DataFrame, feed_key: str = "admid", std_key: str = "admid") -> DataFrame:
+    """Inner join on the keys; feed rows without a standardised row drop out.
+
+    Feed columns win over standardised ones of the same name.
+    """
     std_cols = [c for c in std.columns if c not in feed.columns and c not in
-                ("street", "secondary", "city", "state", "blank")]
-    return feed.join(std.select("admid", *std_cols), "admid", "inner")
+                (std_key, "street", "secondary", "city", "state", "blank")]
+    std = std.select(F.col(std_key).alias("_std_key"), *std_cols)
+    return feed.join(std, feed[feed_key] == std["_std_key"], "inner").drop("_std_key")
+
+
+def project(stitched: DataFrame, source: Mapping[str, str]) -> DataFrame:
+    """The columns of one relational table; ``source`` is {column: stitched column}."""
+    return stitched.select(*[F.col(src).alias(dst) for dst, src in source.items()])
+
+
+def delta_rows(stitched: DataFrame) -> DataFrame:
+    """One row per parcel with the columns of its identity, entity and parcel, before defaults."""
+    renamed = {**{dst: F.col(src) for dst, src in {**IDENTITY_SOURCE, **ENTITY_SOURCE, **PARCEL_SOURCE}.items()},
+               "parcel_address1": compose(*ADDRESS1_PARTS), "parcel_address2": compose(*ADDRESS2_PARTS)}
+    rows = stitched.select(*[c.alias(name) for name, c in renamed.items()])
+    return fit_lengths(rows, _limits(rows, {**IDENTITY_LIMITS, **ENTITY_LIMITS, **PARCEL_LIMITS}))
+
+
+def identity_survivors(delta: DataFrame) -> DataFrame:
+    """One identity per mailing key of the delta, with the number of rows of the key as ``_rows``."""
+    return keep_first(delta.select(*IDENTITY_SOURCE), IDENTITY_KEY, count_col="_rows")
+
+
+def check_delta(delta: DataFrame, survivors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The trio's rules on the flat delta: (every violation, mailing keys of bad identities).
+
+    Violations of parcels and entities carry the admid as key; foreign keys
+    hold by construction, as every row resolves to the ids it is given.
+    """
+    bad_identity = (check_not_null(survivors, IDENTITY_KEY, IDENTITY_KEY).withColumn("rule", F.lit("not_null"))
+                    .unionByName(check_lengths(survivors, _limits(survivors, IDENTITY_LIMITS), IDENTITY_KEY)
+                                 .withColumn("rule", F.lit("length")), allowMissingColumns=True))
+    required = [c for c in PARCEL_REQUIRED if c in delta.columns]
+    found = [
+        violations("parcel", "unique_admid", check_unique(delta, ["admid"]), ["admid"], ["n"]),
+        violations("parcel", "not_null", check_not_null(delta, required, "admid"), ["admid"], ["col"]),
+        violations("parcel", "length", check_lengths(delta, _limits(delta, PARCEL_LIMITS), "admid"), ["admid"],
+                   ["col", "len"]),
+        violations("entity", "length", check_lengths(delta, _limits(delta, ENTITY_LIMITS), "admid"), ["admid"],
+                   ["col", "len"]),
+        bad_identity.select(F.lit("identity").alias("table"), "rule",
+                            F.concat_ws("|", *[F.coalesce(F.col(k), F.lit("")) for k in IDENTITY_KEY]).alias("key"),
+                            F.concat_ws("|", "col", F.col("len").cast("string")).alias("detail")),
+    ]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out, bad_identity.select(*IDENTITY_KEY).distinct()
 
 
 @dataclass
@@ -130,7 +181,7 @@ class Trio:
 
 
 def build_trio(stitched: DataFrame) -> Trio:
-    ident_rows = stitched.select(*[F.col(src).alias(dst) for dst, src in IDENTITY_SOURCE.items()])
+    ident_rows = project(stitched, IDENTITY_SOURCE)
     ident_counted = assign_ids(keep_first(ident_rows, IDENTITY_KEY, count_col="_rows"), IDENTITY_KEY)
     identity = ident_counted.drop("_rows").withColumn(
         "mail_location", make_point("mail_longitude", "mail_latitude"))
@@ -167,6 +218,9 @@ def check_trio(trio: Trio) -> DataFrame:
     """Every constraint violation of the trio as (table, rule, key, detail)."""
     found = [
         violations("parcel", "unique_admid", check_unique(trio.parcel, ["admid"]), ["admid"], ["n"]),
+        violations("parcel", "unique_id", check_unique(trio.parcel, ["id"]), ["id"], ["n"]),
+        violations("entity", "unique_id", check_unique(trio.entity, ["id"]), ["id"], ["n"]),
+        violations("identity", "unique_id", check_unique(trio.identity, ["id"]), ["id"], ["n"]),
         violations("parcel", "not_null", check_not_null(trio.parcel, PARCEL_REQUIRED, "admid"), ["admid"], ["col"]),
         violations("entity", "not_null", check_not_null(trio.entity, ENTITY_REQUIRED, "id"), ["id"], ["col"]),
         violations("identity", "not_null", check_not_null(trio.identity, IDENTITY_REQUIRED, "id"), ["id"], ["col"]),
@@ -189,5 +243,6 @@ def flatten(trio: Trio) -> DataFrame:
     ident = trio.identity.select(F.col("id").alias("identity_id"), *IDENTITY_SOURCE, "mail_location",
                                  F.lit("").alias("primary_name"), F.lit(None).cast("smallint").alias("rental_count"))
     ent = trio.entity.select(F.col("id").alias("entity_id"), *ENTITY_SOURCE)
-    flat = trio.parcel.drop("id").join(ident, "identity_id").join(ent, "entity_id")
+    flat = salted_join(salted_join(trio.parcel.drop("id"), ident, ["identity_id"], "inner", salt_cols=["admid"]),
+                       ent, ["entity_id"], "inner", salt_cols=["admid"])
     return coalesce_defaults(flat, FLAT_TEXT_DEFAULTS)

@@ -1,4 +1,4 @@
-"""Session construction and lineage cutting.
+"""Session construction and staged tables.
 
 On a cluster the checkpoint folder is the shared one named by
 ``spark.checkpoint.dir``; it is only filled in here when nothing is
@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,16 +64,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
-
-    A lost executor then re-reads the checkpoint instead of recomputing the
-    whole upstream plan.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared staging folder and read it back.
 
@@ -88,7 +79,8 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return spark.read.parquet(path)
 
 
-_STAGING_FOLDER: list[str] = []
+# The staging folder of the job that runs in this context (thread).
+_STAGING_FOLDER: ContextVar[str | None] = ContextVar("staging_folder", default=None)
 
 
 def stage_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
@@ -97,19 +89,19 @@ def stage_path(spark: SparkSession, name: str, folder: str | None = None) -> str
     Inside :func:`staging_area` the path is under that run's folder,
     otherwise under ``<checkpoint dir>/stage``.
     """
-    base = folder or (_STAGING_FOLDER[-1] if _STAGING_FOLDER else f"{checkpoint_dir(spark).rstrip('/')}/stage")
+    base = folder or _STAGING_FOLDER.get() or f"{checkpoint_dir(spark).rstrip('/')}/stage"
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager
 def staging_area(spark: SparkSession, name: str) -> Iterator[str]:
-    """Stage every table of the enclosed job under one folder of its own."""
+    """Stage every table of the enclosed job under one folder of its own; jobs of other threads are not affected."""
     folder = stage_path(spark, name)
-    _STAGING_FOLDER.append(folder)
+    token = _STAGING_FOLDER.set(folder)
     try:
         yield folder
     finally:
-        _STAGING_FOLDER.pop()
+        _STAGING_FOLDER.reset(token)
 
 
 @contextmanager

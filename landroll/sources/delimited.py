@@ -6,11 +6,11 @@ separator is read directly, so a TAB inside a field stays data.  Every
 column is read as text, then cast to its declared type (``typed_cast``):
 
 * a row with too few or too many fields,
-* a non-blank value that does not parse as its type,
-* a text longer than its declared length,
-* a blank in a required column
+* a value that does not parse as its type (only an empty field is NULL),
+* a text longer than its declared length by more than blanks,
+* an empty field in a required column
 
-makes the row a reject.  ``strict`` raises on the first rejects (the
+makes the row a reject.  ``strict`` stores all rejects and raises (the
 original aborted the whole load); ``quarantine`` returns them next to the
 good rows.  The typed rows are staged once, so the checks see every column
 (a pruned re-read would skip validating unused columns) and later phases
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from landroll.functions.cast import ColumnSpec, typed_cast
-from landroll.operators.quality import ConstraintViolation
+from landroll.operators.quality import raise_if_any, reject_path
 from landroll.session import stage
 from landroll.sources.schemas import (EXTRACT_COLUMNS, FEED_FORCED, FEED_SPECS, STD_FORCED, STD_REQUIRED,
                                       STD_SPECS)
@@ -61,6 +61,8 @@ def load_typed(spark: SparkSession, path: str | Sequence[str], specs: Sequence[C
     ``columns`` limits what is kept in the staged table (and in ``rows``);
     every column is still cast and checked while the table is written.
     """
+    if mode not in ("strict", "quarantine"):
+        raise ValueError(f"unknown mode {mode!r}")
     raw = read_text_columns(spark, path, [s.name for s in specs], sep)
     typed, bad = typed_cast(raw, specs, forced=forced, required=required, keep=[CORRUPT])
     problems = F.when(F.col(CORRUPT).isNotNull(),
@@ -74,13 +76,11 @@ def load_typed(spark: SparkSession, path: str | Sequence[str], specs: Sequence[C
     rejects = staged.where(F.size("_problems") > 0).select(
         specs[0].name, F.col(CORRUPT).alias("raw_line"), F.col("_problems").alias("problems"))
     rows = staged.where(F.size("_problems") == 0).drop("_problems", CORRUPT)
-    if mode == "strict":
-        first = rejects.limit(5).collect()
-        if first:
-            raise ConstraintViolation(f"{name}: rejected rows, e.g. " + "; ".join(
-                f"{r[0]} {list(r['problems'])}" for r in first))
-    elif mode != "quarantine":
-        raise ValueError(f"unknown mode {mode!r}")
+    if mode == "strict" and rejects.first() is not None:
+        # The run's staging folder goes with the run; its rejects stay.
+        path = reject_path(spark, name)
+        rejects.write.mode("error").parquet(path)
+        raise_if_any(rejects, name, path)
     return Loaded(rows, rejects)
 
 

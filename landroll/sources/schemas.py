@@ -212,6 +212,12 @@ POSTCARD_DDL = "id bigint, parcel_id bigint"
 
 STATE_DDL = {"identity": IDENTITY_DDL, "entity": ENTITY_DDL, "parcel": PARCEL_DDL, "postcard": POSTCARD_DDL}
 
+
+def state_columns(table: str) -> list[str]:
+    """Column names of a state table, in order (commas inside a type do not separate columns)."""
+    return [item.split()[0] for item in re.split(r",(?![^(<]*[)>])", STATE_DDL[table])]
+
+
 # Varchar limits of the relational tables.
 IDENTITY_LIMITS = {"mail_address": 128, "mail_city": 128, "mail_state": 32, "mail_zipcode": 12,
                    "mail_verified": 32, "mail_geoquality": 20, "rdi": 12, "primary_name": 128}

@@ -1,27 +1,30 @@
 """Versioned snapshots of the state tables with an all-or-nothing publish.
 
-Parquet tables cannot be updated in place, so each run writes a new version
-of every table it changes:
-
-    <root>/<table>/v=<version>/part-*.parquet
-    <root>/_manifests/v=<version>/part-*.json     one row: version + table paths
-
-The manifest is written last and is the commit point: its files only appear
-when its write job commits, and readers take the manifest with the highest
-version.  A run that fails before that leaves the previous version current;
-its half-written table folders are never referenced.  Only Spark readers and
-writers are used, so the store works on any filesystem the cluster shares.
-A store has one writer at a time (the monthly job, or the delivery stream);
-the version check in ``publish`` guards against replays, not against two
-concurrent writers.
+Parquet tables cannot be updated in place, so each run writes a new copy of
+every table it changes, each attempt under a folder of its own:
+
+    <root>/<table>/v=<version>-<attempt>/part-*.parquet
+    <root>/_manifests/v=<version>-<attempt>/part-*.json    one row, see below
+
+The manifest (sequence number, version label, table and report paths) is
+written last and is the commit point: its files only appear when its write
+job commits, and readers take the manifest with the highest sequence number.
+A run that fails before that leaves the previous version current, and can be
+tried again: nothing refers to the folders of the failed attempt.  A version
+is a label; the sequence number alone orders versions.  Only Spark readers
+and writers are used, so the store works on any filesystem the cluster
+shares.  A store has one writer at a time (the monthly job, or the delivery
+stream); ``publish`` refuses a label that is committed already, which guards
+against replays, not against two concurrent writers.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,6 +32,9 @@ from landroll.session import path_exists
 from landroll.sources.schemas import STATE_DDL
 
 
+MANIFEST = "seq long, version string, tables string, reports string"
+
+
 class StateStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -38,26 +44,29 @@ class StateStore:
         path = f"{self.root}/_manifests"
         if not path_exists(self.spark, path):
             return None
-        return self.spark.read.schema("tables string, version string").json(path)
+        return self.spark.read.schema(MANIFEST).json(path)
 
-    def current(self) -> tuple[str, dict[str, str]] | None:
-        """(version, {table: path}) of the newest committed manifest, or None."""
+    def _newest(self, version: str | None = None) -> Row | None:
         m = self._manifests()
         if m is None:
             return None
-        row = m.orderBy(F.col("version").desc()).select("version", "tables").first()
-        if row is None:
-            return None
-        return row["version"], json.loads(row["tables"])
+        return (m if version is None else m.where(F.col("version") == version)).orderBy(F.col("seq").desc()).first()
+
+    def current(self) -> tuple[str, dict[str, str]] | None:
+        """(version, {table: path}) of the newest committed manifest, or None."""
+        row = self._newest()
+        return None if row is None else (row["version"], json.loads(row["tables"]))
+
+    def has(self, version: str) -> bool:
+        """Whether a version of this label is committed."""
+        return self._newest(version) is not None
 
     def paths(self, version: str | None = None) -> dict[str, str]:
         """{table: path} of the current (or a given) version; one small read of the manifests."""
-        if version is None:
-            cur = self.current()
-            return cur[1] if cur else {}
-        m = self._manifests()
-        row = m.where(F.col("version") == version).first() if m is not None else None
+        row = self._newest(version)
         if row is None:
+            if version is None:
+                return {}
             raise KeyError(f"no version {version}")
         return json.loads(row["tables"])
 
@@ -71,11 +80,20 @@ class StateStore:
             return self.spark.read.parquet(paths[table])
         return self.spark.createDataFrame([], StructType.fromDDL(STATE_DDL[table]))
 
-    def report_path(self, name: str, version: str) -> str:
-        return f"{self.root}/_reports/{name}/v={version}"
-
     def read_report(self, name: str, version: str) -> DataFrame:
-        return self.spark.read.parquet(self.report_path(name, version))
+        row = self._newest(version)
+        if row is None or name not in json.loads(row["reports"]):
+            raise KeyError(f"no report {name} of version {version}")
+        return self.spark.read.parquet(json.loads(row["reports"])[name])
+
+    def park(self, rows: DataFrame) -> None:
+        """Set aside deliveries that cannot be applied; see :meth:`parked`."""
+        rows.write.mode("append").parquet(f"{self.root}/_parked")
+
+    def parked(self) -> DataFrame | None:
+        """Deliveries that were set aside, or None if there never was one."""
+        path = f"{self.root}/_parked"
+        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
 
     def read(self, table: str, version: str | None = None) -> DataFrame:
         """A table of the current (or a given) version; an empty table if it was never published."""
@@ -85,20 +103,22 @@ class StateStore:
                 reports: Mapping[str, DataFrame] | None = None) -> dict[str, str]:
         """Write every table, then the manifest naming them (plus unchanged tables of the last version).
 
-        ``reports`` (audit tables of the run) are written under
-        ``_reports/<name>/v=<version>`` before the manifest.
+        ``reports`` (audit tables of the run) are written under ``_reports``
+        before the manifest.
         """
-        cur = self.current()
-        if cur and version <= cur[0]:
-            raise ValueError(f"version {version!r} is not after current {cur[0]!r}")
-        paths = dict(cur[1]) if cur else {}
+        newest = self._newest()
+        if self.has(version):
+            raise ValueError(f"version {version!r} is committed already")
+        folder = f"v={version}-{uuid.uuid4().hex}"
+        paths = json.loads(newest["tables"]) if newest else {}
         for name, df in tables.items():
-            path = f"{self.root}/{name}/v={version}"
-            df.write.mode("error").parquet(path)
-            paths[name] = path
-        for name, df in (reports or {}).items():
-            df.write.mode("error").parquet(self.report_path(name, version))
-        manifest = self.spark.createDataFrame([(json.dumps(paths, sort_keys=True), version)],
-                                              "tables string, version string")
-        manifest.coalesce(1).write.mode("error").json(f"{self.root}/_manifests/v={version}")
+            paths[name] = f"{self.root}/{name}/{folder}"
+            df.write.mode("error").parquet(paths[name])
+        report_paths = {name: f"{self.root}/_reports/{name}/{folder}" for name in reports or {}}
+        for name, path in report_paths.items():
+            reports[name].write.mode("error").parquet(path)
+        row = (newest["seq"] + 1 if newest else 0, version, json.dumps(paths, sort_keys=True),
+               json.dumps(report_paths, sort_keys=True))
+        (self.spark.createDataFrame([row], MANIFEST).coalesce(1)
+         .write.mode("error").json(f"{self.root}/_manifests/{folder}"))
         return paths

@@ -5,18 +5,30 @@ Each delivery drops one small JSON manifest into an inbox folder:
     {"version": "2019-05", "feed": ".../DUP_TAXASSESSOR_2019-05.txt",
      "std": ".../ss_out_2019-05.tsv", "deletes": ".../DUP_PROPERTYDELETES_2019-05.txt"}
 
-A file-stream source reads new manifests; ``foreachBatch`` applies every
-month of the micro-batch in version order with :func:`run_cycle`.  The
-state store's version check makes the sink idempotent: a batch replayed after
-a failure skips months that were already published.  With the
-``availableNow`` trigger the query processes everything in the inbox and
-stops, which suits a scheduled job; a processing-time trigger keeps it
-running.  The manifests are the only rows that reach the driver (one per
-month); the months themselves run as ordinary distributed jobs.
+A file-stream source reads the manifests that are new; ``foreachBatch``
+applies them in version order with :func:`run_cycle`.  Version labels are
+compared with their numbers as numbers ("9" before "10").
+
+* A manifest whose version is committed is a replay (of a batch that failed
+  half-way, or a second copy) and is skipped.
+* A month that was never committed but comes before the current version is
+  late: applying it would overwrite newer values, so it is set aside.
+* A manifest without a version, or with neither feed nor deletes, is
+  malformed and is set aside.
+
+What is set aside stays in ``store.parked()`` with its reason, and the other
+months go on.  With the ``availableNow`` trigger the query processes
+everything in the inbox and stops, which suits a scheduled job; a
+processing-time trigger keeps it running.  All manifests that are in the
+inbox make one batch, so the order in which they arrived does not matter.
+They are the only rows that reach the driver (one per month); the months
+themselves run as ordinary distributed jobs.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,17 +39,32 @@ from landroll.sources.state import StateStore
 MANIFEST_SCHEMA = "version string, feed string, std string, deletes string"
 
 
+def version_order(version: str) -> list[tuple[int, int, str]]:
+    """Sort key of a version label: digits as numbers, the rest as text."""
+    return [(0, int(part), "") if part.isdigit() else (1, 0, part) for part in re.findall(r"[0-9]+|[^0-9]+", version)]
+
+
 def _apply_batch(store: StateStore, mode: str):
+    def park(month: dict, reason: str) -> None:
+        row = tuple(month[c] for c in ("version", "feed", "std", "deletes"))
+        store.park(store.spark.createDataFrame([(*row, reason)], f"{MANIFEST_SCHEMA}, reason string"))
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        months = sorted((r.asDict() for r in batch.select("version", "feed", "std", "deletes").collect()),
-                        key=lambda m: m["version"])
+        months = [r.asDict() for r in batch.select("version", "feed", "std", "deletes").collect()]
+        usable = [m for m in months if m["version"] and (m["feed"] or m["deletes"]) and bool(m["feed"]) == bool(m["std"])]
         for month in months:
+            if month not in usable:
+                park(month, "malformed")
+        for month in sorted(usable, key=lambda m: version_order(m["version"])):
+            if store.has(month["version"]):
+                continue  # a replayed batch or a second copy: nothing is lost
             cur = store.current()
-            if cur and month["version"] <= cur[0]:
-                continue  # already applied (replayed batch or late duplicate)
-            phases = ("load", "merge", "delete", "sweep") if month.get("feed") else ("delete", "sweep")
-            run_cycle(store.spark, store, month["version"], month.get("feed"), month.get("std"),
-                      month.get("deletes"), mode=mode, phases=phases)
+            if cur and version_order(month["version"]) < version_order(cur[0]):
+                park(month, f"late: {cur[0]} is current")
+                continue
+            phases = [*(["load", "merge"] if month["feed"] else []), *(["delete"] if month["deletes"] else []), "sweep"]
+            run_cycle(store.spark, store, month["version"], month["feed"], month["std"], month["deletes"],
+                      mode=mode, phases=phases)
     return apply
 
 
@@ -45,7 +72,7 @@ def watch_deliveries(spark: SparkSession, inbox: str, store: StateStore, mode: s
                      checkpoint: str | None = None, available_now: bool = True,
                      interval: str = "1 hour") -> StreamingQuery:
     """Start the stream; call ``.awaitTermination()`` (available-now) or keep it running."""
-    source = spark.readStream.schema(MANIFEST_SCHEMA).option("maxFilesPerTrigger", 12).json(inbox)
+    source = spark.readStream.schema(MANIFEST_SCHEMA).json(inbox)
     writer = (source.writeStream.foreachBatch(_apply_batch(store, mode))
               .option("checkpointLocation", checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/deliveries"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
