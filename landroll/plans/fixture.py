@@ -37,8 +37,8 @@ from landroll.operators.keys import assign_ids, next_id
 from landroll.operators.merge import count_ops, existing_keys, get_or_insert, missing_keys, reactivate, upsert
 from landroll.operators.prune import delete_by_keys, drop_orphans, flag_orphans, null_references, orphans
 from landroll.operators.quality import cascade_delete, check_fk, check_lengths, check_not_null, check_unique
-from landroll.plans.fixture_files import cycle_from_files, cycle_table
-from landroll.plans.relate import project, stitch_feed
+from landroll.plans.fixture_files import cycle_from_files, cycle_table, month_trio
+from landroll.plans.relate import check_trio, flatten, project, stitch_feed
 from landroll.session import stage, stage_path
 from landroll.sources.delimited import load_typed, read_delete_list, read_standardized, write_address_extract
 from landroll.sources.schemas import STD_COLUMNS
@@ -595,6 +595,18 @@ def q_cycle_entity_full(s: Scenario) -> DataFrame:
     return cycle_table(s, "entity")
 
 
+def q_trio_flatten(s: Scenario) -> DataFrame:
+    """The month as identity, entity and parcel tables with ids, joined back to one row per parcel."""
+    return flatten(month_trio(s)).select("admid", "identity_id", "entity_id", "mail_address", "mail_city", "mail_state",
+                                         "mail_longitude", "mail_verified", "owner", "parcel_number")
+
+
+def q_trio_checks(s: Scenario) -> DataFrame:
+    """The rules of the trio over a month with missing record types and state names that are too long."""
+    trio = month_trio(s, propertyusegroup=F.when(F.col("stat") != "P", F.col("pri")), propertyaddressstate=F.col("st"))
+    return check_trio(trio).groupBy("table", "rule", "detail").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_cycle_postcards(s: Scenario) -> DataFrame:
     return cycle_table(s, "postcard")
 

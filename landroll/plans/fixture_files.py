@@ -17,7 +17,8 @@ from pyspark.sql.types import StructType
 
 from landroll.operators.merge import conform
 from landroll.plans.cycle import run_cycle
-from landroll.session import stage_path
+from landroll.plans.relate import TRIO_INPUT_COLUMNS, Trio, build_trio
+from landroll.session import stage, stage_path
 from landroll.sources.schemas import FEED_COLUMNS, STATE_DDL, STD_COLUMNS
 from landroll.sources.state import StateStore
 
@@ -146,3 +147,12 @@ def cycle_table(s, table: str, point: str | None = None) -> DataFrame:
         return df
     fields = [F.col(f"{point}.{f}").alias(f"{point}_{f}") for f in ("lon", "lat", "srid")]
     return df.select(*[c for c in df.columns if c != point], *fields)
+
+
+def month_trio(s, **changed: Column) -> Trio:
+    """The relational trio of the month's stitched rows; ``changed`` replaces feed columns."""
+    values = {**feed_values(), **std_values(), **changed}
+    numbers = {c: F.col(c).cast("decimal(10,6)") for c in ("longitude", "latitude", "propertylongitude",
+                                                           "propertylatitude")}
+    stitched = s.d.select(*[values[c].alias(c) for c in TRIO_INPUT_COLUMNS]).withColumns(numbers)
+    return build_trio(stage(stitched, "stitched"))

@@ -225,6 +225,21 @@ QUERIES = {
         substr(i.ci, 1, 3) coowner2_firstname, substr(i.a, 1, 4) coowner2_lastname, e.identity_id
         from ent2 e join id2 i on i.id = e.identity_id join nation on n_name = i.ci
         where e.id in (select entity_id from par3)""",
+    "trio_flatten": """select d.admid, i.id identity_id, e.id entity_id, d.a mail_address, d.ci mail_city,
+        d.st mail_state, i.lon mail_longitude, i.verified mail_verified, d.owner, 'P-' || d.c_custkey parcel_number
+        from d join (select row_number() over (order by a, ci, st) id, * from month_survivor) i using (a, ci, st)
+        join (select row_number() over (order by owner, coowner, owner1_first, owner1_last, owner2_first, owner2_last,
+                  coowner1_first, coowner1_last, coowner2_first, coowner2_last, identity_id) id, owner, identity_id
+              from (select distinct d.owner, d.st coowner, substr(d.owner, 1, 8) owner1_first,
+                        substr(d.owner, 10, 9) owner1_last, 'S' || d.nk owner2_first, d.ci owner2_last,
+                        substr(d.st, 1, 3) coowner1_first, substr(d.st, 4, 9) coowner1_last,
+                        substr(d.ci, 1, 3) coowner2_first, substr(d.a, 1, 4) coowner2_last, k.id identity_id
+                    from d join (select row_number() over (order by a, ci, st) id, a, ci, st from month_survivor) k
+                    using (a, ci, st))) e
+            on e.owner = d.owner and e.identity_id = i.id""",
+    "trio_checks": """select 'parcel' "table", 'not_null' rule, 'record_type' detail, count(*) n from d
+        where stat = 'P' having count(*) > 0
+        union all select 'parcel', 'length', 'parcel_state|' || length(st), count(*) from d group by 3""",
     "cycle_postcards": """select distinct l_orderkey * 8 + l_linenumber id,
         case when l_orderkey not in (select admid from del) then p.id end parcel_id
         from lineitem join ppar p on p.admid = l_orderkey""",

@@ -267,7 +267,6 @@ def test_cycle_with_every_key_salted(spark, month, monkeypatch):
     store, feed, std, deletes = month
     plain = run_cycle(spark, store, "001", feed, std, deletes, publish=False)
     expected = {t: sorted(map(tuple, plain.tables[t].collect()), key=repr) for t in ("identity", "entity", "parcel")}
-    monkeypatch.setattr(joins, "HOT_ROWS", 1)
     monkeypatch.setattr(joins, "ROWS_PER_SALT", 1)
     salted = run_cycle(spark, store, "001", feed, std, deletes, publish=False)
     for t, rows in expected.items():
@@ -284,3 +283,162 @@ def test_empty_feed_month(spark, month, workdir):
     assert res.counts["insert"] == 0 and res.counts["update"] == 0 and res.counts["deleted"] == 1
     ident = _rows(res.tables["identity"], "id")
     assert ident[3]["inactive"] is True and ident[2]["inactive"] is True
+
+
+def _deliver(inbox, name, **manifest):
+    import json
+    os.makedirs(inbox, exist_ok=True)
+    with open(os.path.join(inbox, name), "w") as f:
+        f.write(manifest.pop("raw", None) or json.dumps(manifest))
+
+
+def _watch(spark, store, workdir, inbox):
+    from landroll.streaming.monthly import watch_deliveries
+    watch_deliveries(spark, inbox, store, checkpoint=os.path.join(workdir, "ckpt")).awaitTermination()
+
+
+def test_late_and_malformed_manifests_are_parked(spark, month, workdir):
+    store, _, _, _ = month
+    inbox = os.path.join(workdir, "inbox")
+    one = write_deletes(os.path.join(workdir, "in", "d1.txt"), [1001])
+    two = write_deletes(os.path.join(workdir, "in", "d2.txt"), [1002])
+    _deliver(inbox, "m9.json", version="9", deletes=one)
+    _watch(spark, store, workdir, inbox)
+    assert store.current()[0] == "9"
+    _deliver(inbox, "late.json", version="8", deletes=two)
+    _deliver(inbox, "bad1.json", raw="{not json")
+    _deliver(inbox, "bad2.json", version="11")
+    _deliver(inbox, "bad3.json", version="12", feed="x")
+    _deliver(inbox, "next.json", version="10", deletes=two)
+    _deliver(inbox, "again.json", version="9", deletes=two)
+    _watch(spark, store, workdir, inbox)
+    # 10 comes after 9; 8 never was applied and is kept for the operator with the unusable ones.
+    assert store.current()[0] == "10"
+    assert sorted(r.admid for r in store.read("parcel").collect()) == [1003, 1004]
+    parked = [(r.version, r.reason.split(":")[0]) for r in store.parked().collect()]
+    assert sorted(parked, key=repr) == sorted([("8", "late"), (None, "malformed"), ("11", "malformed"),
+                                               ("12", "malformed")], key=repr)
+    _watch(spark, store, workdir, inbox)
+    assert store.parked().count() == 4
+
+
+def test_inbox_of_twenty_months_in_any_order(spark, workdir):
+    import random
+
+    store = StateStore(spark, os.path.join(workdir, "state"))
+    store.publish({"identity": _state_df(spark, "identity", [_ident(1, "A", "B")]),
+                   "entity": _state_df(spark, "entity", [_ent(1, "X", 1)]),
+                   "parcel": _state_df(spark, "parcel", [_parcel(i, i, 1, 1) for i in range(1, 31)]),
+                   "postcard": _state_df(spark, "postcard", [])}, "0")
+    inbox = os.path.join(workdir, "inbox")
+    months = list(range(1, 21))
+    random.Random(3).shuffle(months)
+    for m in months:
+        path = write_deletes(os.path.join(workdir, "in", f"d{m}.txt"), [m])
+        _deliver(inbox, f"m{m}.json", version=str(m), deletes=path)
+    _watch(spark, store, workdir, inbox)
+    assert store.current()[0] == "20" and store.parked() is None
+    assert sorted(r.admid for r in store.read("parcel").collect()) == list(range(21, 31))
+
+
+@pytest.mark.parametrize("after", [0, 1, 2, 3, "manifest"])
+def test_publish_can_be_retried_after_any_failure(spark, month, monkeypatch, after):
+    from pyspark.sql import DataFrameWriter
+
+    store, _, _, deletes = month
+    writes = {"n": 0}
+    real_parquet, real_json = DataFrameWriter.parquet, DataFrameWriter.json
+
+    def parquet(self, path, *a, **k):
+        real_parquet(self, path, *a, **k)
+        if path.startswith(store.root):
+            writes["n"] += 1
+            if after == writes["n"] - 1:
+                raise RuntimeError("lost the driver")
+
+    def json_(self, path, *a, **k):
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    if after == "manifest":
+        monkeypatch.setattr(DataFrameWriter, "json", json_)
+    with pytest.raises(RuntimeError):
+        run_cycle(spark, store, "001", delete_path=deletes, phases=("delete", "sweep"))
+    assert store.current()[0] == "000" and store.read("parcel").count() == 4
+    monkeypatch.setattr(DataFrameWriter, "parquet", real_parquet)
+    monkeypatch.setattr(DataFrameWriter, "json", real_json)
+    res = run_cycle(spark, store, "001", delete_path=deletes, phases=("delete", "sweep"))
+    assert store.current()[0] == "001" and res.counts == {"parcels": 3, "deleted": 1}
+    with pytest.raises(ValueError):
+        run_cycle(spark, store, "001", delete_path=deletes, phases=("delete", "sweep"))
+
+
+def test_failed_and_finished_runs_leave_no_staging(spark, month, workdir, monkeypatch):
+    import landroll.plans.cycle as cycle
+
+    store, feed, std, deletes = month
+    folders = []
+    real = cycle.drop_path
+
+    def dropped(spark, folder):
+        if "run-" in folder:
+            assert os.path.isdir(folder.replace("file:", ""))
+            folders.append(folder)
+        return real(spark, folder)
+
+    monkeypatch.setattr(cycle, "drop_path", dropped)
+    bad = write_feed(os.path.join(workdir, "in", "bad.txt"), [_feed(3001, "X"), _feed(3001, "Y")])
+    bad_std = write_std(os.path.join(workdir, "in", "bad_std.tsv"), [_std(3001, "1 A ST", "B")])
+    with pytest.raises(ConstraintViolation) as e:
+        run_cycle(spark, store, "001", bad, bad_std, deletes)
+    # Every reject of a strict abort can be read after the run.
+    assert spark.read.parquet(e.value.path).select("key").distinct().count() == 1
+    run_cycle(spark, store, "001", feed, std, deletes)
+    assert len(folders) == 2 and not any(os.path.exists(f.replace("file:", "")) for f in folders)
+
+
+@pytest.mark.parametrize("options", [
+    {"phases": ("delete", "sweeep"), "delete_path": "d"}, {"phases": ()}, {"phases": ("delete",)},
+    {"phases": ("load",), "feed_path": "f", "std_path": "s"}, {"phases": ("merge", "sweep")},
+    {"phases": ("load", "merge"), "std_path": "s"}, {"phases": ("load", "merge"), "feed_path": "f"},
+    {"phases": ("load", "merge"), "feed_path": "f", "std_path": "s", "standardizer": print},
+    {"phases": ("load", "merge"), "feed_path": "f", "standardizer": print, "skip_standardize": True}])
+def test_run_options_are_checked(spark, workdir, options):
+    store = StateStore(spark, os.path.join(workdir, "state"))
+    with pytest.raises(ValueError):
+        run_cycle(spark, store, "001", **options)
+    assert store.current() is None
+
+
+def test_standardizer_in_the_run(spark, month, workdir):
+    store, feed, std, deletes = month
+
+    def standardizer(pdf):
+        import pandas as pd
+        from landroll.sources.schemas import STD_COLUMNS
+        known = pdf[pdf["admid"] != "2008"]
+        out = pd.DataFrame({c: [None] * len(known) for c in STD_COLUMNS}, index=known.index, dtype=object)
+        return out.assign(admid=known["admid"], delivery_line_1="7 HOOK ST", city_name="TOWN", state_abbreviation="UT",
+                          latitude="40", longitude="-111")
+
+    res = run_cycle(spark, store, "001", feed, None, deletes, standardizer=standardizer)
+    par = _rows(res.tables["parcel"], "admid")
+    new = [r for r in res.tables["identity"].collect() if r.mail_address == "7 HOOK ST"]
+    assert len(new) == 1 and 2008 not in par and par[2001]["identity_id"] == new[0].id
+    # skip_standardize takes the file although a standardizer is given.
+    again = run_cycle(spark, store, "002", feed, std, deletes, standardizer=standardizer, skip_standardize=True)
+    assert any(r.mail_address == "8 TWIN DR" for r in again.tables["identity"].collect())
+
+
+def test_only_the_first_match_is_reactivated(spark, month, workdir):
+    store, _, _, deletes = month
+    store.publish({
+        "identity": _state_df(spark, "identity", [_ident(4, "9 DUP LN", "MOAB", True), _ident(5, "9 DUP LN", "MOAB", True)]),
+        "entity": _state_df(spark, "entity", [_ent(13, "DAVE", 4), _ent(14, "EVA", 5)]),
+        "parcel": _state_df(spark, "parcel", [_parcel(103, 1004, 4, 13), _parcel(104, 1005, 5, 14)])}, "000b")
+    feed = write_feed(os.path.join(workdir, "in", "one.txt"), [_feed(1004, "DAVE")])
+    std = write_std(os.path.join(workdir, "in", "one.tsv"), [_std(1004, "9 DUP LN", "MOAB")])
+    res = run_cycle(spark, store, "001", feed, std, phases=("load", "merge", "sweep"))
+    ident = _rows(res.tables["identity"], "id")
+    # 5 has the same key and still owns a parcel: it stays as it is.
+    assert ident[4]["inactive"] is None and ident[5]["inactive"] is True

@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from landroll.functions.address import compose, make_point, match_address_raw, normalize_address, point_ewkt
-from landroll.functions.cast import ColumnSpec, parse_bool, typed_cast
+from landroll.functions.cast import ColumnSpec, typed_cast
 
 
 def test_compose_collapses_and_skips_nulls(spark):
@@ -29,11 +29,26 @@ def test_make_point(spark):
     assert pts[1].p is None and pts[1].w is None
 
 
-def test_parse_bool_spellings(spark):
-    words = ["t", "f", "Y", "N", "1", "0", "true", "no", "on", "OFF", " yes ", "maybe", "", None]
-    df = spark.createDataFrame([(w,) for w in words], "w string")
-    got = [r[0] for r in df.select(parse_bool("w")).collect()]
-    assert got == [True, False, True, False, True, False, True, False, True, False, True, None, None, None]
+def test_bool_spellings(spark):
+    words = ["t", "f", "Y", "N", "1", "0", "true", "no", "on", "OFF", " yes ", "maybe", "  ", "", None]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
+    typed, _ = typed_cast(df, [ColumnSpec("w", "bool")], keep=["i"])
+    got = typed.orderBy("i").collect()
+    assert [r.w for r in got] == [True, False, True, False, True, False, True, False, True, False, True] + [None] * 4
+    # Only the empty field and NULL are no value; blanks alone are a bad one.
+    assert [len(r._problems) for r in got] == [0] * 11 + [1, 1, 0, 0]
+
+
+def test_blank_and_length_rules(spark):
+    specs = [ColumnSpec("n", "int"), ColumnSpec("d", "date"), ColumnSpec("c", "char", length=2),
+             ColumnSpec("v", "string", length=3), ColumnSpec("f", "string", length=3)]
+    rows = [(1, "  ", " ", "  ", "abc   ", "  "), (2, "", "", "", "abc x", ""), (3, None, None, None, "ab ", None)]
+    df = spark.createDataFrame(rows, "i int, n string, d string, c string, v string, f string")
+    typed, _ = typed_cast(df, specs, forced=["f"], keep=["i"])
+    a, b, c = typed.orderBy("i").collect()
+    assert sorted(a._problems) == ["d:type", "n:type"] and a.c == "  " and a.v == "abc" and a.f == "  "
+    assert b._problems == ["v:length"] and b.n is None and b.f == ""
+    assert c._problems == [] and c.v == "ab " and c.f == ""
 
 
 def test_typed_cast_reports_problems(spark):

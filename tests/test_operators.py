@@ -16,7 +16,7 @@ from landroll.operators.merge import get_or_insert, reactivate, upsert
 from landroll.operators.prune import (delete_by_keys, deleted_rows, drop_orphans, flag_orphans, null_references,
                                       orphans)
 from landroll.operators.quality import (ConstraintViolation, cascade_delete, check_fk, check_lengths,
-                                        check_not_null, check_unique, enforce, violations)
+                                        check_not_null, check_unique, enforce, fit_lengths, violations)
 
 
 def _skewed_rows(n=600, seed=7):
@@ -71,7 +71,7 @@ def test_salted_join_equals_plain_join(spark, how):
     big = spark.createDataFrame(rows + [(999, None, "b0", 1)], "pk long, a string, b string, v int")
     dim_rows = [(f"a{i}", f"b{j}", i * 10 + j) for i in range(0, 40, 2) for j in range(4)] + [("", "", -1)]
     dim = spark.createDataFrame(dim_rows, "a string, b string, d int")
-    hot = hot_keys(big, ["a", "b"], min_rows=50, max_keys=3)
+    hot = hot_keys(big, ["a", "b"], rows_per_salt=50)
     assert hot.count() == 1  # only the blank key holds 50+ rows
     salted = salted_join(big, dim, ["a", "b"], how, hot=hot, salt_cols=["pk"], rows_per_salt=20)
     plain = big.join(dim, ["a", "b"], how)
@@ -110,9 +110,8 @@ def test_upsert_labels_and_values(spark):
 def test_reactivate_and_sweeps(spark):
     ident = spark.createDataFrame([(1, "a", True), (2, "b", True), (3, "c", None), (4, "d", False)],
                                   "id long, k string, inactive boolean")
-    delta = spark.createDataFrame([("a",), ("a",), ("c",), ("d",)], "k string")
-    assert {r.id: r.inactive for r in reactivate(ident, delta, ["k"]).collect()} == \
-        {1: None, 2: True, 3: None, 4: False}
+    matched = spark.createDataFrame([(1,), (1,), (3,), (4,)], "id long")
+    assert {r.id: r.inactive for r in reactivate(ident, matched).collect()} == {1: None, 2: True, 3: None, 4: False}
     parcel = spark.createDataFrame([(1, 1), (2, 1), (3, None)], "id long, identity_id long")
     flagged = {r.id: r.inactive for r in flag_orphans(ident, parcel, "identity_id").collect()}
     assert flagged == {1: True, 2: True, 3: True, 4: True}  # 1 keeps its own True flag
@@ -135,9 +134,14 @@ def test_quality_checks(spark):
     df = spark.createDataFrame([(1, "abc", None, 5), (1, "abcdef", "x", 9), (2, None, None, None)],
                                "k long, s string, t string, fk long")
     assert [tuple(r) for r in check_unique(df, ["k"]).collect()] == [(1, 2)]
+    assert sorted(map(tuple, check_unique(df, ["fk"]).collect()), key=repr) == [(None, 1)]
+    assert check_unique(df, ["fk"], null_keys=False).count() == 0
     nulls = sorted(map(tuple, check_not_null(df, ["s", "t"], "k").collect()))
     assert nulls == [(1, "t"), (2, "s"), (2, "t")]
     assert [tuple(r) for r in check_lengths(df, {"s": 4}, "k").collect()] == [(1, "s", 6)]
+    blank = spark.createDataFrame([(1, "abcd   "), (2, "abcd  x")], "k long, s string")
+    assert [tuple(r) for r in check_lengths(blank, {"s": 4}, "k").collect()] == [(2, "s", 7)]
+    assert [r.s for r in fit_lengths(blank, {"s": 4}).orderBy("k").collect()] == ["abcd", "abcd  x"]
     parent = spark.createDataFrame([(5,)], "id long")
     assert [r.fk for r in check_fk(df, parent, "fk").collect()] == [9]
     found = violations("t", "unique", check_unique(df, ["k"]), ["k"], ["n"])
@@ -187,3 +191,42 @@ def test_upsert_property(spark, state_keys, delta_keys):
                 for k in state_keys}
     expected.update({k: (top + 1 + i, f"d{k}", "insert") for i, k in enumerate(fresh)})
     assert got == expected
+
+
+def test_a_key_of_more_than_512_salts(spark):
+    """No cap on salts or heavy keys: 1,500 keys are heavy and one needs 700 salts."""
+    big = spark.range(700).selectExpr("id as pk", "0 as k").unionByName(
+        spark.range(3000).selectExpr("id + 1000 as pk", "cast(id % 1500 + 1 as int) as k"))
+    dim = spark.range(1501).selectExpr("cast(id as int) as k", "id * 2 as d")
+    hot = hot_keys(big, ["k"], rows_per_salt=1)
+    assert hot.count() == 1501
+    got = salted_join(big, dim, ["k"], "left", hot=hot, salt_cols=["pk"], rows_per_salt=1)
+    assert sorted(map(tuple, got.select("pk", "k", "d").collect())) == \
+        sorted(map(tuple, big.join(dim, "k", "left").select("pk", "k", "d").collect()))
+    from landroll.operators import joins
+    assert not hasattr(joins, "MAX_SALTS") and not hasattr(joins, "MAX_HOT")
+
+
+def test_id_plan_does_not_grow_with_partitions(spark):
+    df = spark.range(500).selectExpr("cast(id * 7 % 500 as int) as k")
+    sizes = {}
+    for n in (2, 64):
+        out = assign_ids(df, ["k"], num_partitions=n)
+        assert sorted(r.id - r.k for r in out.collect()) == [1] * 500
+        sizes[n] = len(out._jdf.queryExecution().optimizedPlan().toString())
+    assert abs(sizes[64] - sizes[2]) < 200
+
+
+def test_id_offsets_across_groups_of_partitions(spark, monkeypatch):
+    from landroll.operators import keys
+    monkeypatch.setattr(keys, "_GROUP", 3)
+    out = assign_ids(spark.range(300).selectExpr("id as k"), ["k"], base=10, num_partitions=16)
+    assert sorted(r.id - r.k for r in out.collect()) == [11] * 300
+
+
+def test_enrichment_never_multiplies_rows(spark):
+    from landroll.operators.enrich import left_enrich
+    df = spark.createDataFrame([(1, 5), (2, 6)], "k long, fk long")
+    std = spark.createDataFrame([(5, "b"), (5, "a"), (7, "c")], "id long, v string")
+    got = sorted(map(tuple, left_enrich(df, std, "fk", "id", {"v": "v"}).collect()))
+    assert got == [(1, 5, "a", True), (2, 6, None, False)]
