@@ -95,4 +95,28 @@ ORACLES: dict[str, str] = {
             FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op7_substring_dedup": r"""
+        WITH docs AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM docs),
+        windows AS (
+            SELECT doc_id, word, pos, list(word) OVER ahead AS win, count(*) OVER ahead = 20 AS whole
+            FROM words
+            WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+        judged AS (
+            SELECT doc_id, word, pos, whole
+                AND row_number() OVER (PARTITION BY whole, win ORDER BY doc_id, pos) > 1 AS later
+            FROM windows),
+        covered AS (
+            SELECT doc_id, word, pos, bool_or(later) OVER (
+                PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+            FROM judged),
+        kept AS (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+                coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '') AS words
+            FROM covered GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+            sha256(coalesce(words, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)
+    """,
 }
