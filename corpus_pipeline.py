@@ -17,8 +17,8 @@ from landroll.llm.queries import TOKENIZER
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality.judge(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
-    return judged.where("kept").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("__row"))
+    return quality.judge(rows, table(spark, sf_dir, "labels"), keep=("__row",)).where("kept").select("__row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -142,12 +142,14 @@ def fit(docs: DataFrame, allowed: Column, docs_per_lang: int = DOCS_PER_LANG, se
             for at in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(at, _ROWS)
                 packed = [v.tobytes() for v in _vectors(part.column(1))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], ["lang", "v"])
-
-    # The picked ids are at most docs_per_lang a language.
-    rows = (docs.select("lang", "doc_id", text_or_empty().alias("text")).where(F.col("text").rlike(r"\p{L}"))
-            .join(F.broadcast(picked), ["lang", "doc_id"]).select("lang", "text")
-            .mapInArrow(run, "lang string, v binary").collect())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(packed, pa.binary())],
+                                                 ["lang", "doc_id", "v"])
+
+    # The picked ids are at most docs_per_lang a language; rows that repeat one count once.
+    rows = (docs.select("lang", F.col("doc_id").cast("string").alias("id"), "doc_id", text_or_empty().alias("text"))
+            .where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(picked), ["lang", "doc_id"])
+            .select("lang", "text", "id").mapInArrow(run, "lang string, doc_id string, v binary")
+            .groupBy("lang", "doc_id").agg(F.min("v").alias("v")).select("lang", "v").collect())
     if not rows:
         return {}
     rows.sort(key=lambda r: (r.lang, bytes(r.v)))

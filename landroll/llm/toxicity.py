@@ -101,9 +101,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, voca
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, pa.binary())],
                                              ["doc_id", "toxic", "features"])
 
-    # Packed (term number, count) pairs: a few MB for the whole sample.
+    # Packed (term number, count) pairs: a few MB for the whole sample, one row per id however often it repeats.
     rows = sorted(sample.select("doc_id", "toxic", "terms")
-                  .mapInArrow(packed, "doc_id long, toxic int, features binary").collect())
+                  .mapInArrow(packed, "doc_id long, toxic int, features binary")
+                  .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("features").alias("features")).collect())
     features = [np.frombuffer(r.features, np.int32).reshape(2, -1) for r in rows]
     is_strong = np.zeros(len(terms), bool)
     is_strong[[i for i, odds in terms.values() if odds > STRONG]] = True

@@ -45,3 +45,15 @@ def test_stages_take_effect_and_keep_the_columns_of_documents(spark, tmp_path):
     for r in seen["bpe_codec"]:
         assert list(r.ids) == tok.encode(r.decoded, add_special_tokens=False).ids and r.n_tokens == len(r.ids)
     assert sorted((r.doc_id, r.decoded) for r in corpus_pipeline.run(spark, sf).collect()) == coded
+
+
+def test_stages_keep_extra_columns_and_take_empty_tables(spark, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    words = "some plain words that say one thing after another and never twice the same again today"
+    for rows in ([], [(1, words), (1, words), (None, words + " too"), (2, None)]):
+        docs = brute.documents(spark, rows, extra=True).selectExpr("*", "'x' as kept", "'y' as n_words", "'z' as text_x")
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path))
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == docs.columns, name
+            out.collect()
