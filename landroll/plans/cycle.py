@@ -158,6 +158,7 @@ def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool
     new = cands.drop("_rows").withColumn("mail_location", make_point("mail_longitude", "mail_latitude"))
     _, new_ident = get_or_insert(identity, new, IDENTITY_KEY, existing_keys=ident_first,
                                  defaults={"primary_name": F.lit(""), "rental_count": F.lit(0)})
+    new_ident = stage(new_ident, "identity_inserted")  # read by the lookup, the table and the report
     touched = ident_first.join(cands.select(*IDENTITY_KEY), IDENTITY_KEY, "left_semi").select("id")
     identity = reactivate(identity, touched).unionByName(new_ident)
     lookup_ident = (ident_first.select("id", *IDENTITY_KEY).unionByName(new_ident.select("id", *IDENTITY_KEY))
@@ -169,7 +170,9 @@ def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool
     ent_cands = stage(keep_first(named.select(*ENTITY_KEY), ENTITY_KEY, count_col="_rows"), "delta_entities")
     hot_ent = hot_keys(ent_cands, ENTITY_KEY, count_col="_rows")
     ent_first = stage(first_match(entity, ENTITY_KEY, count_col="n"), "state_entity_keys")
-    entity, new_ent = get_or_insert(entity, ent_cands.drop("_rows"), ENTITY_KEY, existing_keys=ent_first)
+    _, new_ent = get_or_insert(entity, ent_cands.drop("_rows"), ENTITY_KEY, existing_keys=ent_first)
+    new_ent = stage(new_ent, "entity_inserted")
+    entity = entity.unionByName(new_ent)
     lookup_ent = (ent_first.select("id", *ENTITY_KEY).unionByName(new_ent.select("id", *ENTITY_KEY))
                   .withColumnRenamed("id", "entity_id"))
 
@@ -201,11 +204,14 @@ def apply_deletes(tables: dict[str, DataFrame], deletes: DataFrame) -> dict[str,
 
 
 def sweep(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Identities without parcels become inactive; entities without parcels are dropped."""
-    parcel = tables["parcel"]
+    """Identities without parcels become inactive; entities without parcels are dropped.
+
+    Both sweeps read the ids that parcels refer to, taken from them once.
+    """
+    refs = stage(tables["parcel"].select("identity_id", "entity_id").distinct(), "parcel_refs")
     return {**tables,
-            "identity": flag_orphans(tables["identity"], parcel, "identity_id"),
-            "entity": drop_orphans(tables["entity"], parcel, "entity_id")}
+            "identity": flag_orphans(tables["identity"], refs, "identity_id"),
+            "entity": drop_orphans(tables["entity"], refs, "entity_id")}
 
 
 def export_address_extract(spark: SparkSession, feed_path, out_path: str, mode: str = "strict") -> DataFrame:
@@ -326,6 +332,7 @@ def _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrit
         result.rejects["deletes"] = deletes.rejects
         tables = apply_deletes(tables, deletes.rows)
     if "sweep" in phases:
-        tables = sweep(tables)
+        with phase(spark, "sweep"):
+            tables = sweep(tables)
     result.tables = {name: conform(df, StructType.fromDDL(STATE_DDL[name])) for name, df in tables.items()}
     return result

@@ -75,7 +75,7 @@ def main(argv):
     from landroll.session import build_session
     import __spark_entry__ as entry
 
-    spark = build_session("local[8]", 8)
+    spark = build_session(os.environ.get("COMPARE_MASTER", "local[8]"), 8)
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
