@@ -121,10 +121,11 @@ def search_shard(query_ids: np.ndarray, queries: np.ndarray, blocks: list[tuple[
             ids, weights = blocks[number][:2]
             scores = _products(queries[own], weights)
             for q, row in zip(own, scores):
-                floor = kth[q]
+                floor, others = kth[q], ids != query_ids[q]
+                row = np.where(others, row, np.iinfo(np.int64).min)  # any number of rows may have the query's id
                 if len(ids) > k:
-                    floor = max(floor, np.partition(row, -k - 1)[-k - 1])  # one more, for the query itself
-                hits = np.flatnonzero((row >= floor) & (ids != query_ids[q]))
+                    floor = max(floor, np.partition(row, -k)[-k])
+                hits = np.flatnonzero((row >= floor) & others)
                 if len(hits):
                     hits = hits[np.argsort(-row[hits], kind="stable")[:k]]
                     merged = sorted(best[q] + [(-int(row[h]), int(ids[h])) for h in hits])[:k]

@@ -65,3 +65,25 @@ def test_large_components_stay_exact():
     blocks = [(np.array([1, 2, 3]), x, x.max(axis=0), x.min(axis=0))]
     _, vec, score, _ = topk.search_shard(np.array([0]), np.array([[big, 1]]), blocks, 2)
     assert list(vec) == [2, 1] and list(score) == [big * big + 2, big * big + 1]
+
+
+def test_rows_that_repeat_the_querys_id_take_no_candidates_place(spark):
+    # Ten high rows of the query's id stand in one block with the 6 candidates.
+    rows = [(i, [float(i)]) for i in range(1, 7)] + [(50, [9.0])] * 10
+    got = run(spark, rows).collect()
+    assert sorted((r.rank, r.vec_id) for r in got) == [(1, 6), (2, 5), (3, 4), (4, 3), (5, 2)]
+
+
+def test_repeated_ids_with_different_vectors_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 150)
+    g = np.random.default_rng(2)
+    v = topk.quantised(spark.createDataFrame(
+        [(i // 8, [float(x) for x in g.normal(0, 0.2, 4)], 1) for i in range(600)], SCHEMA))
+    rows = [(r.vec_id, r.v) for r in v.collect()]
+    want = set()
+    for q, a in rows:
+        if q == 50:
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in rows if i != q)[:5]
+            want |= {(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)}
+    got = topk.top_k(v, v.where("vec_id = 50"), 5).collect()
+    assert {tuple(r) for r in got} == want and len(got) == 40
