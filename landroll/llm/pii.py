@@ -1,10 +1,11 @@
 """Personal data: seed expressions, then bootstrapped contextual extraction.
 
 Seeds are the spans that four fixed expressions (with their checks) find.  The
-words left of a seed induce lexical patterns: the last two words, and a label
-(a last word that ends in ``:``, ``=`` or ``#``).  Other tokens that hold a
-digit or ``@`` and stand behind the same words are further instances of a
-pattern.  On the bipartite graph of patterns and instances two scores are
+words of the text left of a seed induce lexical patterns: the last two words,
+and a label (a last word that ends in ``:``, ``=`` or ``#``), numbers in them
+all alike.  Other tokens that hold a digit, ``@`` or ``[at]`` and stand behind
+the same words are further instances of a pattern; neighbouring groups of
+digits are one token.  On the bipartite graph of patterns and instances two scores are
 iterated: a pattern's confidence for a kind is the sum of its instances'
 scores over one more than their number; an instance that is no seed scores
 1 - product of (1 - confidence) over its patterns.  Patterns of enough seeds
@@ -40,14 +41,21 @@ EXPRESSIONS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+_AT = r"[(\[{](?i:at)[)\]}]"
+TOKEN_NEEDS = rf"[0-9@]|{_AT}"
+TOKEN = (r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D0-9@]*+[0-9@]|[^\x20\x09-\x0D]*?" + _AT + r")"
+         r"[^\x20\x09-\x0D]*+")
+# A token that ends in a group of digits (after a label or signs at most), and one that carries it on.
+GROUPS_BEGIN = r"^(?:[^0-9@]*[^\p{L}0-9@])?[0-9]+(?:[().+/-]+[0-9]+)*[)\]]?$"
+GROUPS_GO_ON = r"^[(\[]?[0-9]+(?:[().+/-]+[0-9]+)*[)\]]?"
+GROUPS_LAST = GROUPS_GO_ON + r"[^\p{L}\p{N}@]*$"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 ROUNDS = 3
 MIN_SEEDS = 3           # different seeds that a pattern needs
 MIN_CONFIDENCE = 0.7
 MIN_DIGITS = 4          # of a found token without @
-CONTEXT_CHARS = 100     # of the gap before a candidate in which its words are looked for
+CONTEXT_CHARS = 100     # of the text before a candidate in which its words are looked for
 
 
 def _passes(kind: str, m: Column) -> Column:
@@ -73,13 +81,23 @@ def _candidates(number: int, expression: str, needs: str) -> Column:
     text = F.col("text")
     gaps, matches = F.split(text, expression, -1), F.regexp_extract_all(text, F.lit(expression), F.lit(0))
 
-    def row(pair: Column, i: Column) -> Column:
-        gap = pair["gap"]
-        return F.struct(F.lit(number).alias("kind"), i.alias("i"), F.length(gap).alias("gap"), pair["m"].alias("m"),
-                        F.right(gap, F.lit(CONTEXT_CHARS)).alias("left"))
-
-    # There is one gap more than matches: the text after the last.
-    zipped = F.transform(F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("m")), row)
+    def tail(string: Column) -> Column:
+        return F.right(string, F.lit(CONTEXT_CHARS))
+
+    def rows(pairs: Column) -> Column:
+        def row(pair: Column, i: Column) -> Column:
+            # A match and its gap have two characters or more, a token that begins the text excepted.
+            near = F.least(i, F.lit(CONTEXT_CHARS // 2 + 1))
+            before = F.transform(F.slice(pairs, i - near + 1, near),
+                                 lambda p: F.concat(tail(p["gap"]), tail(p["m"])))
+            return F.struct(F.lit(number).alias("kind"), i.alias("i"), F.length(pair["gap"]).alias("gap"),
+                            pair["m"].alias("m"),
+                            tail(F.concat(F.array_join(before, ""), tail(pair["gap"]))).alias("left"))
+        return F.transform(pairs, row)
+
+    # There is one gap more than matches: the text after the last.  An array of one binds the pairs for all rows.
+    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("m"))
+    zipped = F.transform(F.array(pairs), rows)[0]
     empty = "cast(array() as array<struct<kind: int, i: int, gap: int, m: string, left: string>>)"
     return F.when(text.rlike(needs), zipped).otherwise(F.expr(empty))
 
@@ -88,12 +106,13 @@ def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, kind, start, end, m, left, base): every match and token, with code point positions.
 
     kind 0 to 3 is that of ``KINDS`` and base is true if the match passes its
-    check; kind 4 are tokens that touch no base span.
+    check; kind 4 are tokens that touch no base span, neighbouring groups of
+    digits joined.  left is the text before it, up to ``CONTEXT_CHARS``.
     """
     texts = docs.select("doc_id", text_or_empty().alias("text")).withColumn("mark", F.xxhash64("text"))
     found = F.concat(*[_candidates(k, EXPRESSIONS[kind], NEEDS[kind]) for k, kind in enumerate(KINDS)],
-                     _candidates(len(KINDS), TOKEN, "[0-9@]"))
-    rows = (texts.where(F.col("text").rlike("[0-9@]")).select("doc_id", "mark", F.explode(found).alias("c"))
+                     _candidates(len(KINDS), TOKEN, TOKEN_NEEDS))
+    rows = (texts.where(F.col("text").rlike(TOKEN_NEEDS)).select("doc_id", "mark", F.explode(found).alias("c"))
             .select("doc_id", "mark", "c.*"))
     # Equal rows of the table give equal candidates: one set will do.  A document's candidates meet in one task.
     rows = (rows.groupBy("doc_id", "mark", "kind", "i").agg(
@@ -110,13 +129,28 @@ def candidates(docs: DataFrame) -> DataFrame:
     until = F.max(F.when(F.col("base"), F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     since = F.min(F.when(F.col("base"), F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
     free = (F.coalesce(until, F.lit(0)) <= F.col("start")) & (F.coalesce(since, F.col("end")) >= F.col("end"))
-    return (placed.withColumn("free", free).where(F.col("base") | F.col("free"))
+    kept = placed.withColumn("free", free).where(F.col("base") | F.col("free"))
+    # A token joins the one before it if both are groups of digits with one or two blanks between.
+    order = Window.partitionBy("doc_id", "mark", "kind").orderBy("i")
+    blanks = F.right("left", F.col("gap"))
+    goes_on = ((F.col("kind") == len(KINDS)) & (F.lag("i").over(order) == F.col("i") - 1)
+               & F.col("gap").between(1, 2) & blanks.rlike(r"^[\x20\x09]+$") & F.col("m").rlike(GROUPS_LAST)
+               & F.lag("m").over(order).rlike(GROUPS_BEGIN))
+    joined = (kept.withColumn("goes_on", F.coalesce(goes_on, F.lit(False)))
+              .withColumn("first", F.sum((~F.col("goes_on")).cast("int")).over(
+                  order.rowsBetween(Window.unboundedPreceding, 0))))
+    piece = F.struct("i", F.when(F.col("goes_on"), F.concat(blanks, F.col("m"))).otherwise(F.col("m")).alias("m"))
+    return (joined.groupBy("doc_id", "mark", "kind", "first").agg(
+                F.min("start").alias("start"), F.max("end").alias("end"),
+                F.array_join(F.transform(F.sort_array(F.collect_list(piece)), lambda x: x["m"]), "").alias("m"),
+                F.min_by("left", "i").alias("left"), F.first("base").alias("base"))
             .select("doc_id", "mark", "kind", "start", "end", "m", "left", "base"))
 
 
 def _with_patterns(rows: DataFrame) -> DataFrame:
-    """One row per candidate and pattern; the pattern's words are lower-cased."""
-    words = F.filter(F.split(F.lower("left"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """One row per candidate and pattern; the pattern's words are lower-cased, a number in them is 0."""
+    plain = F.regexp_replace(F.lower("left"), "[0-9]+", "0")
+    words = F.filter(F.split(plain, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     last, two = F.element_at("words", -1), F.slice("words", -2, 2)
     patterns = F.array(
         F.when(F.size("words") >= 2, F.concat(F.lit("2 "), F.array_join(two, " "))),
@@ -126,8 +160,9 @@ def _with_patterns(rows: DataFrame) -> DataFrame:
 
 
 def _identifier(m: Column) -> Column:
-    """A token without the quotes, brackets and points around it."""
-    return F.regexp_replace(F.regexp_replace(m, r"^[^\p{L}\p{N}+@]+", ""), r"[^\p{L}\p{N}]+$", "")
+    """A token without the quotes, brackets and points around it; (555) before more digits keeps its brackets."""
+    begun = F.regexp_replace(m, r"^(?:(?!\([0-9]+\)[\x20\x09]*[0-9])[^\p{L}\p{N}+@])+", "")
+    return F.regexp_replace(begun, r"[^\p{L}\p{N}]+$", "")
 
 
 def learn(rows: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,

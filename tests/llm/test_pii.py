@@ -98,3 +98,37 @@ def test_long_text_with_many_spans(spark):
     text = " ".join(f"u{r.randrange(10**6)}@h.org and 10.1.{k % 250}.7" for k in range(6000))
     got = pii.detect(brute.documents(spark, [(1, text)])).select(F.size("spans")).first()[0]
     assert got == 12000
+
+
+def marked(spark, rows):
+    texts, got = dict(rows), found(spark, rows)
+    return {i: [(k, texts[i][a:b]) for k, a, b in spans] for i, spans in got.items()}
+
+
+def test_neighbouring_groups_of_digits_are_one_identifier(spark):
+    rows = [(i, f"you can reach me by phone: +1 487 555 {7000 + i}, ok") for i in range(9)]
+    rows += [(50, "reach me by phone: (555) 123-4567, thanks"), (51, "reach me by phone: 0171 555 1234. Or 12 times"),
+             (52, "by phone: 0171 555 1234\n77 people"), (53, "by phone: 1.2.3.4 0171 555 1234")]
+    got = marked(spark, rows)
+    assert got[50] == [("phone", "(555) 123-4567")] and got[51] == [("phone", "0171 555 1234")]
+    assert got[52] == [("phone", "0171 555 1234")] and got[53] == [("ip", "1.2.3.4")]
+
+
+def test_at_in_brackets_without_digits_is_a_candidate(spark):
+    rows = contact_rows()[:8] + [(60, "write to Email: john[at]example.com now"), (61, "to Email: Ann(AT)host, or"),
+                                 (62, "write to Email: chat[attic] now")]
+    got = marked(spark, rows)
+    assert got[60] == [("email", "john[at]example.com")] and got[61] == [("email", "Ann(AT)host")] and got[62] == []
+
+
+def test_context_is_the_text_before_a_candidate_whatever_stands_there(spark):
+    rows = [(i, f"{2000 + i}-01-0{i} from user{i}@mail.example.com") for i in range(1, 8)]
+    rows += [(50, "2024-01-05 from bob@localhost")]
+    assert marked(spark, rows)[50] == [("email", "bob@localhost")]
+    left = {r.m: r.left for r in pii.candidates(brute.documents(spark, [(1, "a1 b2 x@y.org c3 z@y.org")])).collect()}
+    assert left == {"a1": "", "b2": "a1 ", "x@y.org": "a1 b2 ", "c3": "a1 b2 x@y.org ", "z@y.org": "a1 b2 x@y.org c3 "}
+
+
+def test_long_tokens_are_matched_without_deep_recursion(spark):
+    texts = ["(" * 50_000, "x[" * 30_000 + "at]y", "1 " * 30_000 + "a", "(1) " * 5_000, "1.2" * 20_000]
+    assert pii.detect(brute.documents(spark, list(enumerate(texts)))).count() == 5
