@@ -8,8 +8,10 @@ the same words are further instances of a pattern; neighbouring groups of
 digits are one token.  On the bipartite graph of patterns and instances two scores are
 iterated: a pattern's confidence for a kind is the sum of its instances'
 scores over one more than their number; an instance that is no seed scores
-1 - product of (1 - confidence) over its patterns.  Patterns of enough seeds
-and confidence mark the tokens behind them, as spans of their kind.
+1 - product of (1 - confidence) over its patterns.  A pattern enters the graph
+in the round in which its seeds and confident instances sum up to enough, so
+what was found supports further patterns.  Patterns of enough confidence mark
+the tokens behind them, as spans of their kind.
 
 Everything is DataFrame functions: regular expressions, arrays, windows, joins
 and aggregates.  Positions are running sums over the gaps and matches of one
@@ -46,13 +48,13 @@ TOKEN_NEEDS = rf"[0-9@]|{_AT}"
 TOKEN = (r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D0-9@]*+[0-9@]|[^\x20\x09-\x0D]*?" + _AT + r")"
          r"[^\x20\x09-\x0D]*+")
 # A token that ends in a group of digits (after a label or signs at most), and one that carries it on.
-GROUPS_BEGIN = r"^(?:[^0-9@]*[^\p{L}0-9@])?[0-9]+(?:[().+/-]+[0-9]+)*[)\]]?$"
-GROUPS_GO_ON = r"^[(\[]?[0-9]+(?:[().+/-]+[0-9]+)*[)\]]?"
+GROUPS_BEGIN = r"^(?:[^0-9@]*[^\p{L}0-9@])?[0-9]++(?:[().+/-]++[0-9]++)*+[)\]]?$"
+GROUPS_GO_ON = r"^[(\[]?[0-9]++(?:[().+/-]++[0-9]++)*+[)\]]?"
 GROUPS_LAST = GROUPS_GO_ON + r"[^\p{L}\p{N}@]*$"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 ROUNDS = 3
-MIN_SEEDS = 3           # different seeds that a pattern needs
+MIN_SEEDS = 3           # summed score of different seeds and confident instances that a pattern needs
 MIN_CONFIDENCE = 0.7
 MIN_DIGITS = 4          # of a found token without @
 CONTEXT_CHARS = 100     # of the text before a candidate in which its words are looked for
@@ -161,33 +163,42 @@ def _with_patterns(rows: DataFrame) -> DataFrame:
 
 def _identifier(m: Column) -> Column:
     """A token without the quotes, brackets and points around it; (555) before more digits keeps its brackets."""
-    begun = F.regexp_replace(m, r"^(?:(?!\([0-9]+\)[\x20\x09]*[0-9])[^\p{L}\p{N}+@])+", "")
+    begun = F.regexp_replace(m, r"^(?:(?!\([0-9]+\)[\x20\x09]*[0-9])[^\p{L}\p{N}+@])++", "")
     return F.regexp_replace(begun, r"[^\p{L}\p{N}]+$", "")
 
 
+def _plausible(kind: Column, token: Column) -> Column:
+    """Whether an identifier can be of the kind at all."""
+    return F.when(kind == 0, token.rlike(rf"@|{_AT}")).otherwise(
+        F.length(F.regexp_replace(token, "[^0-9]", "")) >= MIN_DIGITS)
+
+
 def learn(rows: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
           min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(p, kind, confidence) of the patterns to trust, from candidates with patterns."""
-    edges = staged(rows.select("p", F.lower("m").alias("x"),
-                               F.when(F.col("base"), F.col("kind")).alias("seed")).distinct(), "pii-edges")
-    n_instances = staged(edges.groupBy("p").agg(F.count_distinct("x").alias("n"),
-                                                F.count("seed").alias("seeds"))
-                         .where(F.col("seeds") >= min_seeds), "pii-patterns")
-    known = edges.where("seed is not null").select("p", "x", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
-    # Only patterns with enough seeds can ever be trusted, so others are left out of the graph.
+    x = F.lower(F.when(F.col("base"), F.col("m")).otherwise(_identifier(F.col("m"))))
+    edges = staged(rows.select("p", x.alias("x"), F.when(F.col("base"), F.col("kind")).alias("seed")).distinct(),
+                   "pii-edges")
+    # A pattern of fewer instances cannot reach the sum, as no instance counts for more than 1.
+    n_instances = staged(edges.groupBy("p").agg(F.count_distinct("x").alias("n"))
+                         .where(F.col("n") >= min_seeds), "pii-patterns")
+    known = edges.where("seed is not null").select("p", "x", F.col("seed").alias("kind"), F.lit(1.0).alias("score"),
+                                                   F.lit(True).alias("counts"))
     open_edges = staged(edges.where("seed is null").join(n_instances, "p", "left_semi").select("p", "x"),
                         "pii-open")
     scored = known
     for _ in range(rounds):
         confidence = staged(
             scored.groupBy("p", "kind").agg(F.sum("score").alias("sum"),
-                                            F.sum((F.col("score") == 1.0).cast("int")).alias("own_seeds"))
-            .where(F.col("own_seeds") >= min_seeds).join(n_instances, "p")
+                                            F.sum(F.when(F.col("counts"), F.col("score"))).alias("support"))
+            .where(F.col("support") >= min_seeds).join(n_instances, "p")
             .select("p", "kind", (F.col("sum") / (F.col("n") + 1)).alias("confidence")), "pii-confidence")
         doubt = F.sum(F.log1p(-F.col("confidence")))
         instances = (open_edges.join(confidence, "p").groupBy("x", "kind")
-                     .agg((1 - F.exp(doubt)).alias("score")))
-        scored = known.unionByName(open_edges.join(instances, "x").select("p", "x", "kind", "score"))
+                     .agg((1 - F.exp(doubt)).alias("score"))
+                     .withColumn("counts", (F.col("score") >= min_confidence)
+                                 & _plausible(F.col("kind"), F.col("x"))))
+        scored = known.unionByName(open_edges.join(instances, "x").select("p", "x", "kind", "score", "counts"))
     return confidence.where(F.col("confidence") >= min_confidence)
 
 
@@ -206,8 +217,7 @@ def spans(docs: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
               .agg(F.max(F.struct("confidence", (-F.col("kind")).alias("order"))).alias("best"))
               .select("doc_id", "mark", F.col("start").alias("at"), "m", token.alias("token"),
                       (-F.col("best.order")).alias("kind"))
-              .where(F.when(F.col("kind") == 0, F.col("token").rlike(r"@|(?i:[(\[{]at[)\]}])"))
-                     .otherwise(F.length(F.regexp_replace("token", "[^0-9]", "")) >= MIN_DIGITS))
+              .where(_plausible(F.col("kind"), F.col("token")))
               .withColumn("start", F.col("at") + F.instr("m", F.col("token")) - 1)
               .select("doc_id", "mark", "kind", "start", (F.col("start") + F.length("token")).alias("end"),
                       F.lit(False).alias("base")))

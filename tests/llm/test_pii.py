@@ -130,5 +130,16 @@ def test_context_is_the_text_before_a_candidate_whatever_stands_there(spark):
 
 
 def test_long_tokens_are_matched_without_deep_recursion(spark):
-    texts = ["(" * 50_000, "x[" * 30_000 + "at]y", "1 " * 30_000 + "a", "(1) " * 5_000, "1.2" * 20_000]
+    texts = ["(" * 50_000, "(" * 50_000 + "1", "x[" * 30_000 + "at]y", "1 " + "1)" * 30_000, "1 (1) " * 1_000]
     assert pii.detect(brute.documents(spark, list(enumerate(texts)))).count() == 5
+
+
+def test_found_identifiers_support_further_patterns(spark):
+    # Thirty seeds trust "my mail:"; the twelve identifiers found there trust "addr =", which trusts nobody@host.
+    rows = [(i, f"this is my mail: seed{i}@mail.example.com") for i in range(30)]
+    rows += [(100 + i, f"this is my mail: n{i}@intra") for i in range(12)]
+    rows += [(200 + i, f"write addr = n{i}@intra") for i in range(12)]
+    rows += [(300, "write addr = zed@intra"), (301, "write addr = 98765"), (302, "other words zed@intra")]
+    got = marked(spark, rows)
+    assert got[100] == [("email", "n0@intra")] and got[300] == [("email", "zed@intra")]
+    assert got[301] == [] and got[302] == []
