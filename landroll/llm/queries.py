@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, pii, quality, simhash, sitetree, substring, topk, toxicity
+from . import bpe, langid, mixing, pieces, pii, quality, simhash, sitetree, substring, topk, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,10 +74,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "lang_pred", "score")
 
 
+def op11_sentencepiece_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash_near_dedup, op2_bpe_encode_decode, op3_exact_top_k, op4_main_text,
                             op5_quality_rules, op6_toxicity_severity, op7_substring_dedup, op8_personal_data,
-                            op9_mix_sources, op10_language_id)}
+                            op9_mix_sources, op10_language_id, op11_sentencepiece_encode_decode)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_top_k": """
