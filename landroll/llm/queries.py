@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, pieces, pii, quality, simhash, sitetree, substring, topk, toxicity
+from . import bpe, langid, mixing, pieces, pii, prefixtrie, quality, simhash, sitetree, substring, topk, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -81,10 +81,15 @@ def op11_sentencepiece_encode_decode(spark: SparkSession, sf_dir: str) -> DataFr
                         F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash_near_dedup, op2_bpe_encode_decode, op3_exact_top_k, op4_main_text,
                             op5_quality_rules, op6_toxicity_severity, op7_substring_dedup, op8_personal_data,
-                            op9_mix_sources, op10_language_id, op11_sentencepiece_encode_decode)}
+                            op9_mix_sources, op10_language_id, op11_sentencepiece_encode_decode,
+                            op13_conversation_prefix_trie)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_top_k": """
@@ -127,4 +132,42 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(words, '')) AS kept_sha256
         FROM docs LEFT JOIN kept USING (doc_id)
     """,
+    "op13_conversation_prefix_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+            FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (
+            SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS turns,
+                xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+                        string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS UBIGINT))),
+                    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                        lambda v, bit: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END)),
+                    4294967295::UBIGINT) % 4 AS h
+            FROM turns GROUP BY conv_id),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(g.turns, [])[1:CAST(c.h AS BIGINT)],
+                c.turns[CAST(c.h AS BIGINT) + 1:]) AS turns
+            FROM convs c LEFT JOIN convs g ON g.conv_id = c.conv_id - c.conv_id % 20),
+        starts AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+        nodes AS (
+            SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                    FILTER (depth = len(turns)), '')) AS ends_sha256
+            FROM starts GROUP BY ALL),
+        children AS (
+            SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+        own AS (
+            SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children,
+                (n.n_convs - 1) * len(regexp_extract_all(coalesce(n.path[n.depth].text, ''), '[^ 	-]+')) AS saved
+            FROM nodes n LEFT JOIN children c USING (path)
+            LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]),
+        lines AS (SELECT path, unnest(range(0, depth + 1)) AS up, n_children, saved FROM own),
+        totals AS (
+            SELECT path[1:up] AS path, CAST(count(*) FILTER (n_children = 0) AS BIGINT) AS n_leaves,
+                CAST(sum(saved) AS BIGINT) AS saved_tokens
+            FROM lines GROUP BY ALL)
+        SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+        FROM own JOIN totals USING (path)
+    """,
 }
