@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, pieces, pii, prefixtrie, quality, simhash, sitetree, substring, topk, toxicity
+from . import bpe, collocations, langid, mixing, pieces, pii, prefixtrie, quality, simhash, sitetree, substring, topk, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -81,6 +81,10 @@ def op11_sentencepiece_encode_decode(spark: SparkSession, sf_dir: str) -> DataFr
                         F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.trie(table(spark, sf_dir, "conversations"))
 
@@ -89,7 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash_near_dedup, op2_bpe_encode_decode, op3_exact_top_k, op4_main_text,
                             op5_quality_rules, op6_toxicity_severity, op7_substring_dedup, op8_personal_data,
                             op9_mix_sources, op10_language_id, op11_sentencepiece_encode_decode,
-                            op13_conversation_prefix_trie)}
+                            op12_phrase_collocations, op13_conversation_prefix_trie)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_top_k": """
@@ -132,6 +136,40 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(words, '')) AS kept_sha256
         FROM docs LEFT JOIN kept USING (doc_id)
     """,
+    "op12_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+            FROM documents),
+        starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+        counts AS (
+            SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+            FROM starts, range(1, 5) s(size) WHERE i + size - 1 <= len(w) GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+        candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 30),
+        cuts AS (
+            SELECT c.lang, c.size, c.phrase, c.f AS a, l.f AS l, r.f AS r, k,
+                CAST(2000000 * CAST(c.f AS HUGEINT) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+            JOIN counts l ON l.lang = c.lang AND l.size = k AND l.phrase = array_to_string(c.w[1:k], ' ')
+            JOIN counts r ON r.lang = c.lang AND r.size = c.size - k
+                AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+        scored AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        covered AS (
+            SELECT DISTINCT c.lang, c.phrase
+            FROM candidates c JOIN (
+                SELECT lang, f, size, unnest(range(2, size)) AS part, w FROM candidates) x
+                ON x.lang = c.lang AND x.part = c.size
+            WHERE 100 * x.f >= 80 * c.f
+                AND list_contains(list_transform(range(1, x.size - c.size + 2),
+                    lambda i: array_to_string(x.w[i:i + c.size - 1], ' ')), c.phrase)),
+        ranked AS (
+            SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM scored s ANTI JOIN covered USING (lang, phrase))
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
     "op13_conversation_prefix_trie": r"""
         WITH turns AS (
             SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
@@ -159,7 +197,8 @@ ORACLES: dict[str, str] = {
             SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
         own AS (
             SELECT n.*, p.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children,
-                (n.n_convs - 1) * len(regexp_extract_all(coalesce(n.path[n.depth].text, ''), '[^ 	-]+')) AS saved
+                (n.n_convs - 1) * len(regexp_extract_all(coalesce(n.path[n.depth].text, ''), '[^ 	-
+]+')) AS saved
             FROM nodes n LEFT JOIN children c USING (path)
             LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]),
         lines AS (SELECT path, unnest(range(0, depth + 1)) AS up, n_children, saved FROM own),
