@@ -38,9 +38,10 @@ table none; other columns are ignored.
 
 from __future__ import annotations
 
-import itertools
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -62,10 +63,11 @@ COVERED = (100, 80)  # a phrase is covered if 100 f(longer) >= 80 f(phrase)
 FIRST, STEP = 4, 4       # pairs down to the first threshold, in units of the rows asked for; factor of the next one
 BITS = 26                # bits of a table of phrase hashes: 8 MB
 CHUNK = 24 << 20         # bytes of text that a task counts at a time
-_SLICE = 1 << 20
 _ROWS = 50_000
-_BREAK = b"."            # stands for every character that ends a piece
-_TABLE = bytes.maketrans(b",;:!?\x0a\x0b\x0c\x0d", _BREAK * 9)
+_BREAK = 2
+_KIND = np.zeros(256, np.uint8)  # kind of each byte: of a word, blank between words, end of a piece
+_KIND[list(b" \t")] = 1
+_KIND[list(b".,;:!?\n\v\f\r")] = _BREAK
 _KEY = ["lang", "phrase"]
 
 
@@ -122,105 +124,118 @@ def _bits(phrases: DataFrame) -> Broadcast:
     return phrases.sparkSession.sparkContext.broadcast(table.words)
 
 
-class _Counter:
-    """The words of one language in a chunk, as numbers in text order."""
+@dataclass
+class Want:
+    """Which phrases of ``order`` words a pass counts.
 
-    def __init__(self, lang: str):
-        self.lang = lang
-        self.number: defaultdict[bytes, int] = defaultdict(itertools.count(1).__next__, {_BREAK: 0})
-        self.parts: list[np.ndarray] = []
-
-    def add(self, texts: list[bytes]) -> None:
-        words = (b" . ".join([*texts, b""]).lower().translate(_TABLE).replace(_BREAK, b" . ")).split()
-        self.parts.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
-
-    def counts(self, order: int, tables: list[np.ndarray]) -> tuple[list[bytes], np.ndarray]:
-        """Phrases of ``order`` words that ``tables`` let through, and how often they occur."""
-        words = list(self.number)
-        ids = np.concatenate([*self.parts, np.zeros(LONGEST, np.int32)])  # breaks at the end: every place has a phrase
-        places = len(ids) - LONGEST
-        allowed = np.ones(places, bool)
-        for k in range(order):
-            allowed &= ids[k:places + k] != 0
-        at = np.flatnonzero(allowed)
-        if order > 1:
-            at = _admitted(order, ids, at, _word_hashes(self.lang, words), [Bits(t) for t in tables])
-        if not len(at):
-            return [], np.empty(0, np.int64)
-        code = ids[at].astype(np.int64)
-        for k in range(1, order):
-            code = code * len(words) + ids[at + k]
-            if k < order - 1:
-                code = np.unique(code, return_inverse=True)[1]
-        _, first, counts = np.unique(code, return_index=True, return_counts=True)
-        columns = [[words[i] for i in ids[at[first] + k].tolist()] for k in range(order)]
-        return list(map(b" ".join, zip(*columns))), counts
-
-
-def _admitted(order: int, ids: np.ndarray, at: np.ndarray, hashes: np.ndarray, tables: list[Bits]) -> np.ndarray:
-    """The places of ``at`` whose phrase the tables admit.
-
-    Pairs: both words are in the table.  Longer phrases: all pairs are in the
-    first table, and the phrase without its last word is in the second or the
-    phrase without its first word in the third.  A single table for a longer
-    phrase holds the phrases themselves.
+    Pairs: both words are in the table ``within``.  Longer phrases: all their
+    pairs are in ``within``, and the phrase without its last word is in
+    ``first`` or the phrase without its first word in ``last``.
     """
-    if order == 2:
-        known = tables[0].has(hashes)
-        return at[known[ids[at]] & known[ids[at + 1]]]
-
-    def phrase(first: int, length: int) -> np.ndarray:
-        h = hashes[ids[at + first]]
-        for k in range(first + 1, first + length):
-            h = _mix(h, hashes[ids[at + k]])
-        return h
-
-    if len(tables) == 1:
-        return at[tables[0].has(phrase(0, order))]
-    for k in range(order - 1):
-        at = at[tables[0].has(phrase(k, 2))]
-    return at[tables[1].has(phrase(0, order - 1)) | tables[2].has(phrase(1, order - 1))]
 
+    order: int
+    within: Broadcast | None = None
+    first: Broadcast | None = None
+    last: Broadcast | None = None
+
+    def parts(self) -> list[tuple[int, np.ndarray]]:
+        """Places inside a phrase whose word or pair must be in ``within``."""
+        return [(k, self.within.value) for k in range(2 if self.order == 2 else self.order - 1)]
+
+
+class _Words:
+    """The words of one language in a chunk of text, as numbers in text order."""
+
+    def __init__(self, lang: str, texts: list[bytes]):
+        data = np.frombuffer(b".".join([*texts, b""]).lower(), np.uint8)
+        kind = _KIND[data]
+        inside = kind == 0
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, lengths = edges[::2], edges[1::2] - edges[::2]
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        coded = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data[inside])]).dictionary_encode()
+        opens = np.zeros(len(starts) + 1, np.int32)
+        opens[np.searchsorted(starts, np.flatnonzero(kind == _BREAK))] = 1
+        self.lang = lang
+        self.ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.piece = np.cumsum(opens[:-1])
+        self.words = coded.dictionary.to_pylist()
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return _word_hashes(self.lang, self.words)
+
+    def _hash(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the phrases of ``length`` words that start at ``at``."""
+        h = self.hashes[self.ids[at]]
+        for k in range(1, length):
+            h = _mix(h, self.hashes[self.ids[at + k]])
+        return h
 
-def count_phrases(docs: DataFrame, order: int, tables: list[Broadcast] = ()) -> DataFrame:
-    """lang, phrase, a of the phrases of ``order`` words that the tables admit and that occur ``MIN_COUNT`` times.
+    def _places(self, want: Want) -> np.ndarray:
+        """Where a phrase stands that ``want`` admits."""
+        last = want.order - 1
+        at = np.flatnonzero(self.piece[:len(self.piece) - last] == self.piece[last:])
+        for k, table in want.parts():
+            if want.order == 2:
+                at = at[Bits(table).has(self.hashes)[self.ids[at + k]]]
+            else:
+                at = at[Bits(table).has(self._hash(at + k, 2))]
+        if want.first is not None:
+            admitted = Bits(want.first.value).has(self._hash(at, last))
+            if want.last is not None:
+                admitted |= Bits(want.last.value).has(self._hash(at + 1, last))
+            at = at[admitted]
+        return at
+
+    def counts(self, want: Want) -> Iterator[tuple[list[bytes], np.ndarray]]:
+        """Phrases that ``want`` admits and how often they occur, ``_ROWS`` at a time."""
+        size = len(self.words)
+        if want.order == 1:
+            yield [*self.words, b""], np.append(np.bincount(self.ids, minlength=size), len(self.ids))
+            return
+        at = self._places(want)
+        if want.order == 2:
+            pairs, counts = np.unique(self.ids[at] * size + self.ids[at + 1], return_counts=True)
+            columns = [pairs // size, pairs % size]
+        else:
+            code = self.ids[at]
+            for k in range(1, want.order):
+                _, first, code, counts = np.unique(code * size + self.ids[at + k], return_index=True,
+                                                   return_inverse=True, return_counts=True)
+            columns = [self.ids[at[first] + k] for k in range(want.order)]
+        for k in range(0, len(counts), _ROWS):
+            parts = [map(self.words.__getitem__, c[k:k + _ROWS].tolist()) for c in columns]
+            yield list(map(b" ".join, zip(*parts))), counts[k:k + _ROWS]
+
+
+def count_phrases(docs: DataFrame, *wants: Want) -> DataFrame:
+    """lang, phrase, a of the phrases that a want admits and that occur ``MIN_COUNT`` times.
 
     A pass over single words also gives every language's number of words, as the count of the empty phrase.
     """
-    def flush(counters: dict[str, _Counter]) -> Iterator[pa.RecordBatch]:
-        for lang, counter in counters.items():
-            phrases, counts = counter.counts(order, [t.value for t in tables])
-            if order == 1:
-                phrases, counts = [*phrases, b""], np.append(counts, counts.sum())
-            for k in range(0, len(phrases), _ROWS):
-                part = phrases[k:k + _ROWS]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part), pa.string()), pa.array(part, pa.binary()).cast(pa.string()),
-                     pa.array(counts[k:k + _ROWS].astype(np.int64))], ["lang", "phrase", "n"])
+    def flush(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        for lang in list(texts):
+            words = _Words(lang, texts.pop(lang))
+            for want in wants:
+                for phrases, counts in words.counts(want):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
+                         pa.array(counts.astype(np.int64))], ["lang", "phrase", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters: dict[str, _Counter] = {}
+        pending: defaultdict[str, list[bytes]] = defaultdict(list)
         size = 0
         for batch in batches:
-            pending: defaultdict[str, list[bytes]] = defaultdict(list)
-            waiting: defaultdict[str, int] = defaultdict(int)
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
                 pending[lang].append(text)
-                waiting[lang] += len(text)
                 size += len(text)
-                if waiting[lang] >= _SLICE:
-                    counters.setdefault(lang, _Counter(lang)).add(pending.pop(lang))
-                    waiting[lang] = 0
                 if size >= CHUNK:
-                    for name, texts in pending.items():
-                        counters.setdefault(name, _Counter(name)).add(texts)
-                    pending.clear()
-                    yield from flush(counters)
-                    counters, size = {}, 0
-            for name, texts in pending.items():
-                counters.setdefault(name, _Counter(name)).add(texts)
-        yield from flush(counters)
+                    yield from flush(pending)
+                    size = 0
+        yield from flush(pending)
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text_or_empty().cast("binary").alias("text"))
     return (rows.mapInArrow(run, "lang string, phrase string, n long").groupBy(*_KEY)
@@ -285,51 +300,32 @@ def _uncovered(candidates: DataFrame, longer: DataFrame, order: int) -> DataFram
 def _candidates(docs: DataFrame, words: DataFrame, pairs: DataFrame, all_pairs: Broadcast,
                 thresholds: DataFrame) -> DataFrame:
     """Every candidate at or above its language's threshold that no longer one covers."""
-    def grown(rows: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
-        """(phrases of one word more, those rows that reach the threshold themselves)."""
-        growing = _at_least(rows, thresholds, "bound").drop("threshold")
-        reaching = staged(_at_least(rows, thresholds, "score"), f"phrases-{order}-reaching")
-        counted = count_phrases(docs, order + 1, [all_pairs, _bits(growing), _bits(reaching)])
-        return staged(counted, f"phrases-{order + 1}"), reaching
-
-    triples, two = grown(pairs, 2)
+    def frontier(rows: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
+        """Rows whose bound reaches the threshold, and those whose score does."""
+        growing = staged(_at_least(rows, thresholds, "bound"), f"phrases-{order}-growing")
+        return growing, growing.where("score >= threshold")  # no score is above the bound
+
+    growing, two = frontier(pairs, 2)
+    triples = staged(count_phrases(docs, Want(3, all_pairs, _bits(growing), _bits(two))), "phrases-3")
     parts = words.unionByName(pairs.select(*_KEY, "a"))
-    scored = staged(_scored(triples, parts, 3), "phrases-3-scored")
-    quads, three = grown(scored, 3)
-    # Of the longest, the cut after the first word needs triples that may not be counted yet: only if the bound
-    # from the other cuts, with r >= a there, reaches the threshold.
-    hopeful = _at_least(_hopeful(quads, parts.unionByName(triples)), thresholds, "bound").select(*_KEY, "a")
-    hopeful = staged(hopeful, "phrases-4-hopeful")
-    missing = hopeful.select("lang", _part(1, 3).alias("phrase")).distinct().join(triples, _KEY, "left_anti")
-    missing = staged(missing, "phrases-3-missing")
-    if not missing.isEmpty():
-        more = staged(count_phrases(docs, 3, [_bits(missing)]).join(missing, _KEY, "left_semi"), "phrases-3-more")
-        triples_known = triples.unionByName(more)
-    else:
-        triples_known = triples
-    four = _at_least(_scored(hopeful, parts.unionByName(triples_known), 4), thresholds, "score")
-    found = _uncovered(two, triples, 2).unionByName(_uncovered(three, quads, 3)).unionByName(four)
+    growing, three = frontier(staged(_scored(triples, parts, 3), "phrases-3-scored"), 3)
+    # The cut of four words after the first needs the last three, which may not be counted yet: they begin with
+    # the last two of a triple that grows.
+    begins = growing.select("lang", _part(1, 2).alias("phrase")).distinct()
+    more = staged(count_phrases(docs, Want(4, all_pairs, _bits(growing), _bits(three)), Want(3, all_pairs, _bits(begins))),
+                  "phrases-4")
+    quads = more.where(F.size(F.split("phrase", " ")) == 4)
+    all_triples = more.where(F.size(F.split("phrase", " ")) == 3).unionByName(triples).distinct()
+    four = _at_least(_scored(quads, parts.unionByName(all_triples), 4), thresholds, "score")
+    found = _uncovered(two, triples, 2).unionByName(_uncovered(three, quads, 3)).unionByName(four.select(*two.columns))
     return found.select(*_KEY, "a", "l", "r", "score", "threshold")
 
 
-def _hopeful(quads: DataFrame, counts: DataFrame) -> DataFrame:
-    """``quads`` whose prefixes are counted, with a bound of their score from the cuts whose parts are."""
-    wanted = {"l1": _part(0, 1), "l2": _part(0, 2), "r2": _part(2, 2), "l3": _part(0, 3), "r3": _part(3, 1)}
-    parts = F.array(*[F.struct(F.lit(name).alias("which"), part.alias("part")) for name, part in wanted.items()])
-    known = counts.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f"))
-    found = salted_join(quads.select(*_KEY, "a", F.inline(parts)), known, ["lang", "part"], "inner",
-                        salt_cols=["phrase", "which"])
-    wide = found.groupBy(*_KEY, "a").agg(*[F.max(F.when(F.col("which") == name, F.col("f"))).alias(name) for name in wanted])
-    a = F.col("a")
-    bound = F.least(_ratio(a, F.col("l1"), a), _ratio(a, F.col("l2"), F.col("r2")), _ratio(a, F.col("l3"), F.col("r3")))
-    return wide.where("l3 is not null").select(*_KEY, "a", bound.alias("bound"))
-
-
 def top_phrases(docs: DataFrame, limit: int = 2000) -> DataFrame:
     """Each language's ``limit`` best phrases: lang, rank, phrase, a, l, r, n, score."""
-    counted = staged(count_phrases(docs, 1), "phrases-1")
+    counted = staged(count_phrases(docs, Want(1)), "phrases-1")
     words, totals = counted.where("phrase <> ''"), counted.where("phrase = ''").select("lang", F.col("a").alias("n"))
-    pairs = staged(count_phrases(docs, 2, [_bits(words)]), "phrases-2")
+    pairs = staged(count_phrases(docs, Want(2, _bits(words))), "phrases-2")
     pairs = staged(_scored(pairs, words, 2), "phrases-2-scored")
     all_pairs = _bits(pairs)
     rank = FIRST * limit
@@ -341,8 +337,8 @@ def top_phrases(docs: DataFrame, limit: int = 2000) -> DataFrame:
         settled = (open_langs.join(survivors, "lang", "left")
                    .where((F.col("threshold") == 0) | (F.col("n") >= limit)).select("lang"))
         best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-        top = (found.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= limit)
-               .join(settled, "lang", "left_semi").drop("threshold"))
+        top = (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= limit)
+               .withColumn("rank", F.col("rank").cast("long")).join(settled, "lang", "left_semi").drop("threshold"))
         done = staged(top if done is None else done.unionByName(top), "phrases-done")
         rank *= STEP
         open_langs = staged(_thresholds(pairs, rank).join(open_langs.join(settled, "lang", "left_anti").select("lang"),

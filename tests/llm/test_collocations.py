@@ -72,9 +72,10 @@ def test_only_hopeful_prefixes_are_grown(spark, monkeypatch):
     counted = {}
     count = collocations.count_phrases
 
-    def counting(docs, order, tables=()):
-        out = count(docs, order, tables)
-        counted[order] = counted.get(order, 0) + out.where("phrase <> ''").count()
+    def counting(docs, *wants):
+        out = count(docs, *wants)
+        for row in out.where("phrase <> ''").selectExpr("size(split(phrase, ' ')) as order").groupBy("order").count().collect():
+            counted[row.order] = counted.get(row.order, 0) + row["count"]
         return out
 
     monkeypatch.setattr(collocations, "count_phrases", counting)
@@ -87,17 +88,41 @@ def test_only_hopeful_prefixes_are_grown(spark, monkeypatch):
     assert counted[3] < 0.2 * sum(c >= 30 for c in frequent.values())
 
 
-def test_chunks_do_not_change_counts(spark):
-    """Texts counted in pieces of a few bytes or all at once, whatever the partitions."""
-    counter = collocations._Counter("en")
-    counter.add([b"a b. c", b"d a b"])
-    counter.add([b"a B"])
-    phrases, counts = counter.counts(1, [])
-    assert dict(zip(phrases, counts.tolist())) == {b"a": 3, b"b": 3, b"c": 1, b"d": 1}
-    table = collocations.Bits()
-    table.add(collocations._word_hashes("en", [b"a", b"b", b"c", b"d"]))
-    phrases, counts = counter.counts(2, [table.words])
-    assert dict(zip(phrases, counts.tolist())) == {b"a b": 3, b"d a": 1}
+class Shared:
+    def __init__(self, lang, phrases):
+        table = collocations.Bits()
+        columns = [collocations._word_hashes(lang, list(c)) for c in zip(*[p.split(b" ") for p in phrases])]
+        hashes = columns[0]
+        for c in columns[1:]:
+            hashes = collocations._mix(hashes, c)
+        table.add(hashes)
+        self.value = table.words
+
+
+def counted(words, want):
+    return {p: int(n) for phrases, counts in words.counts(want) for p, n in zip(phrases, counts)}
+
+
+def test_counts_of_a_chunk():
+    words = collocations._Words("en", [b"a b. c", b"", b"d a b\ta", "a B É".encode()])
+    assert counted(words, collocations.Want(1)) == {b"a": 4, b"b": 3, b"c": 1, b"d": 1, "É".encode(): 1, b"": 10}
+    known = Shared("en", [b"a", b"b", b"c", b"d"])
+    assert counted(words, collocations.Want(2, known)) == {b"a b": 3, b"d a": 1, b"b a": 1}
+    pairs = Shared("en", [b"a b", b"d a", b"b a"])
+    first, last = Shared("en", [b"d a"]), Shared("en", [b"b a"])
+    assert counted(words, collocations.Want(3, pairs, first, last)) == {b"d a b": 1, b"a b a": 1}
+    assert counted(words, collocations.Want(3, pairs, first)) == {b"d a b": 1}
+    assert counted(words, collocations.Want(4, pairs, Shared("en", [b"d a b"]), last)) == {b"d a b a": 1}
+    nothing = collocations._Words("en", [b" .", b""])
+    assert counted(nothing, collocations.Want(1)) == {b"": 0} and counted(nothing, collocations.Want(4, pairs, first)) == {}
+
+
+def test_chunks_do_not_change_counts(spark, monkeypatch):
+    rows = texts(9, docs=20)
+    docs = brute.documents(spark, rows).coalesce(1)
+    whole = sorted(map(tuple, collocations.count_phrases(docs, collocations.Want(1)).collect()))
+    monkeypatch.setattr(collocations, "CHUNK", 100)
+    assert sorted(map(tuple, collocations.count_phrases(docs, collocations.Want(1)).collect())) == whole
 
 
 def test_bit_table_never_misses(spark):
