@@ -62,7 +62,7 @@ COVERED = (100, 80)  # a phrase is covered if 100 f(longer) >= 80 f(phrase)
 
 FIRST, STEP = 4, 4       # pairs down to the first threshold, in units of the rows asked for; factor of the next one
 BITS = 26                # bits of a table of phrase hashes: 8 MB
-CHUNK = 24 << 20         # bytes of text that a task counts at a time
+CHUNK = 12 << 20         # bytes of text that a task counts at a time
 _ROWS = 50_000
 _BREAK = 2
 _KIND = np.zeros(256, np.uint8)  # kind of each byte: of a word, blank between words, end of a piece
