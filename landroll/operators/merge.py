@@ -7,8 +7,9 @@ Row-at-a-time "select, then insert or update" becomes joins:
 * reactivation: the first match of a key, if flagged inactive, gets the flag
   set to NULL; other rows of the same key stay as they are.
 * upsert: one full outer join on the business key labels every row update,
-  keep or insert.  Only the keys that are to be inserted are numbered, in a
-  narrow table of their own, so the state's rows are shuffled once.
+  keep or insert, and marks what a delete list names.  Only the keys that are
+  to be inserted are numbered, in a narrow table of their own, so the state's
+  rows are shuffled once, or not at all if they are bucketed by the key.
 """
 
 from __future__ import annotations
@@ -85,9 +86,18 @@ def count_ops(merged: DataFrame, op_col: str = "op") -> DataFrame:
     return merged.groupBy(op_col).agg(F.count(F.lit(1)).alias("n"))
 
 
+def check_delta_keys(keys: DataFrame, key: str) -> None:
+    """Refuse a delta in which a key (other than NULL) is repeated: it would multiply rows."""
+    repeated = keys.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").first()
+    if repeated is not None:
+        raise ValueError(f"the delta has {repeated['n']} rows of {key} {repeated[key]!r}")
+
+
 def upsert(state: DataFrame, delta: DataFrame, key: str, columns: Sequence[str] | None = None,
            id_col: str | None = "id", op_col: str = "op", overwrite_nulls: bool = True,
-           keep_state_cols: Sequence[str] = (), delta_keys: DataFrame | None = None) -> DataFrame:
+           keep_state_cols: Sequence[str] = (), delta_keys: DataFrame | None = None,
+           attached: DataFrame | None = None, deletes: DataFrame | None = None, gone_col: str = "gone",
+           partitions: int | None = None, checked: bool = False) -> DataFrame:
     """Merge ``delta`` into ``state`` on the unique ``key``, labelling each row.
 
     ``update`` (key in both): ``columns`` (default: delta columns besides the
@@ -96,20 +106,51 @@ def upsert(state: DataFrame, delta: DataFrame, key: str, columns: Sequence[str]
     keeps the state value.  ``keep`` (only in state): unchanged.  ``insert``
     (only in delta): delta values, other state columns NULL, ``id_col``
     numbered after the state's largest id in ``key`` order.  A NULL key
-    matches nothing: such delta rows are inserts, such state rows are kept.
+    matches nothing: such delta rows are inserts, numbered after the others in
+    the order of their values, such state rows are kept.  A repeated key is
+    refused (``checked``: the caller has seen to the keys, none is NULL or repeated).
+
     ``delta_keys`` may pass the delta's keys by a plan that is cheaper than
-    ``delta``'s.
+    ``delta``'s.  ``attached`` (key and further columns, at most one row per
+    key) is joined to the delta where its rows are dealt by key anyway.
+    ``deletes`` (key, repeats allowed) adds the flag ``gone_col``: rows whose
+    key is listed, inserts of this delta included.
+
+    Everything is joined on the key alone.  ``partitions`` deals every side
+    but the state into so many partitions by key: a state bucketed that way is
+    not shuffled, and the delta's rows are shuffled once in full width.
     """
-    columns = [c for c in (columns or delta.columns) if c != key and c != id_col]
+    extra = [c for c in (attached.columns if attached is not None else []) if c != key]
+    columns = [c for c in (columns or [*delta.columns, *extra]) if c != key and c != id_col]
     state_types = {f.name: f.dataType for f in state.schema.fields}
-    fresh = delta.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_d_{c}") for c in columns]) \
-        .withColumn("_in_delta", F.lit(True))
+    keys = (delta if delta_keys is None else delta_keys).select(key)
     numbered = bool(id_col) and id_col in state_types
+    without_key = False
+    if not checked:
+        check_delta_keys(keys, key)
+        without_key = not keys.where(F.col(key).isNull()).isEmpty()
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(partitions, "_key") if partitions else df
+
+    def keyed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+        return dealt(df.select(F.col(key).alias("_key"), *[F.col(c).alias(n) for c, n in names.items()]))
+
+    own = [c for c in columns if c in delta.columns]
+    fresh = (keyed(delta.where(F.col(key).isNotNull()) if without_key else delta, {c: f"_d_{c}" for c in own})
+             .withColumn("_in_delta", F.lit(True)))
+    if attached is not None:
+        fresh = fresh.join(keyed(attached, {c: f"_d_{c}" for c in extra}), "_key", "left")
     if numbered:
-        ids = assign_ids(missing_keys(state, delta if delta_keys is None else delta_keys, key), [key], base=max_id(state, id_col), id_col="_new_id")
-        fresh = fresh.join(ids.select(F.col(key).alias("_key"), "_new_id"), "_key", "left")
-    joined = (state.withColumn("_in_state", F.lit(True))
-              .join(fresh, F.col(key) == F.col("_key"), "full_outer"))
+        missing = missing_keys(state, keys.where(F.col(key).isNotNull()) if without_key else keys, key)
+        ids = assign_ids(missing, [key], base=max_id(state, id_col), id_col="_new_id")
+        fresh = fresh.join(keyed(ids, {"_new_id": "_new_id"}), "_key", "left")
+    held = state.withColumn("_in_state", F.lit(True))
+    if deletes is not None:
+        listed = keyed(deletes.where(F.col(key).isNotNull()).select(key).distinct(), {})
+        held = held.join(listed.select(F.col("_key").alias("_listed")), F.col(key) == F.col("_listed"), "left")
+        fresh = fresh.join(listed.select("_key", F.col("_key").alias("_listed_d")), "_key", "left")
+    joined = held.join(fresh, F.col(key) == F.col("_key"), "full_outer")
     in_delta, in_state = F.col("_in_delta").isNotNull(), F.col("_in_state").isNotNull()
     out = {key: F.coalesce(F.col(key), F.col("_key").cast(state_types[key]))}
     for c in columns:
@@ -125,4 +166,25 @@ def upsert(state: DataFrame, delta: DataFrame, key: str, columns: Sequence[str]
     out[op_col] = (F.when(in_delta & in_state, F.lit(UPDATE)).when(in_delta, F.lit(INSERT))
                    .otherwise(F.lit(KEEP)))
     names = list(dict.fromkeys([*state.columns, *columns, op_col]))
-    return joined.select(*[out.get(c, F.col(c)).alias(c) for c in names])
+    if deletes is not None:
+        out[gone_col] = F.coalesce("_listed", "_listed_d").isNotNull()
+        names.append(gone_col)
+    merged = joined.select(*[out.get(c, F.col(c)).alias(c) for c in names])
+    if not without_key:
+        return merged
+    lost = delta.where(F.col(key).isNull())
+    if numbered:
+        base = F.coalesce(ids.select(F.max("_new_id")).scalar(), max_id(state, id_col))
+        lost = assign_ids(lost, own, base=base, id_col="_new_id").withColumn(id_col, F.col("_new_id").cast(state_types[id_col]))
+    lost = lost.withColumn(op_col, F.lit(INSERT)).withColumn(gone_col, F.lit(False))
+    return merged.unionByName(lost.select(*[
+        (F.col(c) if c in lost.columns else F.lit(None)).cast(merged.schema[c].dataType).alias(c) for c in names]))
+
+
+def mark_deleted(df: DataFrame, deletes: DataFrame, key: str, gone_col: str = "gone",
+                 partitions: int | None = None) -> DataFrame:
+    """``df`` with a flag for the rows whose ``key`` is listed; a bucketed ``df`` is not shuffled."""
+    listed = deletes.where(F.col(key).isNotNull()).select(F.col(key).alias("_listed")).distinct()
+    listed = listed.repartition(partitions, "_listed") if partitions else listed
+    return (df.join(listed, F.col(key) == F.col("_listed"), "left")
+            .withColumn(gone_col, F.col("_listed").isNotNull()).drop("_listed"))

@@ -10,18 +10,22 @@ Phase order keeps referential integrity, as in the original:
            get-or-insert under the resolved identity;
            pass 2: parcel upsert by admid (id kept on update, new id after
            the current maximum on insert) with the normalised match address;
-3. delete  postcards of deleted parcels lose their reference, the parcels
-           on the delete list are removed (after the upsert, so an admid in
-           both ends up deleted);
+3. delete  the upsert's join also marks the parcels on the delete list (an
+           admid in both ends up deleted); they are written apart from the
+           others, and their postcards lose the reference;
 4. sweep   identities without parcels become inactive, entities without
            parcels are removed;
 5. publish all four tables as one new version (see ``sources.state``).
 
 The delta resolves both keys against the state directly: its mailing keys are
 grouped once for their survivors, and only keys and names that the state
-lacks are numbered.  The delta is written in full width four times: feed and
-standardised load, the stitched delta and, inside the merged parcels, its
-result; everything else that is staged is narrow (keys, ids and counts).
+lacks are numbered.  Both foreign keys of a parcel are resolved on the key
+columns alone and attached by admid in the upsert, so the delta's parcels are
+shuffled once in full width.  The delta is written in full width four times:
+feed and standardised load, the stitched delta and, inside the merged parcels,
+its result; everything else that is staged is narrow (names, keys and ids).
+The merged parcels are written once, at the place that the new version names;
+if the store buckets them by admid, they are not shuffled at all.
 
 Every step is a join or an aggregate over whole tables; nothing is collected
 to the driver except the counts of ``Observation`` and one example reject of
@@ -36,15 +40,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from landroll.functions.address import make_point, match_address_raw, normalize_address
 from landroll.functions.cast import coalesce_defaults, typed_cast
 from landroll.operators.dedup import keep_first
 from landroll.operators.enrich import standardize_batches
 from landroll.operators.joins import first_match, hot_keys, salted_join
-from landroll.operators.merge import conform, get_or_insert, reactivate, upsert
-from landroll.operators.prune import deleted_rows, delete_by_keys, drop_orphans, flag_orphans, null_references
+from landroll.operators.merge import conform, get_or_insert, mark_deleted, reactivate, upsert
+from landroll.operators.prune import delete_by_keys, drop_orphans, flag_orphans, null_references
 from landroll.operators.quality import enforce, raise_if_any, reject_path
 from landroll.plans.relate import (ENTITY_SOURCE, FLAT_TEXT_DEFAULTS, IDENTITY_KEY, IDENTITY_SOURCE,
                                    MAIL_RENAMES, MAIL_STREET_PARTS, TRIO_INPUT_COLUMNS, address_extract, check_delta,
@@ -53,7 +57,7 @@ from landroll.session import drop_path, phase, stage, staging_area
 from landroll.sources.delimited import (read_delete_list, read_feed, read_standardized,
                                         write_address_extract)
 from landroll.sources.schemas import EXTRACT_COLUMNS, STATE_DDL, STD_COLUMNS, STD_FORCED, STD_REQUIRED, STD_SPECS, state_columns
-from landroll.sources.state import StateStore
+from landroll.sources.state import StateStore, Stored, new_folder
 
 ENTITY_NAMES = list(ENTITY_SOURCE)
 ENTITY_KEY = ENTITY_NAMES + ["identity_id"]
@@ -142,10 +146,13 @@ def _defaults(df: DataFrame) -> DataFrame:
 
 
 def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool = True,
-                normalizer: Callable[[Column], Column] = normalize_address) -> tuple[dict[str, DataFrame], dict]:
+                normalizer: Callable[[Column], Column] = normalize_address, deletes: DataFrame | None = None,
+                partitions: int | None = None) -> tuple[dict[str, DataFrame], dict]:
     """Pass 1 (identity, entity) and pass 2 (parcel) of the merge; returns new tables and reports.
 
-    The returned parcel table carries an ``op`` column (insert/update/keep).
+    The returned parcel table carries an ``op`` column (insert/update/keep)
+    and, with ``deletes``, the flag ``gone``.  ``partitions`` is the number of
+    buckets of the state's parcels, if they are bucketed.
     """
     identity, entity, parcel = state["identity"], state["entity"], state["parcel"]
     rows = _defaults(delta.rows)
@@ -165,8 +172,8 @@ def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool
                     .withColumnRenamed("id", "identity_id"))
 
     # Pass 1b: entities under the resolved (state) identity, from names and keys alone.
-    named = salted_join(rows.select("admid", *IDENTITY_KEY, *ENTITY_NAMES), lookup_ident, IDENTITY_KEY, "left",
-                        hot=hot_ident, salt_cols=["admid"])
+    named = stage(salted_join(rows.select("admid", *IDENTITY_KEY, *ENTITY_NAMES), lookup_ident, IDENTITY_KEY, "left",
+                              hot=hot_ident, salt_cols=["admid"]).select("admid", *ENTITY_KEY), "delta_names")
     ent_cands = stage(keep_first(named.select(*ENTITY_KEY), ENTITY_KEY, count_col="_rows"), "delta_entities")
     hot_ent = hot_keys(ent_cands, ENTITY_KEY, count_col="_rows")
     ent_first = stage(first_match(entity, ENTITY_KEY, count_col="n"), "state_entity_keys")
@@ -175,17 +182,19 @@ def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool
     entity = entity.unionByName(new_ent)
     lookup_ent = (ent_first.select("id", *ENTITY_KEY).unionByName(new_ent.select("id", *ENTITY_KEY))
                   .withColumnRenamed("id", "entity_id"))
+    # The two foreign keys of each parcel: three numbers a row, attached by admid in the upsert.
+    foreign = stage(salted_join(named, lookup_ent, ENTITY_KEY, "left", hot=hot_ent, salt_cols=["admid"])
+                    .select("admid", "identity_id", "entity_id"), "delta_foreign_keys")
 
     # Pass 2: parcels, labelled insert / update / keep.
-    keyed = salted_join(salted_join(rows, lookup_ident, IDENTITY_KEY, "left", hot=hot_ident, salt_cols=["admid"]),
-                        lookup_ent, ENTITY_KEY, "left", hot=hot_ent, salt_cols=["admid"])
     match = normalizer(match_address_raw("parcel_address1", "parcel_address2", "parcel_city", "parcel_state"))
-    parcel_delta = (keyed.withColumn("parcel_match_address", match)
+    own = [c for c in PARCEL_UPDATE_COLUMNS if c not in ("identity_id", "entity_id")]
+    parcel_delta = (rows.withColumn("parcel_match_address", match)
                     .withColumn("parcel_location", make_point("parcel_longitude", "parcel_latitude"))
-                    .withColumns({c: F.lit(None).cast("boolean") for c in NEVER_IN_FEED})
-                    .select("admid", *PARCEL_UPDATE_COLUMNS))
+                    .withColumns({c: F.lit(None).cast("boolean") for c in NEVER_IN_FEED}).select("admid", *own))
     parcel = upsert(parcel, parcel_delta, "admid", PARCEL_UPDATE_COLUMNS, overwrite_nulls=True,
-                    keep_state_cols=() if overwrite_nulls else NEVER_IN_FEED, delta_keys=rows.select("admid"))
+                    keep_state_cols=() if overwrite_nulls else NEVER_IN_FEED, delta_keys=foreign,
+                    attached=foreign, deletes=deletes, partitions=partitions, checked=True)
     reports = {
         "identity_multi_match": ident_first.where("n > 1").select(*IDENTITY_KEY, "n"),
         "entity_multi_match": ent_first.where("n > 1").select(*ENTITY_KEY, "n"),
@@ -195,14 +204,6 @@ def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool
     return {"identity": identity, "entity": entity, "parcel": parcel, "postcard": state["postcard"]}, reports
 
 
-def apply_deletes(tables: dict[str, DataFrame], deletes: DataFrame) -> dict[str, DataFrame]:
-    """Null postcard references to deleted parcels, then delete the parcels."""
-    parcel = tables["parcel"]
-    gone = deleted_rows(parcel, deletes, "admid").select("id")
-    postcard = null_references(tables["postcard"], gone, "parcel_id", "id")
-    return {**tables, "parcel": delete_by_keys(parcel, deletes, "admid"), "postcard": postcard}
-
-
 def sweep(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Identities without parcels become inactive; entities without parcels are dropped.
 
@@ -276,11 +277,13 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
         raise ValueError(f"version {version!r} is committed already")
     keep = keep_staging
     with staging_area(spark, f"run-{version}") as folder:
+        # A run that is not published leaves its parcels in its staging folder.
+        home = store if publish else StateStore(spark, folder, store.buckets)
         try:
-            result = _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls, phases,
-                          normalizer, None if skip_standardize else standardizer)
+            result, stored = _run(spark, home, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls,
+                                  phases, normalizer, None if skip_standardize else standardizer)
             if publish:
-                _publish(spark, store, result, mode)
+                _publish(spark, store, result, stored, mode)
             else:
                 keep = True
         finally:
@@ -290,49 +293,61 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
     return result
 
 
-def _publish(spark: SparkSession, store: StateStore, result: CycleResult, mode: str) -> None:
-    final = Observation("final")
-    tables = dict(result.tables)
-    tables["parcel"] = tables["parcel"].observe(final, F.count(F.lit(1)).alias("parcels"))
+def _publish(spark: SparkSession, store: StateStore, result: CycleResult, stored: Stored, mode: str) -> None:
+    tables = {**result.tables, "parcel": stored}
     reports = {name: df for name, df in result.reports.items()}
     # In strict mode any reject has already aborted the run: nothing to keep.
     rejects = {} if mode == "strict" else {f"rejects_{n}": df for n, df in result.rejects.items()}
-    before = (sum(result.counts[op] for op in ("insert", "update", "keep")) if "insert" in result.counts
-              else store.read("parcel").count())
     with phase(spark, "publish"):
-        paths = store.publish(tables, result.version, reports={**reports, **rejects})
-    result.counts.update(final.get)
-    result.counts["deleted"] = before - result.counts["parcels"]
-    result.tables = store.snapshot(paths=paths)
+        published = store.publish(tables, result.version, reports={**reports, **rejects})
+    result.tables = store.snapshot(stored=published)
     result.reports = {name: store.read_report(name, result.version) for name in reports}
     result.rejects = {name[len("rejects_"):]: store.read_report(name, result.version) for name in rejects}
 
 
-def _run(spark, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls, phases, normalizer,
-         standardizer) -> CycleResult:
-    state = store.snapshot()
+def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_path, delete_path, mode, overwrite_nulls,
+         phases, normalizer, standardizer) -> tuple[CycleResult, Stored]:
+    """The new tables; the parcels are written under ``home`` once, those on the delete list apart."""
     result = CycleResult(version, {})
-    tables = dict(state)
+    held = store.stored()
+    tables = store.snapshot(stored=held)
+    buckets = home.buckets.get("parcel")
+    partitions = buckets.count if buckets else None
+    # The result lies in the buckets of the state it was joined with, if they are the ones it is written with.
+    aligned = buckets is not None and "parcel" in held and held["parcel"].buckets == buckets
+    deletes = None
+    if "delete" in phases:
+        with phase(spark, "read deletes"):
+            listed = read_delete_list(spark, delete_path, mode)
+        result.rejects["deletes"] = listed.rejects
+        deletes = listed.rows
+    counts = Observation("parcels")
+    gone = F.coalesce("gone", F.lit(False))
+    counted = [F.count(F.when(~gone, 1)).alias("parcels"), F.count(F.when(gone, 1)).alias("deleted")]
     if "load" in phases:
         delta, rejects = load_delta(spark, feed_path, std_path, mode, standardizer)
         result.rejects.update(rejects)
         with phase(spark, "merge pass 1"):
-            tables, reports = merge_delta(tables, delta, overwrite_nulls, normalizer)
+            tables, reports = merge_delta(tables, delta, overwrite_nulls, normalizer, deletes, partitions)
         result.reports.update(reports)
-        ops = Observation("merge")
         op = F.col("op")
-        counted = tables["parcel"].observe(
-            ops, *[F.count(F.when(op == name, 1)).alias(name) for name in ("insert", "update", "keep")])
-        with phase(spark, "merge pass 2"):
-            tables["parcel"] = stage(counted, "parcel_merged").drop("op")
-        result.counts.update(ops.get)
-    if "delete" in phases:
-        with phase(spark, "read deletes"):
-            deletes = read_delete_list(spark, delete_path, mode)
-        result.rejects["deletes"] = deletes.rejects
-        tables = apply_deletes(tables, deletes.rows)
+        counted += [F.count(F.when(op == name, 1)).alias(name) for name in ("insert", "update", "keep")]
+        marked = tables["parcel"] if deletes is not None else tables["parcel"].withColumn("gone", F.lit(False))
+    elif deletes is not None:
+        marked = mark_deleted(tables["parcel"], deletes, "admid", partitions=partitions)
+    else:
+        marked = tables["parcel"].withColumn("gone", F.lit(False))
+    schema = StructType.fromDDL(STATE_DDL["parcel"])
+    with phase(spark, "merge pass 2"):
+        flagged = conform(marked.observe(counts, *counted), StructType([*schema, StructField("gone", BooleanType())]))
+        stored = home.put("parcel", flagged, new_folder(version), aligned=aligned, split="gone")
+    result.counts.update(counts.get)
+    tables["parcel"] = home.open(stored, schema)
+    if deletes is not None:
+        tables["postcard"] = null_references(tables["postcard"], home.apart(stored, schema).select("id"), "parcel_id")
     if "sweep" in phases:
         with phase(spark, "sweep"):
             tables = sweep(tables)
     result.tables = {name: conform(df, StructType.fromDDL(STATE_DDL[name])) for name, df in tables.items()}
-    return result
+    return result, stored
+

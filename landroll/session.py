@@ -131,3 +131,9 @@ def drop_path(spark: SparkSession, path: str) -> bool:
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = _fs_path(spark, path)
     return bool(fs.exists(hpath))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder; one that exists stays as it is."""
+    fs, hpath = _fs_path(spark, path)
+    fs.mkdirs(hpath)
