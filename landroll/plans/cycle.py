@@ -54,6 +54,7 @@ from landroll.plans.relate import (ENTITY_SOURCE, FLAT_TEXT_DEFAULTS, IDENTITY_K
                                    MAIL_RENAMES, MAIL_STREET_PARTS, TRIO_INPUT_COLUMNS, address_extract, check_delta,
                                    delta_rows, identity_survivors, stitch_feed)
 from landroll.session import drop_path, phase, stage, staging_area
+from landroll.sources.buckets import planned_for
 from landroll.sources.delimited import (read_delete_list, read_feed, read_standardized,
                                         write_address_extract)
 from landroll.sources.schemas import EXTRACT_COLUMNS, STATE_DDL, STD_COLUMNS, STD_FORCED, STD_REQUIRED, STD_SPECS, state_columns
@@ -338,7 +339,7 @@ def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_pat
     else:
         marked = tables["parcel"].withColumn("gone", F.lit(False))
     schema = StructType.fromDDL(STATE_DDL["parcel"])
-    with phase(spark, "merge pass 2"):
+    with phase(spark, "merge pass 2"), planned_for(spark, buckets):
         flagged = conform(marked.observe(counts, *counted), StructType([*schema, StructField("gone", BooleanType())]))
         stored = home.put("parcel", flagged, new_folder(version), aligned=aligned, split="gone")
     result.counts.update(counts.get)

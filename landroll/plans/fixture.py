@@ -40,6 +40,7 @@ from landroll.operators.quality import cascade_delete, check_fk, check_lengths,
 from landroll.plans.fixture_files import cycle_from_files, cycle_table, month_trio
 from landroll.plans.relate import check_trio, flatten, project, stitch_feed
 from landroll.session import stage, stage_path
+from landroll.sources.buckets import Buckets, attach, write_bucketed
 from landroll.sources.delimited import load_typed, read_delete_list, read_standardized, write_address_extract
 from landroll.sources.schemas import STD_COLUMNS
 
@@ -47,6 +48,7 @@ ADDR = ["a", "ci", "st"]
 OWNER = ["owner", "identity_id"]
 DELTA_FROM = "1998-01-01"
 PRODUCTION_BEFORE = "1999-01-01"
+BUCKETS = Buckets("admid", 16)
 
 
 class Scenario:
@@ -186,7 +188,14 @@ class Scenario:
     @cached_property
     def par2(self) -> DataFrame:
         delta = self.dfk.withColumn("flag", F.lit(None).cast("boolean"))
-        return stage(upsert(self.ppar, delta, "admid"), "parcel_upserted")
+        return stage(upsert(self.ppar, delta, "admid", checked=True), "parcel_upserted")
+
+    @cached_property
+    def ppar_bucketed(self) -> DataFrame:
+        """The production parcels as the store keeps them: bucketed by admid through the catalog."""
+        path = stage_path(self.spark, "parcel_bucketed")
+        write_bucketed(self.ppar, path, BUCKETS)
+        return attach(self.spark, path, self.ppar.schema, BUCKETS)
 
     @cached_property
     def par3(self) -> DataFrame:
@@ -560,6 +569,25 @@ def q_upsert_actions(s: Scenario) -> DataFrame:
     return s.par2.select("admid", "op")
 
 
+def q_upsert_bucketed(s: Scenario) -> DataFrame:
+    """The upsert on bucketed parcels, with foreign keys attached by admid and the delete list marked in the same join."""
+    delta = s.d.select("admid", (F.col("price") * 2).alias("price"), F.lit(None).cast("boolean").alias("flag"))
+    merged = upsert(s.ppar_bucketed, delta, "admid", ["price", "flag", "identity_id", "entity_id"],
+                    attached=s.dfk.select("admid", "identity_id", "entity_id"), deletes=s.dele,
+                    partitions=BUCKETS.count)
+    return merged.select("id", "admid", "price", "flag", "identity_id", "entity_id", "op", "gone")
+
+
+def q_upsert_null_keys(s: Scenario) -> DataFrame:
+    """A delta in which every seventh order and the urgent ones have no key: they are inserts of their own."""
+    o = s.table("orders")
+    state = assign_ids(o.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c")),
+                       ["k"])
+    lacks = (F.col("o_orderkey") % 7 == 0) | (F.col("o_orderpriority") == "1-URGENT")
+    delta = o.select(F.when(~lacks, F.col("o_orderkey")).alias("k"), (-F.col("o_orderkey")).alias("c"))
+    return upsert(state, delta, "k", ["c"]).select("id", "k", "c", "op")
+
+
 def q_upsert_then_delete(s: Scenario) -> DataFrame:
     return s.par3.select("admid", "price", "op")
 

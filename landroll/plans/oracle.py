@@ -55,6 +55,10 @@ VIEWS = {
         case when p.admid is null then 'insert' when n.admid is null then 'keep' else 'update' end op
         from ppar p full join dfk n on p.admid = n.admid""",
     "par3": """select * from par2 where admid not in (select admid from del)""",
+    "nk_state": """select row_number() over (order by o_orderkey) id, o_orderkey k, o_custkey c
+        from orders where o_orderstatus = 'F'""",
+    "nk_delta": """select case when o_orderkey % 7 <> 0 and o_orderpriority <> '1-URGENT' then o_orderkey end k,
+        -o_orderkey c from orders""",
     # The file-based month: what every feed column was filled with (fixture_files.py).
     "month_identity": """select a, ci, st, lpad(cast(nk as varchar), 5, '0') zip, substr(stat, 1, 1) verified,
         cast(floor(attr) / 100 as decimal(10, 6)) lon, cast(nk + 0.75 as decimal(10, 6)) lat,
@@ -253,6 +257,15 @@ QUERIES = {
     "entity_insert": "select id, owner, identity_id from ent2 where id > (select max(id) from pent)",
     "upsert_parcel": "select admid, price, identity_id, entity_id from par2",
     "upsert_actions": "select admid, op from par2",
+    "upsert_bucketed": """select case when p.admid is null then (select coalesce(max(id), 0) from ppar)
+             + row_number() over (partition by p.admid is null order by coalesce(p.admid, n.admid)) else p.id end id,
+        x.admid, x.price, x.flag, x.identity_id, x.entity_id, x.op, x.admid in (select admid from del) gone
+        from par2 x left join ppar p on p.admid = x.admid left join dfk n on n.admid = x.admid""",
+    "upsert_null_keys": """select case when s.k is null then (select coalesce(max(id), 0) from nk_state)
+             + row_number() over (partition by s.k is null order by n.k nulls last, n.c) else s.id end id,
+        coalesce(n.k, s.k) k, coalesce(n.c, s.c) c,
+        case when s.k is null then 'insert' when n.c is null then 'keep' else 'update' end op
+        from nk_state s full join nk_delta n on n.k = s.k""",
     "upsert_then_delete": "select admid, price, op from par3",
     "deactivate_identities": """select id, case when id not in (select identity_id from par3) then true
         else case when inactive and exists (select 1 from d where d.a = id2.a and d.ci = id2.ci and d.st = id2.st)

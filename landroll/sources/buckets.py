@@ -7,6 +7,10 @@ side is dealt into the same n partitions (``repartition(n, key)``).  The result
 of such a join still lies in the same buckets, so it is written as the next
 bucketed table without a shuffle either (``aligned``).
 
+Spark deals both sides of a join anew if it would otherwise have fewer
+partitions than ``spark.sql.shuffle.partitions``: :func:`planned_for` lowers that
+to the number of buckets while such a join is planned and run.
+
 The catalog may be the session's own: :func:`attach` registers a folder of
 bucketed files wherever it is not known yet, the bucket number of a file being
 part of its name.  The name of a table derives from its folder.
@@ -15,6 +19,8 @@ part of its name.  The name of a table derives from its folder.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +69,24 @@ def attach(spark: SparkSession, path: str, schema: StructType, buckets: Buckets)
     return spark.table(name)
 
 
+_PARALLELISM = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+@contextmanager
+def planned_for(spark: SparkSession, buckets: Buckets | None) -> Iterator[None]:
+    """Keep a bucketed table where it is in the queries that run inside, even if its buckets are few."""
+    before = {name: spark.conf.get(name, None) for name in _PARALLELISM}
+    try:
+        for name, value in before.items():
+            if buckets and value is not None and int(value) > buckets.count:
+                spark.conf.set(name, str(buckets.count))
+        yield
+    finally:
+        for name, value in before.items():
+            if value is not None:
+                spark.conf.set(name, value)
+
+
 def detach(spark: SparkSession, path: str) -> None:
     """Forget the table of ``path``; its files stay."""
     spark.sql(f"DROP TABLE IF EXISTS {table_name(path)}")
