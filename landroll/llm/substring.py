@@ -262,7 +262,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, mer: int = MER) -> Dat
     """(doc_id, n_words, n_removed, kept) of every document; kept words are joined by one blank."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     # The mark tells rows of one doc_id with different texts apart.
-    keyed = named.withColumn("doc", F.coalesce("doc_id", F.lit(_LAST))).withColumn("mark", F.hash("text").cast("long"))
+    keyed = named.withColumn("doc", F.coalesce("doc_id", F.lit(_LAST))).withColumn("mark", F.xxhash64("text"))
     ranges = (repeated_ranges(keyed.select("doc", "mark", "text"), window, mer)
               .groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "end")).alias("ranges")))
 

@@ -78,3 +78,22 @@ def test_windows_whose_hashes_collide_are_told_apart(monkeypatch):
     places = np.array([[1, 2, 3, 4], [0, 0, 0, 0], [0, 0, 0, 0], [25] * 4], np.int64)
     doc, _, start, end = substring.repeated_windows([a, b, a, b], places)
     assert list(zip(doc, start, end)) == [(3, 0, 25), (4, 0, 25)]
+
+
+def test_texts_of_one_32_bit_hash_and_many_null_ids(spark):
+    """Rows without an id whose texts share a 32-bit hash are still told apart."""
+    from pyspark.sql import functions as F
+    long_text = F.concat(F.lit("w " * 25), F.col("id"))
+    texts = (spark.range(150_000).select(F.col("id").cast("string").alias("t"))
+             .unionByName(spark.range(150_000).select(long_text.alias("t"))))
+    same = texts.groupBy(F.hash("t")).agg(F.collect_list("t").alias("ts")).where("size(ts) > 1").limit(40).collect()
+    rows = [(None, t) for r in same for t in r.ts] + [(None, f"only {i}") for i in range(300)]
+    assert len(same) > 3
+    got = sorted((r.n_words, r.n_removed, r.kept) for r in substring.remove_repeats(brute.documents(spark, rows)).collect())
+    texts = sorted(t for _, t in rows)
+    assert len(got) == len(rows) and sum(n for n, _, _ in got) == sum(len(t.split()) for t in texts)
+    # One text keeps the common passage; every other long one loses the windows that are not its own.
+    long_ones = [t for t in texts if t.startswith("w ")]
+    assert sum(r > 0 for _, r, _ in got) >= len(long_ones) - 1
+    short = sorted(t for t in texts if not t.startswith("w "))
+    assert sorted(k for n, r, k in got if n < 20) == short
