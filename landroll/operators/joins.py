@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landroll.operators.keyfilter import matching
+
 # Rows of one key that a task of the big side should get.
 ROWS_PER_SALT = 100_000
 
@@ -81,9 +83,13 @@ def first_match(dim: DataFrame, keys: Sequence[str], id_col: str = "id", count_c
 
 def lookup_first(big: DataFrame, dim: DataFrame, keys: Sequence[str], id_col: str = "id",
                  out_col: str | None = None, hot: DataFrame | None = None,
-                 salt_cols: Sequence[str] | None = None) -> DataFrame:
-    """Left-join ``big`` to the lowest ``dim.id_col`` with equal ``keys`` (NULL if none)."""
-    first = first_match(dim, keys, id_col)
+                 salt_cols: Sequence[str] | None = None, prune: bool = False) -> DataFrame:
+    """Left-join ``big`` to the lowest ``dim.id_col`` with equal ``keys`` (NULL if none).
+
+    ``prune``: rows of ``dim`` whose key ``big`` lacks are left out before
+    they are grouped (for a ``dim`` much larger than ``big``, which is read twice).
+    """
+    first = first_match(matching(dim, big, keys) if prune else dim, keys, id_col)
     if out_col and out_col != id_col:
         first = first.withColumnRenamed(id_col, out_col)
     return salted_join(big, first, keys, "left", hot=hot, salt_cols=salt_cols)

@@ -14,7 +14,8 @@ Phase order keeps referential integrity, as in the original:
            admid in both ends up deleted); they are written apart from the
            others, and their postcards lose the reference;
 4. sweep   identities without parcels become inactive, entities without
-           parcels are removed;
+           parcels are removed; the state keeps how many parcels refer to
+           each, so only parents that the month touches are looked at;
 5. publish all four tables as one new version (see ``sources.state``).
 
 The delta resolves both keys against the state directly: its mailing keys are
@@ -47,8 +48,11 @@ from landroll.functions.cast import coalesce_defaults, typed_cast
 from landroll.operators.dedup import keep_first
 from landroll.operators.enrich import standardize_batches
 from landroll.operators.joins import first_match, hot_keys, salted_join
+from landroll.operators.keyfilter import matching, worth_it
 from landroll.operators.merge import conform, get_or_insert, mark_deleted, reactivate, upsert
 from landroll.operators.prune import delete_by_keys, drop_orphans, flag_orphans, null_references
+from landroll.operators.refcounts import (apply_changes, childless, count_references, drop_listed, flag_listed, held,
+                                          reference_changes)
 from landroll.operators.quality import enforce, raise_if_any, reject_path
 from landroll.plans.relate import (ENTITY_SOURCE, FLAT_TEXT_DEFAULTS, IDENTITY_KEY, IDENTITY_SOURCE,
                                    MAIL_RENAMES, MAIL_STREET_PARTS, TRIO_INPUT_COLUMNS, address_extract, check_delta,
@@ -57,8 +61,8 @@ from landroll.session import drop_path, phase, stage, staging_area
 from landroll.sources.buckets import planned_for
 from landroll.sources.delimited import (read_delete_list, read_feed, read_standardized,
                                         write_address_extract)
-from landroll.sources.schemas import EXTRACT_COLUMNS, STATE_DDL, STD_COLUMNS, STD_FORCED, STD_REQUIRED, STD_SPECS, state_columns
-from landroll.sources.state import StateStore, Stored, new_folder
+from landroll.sources.schemas import EXTRACT_COLUMNS, REFERENCES_DDL, STATE_DDL, STD_COLUMNS, STD_FORCED, STD_REQUIRED, STD_SPECS, state_columns
+from landroll.sources.state import REFERENCES, StateStore, Stored, new_folder
 
 ENTITY_NAMES = list(ENTITY_SOURCE)
 ENTITY_KEY = ENTITY_NAMES + ["identity_id"]
@@ -146,10 +150,16 @@ def _defaults(df: DataFrame) -> DataFrame:
     return coalesce_defaults(df, [c for c in FLAT_TEXT_DEFAULTS if c in df.columns])
 
 
+def _known(state: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Lowest id and number of state rows of the candidates' keys; the rest of the state is dropped unshuffled."""
+    rows = matching(state, candidates, keys) if worth_it(state) else state
+    return (first_match(rows, keys, count_col="n").join(candidates.select(*keys), list(keys), "left_semi"))
+
+
 def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool = True,
                 normalizer: Callable[[Column], Column] = normalize_address, deletes: DataFrame | None = None,
-                partitions: int | None = None) -> tuple[dict[str, DataFrame], dict]:
-    """Pass 1 (identity, entity) and pass 2 (parcel) of the merge; returns new tables and reports.
+                partitions: int | None = None) -> tuple[dict[str, DataFrame], dict, DataFrame]:
+    """Pass 1 (identity, entity) and pass 2 (parcel) of the merge; returns new tables, reports and foreign keys.
 
     The returned parcel table carries an ``op`` column (insert/update/keep)
     and, with ``deletes``, the flag ``gone``.  ``partitions`` is the number of
@@ -159,16 +169,15 @@ def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool
     rows = _defaults(delta.rows)
 
     # Pass 1a: identities.  One pass over the state's identities gives the
-    # first match of each key and the multi-match report.
+    # first match of each key of the delta and the multi-match report.
     cands = _defaults(delta.identities)
     hot_ident = hot_keys(cands, IDENTITY_KEY, count_col="_rows")
-    ident_first = stage(first_match(identity, IDENTITY_KEY, count_col="n"), "state_identity_keys")
+    ident_first = stage(_known(identity, cands, IDENTITY_KEY), "state_identity_keys")
     new = cands.drop("_rows").withColumn("mail_location", make_point("mail_longitude", "mail_latitude"))
     _, new_ident = get_or_insert(identity, new, IDENTITY_KEY, existing_keys=ident_first,
                                  defaults={"primary_name": F.lit(""), "rental_count": F.lit(0)})
     new_ident = stage(new_ident, "identity_inserted")  # read by the lookup, the table and the report
-    touched = ident_first.join(cands.select(*IDENTITY_KEY), IDENTITY_KEY, "left_semi").select("id")
-    identity = reactivate(identity, touched).unionByName(new_ident)
+    identity = reactivate(identity, ident_first.select("id")).unionByName(new_ident)
     lookup_ident = (ident_first.select("id", *IDENTITY_KEY).unionByName(new_ident.select("id", *IDENTITY_KEY))
                     .withColumnRenamed("id", "identity_id"))
 
@@ -177,7 +186,7 @@ def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool
                               hot=hot_ident, salt_cols=["admid"]).select("admid", *ENTITY_KEY), "delta_names")
     ent_cands = stage(keep_first(named.select(*ENTITY_KEY), ENTITY_KEY, count_col="_rows"), "delta_entities")
     hot_ent = hot_keys(ent_cands, ENTITY_KEY, count_col="_rows")
-    ent_first = stage(first_match(entity, ENTITY_KEY, count_col="n"), "state_entity_keys")
+    ent_first = stage(_known(entity, ent_cands, ENTITY_KEY), "state_entity_keys")
     _, new_ent = get_or_insert(entity, ent_cands.drop("_rows"), ENTITY_KEY, existing_keys=ent_first)
     new_ent = stage(new_ent, "entity_inserted")
     entity = entity.unionByName(new_ent)
@@ -202,18 +211,51 @@ def merge_delta(state: dict[str, DataFrame], delta: Delta, overwrite_nulls: bool
         "identity_inserted": new_ident,
         "entity_inserted": new_ent,
     }
-    return {"identity": identity, "entity": entity, "parcel": parcel, "postcard": state["postcard"]}, reports
+    return {"identity": identity, "entity": entity, "parcel": parcel, "postcard": state["postcard"]}, reports, foreign
+
 
+# The tables a parcel refers to, and by which column.
+PARCEL_PARENTS = {"identity": "identity_id", "entity": "entity_id"}
 
-def sweep(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Identities without parcels become inactive; entities without parcels are dropped.
 
-    Both sweeps read the ids that parcels refer to, taken from them once.
+def moved_references(references: DataFrame, parcel: DataFrame, foreign: DataFrame | None, deletes: DataFrame | None,
+                     partitions: int | None = None) -> DataFrame:
+    """Reference counts after the month: those of ``references``, moved by the parcels that the month touches.
+
+    ``parcel`` is the state before the month, of which three columns are read;
+    ``foreign`` has the foreign keys of the delta's parcels.
     """
-    refs = stage(tables["parcel"].select("identity_id", "entity_id").distinct(), "parcel_refs")
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(partitions, "admid") if partitions else df
+
+    listed = None if deletes is None else deletes.select("admid").distinct()
+    touched = [df.select("admid") for df in (foreign, listed) if df is not None]
+    keys = touched[0] if len(touched) == 1 else touched[0].unionByName(touched[1]).distinct()
+    old = parcel.select("admid", *PARCEL_PARENTS.values()).join(dealt(keys), "admid", "left_semi")
+    if foreign is None:
+        new, gone = old.limit(0), None
+    else:
+        gone = F.lit(False) if listed is None else F.col("_listed").isNotNull()
+        new = foreign if listed is None else foreign.join(
+            listed.select(F.col("admid").alias("_listed")), F.col("admid") == F.col("_listed"), "left")
+    changes = reference_changes(old, new, PARCEL_PARENTS, gone)
+    return stage(apply_changes(references, changes), "references_moved")
+
+
+def sweep(tables: dict[str, DataFrame], moved: DataFrame | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Identities without parcels become inactive; entities without parcels are dropped; returns the reference counts too.
+
+    With ``moved`` (see :func:`moved_references`) only the parents that the
+    month touched are looked at; without, all parcels are counted.
+    """
+    if moved is not None:
+        return {**tables, "identity": flag_listed(tables["identity"], childless(moved, "identity")),
+                "entity": drop_listed(tables["entity"], childless(moved, "entity"))}, held(moved)
+    counted = stage(count_references(tables["parcel"], PARCEL_PARENTS), "references")
+    refs = {p: counted.where(F.col("parent") == p).select(F.col("id").alias(fk)) for p, fk in PARCEL_PARENTS.items()}
     return {**tables,
-            "identity": flag_orphans(tables["identity"], refs, "identity_id"),
-            "entity": drop_orphans(tables["entity"], refs, "entity_id")}
+            "identity": flag_orphans(tables["identity"], refs["identity"], "identity_id"),
+            "entity": drop_orphans(tables["entity"], refs["entity"], "entity_id")}, counted
 
 
 def export_address_extract(spark: SparkSession, feed_path, out_path: str, mode: str = "strict") -> DataFrame:
@@ -281,10 +323,10 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
         # A run that is not published leaves its parcels in its staging folder.
         home = store if publish else StateStore(spark, folder, store.buckets)
         try:
-            result, stored = _run(spark, home, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls,
+            result, stored, counted = _run(spark, home, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls,
                                   phases, normalizer, None if skip_standardize else standardizer)
             if publish:
-                _publish(spark, store, result, stored, mode)
+                _publish(spark, store, result, stored, counted, mode)
             else:
                 keep = True
         finally:
@@ -294,8 +336,9 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
     return result
 
 
-def _publish(spark: SparkSession, store: StateStore, result: CycleResult, stored: Stored, mode: str) -> None:
-    tables = {**result.tables, "parcel": stored}
+def _publish(spark: SparkSession, store: StateStore, result: CycleResult, stored: Stored, counted: DataFrame | None,
+             mode: str) -> None:
+    tables = {**result.tables, "parcel": stored, **({} if counted is None else {REFERENCES: counted})}
     reports = {name: df for name, df in result.reports.items()}
     # In strict mode any reject has already aborted the run: nothing to keep.
     rejects = {} if mode == "strict" else {f"rejects_{n}": df for n, df in result.rejects.items()}
@@ -307,15 +350,19 @@ def _publish(spark: SparkSession, store: StateStore, result: CycleResult, stored
 
 
 def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_path, delete_path, mode, overwrite_nulls,
-         phases, normalizer, standardizer) -> tuple[CycleResult, Stored]:
-    """The new tables; the parcels are written under ``home`` once, those on the delete list apart."""
+         phases, normalizer, standardizer) -> tuple[CycleResult, Stored, DataFrame | None]:
+    """The new tables, their reference counts if they are swept, and where the parcels are.
+
+    The parcels are written under ``home`` once, those on the delete list apart.
+    """
     result = CycleResult(version, {})
-    held = store.stored()
-    tables = store.snapshot(stored=held)
+    stored_before = store.stored()
+    tables = store.snapshot(stored=stored_before)
+    parcel_before, foreign = tables["parcel"], None
     buckets = home.buckets.get("parcel")
     partitions = buckets.count if buckets else None
     # The result lies in the buckets of the state it was joined with, if they are the ones it is written with.
-    aligned = buckets is not None and "parcel" in held and held["parcel"].buckets == buckets
+    aligned = buckets is not None and "parcel" in stored_before and stored_before["parcel"].buckets == buckets
     deletes = None
     if "delete" in phases:
         with phase(spark, "read deletes"):
@@ -329,7 +376,7 @@ def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_pat
         delta, rejects = load_delta(spark, feed_path, std_path, mode, standardizer)
         result.rejects.update(rejects)
         with phase(spark, "merge pass 1"):
-            tables, reports = merge_delta(tables, delta, overwrite_nulls, normalizer, deletes, partitions)
+            tables, reports, foreign = merge_delta(tables, delta, overwrite_nulls, normalizer, deletes, partitions)
         result.reports.update(reports)
         op = F.col("op")
         counted += [F.count(F.when(op == name, 1)).alias(name) for name in ("insert", "update", "keep")]
@@ -346,9 +393,14 @@ def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_pat
     tables["parcel"] = home.open(stored, schema)
     if deletes is not None:
         tables["postcard"] = null_references(tables["postcard"], home.apart(stored, schema).select("id"), "parcel_id")
+    counted = None
     if "sweep" in phases:
-        with phase(spark, "sweep"):
-            tables = sweep(tables)
+        with phase(spark, "sweep"), planned_for(spark, buckets):
+            moved = None
+            if REFERENCES in stored_before and (foreign is not None or deletes is not None):
+                before = store.open(stored_before[REFERENCES], StructType.fromDDL(REFERENCES_DDL))
+                moved = moved_references(before, parcel_before, foreign, deletes, partitions)
+            tables, counted = sweep(tables, moved)
     result.tables = {name: conform(df, StructType.fromDDL(STATE_DDL[name])) for name, df in tables.items()}
-    return result, stored
+    return result, stored, counted
 

@@ -36,6 +36,7 @@ from landroll.operators.joins import first_match, hot_keys, lookup_first, multi_
 from landroll.operators.keys import assign_ids, next_id
 from landroll.operators.merge import count_ops, existing_keys, get_or_insert, missing_keys, reactivate, upsert
 from landroll.operators.prune import delete_by_keys, drop_orphans, flag_orphans, null_references, orphans
+from landroll.operators.refcounts import apply_changes, childless, count_references, flag_listed, held, reference_changes
 from landroll.operators.quality import cascade_delete, check_fk, check_lengths, check_not_null, check_unique
 from landroll.plans.fixture_files import cycle_from_files, cycle_table, month_trio
 from landroll.plans.relate import check_trio, flatten, project, stitch_feed
@@ -455,6 +456,13 @@ def q_entity_lookup(s: Scenario) -> DataFrame:
             .select("admid", "entity_id"))
 
 
+def q_lookup_pruned(s: Scenario) -> DataFrame:
+    """The entity lookup with the state reduced to the delta's keys before it is grouped."""
+    with_ident = lookup_first(s.d, s.pid, ADDR, out_col="identity_id", salt_cols=["admid"], prune=True)
+    return (lookup_first(with_ident, s.pent, OWNER, out_col="entity_id", salt_cols=["admid"], prune=True)
+            .select("admid", "identity_id", "entity_id"))
+
+
 def q_parcel_update_set(s: Scenario) -> DataFrame:
     return existing_keys(s.ppar, s.d, "admid")
 
@@ -596,6 +604,36 @@ def q_deactivate_identities(s: Scenario) -> DataFrame:
     return s.id3.select("id", "inactive")
 
 
+def q_sweep_incremental(s: Scenario) -> DataFrame:
+    """Three months of new, moved and deleted orders: customers' counts moved month by month, flags swept each month.
+
+    An order is of its customer and of the month of its date.
+    """
+    fks = {"customer": "cust", "month": "month"}
+    o = s.table("orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_custkey").cast("long").alias("cust"),
+        (F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast("long").alias("month"),
+        F.year("o_orderdate").alias("year"))
+    children = o.where("year < 1996").drop("year")
+    parents = s.table("customer").select(F.col("c_custkey").cast("long").alias("id"), F.lit(None).cast("boolean").alias("inactive"))
+    references = stage(count_references(children, fks), "references")
+    parents = flag_orphans(parents, references.where("parent = 'customer'"), "id")
+    for m in (1, 2, 3):
+        moves = o.where((F.col("year") < 1995 + m) & (F.col("k") % 16 == m)).withColumn("cust", F.col("cust") % 100 + 1)
+        delta = o.where(F.col("year") == 1995 + m).unionByName(moves).drop("year")
+        deletes = o.where(F.col("k") % 8 == m + 2).select("k")
+        touched = delta.select("k").unionByName(deletes).distinct()
+        new = delta.join(deletes.withColumn("gone", F.lit(True)), "k", "left")
+        gone = F.col("gone").isNotNull()
+        changes = reference_changes(children.join(touched, "k", "left_semi"), new, fks, gone)
+        counted = stage(apply_changes(references, changes), "references_moved")
+        references = held(counted)
+        parents = flag_listed(parents, childless(counted, "customer"))
+        children = stage(children.join(touched, "k", "left_anti").unionByName(new.where(~gone).drop("gone")), "children")
+    counts = references.where("parent = 'customer'").select("id", "n")
+    return parents.join(counts, "id", "left").select("id", "inactive", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def q_drop_orphan_entities(s: Scenario) -> DataFrame:
     return s.ent3.select("id", *OWNER)
 

@@ -59,6 +59,20 @@ VIEWS = {
         from orders where o_orderstatus = 'F'""",
     "nk_delta": """select case when o_orderkey % 7 <> 0 and o_orderpriority <> '1-URGENT' then o_orderkey end k,
         -o_orderkey c from orders""",
+    # Three months of new, moved and deleted orders: the orders that are left, and whose they are.
+    "sweep_0": """select o_orderkey k, o_custkey cust from orders where year(o_orderdate) < 1996""",
+    "sweep_1": """select k, cust from sweep_0 where k % 8 <> 3 and k % 16 <> 1
+        union all select o_orderkey, o_custkey from orders where year(o_orderdate) = 1996 and o_orderkey % 8 <> 3
+        union all select o_orderkey, o_custkey % 100 + 1 from orders
+            where year(o_orderdate) < 1996 and o_orderkey % 16 = 1 and o_orderkey % 8 <> 3""",
+    "sweep_2": """select k, cust from sweep_1 where k % 8 <> 4 and k % 16 <> 2
+        union all select o_orderkey, o_custkey from orders where year(o_orderdate) = 1997 and o_orderkey % 8 <> 4
+        union all select o_orderkey, o_custkey % 100 + 1 from orders
+            where year(o_orderdate) < 1997 and o_orderkey % 16 = 2 and o_orderkey % 8 <> 4""",
+    "sweep_3": """select k, cust from sweep_2 where k % 8 <> 5 and k % 16 <> 3
+        union all select o_orderkey, o_custkey from orders where year(o_orderdate) = 1998 and o_orderkey % 8 <> 5
+        union all select o_orderkey, o_custkey % 100 + 1 from orders
+            where year(o_orderdate) < 1998 and o_orderkey % 16 = 3 and o_orderkey % 8 <> 5""",
     # The file-based month: what every feed column was filled with (fixture_files.py).
     "month_identity": """select a, ci, st, lpad(cast(nk as varchar), 5, '0') zip, substr(stat, 1, 1) verified,
         cast(floor(attr) / 100 as decimal(10, 6)) lon, cast(nk + 0.75 as decimal(10, 6)) lat,
@@ -158,6 +172,8 @@ QUERIES = {
     "identity_lookup": "select d.admid, (select min(id) from pid p where p.a = d.a and p.ci = d.ci and p.st = d.st) identity_id from d",
     "entity_lookup": """select d.admid, e.id entity_id from d left join pid p using (a, ci, st)
         left join pent e on e.owner = d.owner and e.identity_id = p.id""",
+    "lookup_pruned": """select d.admid, p.id identity_id, e.id entity_id from d left join pid p using (a, ci, st)
+        left join pent e on e.owner = d.owner and e.identity_id = p.id""",
     "parcel_update_set": "select admid from d where admid in (select admid from ppar)",
     "parcel_insert_set": "select admid from d where admid not in (select admid from ppar)",
     "attach_fks": "select admid, identity_id, entity_id from dfk",
@@ -270,6 +286,10 @@ QUERIES = {
     "deactivate_identities": """select id, case when id not in (select identity_id from par3) then true
         else case when inactive and exists (select 1 from d where d.a = id2.a and d.ci = id2.ci and d.st = id2.st)
         then null else inactive end end inactive from id2""",
+    "sweep_incremental": """select c_custkey id, case when c_custkey not in (select cust from sweep_0)
+            or c_custkey not in (select cust from sweep_1) or c_custkey not in (select cust from sweep_2)
+            or c_custkey not in (select cust from sweep_3) then true end inactive,
+        (select count(*) from sweep_3 where cust = c_custkey) n from customer""",
     "drop_orphan_entities": "select id, owner, identity_id from ent2 where id in (select entity_id from par3)",
     "cycle_from_files": """select admid, cast(floor(price) as bigint) price, identity_id, entity_id from par3""",
     "full_cycle": """select p.admid, p.price, p.identity_id, p.entity_id, e.owner, i.a, i.ci, i.st, i.attr

@@ -210,6 +210,8 @@ PARCEL_DDL = (
 )
 POSTCARD_DDL = "id bigint, parcel_id bigint"
 
+# Derived from the parcels: how many refer to each identity and entity (see operators.refcounts).
+REFERENCES_DDL = "parent string, id long, n long"
 STATE_DDL = {"identity": IDENTITY_DDL, "entity": ENTITY_DDL, "parcel": PARCEL_DDL, "postcard": POSTCARD_DDL}
 
 

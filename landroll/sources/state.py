@@ -40,6 +40,7 @@ from landroll.sources.buckets import Buckets, attach, detach, table_name, write_
 from landroll.sources.schemas import STATE_DDL
 
 
+REFERENCES = "references"
 MANIFEST = "seq long, version string, tables string, reports string"
 
 
@@ -173,13 +174,15 @@ class StateStore:
         """Write every table that is not stored yet, then the manifest (which keeps unchanged tables of the last version).
 
         ``reports`` (audit tables of the run) are written under ``_reports``
-        before the manifest.
+        before the manifest.  The reference counts (``REFERENCES``) belong to the
+        very tables they come with: a publish without them drops them.
         """
         newest = self._newest()
         if self.has(version):
             raise ValueError(f"version {version!r} is committed already")
         folder = new_folder(version)
         entries = json.loads(newest["tables"]) if newest else {}
+        entries.pop(REFERENCES, None)
         for name, table in tables.items():
             entries[name] = (table if isinstance(table, Stored) else self.put(name, table, folder)).entry()
         report_paths = {name: f"{self.root}/_reports/{name}/{folder}" for name in reports or {}}
