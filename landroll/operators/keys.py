@@ -11,10 +11,12 @@ moving all rows into one task:
    and the numbering read the very same partition assignment (two
    separately planned range exchanges may sample different bounds);
 3. the rows per range partition are counted, and each partition's offset is
-   the running sum of the counts before it: within groups of ``_GROUP``
-   partitions, plus the running sum of the groups' totals.  The offsets are a
-   small frame joined to the rows by partition number; neither the driver nor
-   the plan holds anything that grows with the number of partitions.
+   the running sum of the counts before it.  If there are at most ``_GROUP``
+   partitions the offsets are one array, a scalar subquery, and numbering is a
+   projection of the ranked copy.  Beyond, they are a small frame joined to
+   the rows by partition number, summed up within groups of ``_GROUP``
+   partitions and over the groups' totals.  The plan does not grow with the
+   number of partitions, and nothing larger than ``_GROUP`` numbers is one value.
 
 Because an id equals the row's global rank in the given total order, the ids
 do not depend on partitioning, and a rerun over the same rows gives the same
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _GROUP = 4096  # partitions whose counts are summed up in one window
@@ -64,16 +66,37 @@ def assign_ids(df: DataFrame, order_by: Sequence[str | Column], base: int | Colu
                          .withColumn("_mid", F.monotonically_increasing_id()), "ranked")
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     base_col = base if isinstance(base, Column) else F.lit(base)
+    counts = ranked.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    most = num_partitions or _range_partitions(df.sparkSession)
+    if most <= _GROUP:
+        # Past the array's end would be an error, not a NULL: element_at checks.
+        numbered = ranked.withColumn("_offset", F.element_at(_offset_array(counts, most), (pid + 1).cast("int")))
+    else:
+        numbered = ranked.withColumn("_pid", pid).join(_offsets(counts), "_pid")
     new_id = (base_col.cast("long") + F.col("_offset") + F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)) + 1)
-    return (ranked.withColumn("_pid", pid).join(_offsets(ranked.select(pid.alias("_pid"))), "_pid")
-            .withColumn(id_col, new_id.cast("long")).drop("_mid", "_pid", "_offset")
-            .select(*df.columns, id_col))
+    return numbered.withColumn(id_col, new_id.cast("long")).select(*df.columns, id_col)
 
 
-def _offsets(pids: DataFrame) -> DataFrame:
-    """(_pid, _offset): rows in all partitions of a smaller number."""
-    counts = (pids.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_group", F.floor(F.col("_pid") / _GROUP)))
+def _range_partitions(spark: SparkSession) -> int:
+    """How many partitions ``repartitionByRange`` makes at most if it is not told."""
+    given = [spark.conf.get(name, None) for name in ("spark.sql.shuffle.partitions",
+                                                     "spark.sql.adaptive.coalescePartitions.initialPartitionNum")]
+    return max(int(n) for n in given if n is not None)
+
+
+def _offset_array(counts: DataFrame, most: int) -> Column:
+    """Scalar subquery: the offsets of partitions 0 to ``most`` - 1."""
+    every = counts.sparkSession.range(most).select(F.col("id").alias("_pid"), F.lit(0).cast("long").alias("_n"))
+    rows = every.unionByName(counts).groupBy("_pid").agg(F.sum("_n").alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    upto = rows.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    listed = F.array_sort(F.collect_list(F.struct("_pid", "_offset")))
+    return upto.agg(F.transform(listed, lambda x: x["_offset"]).alias("_offsets")).scalar()
+
+
+def _offsets(counts: DataFrame) -> DataFrame:
+    """(_pid, _offset): rows in all partitions of a smaller number; ``counts`` has _pid and its rows _n."""
+    counts = counts.withColumn("_group", F.floor(F.col("_pid") / _GROUP))
     totals = counts.groupBy("_group").agg(F.sum("_n").alias("_total"))
     groups = totals.select("_group", F.coalesce(F.sum("_total").over(
         Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
