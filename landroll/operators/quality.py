@@ -48,6 +48,39 @@ def check_not_null(df: DataFrame, cols: Sequence[str], key: str | Sequence[str],
             .select(*keys, F.explode("_nulls").alias(col_name)))
 
 
+def check_rows(df: DataFrame, key: str | Sequence[str], required: Mapping[str, Sequence[str]] | None = None,
+               limits: Mapping[str, Mapping[str, int]] | None = None,
+               unique: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """All rules on single rows and unique columns, in one scan: (table, rule, key, detail).
+
+    Each argument maps the name of a table to its columns: ``required`` must
+    not be NULL, ``limits`` are lengths, ``unique`` columns must neither repeat
+    nor be NULL.  A row lists what it breaks, and names its unique columns;
+    counting the names is the only shuffle.  As :func:`violations` of
+    :func:`check_not_null`, :func:`check_lengths` and :func:`check_unique`.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    row = F.monotonically_increasing_id()  # keeps the violations of different rows apart
+
+    def item(table: str, rule: str, own: Column, detail: Column, mark: Column, null: Column) -> Column:
+        return F.struct(F.lit(table).alias("table"), F.lit(rule).alias("rule"), own.alias("key"), detail.alias("detail"),
+                        mark.alias("row"), null.alias("null"))
+
+    no, none = F.lit(False), F.lit(None).cast("string")
+    items = [F.when(F.col(c).isNull(), item(t, "not_null", _as_key(keys), F.lit(c), F.col("_row"), no))
+             for t, cols in (required or {}).items() for c in cols]
+    items += [F.when(F.rtrim(F.substring(c, n + 1, _REST)) != "",
+                     item(t, "length", _as_key(keys), F.concat(F.lit(f"{c}|"), F.length(c)), F.col("_row"), no))
+              for t, cols in (limits or {}).items() for c, n in cols.items()]
+    items += [item(t, f"unique_{c}", _as_key([c]), none, F.lit(None).cast("long"), F.col(c).isNull())
+              for t, cols in (unique or {}).items() for c in cols]
+    listed = df.withColumn("_row", row).select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("v"))
+    counted = listed.select("v.*").groupBy("table", "rule", "key", "detail", "row", "null").agg(F.count(F.lit(1)).alias("n"))
+    of_row = F.col("row").isNotNull()
+    return (counted.where(of_row | (F.col("n") > 1) | F.col("null"))
+            .select("table", "rule", "key", F.when(of_row, F.col("detail")).otherwise(F.col("n").cast("string")).alias("detail")))
+
+
 def check_fk(child: DataFrame, parent: DataFrame, fk: str, parent_key: str = "id") -> DataFrame:
     """Child rows whose non-NULL ``fk`` has no parent."""
     keys = parent.select(F.col(parent_key).alias("_pk")).distinct()

@@ -55,7 +55,7 @@ from landroll.operators.refcounts import (apply_changes, childless, count_refere
                                           reference_changes)
 from landroll.operators.quality import enforce, raise_if_any, reject_path
 from landroll.plans.relate import (ENTITY_SOURCE, FLAT_TEXT_DEFAULTS, IDENTITY_KEY, IDENTITY_SOURCE,
-                                   MAIL_RENAMES, MAIL_STREET_PARTS, TRIO_INPUT_COLUMNS, address_extract, check_delta,
+                                   MAIL_RENAMES, MAIL_STREET_PARTS, TRIO_INPUT_COLUMNS, address_extract, audit_stitch, check_delta,
                                    delta_rows, identity_survivors, stitch_feed)
 from landroll.session import drop_path, phase, stage, staging_area
 from landroll.sources.buckets import planned_for
@@ -102,7 +102,8 @@ def standardize(feed: DataFrame, standardizer: Callable, mode: str = "strict") -
                           required=STD_REQUIRED)
     out = stage(typed, "standardized")
     rejects = out.where(F.size("_problems") > 0).select(
-        "admid", F.lit(None).cast("string").alias("raw_line"), F.col("_problems").alias("problems"))
+        "admid", F.lit(None).cast("string").alias("raw_line"), F.col("_problems").alias("problems"),
+        F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("block_start"))
     if mode == "strict" and rejects.first() is not None:
         path = reject_path(feed.sparkSession, "standardized")
         rejects.write.mode("error").parquet(path)
@@ -111,8 +112,8 @@ def standardize(feed: DataFrame, standardizer: Callable, mode: str = "strict") -
 
 
 def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict",
-               standardizer: Callable | None = None) -> tuple[Delta, dict[str, DataFrame]]:
-    """Read, standardise, stitch and check the month; returns (delta, rejects)."""
+               standardizer: Callable | None = None) -> tuple[Delta, dict[str, DataFrame], DataFrame]:
+    """Read, standardise, stitch and check the month; returns (delta, rejects, audit of the stitch)."""
     # Every column is validated, but only the ones the trio reads are staged.
     std_needed = [c for c in TRIO_INPUT_COLUMNS if c in STD_COLUMNS]
     feed_needed = [c for c in TRIO_INPUT_COLUMNS if c not in std_needed]
@@ -143,7 +144,7 @@ def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict",
             keys = bad_keys.select(*[F.col(k).alias(f"_bad_{k}") for k in IDENTITY_KEY])
             rows = stage(rows.where("admid is not null").join(keys, same, "left_anti"), "delta_kept")
             identities = stage(identity_survivors(rows), "delta_identities")
-    return Delta(rows, identities), rejects
+    return Delta(rows, identities), rejects, audit_stitch(feed.rows, std_rows)
 
 
 def _defaults(df: DataFrame) -> DataFrame:
@@ -373,11 +374,11 @@ def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_pat
     gone = F.coalesce("gone", F.lit(False))
     counted = [F.count(F.when(~gone, 1)).alias("parcels"), F.count(F.when(gone, 1)).alias("deleted")]
     if "load" in phases:
-        delta, rejects = load_delta(spark, feed_path, std_path, mode, standardizer)
+        delta, rejects, audit = load_delta(spark, feed_path, std_path, mode, standardizer)
         result.rejects.update(rejects)
         with phase(spark, "merge pass 1"):
             tables, reports, foreign = merge_delta(tables, delta, overwrite_nulls, normalizer, deletes, partitions)
-        result.reports.update(reports)
+        result.reports.update(reports, stitch_audit=audit)
         op = F.col("op")
         counted += [F.count(F.when(op == name, 1)).alias(name) for name in ("insert", "update", "keep")]
         marked = tables["parcel"] if deletes is not None else tables["parcel"].withColumn("gone", F.lit(False))

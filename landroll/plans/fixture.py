@@ -39,7 +39,7 @@ from landroll.operators.prune import delete_by_keys, drop_orphans, flag_orphans,
 from landroll.operators.refcounts import apply_changes, childless, count_references, flag_listed, held, reference_changes
 from landroll.operators.quality import cascade_delete, check_fk, check_lengths, check_not_null, check_unique
 from landroll.plans.fixture_files import cycle_from_files, cycle_table, month_trio
-from landroll.plans.relate import check_trio, flatten, project, stitch_feed
+from landroll.plans.relate import audit_stitch, check_trio, flatten, project, stitch_feed
 from landroll.session import stage, stage_path
 from landroll.sources.buckets import Buckets, attach, write_bucketed
 from landroll.sources.delimited import load_typed, read_delete_list, read_standardized, write_address_extract
@@ -300,6 +300,32 @@ def q_stitch(s: Scenario) -> DataFrame:
     return stitch_feed(s.table("orders"), std, feed_key="o_custkey", std_key="c_custkey")
 
 
+def q_stitch_audit(s: Scenario) -> DataFrame:
+    """What the stitch of orders with customers not in debt drops or multiplies; every eighth customer comes twice."""
+    c = s.table("customer")
+    std = c.where("c_acctbal >= 0").unionByName(c.where("c_custkey % 8 = 0")).select("c_custkey")
+    return audit_stitch(s.table("orders"), std, feed_key="o_custkey", std_key="c_custkey")
+
+
+def q_reject_provenance(s: Scenario) -> DataFrame:
+    """Rejects of a load from two files: which of them each stands in, and its line if that is malformed."""
+    nk = F.col("c_nationkey")
+    text = s.table("customer").select(
+        F.col("c_custkey").cast("string").alias("k"),
+        F.when(nk < 6, "many").when(nk < 12, F.concat_ws("||", F.lit("1"), F.lit("2"))).otherwise(nk.cast("string")).alias("n"))
+    lines = text.select("k", F.concat_ws("||", "k", "n").alias("k||n"))
+    paths = []
+    for half, name in enumerate(("east", "west")):
+        paths.append(f"{stage_path(s.spark, 'halves')}/{name}")
+        (lines.where(F.col("k").cast("int") % 2 == half).drop("k").write.option("sep", "\t").option("header", True)
+         .option("quote", "").option("escape", "").csv(paths[-1]))
+    got = load_typed(s.spark, paths, [ColumnSpec("k", "long"), ColumnSpec("n", "int")], "||", mode="quarantine",
+                     name="provenance")
+    return got.rejects.select("k", "raw_line", F.array_join(F.sort_array("problems"), ",").alias("problems"),
+                              F.regexp_extract("file", "/(east|west)/[^/]+$", 1).alias("half"),
+                              (F.col("block_start") >= 0).alias("placed"))
+
+
 def q_compose_street(s: Scenario) -> DataFrame:
     d = s.table("documents")
     return d.select("doc_id", compose(_nullif("lang", "en"), "source", "text").alias("street"))

@@ -145,6 +145,16 @@ QUERIES = {
     "delete_list": "select admid from del",
     "stitch": """select o.*, c_name, c_mktsegment from orders o
         join (select * from customer where c_acctbal >= 0) on o_custkey = c_custkey""",
+    "stitch_audit": """select coalesce(f.k, t.k) "key", coalesce(f.n, 0) n_feed, coalesce(t.n, 0) n_std,
+        concat_ws(',', case when t.n is null then 'feed_only' end, case when f.n is null then 'std_only' end,
+                  case when f.n > 1 then 'repeated_feed' end, case when t.n > 1 then 'repeated_std' end) problems
+        from (select o_custkey k, count(*) n from orders group by 1) f
+        full join (select c_custkey k, count(*) n from (select c_custkey from customer where c_acctbal >= 0
+            union all select c_custkey from customer where c_custkey % 8 = 0) group by 1) t on f.k = t.k
+        where f.n is distinct from 1 or t.n is distinct from 1""",
+    "reject_provenance": """select c_custkey k, case when c_nationkey >= 6 then c_custkey || '||1||2' end raw_line,
+        case when c_nationkey < 6 then 'n:type' else 'row:field_count' end problems,
+        case when c_custkey % 2 = 0 then 'east' else 'west' end half, true placed from customer where c_nationkey < 12""",
     "compose_street": f"select doc_id, {_compose_sql(_NULLIF_EN, 'source', 'text')} street from documents",
     "compose_address1": f"""select p_partkey, {_compose_sql('p_brand', _NULLIF_ECONOMY, "''", 'p_name', "'  '")} address1
         from part""",

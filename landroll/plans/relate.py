@@ -24,8 +24,7 @@ from landroll.functions.cast import coalesce_defaults
 from landroll.operators.dedup import keep_first
 from landroll.operators.joins import hot_keys, salted_join
 from landroll.operators.keys import assign_ids
-from landroll.operators.quality import (check_fk, check_lengths, check_not_null, check_unique,
-                                        fit_lengths, violations)
+from landroll.operators.quality import check_fk, check_rows, fit_lengths, violations
 from landroll.session import stage
 from landroll.sources.schemas import ENTITY_LIMITS, IDENTITY_LIMITS, PARCEL_LIMITS
 
@@ -128,6 +127,22 @@ def stitch_feed(feed: DataFrame, std: DataFrame, feed_key: str = "admid", std_ke
     return feed.join(std, feed[feed_key] == std["_std_key"], "inner").drop("_std_key")
 
 
+def audit_stitch(feed: DataFrame, std: DataFrame, feed_key: str = "admid", std_key: str = "admid") -> DataFrame:
+    """Keys that the stitch drops or multiplies: (key, n_feed, n_std, problems).
+
+    ``feed_only`` has no standardised row and drops out, ``std_only`` has no
+    feed row, ``repeated_feed`` and ``repeated_std`` multiply rows.  Only the
+    keys are read; both sides are counted in one map-side combined aggregate.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    keys = (feed.select(F.col(feed_key).alias("key"), one.alias("f"), none.alias("s"))
+            .unionByName(std.select(F.col(std_key).alias("key"), none.alias("f"), one.alias("s"))))
+    counted = keys.groupBy("key").agg(F.sum("f").alias("n_feed"), F.sum("s").alias("n_std"))
+    problems = F.concat_ws(",", F.when(F.col("n_std") == 0, "feed_only"), F.when(F.col("n_feed") == 0, "std_only"),
+                           F.when(F.col("n_feed") > 1, "repeated_feed"), F.when(F.col("n_std") > 1, "repeated_std"))
+    return counted.withColumn("problems", problems).where("problems <> ''")
+
+
 def project(stitched: DataFrame, source: Mapping[str, str]) -> DataFrame:
     """The columns of one relational table; ``source`` is {column: stitched column}."""
     return stitched.select(*[F.col(src).alias(dst) for dst, src in source.items()])
@@ -152,25 +167,17 @@ def check_delta(delta: DataFrame, survivors: DataFrame) -> tuple[DataFrame, Data
     Violations of parcels and entities carry the admid as key; foreign keys
     hold by construction, as every row resolves to the ids it is given.
     """
-    bad_identity = (check_not_null(survivors, IDENTITY_KEY, IDENTITY_KEY).withColumn("rule", F.lit("not_null"))
-                    .unionByName(check_lengths(survivors, _limits(survivors, IDENTITY_LIMITS), IDENTITY_KEY)
-                                 .withColumn("rule", F.lit("length")), allowMissingColumns=True))
-    required = [c for c in PARCEL_REQUIRED if c in delta.columns]
-    found = [
-        violations("parcel", "unique_admid", check_unique(delta, ["admid"]), ["admid"], ["n"]),
-        violations("parcel", "not_null", check_not_null(delta, required, "admid"), ["admid"], ["col"]),
-        violations("parcel", "length", check_lengths(delta, _limits(delta, PARCEL_LIMITS), "admid"), ["admid"],
-                   ["col", "len"]),
-        violations("entity", "length", check_lengths(delta, _limits(delta, ENTITY_LIMITS), "admid"), ["admid"],
-                   ["col", "len"]),
-        bad_identity.select(F.lit("identity").alias("table"), "rule",
-                            F.concat_ws("|", *[F.coalesce(F.col(k), F.lit("")) for k in IDENTITY_KEY]).alias("key"),
-                            F.concat_ws("|", "col", F.col("len").cast("string")).alias("detail")),
-    ]
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out, bad_identity.select(*IDENTITY_KEY).distinct()
+    limits = {"parcel": _limits(delta, PARCEL_LIMITS), "entity": _limits(delta, ENTITY_LIMITS)}
+    found = check_rows(delta, "admid", {"parcel": [c for c in PARCEL_REQUIRED if c in delta.columns]}, limits,
+                       {"parcel": ["admid"]})
+    own = _limits(survivors, IDENTITY_LIMITS)
+    of_identity = check_rows(survivors, IDENTITY_KEY, {"identity": IDENTITY_KEY}, {"identity": own})
+    broken = F.lit(False)
+    for c in IDENTITY_KEY:
+        broken = broken | F.col(c).isNull()
+    for c, n in own.items():
+        broken = broken | F.coalesce(F.rtrim(F.substring(c, n + 1, 1 << 30)) != "", F.lit(False))
+    return found.unionByName(of_identity), survivors.where(broken).select(*IDENTITY_KEY).distinct()
 
 
 @dataclass
@@ -217,20 +224,15 @@ def _limits(df: DataFrame, limits: dict) -> dict:
 def check_trio(trio: Trio) -> DataFrame:
     """Every constraint violation of the trio as (table, rule, key, detail)."""
     found = [
-        violations("parcel", "unique_admid", check_unique(trio.parcel, ["admid"]), ["admid"], ["n"]),
-        violations("parcel", "unique_id", check_unique(trio.parcel, ["id"]), ["id"], ["n"]),
-        violations("entity", "unique_id", check_unique(trio.entity, ["id"]), ["id"], ["n"]),
-        violations("identity", "unique_id", check_unique(trio.identity, ["id"]), ["id"], ["n"]),
-        violations("parcel", "not_null", check_not_null(trio.parcel, PARCEL_REQUIRED, "admid"), ["admid"], ["col"]),
-        violations("entity", "not_null", check_not_null(trio.entity, ENTITY_REQUIRED, "id"), ["id"], ["col"]),
-        violations("identity", "not_null", check_not_null(trio.identity, IDENTITY_REQUIRED, "id"), ["id"], ["col"]),
+        check_rows(trio.parcel, "admid", {"parcel": PARCEL_REQUIRED}, {"parcel": _limits(trio.parcel, PARCEL_LIMITS)},
+                   {"parcel": ["admid", "id"]}),
+        check_rows(trio.entity, "id", {"entity": ENTITY_REQUIRED}, {"entity": _limits(trio.entity, ENTITY_LIMITS)},
+                   {"entity": ["id"]}),
+        check_rows(trio.identity, "id", {"identity": IDENTITY_REQUIRED},
+                   {"identity": _limits(trio.identity, IDENTITY_LIMITS)}, {"identity": ["id"]}),
         violations("parcel", "fk_identity", check_fk(trio.parcel, trio.identity, "identity_id"), ["admid"]),
         violations("parcel", "fk_entity", check_fk(trio.parcel, trio.entity, "entity_id"), ["admid"]),
         violations("entity", "fk_identity", check_fk(trio.entity, trio.identity, "identity_id"), ["id"]),
-        violations("parcel", "length", check_lengths(trio.parcel, _limits(trio.parcel, PARCEL_LIMITS), "admid"), ["admid"], ["col", "len"]),
-        violations("entity", "length", check_lengths(trio.entity, _limits(trio.entity, ENTITY_LIMITS), "id"), ["id"], ["col", "len"]),
-        violations("identity", "length", check_lengths(trio.identity, _limits(trio.identity, IDENTITY_LIMITS), "id"), ["id"],
-                   ["col", "len"]),
     ]
     out = found[0]
     for f in found[1:]:

@@ -33,24 +33,26 @@ from landroll.sources.schemas import (EXTRACT_COLUMNS, FEED_FORCED, FEED_SPECS,
                                       STD_SPECS)
 
 CORRUPT = "_corrupt_record"
+# Where a row was read: its file, and the first byte of the block of it that the task read.
+PLACE = {"file": "_metadata.file_path", "block_start": "_metadata.file_block_start"}
 ENCODING = "ISO-8859-1"
 
 
 @dataclass
 class Loaded:
     rows: DataFrame      # typed rows that passed every check
-    rejects: DataFrame   # raw line (if malformed) or key, and the problems found
+    rejects: DataFrame   # raw line (if malformed) or key, the problems found, file and block
 
 
 def read_text_columns(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], sep: str,
                       encoding: str = ENCODING) -> DataFrame:
-    """Read a headed, unquoted delimited file with every column as text plus ``_corrupt_record``."""
+    """Read a headed, unquoted delimited file with every column as text plus ``_corrupt_record`` and the place."""
     schema = StructType([StructField(c, StringType()) for c in columns] + [StructField(CORRUPT, StringType())])
     return (spark.read.schema(schema)
             .option("sep", sep).option("header", True).option("quote", "").option("escape", "")
             .option("encoding", encoding).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(path))
+            .csv(path).select("*", *[F.col(c).alias(f"_{name}") for name, c in PLACE.items()]))
 
 
 def load_typed(spark: SparkSession, path: str | Sequence[str], specs: Sequence[ColumnSpec], sep: str,
@@ -64,18 +66,22 @@ def load_typed(spark: SparkSession, path: str | Sequence[str], specs: Sequence[C
     if mode not in ("strict", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
     raw = read_text_columns(spark, path, [s.name for s in specs], sep)
-    typed, bad = typed_cast(raw, specs, forced=forced, required=required, keep=[CORRUPT])
+    place = [f"_{name}" for name in PLACE]
+    typed, bad = typed_cast(raw, specs, forced=forced, required=required, keep=[CORRUPT, *place])
     problems = F.when(F.col(CORRUPT).isNotNull(),
                       F.array_union(F.array(F.lit("row:field_count")), F.col("_problems"))
                       ).otherwise(F.col("_problems"))
-    checked = typed.withColumn("_problems", problems)
+    # Only rejects keep their place: it costs a good row nothing in the staged table.
+    checked = typed.withColumn("_problems", problems).withColumns(
+        {c: F.when(F.size("_problems") > 0, F.col(c)) for c in place})
     if columns is not None:
         kept = list(dict.fromkeys([specs[0].name, *columns]))
-        checked = checked.select(*kept, "_problems", CORRUPT)
+        checked = checked.select(*kept, "_problems", CORRUPT, *place)
     staged = stage(checked, name)
     rejects = staged.where(F.size("_problems") > 0).select(
-        specs[0].name, F.col(CORRUPT).alias("raw_line"), F.col("_problems").alias("problems"))
-    rows = staged.where(F.size("_problems") == 0).drop("_problems", CORRUPT)
+        specs[0].name, F.col(CORRUPT).alias("raw_line"), F.col("_problems").alias("problems"),
+        *[F.col(f"_{name}").alias(name) for name in PLACE])
+    rows = staged.where(F.size("_problems") == 0).drop("_problems", CORRUPT, *place)
     if mode == "strict" and rejects.first() is not None:
         # The run's staging folder goes with the run; its rejects stay.
         path = reject_path(spark, name)

@@ -41,6 +41,8 @@ from landroll.sources.schemas import STATE_DDL
 
 
 REFERENCES = "references"
+# A delivery that was set aside: its manifest, why, and the line and file it came from.
+PARKED = "version string, feed string, std string, deletes string, reason string, raw string, file string"
 MANIFEST = "seq long, version string, tables string, reports string"
 
 
@@ -163,7 +165,7 @@ class StateStore:
     def parked(self) -> DataFrame | None:
         """Deliveries that were set aside, or None if there never was one."""
         path = f"{self.root}/_parked"
-        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
+        return self.spark.read.schema(PARKED).parquet(path) if path_exists(self.spark, path) else None
 
     def read(self, table: str, version: str | None = None) -> DataFrame:
         """A table of the current (or a given) version; an empty table if it was never published."""

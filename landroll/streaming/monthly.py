@@ -16,7 +16,8 @@ compared with their numbers as numbers ("9" before "10").
 * A manifest without a version, or with neither feed nor deletes, is
   malformed and is set aside.
 
-What is set aside stays in ``store.parked()`` with its reason, and the other
+What is set aside stays in ``store.parked()`` with its reason, its line as it
+was read and its file (once, also if the batch is replayed), and the other
 months go on.  With the ``availableNow`` trigger the query processes
 everything in the inbox and stops, which suits a scheduled job; a
 processing-time trigger keeps it running.  All manifests that are in the
@@ -30,27 +31,33 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from landroll.plans.cycle import run_cycle
 from landroll.session import checkpoint_dir
-from landroll.sources.state import StateStore
+from landroll.sources.state import PARKED, StateStore
 
 MANIFEST_SCHEMA = "version string, feed string, std string, deletes string"
 
 
 def version_order(version: str) -> list[tuple[int, int, str]]:
     """Sort key of a version label: digits as numbers, the rest as text."""
-    return [(0, int(part), "") if part.isdigit() else (1, 0, part) for part in re.findall(r"[0-9]+|[^0-9]+", version)]
+    return [(0, int(part), "") if part[0] in "0123456789" else (1, 0, part)
+            for part in re.findall(r"[0-9]+|[^0-9]+", version)]
 
 
 def _apply_batch(store: StateStore, mode: str):
     def park(month: dict, reason: str) -> None:
-        row = tuple(month[c] for c in ("version", "feed", "std", "deletes"))
-        store.park(store.spark.createDataFrame([(*row, reason)], f"{MANIFEST_SCHEMA}, reason string"))
+        names = ("version", "feed", "std", "deletes", "reason", "raw", "file")
+        row = {**month, "reason": reason}
+        seen = store.parked()
+        if seen is None or seen.where(F.col("file") == row["file"]).where(F.col("reason") == reason).where(
+                F.col("raw").eqNullSafe(row["raw"])).isEmpty():
+            store.park(store.spark.createDataFrame([tuple(row[c] for c in names)], PARKED))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        months = [r.asDict() for r in batch.select("version", "feed", "std", "deletes").collect()]
+        months = [r.asDict() for r in batch.collect()]
         usable = [m for m in months if m["version"] and (m["feed"] or m["deletes"]) and bool(m["feed"]) == bool(m["std"])]
         for month in months:
             if month not in usable:
@@ -72,7 +79,9 @@ def watch_deliveries(spark: SparkSession, inbox: str, store: StateStore, mode: s
                      checkpoint: str | None = None, available_now: bool = True,
                      interval: str = "1 hour") -> StreamingQuery:
     """Start the stream; call ``.awaitTermination()`` (available-now) or keep it running."""
-    source = spark.readStream.schema(MANIFEST_SCHEMA).json(inbox)
+    raw = "_corrupt_record"
+    source = (spark.readStream.schema(f"{MANIFEST_SCHEMA}, {raw} string").option("columnNameOfCorruptRecord", raw).json(inbox)
+              .select("version", "feed", "std", "deletes", F.col(raw).alias("raw"), F.col("_metadata.file_path").alias("file")))
     writer = (source.writeStream.foreachBatch(_apply_batch(store, mode))
               .option("checkpointLocation", checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/deliveries"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

@@ -141,6 +141,7 @@ def test_full_cycle(spark, month):
     assert res.counts["insert"] == 8 and res.counts["update"] == 3 and res.counts["keep"] == 1
     assert res.counts["deleted"] == 2
     assert res.reports["identity_multi_match"].count() == 1
+    assert [tuple(r) for r in res.reports["stitch_audit"].collect()] == [(2008, 1, 0, "feed_only")]
     # Referential integrity of the published state.
     t = res.tables
     assert check_fk(t["parcel"], t["identity"], "identity_id").count() == 0
@@ -320,6 +321,14 @@ def test_late_and_malformed_manifests_are_parked(spark, month, workdir):
                                                ("12", "malformed")], key=repr)
     _watch(spark, store, workdir, inbox)
     assert store.parked().count() == 4
+    # The line and the file of what could not be read are kept, so that it can be mended.
+    kept = {r.file.rsplit("/", 1)[1]: r.raw for r in store.parked().collect()}
+    assert kept == {"late.json": None, "bad1.json": "{not json", "bad2.json": None, "bad3.json": None}
+    # A replay of the whole inbox sets nothing aside twice.
+    from landroll.streaming.monthly import version_order, watch_deliveries
+    watch_deliveries(spark, inbox, store, checkpoint=os.path.join(workdir, "ckpt-again")).awaitTermination()
+    assert store.parked().where("reason = 'malformed'").count() == 3
+    assert version_order("2\u00b2") == [(0, 2, ""), (1, 0, "\u00b2")]
 
 
 def test_inbox_of_twenty_months_in_any_order(spark, workdir):

@@ -16,7 +16,7 @@ from landroll.operators.merge import get_or_insert, reactivate, upsert
 from landroll.operators.prune import (delete_by_keys, deleted_rows, drop_orphans, flag_orphans, null_references,
                                       orphans)
 from landroll.operators.quality import (ConstraintViolation, cascade_delete, check_fk, check_lengths,
-                                        check_not_null, check_unique, enforce, fit_lengths, violations)
+                                        check_not_null, check_rows, check_unique, enforce, fit_lengths, violations)
 
 
 def _skewed_rows(n=600, seed=7):
@@ -230,3 +230,42 @@ def test_enrichment_never_multiplies_rows(spark):
     std = spark.createDataFrame([(5, "b"), (5, "a"), (7, "c")], "id long, v string")
     got = sorted(map(tuple, left_enrich(df, std, "fk", "id", {"v": "v"}).collect()))
     assert got == [(1, 5, "a", True), (2, 6, None, False)]
+
+
+def test_all_row_rules_in_one_scan(spark, workdir):
+    """The same violations as one check after the other, from a single scan with a single shuffle."""
+    rows = [(1, "ab", None, "x" * 9), (1, None, "q", "ok"), (2, "abc   ", "q", "x" * 5), (None, None, None, None),
+            (None, None, None, None), (3, "abcd", "r", ""), (4, "ab", "s", "t")]
+    path = f"{workdir}/rows"
+    spark.createDataFrame(rows, "k long, a string, b string, c string").write.parquet(path)
+    df = spark.read.parquet(path)
+    got = check_rows(df, "k", {"t": ["a", "b"]}, {"t": {"a": 3}, "u": {"c": 4}}, {"t": ["k"]})
+    parts = [violations("t", "not_null", check_not_null(df, ["a", "b"], "k"), ["k"], ["col"]),
+             violations("t", "length", check_lengths(df, {"a": 3}, "k"), ["k"], ["col", "len"]),
+             violations("u", "length", check_lengths(df, {"c": 4}, "k"), ["k"], ["col", "len"]),
+             violations("t", "unique_k", check_unique(df, ["k"]), ["k"], ["n"])]
+    want = sorted((tuple(r) for p in parts for r in p.collect()), key=repr)
+    assert sorted(map(tuple, got.collect()), key=repr) == want and len(want) == 11
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_delta_is_checked_in_one_scan(spark, workdir):
+    from landroll.plans.relate import (ENTITY_SOURCE, IDENTITY_SOURCE, PARCEL_SOURCE, check_delta, identity_survivors)
+    names = list(dict.fromkeys([*IDENTITY_SOURCE, *ENTITY_SOURCE, *PARCEL_SOURCE]))
+    values = {"admid": F.col("id"), "mail_address": F.lit("1 A ST"), "parcel_fips": F.lit("123456"),
+              "mail_state": F.when(F.col("id") % 2 == 0, "UT"), "owner": F.lit("x" * 200)}
+    path = f"{workdir}/delta"
+    spark.range(6).select(*[values.get(n, F.lit("v")).alias(n) for n in names]).write.parquet(path)
+    delta = spark.read.parquet(path)
+    survivors_path = f"{workdir}/survivors"
+    identity_survivors(delta).write.parquet(survivors_path)
+    found, bad = check_delta(delta, spark.read.parquet(survivors_path))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("/delta]") == 1 and plan.count("/survivors]") == 1
+    by_rule = {}
+    for r in found.collect():
+        by_rule.setdefault((r.table, r.rule, r.detail), []).append(r.key)
+    assert sorted(by_rule) == [("entity", "length", "owner|200"), ("identity", "not_null", "mail_state"),
+                               ("parcel", "length", "parcel_fips|6")]
+    assert [tuple(r) for r in bad.collect()] == [("1 A ST", "v", None)]

@@ -94,3 +94,20 @@ def test_export_for_standardizer(spark, workdir):
     assert [r.admid for r in rejects.collect()] == [8]
     text = b"".join(open(p, "rb").read() for p in sorted(glob.glob(out + "/part-*")))
     assert text == b"admid\tstreet\tsecondary\tcity\tstate\r\n7\t5 Oak\tB\tOgden\tUT\r\n"
+
+
+def test_rejects_name_their_file(spark, workdir):
+    """Two files, a malformed line in one and a bad value in the other: each reject says where it stands."""
+    import os
+
+    from landroll.functions.cast import ColumnSpec
+    from landroll.sources.delimited import load_typed
+    for name, lines in (("a.txt", ["k||v", "1||2", "2||3||4"]), ("b c.txt", ["k||v", "3||x", "4||5"])):
+        with open(os.path.join(workdir, name), "w") as f:
+            f.write("\n".join(lines) + "\n")
+    got = load_typed(spark, [os.path.join(workdir, n) for n in ("a.txt", "b c.txt")],
+                     [ColumnSpec("k", "long"), ColumnSpec("v", "int")], "||", mode="quarantine", name="places")
+    rejects = {r.k: r for r in got.rejects.collect()}
+    assert rejects[2].raw_line == "2||3||4" and rejects[2].file.endswith("/a.txt") and rejects[2].block_start == 0
+    assert rejects[3].raw_line is None and rejects[3].file.endswith("/b%20c.txt") and rejects[3].problems == ["v:type"]
+    assert got.rows.columns == ["k", "v"] and sorted(r.k for r in got.rows.collect()) == [1, 4]
