@@ -46,7 +46,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 from landroll.functions.address import make_point, match_address_raw, normalize_address
 from landroll.functions.cast import coalesce_defaults, typed_cast
 from landroll.operators.dedup import keep_first
-from landroll.operators.enrich import standardize_batches
+from landroll.operators.enrich import standardize_batches, standardize_once
 from landroll.operators.joins import first_match, hot_keys, salted_join
 from landroll.operators.keyfilter import matching, worth_it
 from landroll.operators.merge import conform, get_or_insert, mark_deleted, reactivate, upsert
@@ -62,7 +62,7 @@ from landroll.sources.buckets import planned_for
 from landroll.sources.delimited import (read_delete_list, read_feed, read_standardized,
                                         write_address_extract)
 from landroll.sources.schemas import EXTRACT_COLUMNS, REFERENCES_DDL, STATE_DDL, STD_COLUMNS, STD_FORCED, STD_REQUIRED, STD_SPECS, state_columns
-from landroll.sources.state import REFERENCES, StateStore, Stored, new_folder
+from landroll.sources.state import ADDRESSES, REFERENCES, StateStore, Stored, new_folder
 
 ENTITY_NAMES = list(ENTITY_SOURCE)
 ENTITY_KEY = ENTITY_NAMES + ["identity_id"]
@@ -90,30 +90,45 @@ class Delta:
     identities: DataFrame   # survivor per mailing key, with the rows of the key as _rows
 
 
-def standardize(feed: DataFrame, standardizer: Callable, mode: str = "strict") -> tuple[DataFrame, DataFrame]:
-    """(standardised rows, rejects) of a per-batch callable run on the feed's address extract.
+def standardize(feed: DataFrame, standardizer: Callable, mode: str = "strict", remember: bool = False,
+                memo: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(standardised rows, rejects, new memo entries) of a per-batch callable run on the feed's address extract.
 
     The callable maps a pandas frame of the extract's columns to one of
     ``STD_COLUMNS`` as text; its output passes the same checks as a file.
+    With ``remember`` it sees every distinct address once that ``memo`` lacks,
+    under the smallest admid that has it, which a reject then names.
     """
     schema = ", ".join(f"`{c}` string" for c in STD_COLUMNS)
     extract = address_extract(feed).select(*[F.col(c).cast("string").alias(c) for c in EXTRACT_COLUMNS])
-    typed, _ = typed_cast(standardize_batches(extract, standardizer, schema), STD_SPECS, forced=STD_FORCED,
-                          required=STD_REQUIRED)
-    out = stage(typed, "standardized")
-    rejects = out.where(F.size("_problems") > 0).select(
-        "admid", F.lit(None).cast("string").alias("raw_line"), F.col("_problems").alias("problems"),
-        F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("block_start"))
-    if mode == "strict" and rejects.first() is not None:
-        path = reject_path(feed.sparkSession, "standardized")
-        rejects.write.mode("error").parquet(path)
-        raise_if_any(rejects, "standardized", path)
-    return out.where(F.size("_problems") == 0).drop("_problems"), rejects
+    found: list[DataFrame] = []
+
+    def ask(addresses: DataFrame) -> DataFrame:
+        text = addresses.select(*[F.col(c).cast("string").alias(c) for c in EXTRACT_COLUMNS])
+        typed, _ = typed_cast(standardize_batches(text, standardizer, schema), STD_SPECS, forced=STD_FORCED,
+                              required=STD_REQUIRED)
+        out = stage(typed, "standardized")
+        rejects = out.where(F.size("_problems") > 0).select(
+            "admid", F.lit(None).cast("string").alias("raw_line"), F.col("_problems").alias("problems"),
+            F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("block_start"))
+        if mode == "strict" and rejects.first() is not None:
+            path = reject_path(feed.sparkSession, "standardized")
+            rejects.write.mode("error").parquet(path)
+            raise_if_any(rejects, "standardized", path)
+        found.append(rejects)
+        return out.where(F.size("_problems") == 0).drop("_problems")
+
+    if not remember:
+        return ask(extract), found[0], None
+    keyed = extract.withColumn("admid", F.col("admid").cast("long"))
+    rows, entries = standardize_once(keyed, ask, "admid", [c for c in EXTRACT_COLUMNS if c != "admid"], memo)
+    return rows, found[0], entries
 
 
 def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict",
-               standardizer: Callable | None = None) -> tuple[Delta, dict[str, DataFrame], DataFrame]:
-    """Read, standardise, stitch and check the month; returns (delta, rejects, audit of the stitch)."""
+               standardizer: Callable | None = None, remember: bool = False, memo: DataFrame | None = None,
+               ) -> tuple[Delta, dict[str, DataFrame], DataFrame, DataFrame | None]:
+    """Read, standardise, stitch and check the month; returns (delta, rejects, audit of the stitch, new memo entries)."""
     # Every column is validated, but only the ones the trio reads are staged.
     std_needed = [c for c in TRIO_INPUT_COLUMNS if c in STD_COLUMNS]
     feed_needed = [c for c in TRIO_INPUT_COLUMNS if c not in std_needed]
@@ -122,12 +137,13 @@ def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict",
     with phase(spark, "read feed"):
         feed = read_feed(spark, feed_path, mode, columns=list(dict.fromkeys(feed_needed)))
     rejects = {"feed": feed.rejects}
+    entries = None
     with phase(spark, "read standardized"):
         if standardizer is None:
             std = read_standardized(spark, std_path, mode, columns=std_needed)
             std_rows, rejects["standardized"] = std.rows, std.rejects
         else:
-            std_rows, rejects["standardized"] = standardize(feed.rows, standardizer, mode)
+            std_rows, rejects["standardized"], entries = standardize(feed.rows, standardizer, mode, remember, memo)
     with phase(spark, "stitch"):
         rows = stage(delta_rows(stitch_feed(feed.rows, std_rows.select("admid", *[c for c in std_needed
                                                                                  if c != "admid"]))), "delta")
@@ -144,7 +160,7 @@ def load_delta(spark: SparkSession, feed_path, std_path, mode: str = "strict",
             keys = bad_keys.select(*[F.col(k).alias(f"_bad_{k}") for k in IDENTITY_KEY])
             rows = stage(rows.where("admid is not null").join(keys, same, "left_anti"), "delta_kept")
             identities = stage(identity_survivors(rows), "delta_identities")
-    return Delta(rows, identities), rejects, audit_stitch(feed.rows, std_rows)
+    return Delta(rows, identities), rejects, audit_stitch(feed.rows, std_rows), entries
 
 
 def _defaults(df: DataFrame) -> DataFrame:
@@ -303,12 +319,15 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
               delete_path=None, mode: str = "strict", overwrite_nulls: bool = True,
               phases: Sequence[str] = PHASES, publish: bool = True, keep_staging: bool = False,
               normalizer: Callable[[Column], Column] = normalize_address,
-              standardizer: Callable | None = None, skip_standardize: bool = False) -> CycleResult:
+              standardizer: Callable | None = None, skip_standardize: bool = False,
+              remember_addresses: bool = False) -> CycleResult:
     """Apply one month.  ``phases`` may drop "load" and "merge" (only deletes and sweeps run).
 
     Addresses are standardised by ``standardizer`` (see :func:`standardize`)
     or come from ``std_path``; ``skip_standardize`` takes the file even if a
-    standardizer is given.
+    standardizer is given.  ``remember_addresses`` (for a standardizer that
+    looks at the address alone) asks it once per distinct address, and keeps
+    the answers with the version for later months.
 
     Intermediate tables live in a staging folder of this run under the shared
     checkpoint folder.  It is deleted at the end, also of a failed run, unless
@@ -324,10 +343,11 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
         # A run that is not published leaves its parcels in its staging folder.
         home = store if publish else StateStore(spark, folder, store.buckets)
         try:
-            result, stored, counted = _run(spark, home, store, version, feed_path, std_path, delete_path, mode, overwrite_nulls,
-                                  phases, normalizer, None if skip_standardize else standardizer)
+            result, stored, derived = _run(spark, home, store, version, feed_path, std_path, delete_path, mode,
+                                           overwrite_nulls, phases, normalizer,
+                                           None if skip_standardize else standardizer, remember_addresses)
             if publish:
-                _publish(spark, store, result, stored, counted, mode)
+                _publish(spark, store, result, stored, derived, mode)
             else:
                 keep = True
         finally:
@@ -337,9 +357,9 @@ def run_cycle(spark: SparkSession, store: StateStore, version: str, feed_path=No
     return result
 
 
-def _publish(spark: SparkSession, store: StateStore, result: CycleResult, stored: Stored, counted: DataFrame | None,
+def _publish(spark: SparkSession, store: StateStore, result: CycleResult, stored: Stored, derived: dict[str, DataFrame],
              mode: str) -> None:
-    tables = {**result.tables, "parcel": stored, **({} if counted is None else {REFERENCES: counted})}
+    tables = {**result.tables, "parcel": stored, **derived}
     reports = {name: df for name, df in result.reports.items()}
     # In strict mode any reject has already aborted the run: nothing to keep.
     rejects = {} if mode == "strict" else {f"rejects_{n}": df for n, df in result.rejects.items()}
@@ -351,8 +371,8 @@ def _publish(spark: SparkSession, store: StateStore, result: CycleResult, stored
 
 
 def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_path, delete_path, mode, overwrite_nulls,
-         phases, normalizer, standardizer) -> tuple[CycleResult, Stored, DataFrame | None]:
-    """The new tables, their reference counts if they are swept, and where the parcels are.
+         phases, normalizer, standardizer, remember) -> tuple[CycleResult, Stored, dict[str, DataFrame]]:
+    """The new tables, where the parcels are, and what is derived: reference counts if they are swept, address memo.
 
     The parcels are written under ``home`` once, those on the delete list apart.
     """
@@ -360,6 +380,7 @@ def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_pat
     stored_before = store.stored()
     tables = store.snapshot(stored=stored_before)
     parcel_before, foreign = tables["parcel"], None
+    derived: dict[str, DataFrame] = {}
     buckets = home.buckets.get("parcel")
     partitions = buckets.count if buckets else None
     # The result lies in the buckets of the state it was joined with, if they are the ones it is written with.
@@ -374,7 +395,11 @@ def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_pat
     gone = F.coalesce("gone", F.lit(False))
     counted = [F.count(F.when(~gone, 1)).alias("parcels"), F.count(F.when(gone, 1)).alias("deleted")]
     if "load" in phases:
-        delta, rejects, audit = load_delta(spark, feed_path, std_path, mode, standardizer)
+        memo = stored_before.get(ADDRESSES) if remember else None
+        memo = None if memo is None else spark.read.parquet(memo.path)
+        delta, rejects, audit, entries = load_delta(spark, feed_path, std_path, mode, standardizer, remember, memo)
+        if entries is not None:
+            derived[ADDRESSES] = entries if memo is None else memo.unionByName(entries)
         result.rejects.update(rejects)
         with phase(spark, "merge pass 1"):
             tables, reports, foreign = merge_delta(tables, delta, overwrite_nulls, normalizer, deletes, partitions)
@@ -394,14 +419,13 @@ def _run(spark, home: StateStore, store: StateStore, version, feed_path, std_pat
     tables["parcel"] = home.open(stored, schema)
     if deletes is not None:
         tables["postcard"] = null_references(tables["postcard"], home.apart(stored, schema).select("id"), "parcel_id")
-    counted = None
     if "sweep" in phases:
         with phase(spark, "sweep"), planned_for(spark, buckets):
             moved = None
             if REFERENCES in stored_before and (foreign is not None or deletes is not None):
                 before = store.open(stored_before[REFERENCES], StructType.fromDDL(REFERENCES_DDL))
                 moved = moved_references(before, parcel_before, foreign, deletes, partitions)
-            tables, counted = sweep(tables, moved)
+            tables, derived[REFERENCES] = sweep(tables, moved)
     result.tables = {name: conform(df, StructType.fromDDL(STATE_DDL[name])) for name, df in tables.items()}
-    return result, stored, counted
+    return result, stored, derived
 

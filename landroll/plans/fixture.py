@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from landroll.functions.address import compose, make_point, match_address_raw, normalize_address
 from landroll.functions.cast import ColumnSpec, coalesce_defaults, force_not_null, typed_cast
 from landroll.operators.dedup import distinct_rows, keep_first
-from landroll.operators.enrich import left_enrich, standardize_batches
+from landroll.operators.enrich import left_enrich, memo_key, standardize_batches, standardize_once
 from landroll.operators.joins import first_match, hot_keys, lookup_first, multi_match_report, salted_join
 from landroll.operators.keys import assign_ids, next_id
 from landroll.operators.merge import count_ops, existing_keys, get_or_insert, missing_keys, reactivate, upsert
@@ -295,6 +295,23 @@ def q_standardize_hook(s: Scenario) -> DataFrame:
     return standardize_batches(rows, tidy, "c_custkey long, std string")
 
 
+def q_standardize_memo(s: Scenario) -> DataFrame:
+    """Customers' addresses (segment, nation): those of the first ten nations are in the memo, each other one is asked once."""
+    def tidy(pdf):
+        return pdf.assign(std=pdf["c_mktsegment"].str.title() + " " + pdf["nation"])[["c_custkey", "std"]]
+
+    def ask(addresses: DataFrame) -> DataFrame:
+        return standardize_batches(addresses, tidy, "c_custkey long, std string")
+
+    rows = s.table("customer").select("c_custkey", _nullif("c_mktsegment", "BUILDING").alias("c_mktsegment"),
+                                      F.col("c_nationkey").cast("string").alias("nation"))
+    names = ("c_mktsegment", "nation")
+    known = rows.where("cast(nation as int) < 10").select(*[F.coalesce(c, F.lit("")).alias(memo_key(c)) for c in names])
+    memo = known.distinct().withColumn("std", F.concat(F.lit("known "), memo_key("nation")))
+    found, fresh = standardize_once(rows, ask, "c_custkey", names, memo)
+    return found.withColumn("n_asked", fresh.select(F.count(F.lit(1))).scalar())
+
+
 def q_stitch(s: Scenario) -> DataFrame:
     std = s.table("customer").where(F.col("c_acctbal") >= 0).select("c_custkey", "c_name", "c_mktsegment")
     return stitch_feed(s.table("orders"), std, feed_key="o_custkey", std_key="c_custkey")

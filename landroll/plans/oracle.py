@@ -214,6 +214,10 @@ QUERIES = {
         case when p_size between 15 and 29 then 'v:length' else '' end problems from part""",
     "standardize_hook": """select c_custkey, upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) || ', '
         || upper(c_name) std from customer""",
+    "standardize_memo": """select c_custkey, case when c_nationkey < 10 then 'known ' || c_nationkey
+            when c_mktsegment = 'BUILDING' then ' ' || c_nationkey
+            else upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) || ' ' || c_nationkey end std,
+        (select count(distinct c_mktsegment || c_nationkey) from customer where c_nationkey >= 10) n_asked from customer""",
     "salted_resolve": "select f.admid, i.id identity_id from feed f left join ident i using (a, ci, st)",
     "reactivate_first_match": """select c.c_custkey id, case when c.c_acctbal < 0 and not coalesce(c.c_custkey = k.first_id, false)
         then true end inactive

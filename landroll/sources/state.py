@@ -40,7 +40,8 @@ from landroll.sources.buckets import Buckets, attach, detach, table_name, write_
 from landroll.sources.schemas import STATE_DDL
 
 
-REFERENCES = "references"
+# Tables beside the state: reference counts of its parcels, and addresses with their standardised form.
+REFERENCES, ADDRESSES = "references", "addresses"
 # A delivery that was set aside: its manifest, why, and the line and file it came from.
 PARKED = "version string, feed string, std string, deletes string, reason string, raw string, file string"
 MANIFEST = "seq long, version string, tables string, reports string"

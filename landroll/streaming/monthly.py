@@ -29,6 +29,7 @@ themselves run as ordinary distributed jobs.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def version_order(version: str) -> list[tuple[int, int, str]]:
             for part in re.findall(r"[0-9]+|[^0-9]+", version)]
 
 
-def _apply_batch(store: StateStore, mode: str):
+def _apply_batch(store: StateStore, mode: str, standardizer: Callable | None, remember_addresses: bool):
     def park(month: dict, reason: str) -> None:
         names = ("version", "feed", "std", "deletes", "reason", "raw", "file")
         row = {**month, "reason": reason}
@@ -58,7 +59,7 @@ def _apply_batch(store: StateStore, mode: str):
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         months = [r.asDict() for r in batch.collect()]
-        usable = [m for m in months if m["version"] and (m["feed"] or m["deletes"]) and bool(m["feed"]) == bool(m["std"])]
+        usable = [m for m in months if m["version"] and (m["feed"] or m["deletes"]) and (bool(m["feed"]) == bool(m["std"]) or (m["feed"] and standardizer))]
         for month in months:
             if month not in usable:
                 park(month, "malformed")
@@ -71,18 +72,24 @@ def _apply_batch(store: StateStore, mode: str):
                 continue
             phases = [*(["load", "merge"] if month["feed"] else []), *(["delete"] if month["deletes"] else []), "sweep"]
             run_cycle(store.spark, store, month["version"], month["feed"], month["std"], month["deletes"],
-                      mode=mode, phases=phases)
+                      mode=mode, phases=phases, remember_addresses=remember_addresses,
+                      standardizer=standardizer if month["feed"] and not month["std"] else None)
     return apply
 
 
 def watch_deliveries(spark: SparkSession, inbox: str, store: StateStore, mode: str = "strict",
                      checkpoint: str | None = None, available_now: bool = True,
-                     interval: str = "1 hour") -> StreamingQuery:
-    """Start the stream; call ``.awaitTermination()`` (available-now) or keep it running."""
+                     interval: str = "1 hour", standardizer: Callable | None = None,
+                     remember_addresses: bool = False) -> StreamingQuery:
+    """Start the stream; call ``.awaitTermination()`` (available-now) or keep it running.
+
+    With a ``standardizer`` a manifest may leave out "std": its feed is
+    standardised in the run (see :func:`landroll.plans.cycle.run_cycle`).
+    """
     raw = "_corrupt_record"
     source = (spark.readStream.schema(f"{MANIFEST_SCHEMA}, {raw} string").option("columnNameOfCorruptRecord", raw).json(inbox)
               .select("version", "feed", "std", "deletes", F.col(raw).alias("raw"), F.col("_metadata.file_path").alias("file")))
-    writer = (source.writeStream.foreachBatch(_apply_batch(store, mode))
+    writer = (source.writeStream.foreachBatch(_apply_batch(store, mode, standardizer, remember_addresses))
               .option("checkpointLocation", checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/deliveries"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()

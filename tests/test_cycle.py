@@ -451,3 +451,60 @@ def test_only_the_first_match_is_reactivated(spark, month, workdir):
     ident = _rows(res.tables["identity"], "id")
     # 5 has the same key and still owns a parcel: it stays as it is.
     assert ident[4]["inactive"] is None and ident[5]["inactive"] is True
+
+
+def _asking(workdir, name):
+    """A standardiser that notes every address it is asked for, in a file."""
+    path = os.path.join(workdir, name)
+
+    def standardizer(pdf):
+        import pandas as pd
+        from landroll.sources.schemas import STD_COLUMNS
+        with open(path, "a") as f:
+            f.writelines(f"{s}|{c}\n" for s, c in zip(pdf["street"], pdf["city"]))
+        out = pd.DataFrame({c: [None] * len(pdf) for c in STD_COLUMNS}, index=pdf.index, dtype=object)
+        return out.assign(admid=pdf["admid"], delivery_line_1=pdf["street"].str.upper(), city_name=pdf["city"].str.upper(),
+                          state_abbreviation="UT", latitude="40", longitude="-111")
+
+    def asked():
+        return sorted(open(path).read().split("\n")[:-1]) if os.path.exists(path) else []
+    return standardizer, asked
+
+
+def _mailed(admid, owner, street, city):
+    return _feed(admid, owner, contactownermailaddressstreetname=street, contactownermailaddresscity=city)
+
+
+def test_addresses_are_standardised_once(spark, month, workdir):
+    """Three months, the last by a delivery: the callable sees each distinct address once, the results are those of asking always."""
+    import json
+
+    from landroll.streaming.monthly import watch_deliveries
+    store, _, _, _ = month
+    other = StateStore(spark, os.path.join(workdir, "always"))
+    other.publish(store.snapshot("000"), "000")
+    months = [[(7001, "A", "elm st", "Lehi"), (7002, "B", "elm st", "Lehi"), (7003, "C", "oak st", "Lehi"), (7004, "D", "", "")],
+              [(7001, "A", "oak st", "Lehi"), (7005, "E", "fir st", "Orem"), (7006, "F", "", ""), (7007, "G", "elm st", "Lehi")],
+              [(7008, "H", "fir st", "Orem"), (7009, "I", "ash st", "Orem")]]
+    once, asked = _asking(workdir, "once")
+    always, asked_always = _asking(workdir, "always.txt")
+    seen = []
+    for n, rows in enumerate(months, 1):
+        feed = write_feed(os.path.join(workdir, "in", f"m{n}.txt"), [_mailed(*r) for r in rows])
+        if n < 3:
+            run_cycle(spark, store, f"{n:03}", feed, standardizer=once, remember_addresses=True, phases=("load", "merge", "sweep"))
+        else:
+            inbox = os.path.join(workdir, "inbox")
+            os.makedirs(inbox)
+            with open(os.path.join(inbox, "m.json"), "w") as f:
+                json.dump({"version": "003", "feed": feed}, f)
+            watch_deliveries(spark, inbox, store, checkpoint=os.path.join(workdir, "ck"), standardizer=once,
+                             remember_addresses=True).awaitTermination()
+        run_cycle(spark, other, f"{n:03}", feed, standardizer=always, phases=("load", "merge", "sweep"))
+        seen += [f"{s}|{c or 'nan'}" for _, _, s, c in rows]
+    assert sorted(a.replace("None", "").replace("nan", "") for a in asked()) == sorted(
+        {f"{s}|{c}" for rows in months for _, _, s, c in rows})
+    assert len(asked_always()) == 10
+    for t in ("identity", "entity", "parcel"):
+        assert sorted(map(tuple, store.read(t).collect()), key=repr) == sorted(map(tuple, other.read(t).collect()), key=repr)
+    assert "addresses" in store.paths() and "addresses" not in other.paths()
