@@ -18,7 +18,10 @@ encoded; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
+import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -34,6 +37,11 @@ from .common import text_or_empty
 PRE_TOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
              r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
+# Letters and numbers of Unicode 16, the version of the tokenizers library, that Python's tables lack.
+UNICODE_16 = """1c89-1c8a a7cb-a7cd a7da-a7dc 105c0-105f3 10d40-10d65 10d6f-10d85 10ec2-10ec4 11380-11389 1138b 1138e
+    11390-113b5 113b7 113d1 113d3 116d0-116e3 11bc0-11be0 11bf0-11bf9 13460-143fa 16100-1611d 16130-16139 16d40-16d6c
+    16d70-16d79 18cff 1ccf0-1ccf9 1e5d0-1e5ed 1e5f0-1e5fa"""
+
 MEMO_ENTRIES = 500_000  # pre-tokens whose encodings a worker remembers
 PAIR_BITS = 20          # more bits than the largest id has
 _ROWS = 256             # documents per output batch
@@ -50,6 +58,29 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def later_letters() -> str:
+    """Letters and numbers of the regex package that the tokenizers library does not know yet, being newer."""
+    known = set()
+    for item in UNICODE_16.split():
+        first, _, last = item.partition("-")
+        known.update(range(int(first, 16), int(last or first, 16) + 1))
+    every = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000))))
+    return "".join(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn" and ord(c) not in known)
+
+
+def without(pattern: str, letters: str) -> str:
+    """``pattern`` with the classes of letters and numbers less ``letters``."""
+    if not letters:
+        return pattern
+    points = sorted(map(ord, letters))
+    starts = [c for k, c in enumerate(points) if k == 0 or points[k - 1] != c - 1]
+    ends = [c for k, c in enumerate(points) if k + 1 == len(points) or points[k + 1] != c + 1]
+    ranges = "".join(f"{chr(first)}-{chr(last)}" for first, last in zip(starts, ends))
+    other, letter, number = r"[^\p{White_Space}\p{L}\p{N}]", r"\p{L}+", r"\p{N}+"
+    return (pattern.replace(other, f"(?:{other}|[{ranges}])").replace(f"{letter}|", f"(?:(?![{ranges}])\\p{{L}})+|")
+            .replace(f"{number}|", f"(?:(?![{ranges}])\\p{{N}})+|"))
+
+
 def load(tokenizer_path: str) -> dict:
     """Vocabulary, merge ranks and added tokens of a byte-level BPE file."""
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -69,7 +100,7 @@ def load(tokenizer_path: str) -> dict:
     strings = [b""] * (1 + max([*ids.values(), *added.values()]))
     for token, i in [*ids.items(), *((t.encode(), i) for t, i in added.items())]:
         strings[i] = token
-    return {"first": [ids[bytes([b])] for b in range(256)], "ranks": ranks, "joined": joined, "added": added,
+    return {"later": later_letters(), "first": [ids[bytes([b])] for b in range(256)], "ranks": ranks, "joined": joined, "added": added,
             "strings": strings}
 
 
@@ -123,6 +154,10 @@ class Codec:
         self.tables = vocabulary["first"], vocabulary["ranks"], vocabulary["joined"]
         self.added, self.strings = vocabulary["added"], vocabulary["strings"]
         self.pieces = regex.compile(PRE_TOKEN)
+        # Only a text with a letter or number that is too new takes the classes without those.
+        self.newer = set(vocabulary["later"])
+        self.high = re.compile(f"[{min(self.newer, default=chr(0x10FFFF))}-\U0010ffff]")
+        self.pinned = regex.compile(without(PRE_TOKEN, vocabulary["later"]))
         # The longest added token wins where several start.
         names = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -144,7 +179,10 @@ class Codec:
             if k % 2:
                 out.append(self.added[part])
                 continue
-            for piece in self.pieces.findall(part):
+            pieces = self.pieces
+            if not part.isascii() and self.high.search(part) and not self.newer.isdisjoint(part):
+                pieces = self.pinned
+            for piece in pieces.findall(part):
                 ids = known(piece)
                 out.extend(self.unknown(piece) if ids is None else ids)
         return out

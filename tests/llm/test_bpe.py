@@ -53,3 +53,13 @@ def test_decode_from_ids_alone_and_empty_table(spark):
     texts = {r.doc_id: r.decoded for r in bpe.decode_ids(coded, PATH).collect()}
     assert texts == {i: t or "" for i, t in enumerate(TEXTS)}
     assert bpe.encode_decode(brute.documents(spark, []), PATH).count() == 0
+
+
+def test_every_code_point_is_classed_as_in_the_library(reference, codec):
+    """A letter, number, blank or other character before 's and after a letter and a digit."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(points), 100_000):
+        texts = [f"{c}'s a{c}1{c} " for c in points[k:k + 100_000]]
+        for text, want in zip(texts, reference.encode_batch(texts, add_special_tokens=False)):
+            assert list(codec.encode(text)) == want.ids, hex(ord(text[0]))
+        codec.memo.clear()
