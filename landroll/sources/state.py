@@ -37,7 +37,7 @@ from pyspark.sql.types import StructType
 
 from landroll.session import make_folder, path_exists
 from landroll.sources.buckets import Buckets, attach, detach, table_name, write_bucketed
-from landroll.sources.schemas import STATE_DDL
+from landroll.sources.schemas import REFERENCES_DDL, STATE_DDL
 
 
 # Tables beside the state: reference counts of its parcels, and addresses with their standardised form.
@@ -114,7 +114,10 @@ class StateStore:
         return {t: self._load(t, stored) for t in STATE_DDL}
 
     def _load(self, table: str, stored: Mapping[str, Stored]) -> DataFrame:
-        schema = StructType.fromDDL(STATE_DDL[table])
+        ddl = {**STATE_DDL, REFERENCES: REFERENCES_DDL}.get(table)
+        if ddl is None:  # a table beside the state, as it was written
+            return self.spark.read.parquet(stored[table].path)
+        schema = StructType.fromDDL(ddl)
         if table not in stored:
             return self.spark.createDataFrame([], schema)
         return self.open(stored[table], schema)
@@ -169,7 +172,7 @@ class StateStore:
         return self.spark.read.schema(PARKED).parquet(path) if path_exists(self.spark, path) else None
 
     def read(self, table: str, version: str | None = None) -> DataFrame:
-        """A table of the current (or a given) version; an empty table if it was never published."""
+        """A table of the current (or a given) version; an empty state table if it was never published."""
         return self._load(table, self.stored(version))
 
     def publish(self, tables: Mapping[str, DataFrame | Stored], version: str,
