@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landroll.session import checkpoint_dir
+from landroll.session import checkpoint_dir, drop_path
 
 # A word: a maximal run of characters other than the ASCII blanks.  On UTF-8
 # bytes ``bytes.split()`` cuts at exactly these characters.
@@ -19,14 +21,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The folder for staged tables of the job that runs in this context (thread).
+_SCRATCH: ContextVar[str | None] = ContextVar("llm_scratch", default=None)
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the cluster's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Stage the tables of the enclosed operators in one folder, deleted at the end.
+
+    What the operators return reads those tables: write it before the block ends.
+    """
+    folder = fresh_path(spark, "scratch")
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        drop_path(spark, folder)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster's shared checkpoint folder and read it back.
 
     The result's plan is a file scan: it survives lost executors, is planned
-    from its true size, and is not recomputed by each of its readers.
+    from its true size, and is not recomputed by each of its readers.  Inside
+    :func:`scratch` the table lasts as long as the block, otherwise until the
+    checkpoint folder is cleared.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    spark, folder = df.sparkSession, _SCRATCH.get()
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else fresh_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

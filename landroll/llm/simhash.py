@@ -33,6 +33,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landroll.operators.joins import hot_keys, salted_join
+
 from .common import staged, text_or_empty
 
 SHINGLE = 3
@@ -63,15 +65,17 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, fp, mark): the fingerprint as a signed long, and the text's 64-bit hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py().encode("utf-8", "surrogatepass"), shingle) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), batch.column(2)],
+                ["doc_id", "fp", "mark"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-            .mapInArrow(run, "doc_id long, fp long"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"),
+                        F.xxhash64(text_or_empty()).alias("mark"))
+            .mapInArrow(run, "doc_id long, fp long, mark long"))
 
 
 def _flips(bits: list[int], most: int) -> np.ndarray:
@@ -176,6 +180,13 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """``nodes`` (fp, ..., one row per fingerprint) with the root of its component."""
+    roots = components(links(nodes.select("fp"), max_bits))
+    return staged(nodes.join(roots, nodes["fp"] == roots["node"], "left")
+                  .select(*[nodes[c] for c in nodes.columns], F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per document.
 
@@ -183,10 +194,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     ``max_bits`` or fewer differing bits.
     """
     marked = staged(fingerprints(docs, shingle), "fingerprints")
-    nodes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    roots = components(links(nodes.select("fp"), max_bits))
-    rooted = staged(nodes.join(roots, nodes["fp"] == roots["node"], "left")
-                    .select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+    rooted = _rooted(staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes"), max_bits)
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = rooted.join(named, "root").select("fp", "component_id")
     return (marked.join(by_fp, "fp")
@@ -194,19 +202,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents whose doc_id names their component.
+    """One row of every component: the smallest by (doc_id, fingerprint, text hash), no doc_id last.
 
-    Rows that repeat such a doc_id are reduced to the first by text hash; rows
-    without a doc_id cannot be told apart and stay.
+    Rows of one doc_id with different texts are documents of their own, and so
+    are rows without a doc_id.  Of rows that are alike in doc_id and text, the
+    smallest by a hash of all columns stays.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows"))
-    kept = staged(kept, "kept")
+    marked = staged(fingerprints(docs, shingle), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("__no_id"), F.coalesce("doc_id", F.lit(0)).alias("__id"),
+                     "fp", F.col("mark").alias("__mark"))
+    nodes = staged(marked.groupBy("fp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")), "nodes")
+    first = F.min(F.struct("first", "n")).alias("kept")
+    kept = staged(_rooted(nodes, max_bits).groupBy("root").agg(first)
+                  .select("kept.first.__no_id", "kept.first.__id", "kept.first.__mark", F.col("kept.n").alias("_n")),
+                  "kept")
+    keys, columns = ["__no_id", "__id", "__mark"], list(docs.columns)
+    keyed = docs.select("*", F.col("doc_id").isNull().alias("__no_id"),
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__id"),
+                        F.xxhash64(text_or_empty()).alias("__mark"))
     # Texts meet ids by a merge join whatever the size: the ids are not broadcast.
-    once = docs.join(kept.where("__rows = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
-    # Several rows of one kept id: the smallest (hash, text) of them.
-    again = docs.join(kept.where("__rows > 1").select("doc_id"), "doc_id", "left_semi")
-    first = (again.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(c) for c in docs.columns]),
-                                                  F.struct(F.xxhash64("text"), "text")).alias("__row"))
-             .select("__row.*"))
-    return once.unionByName(first).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    alone = keyed.join(kept.where("_n = 1").select(*keys).hint("merge"), keys, "left_semi").select(*columns)
+    # A fingerprint of several rows may be that of equal ones.  Equal rows can be dealt to salts only by where they lie.
+    copied = kept.where("_n > 1")
+    found = salted_join(keyed.withColumn("__part", F.spark_partition_id()), copied.select(*keys), keys, "inner",
+                        hot=hot_keys(copied, keys, "_n"), salt_cols=["__part"])
+    hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    smallest = F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("__row")
+    return alone.unionByName(found.groupBy(*keys).agg(smallest).select("__row.*"))

@@ -1,3 +1,4 @@
+import pathlib
 import random
 
 import brute
@@ -5,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from landroll.llm import queries
+from landroll.llm import common, queries
 
 
 def test_stages_take_effect_and_keep_the_columns_of_documents(spark, tmp_path):
@@ -44,7 +45,12 @@ def test_stages_take_effect_and_keep_the_columns_of_documents(spark, tmp_path):
     assert texts == coded
     for r in seen["bpe_codec"]:
         assert list(r.ids) == tok.encode(r.decoded, add_special_tokens=False).ids and r.n_tokens == len(r.ids)
+    scratch, before = pathlib.Path(common.fresh_path(spark, "x").removeprefix("file:")).parent, set()
+    if scratch.exists():
+        before = set(scratch.iterdir())
     assert sorted((r.doc_id, r.decoded) for r in corpus_pipeline.run(spark, sf).collect()) == coded
+    # Of the whole run, only the table that the result reads is left.
+    assert [p.name.rsplit("-", 1)[0] for p in set(scratch.iterdir()) - before] == ["pipeline-bpe_codec"]
 
 
 def test_stages_keep_extra_columns_and_take_empty_tables(spark, tmp_path):

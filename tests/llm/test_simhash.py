@@ -101,8 +101,19 @@ def test_one_of_each_keeps_the_named_row(spark, rows):
     assert kept.columns == df.columns
     got = [r.doc_id for r in kept.collect()]
     want = brute.components(rows)
-    assert sorted(x for x in got if x is not None) == sorted({*want.values(), 500})
-    assert got.count(None) == 1
+    assert sorted(got) == sorted({*want.values(), 500})
+
+
+def test_one_of_each_with_repeated_and_missing_ids(spark, monkeypatch):
+    monkeypatch.setattr("landroll.operators.joins.ROWS_PER_SALT", 10)
+    texts = [" ".join(f"{c}{i}{j}" for i in range(30)) for j, c in enumerate("abcde")]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[1]), (None, texts[2]), (None, texts[3])]
+    rows += [(None, texts[2])] * 95 + [(7, texts[4])] * 120 + [(3, texts[0]), (8, None), (9, ""), (8, "")]
+    random.Random(4).shuffle(rows)
+    got = simhash.one_of_each(brute.documents(spark, rows, extra=True).repartition(9)).collect()
+    # Two texts of id 1, one row of each text without id, one of the empty texts.
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted(
+        [(1, texts[0]), (1, texts[1]), (0, texts[2]), (0, texts[3]), (7, texts[4]), (8, "")])
 
 
 def test_empty_table_and_null_ids(spark):
