@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landroll.llm import bpe, mixing, pii, quality, simhash
-from landroll.llm.common import staged, table
+from landroll.llm.common import fresh_path, scratch, table
 from landroll.llm.queries import TOKENIZER
+from landroll.session import drop_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows; the tables of a stage are dropped once its successor is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = fresh_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            done = stage(spark, docs, sf_dir)
+            done.write.mode("error").parquet(path)
+        if before:
+            drop_path(spark, before)
+        docs, before = spark.read.schema(done.schema).parquet(path), path
     return docs
