@@ -12,8 +12,10 @@
    q mod n seeded blocks once more; a document takes its words in them.
 
 Only ids, sources and word counts are shuffled, never texts.  A hot source is
-many shards, each a bounded group; the tables of sources and shards hold one
-row per source and per shard.
+many shards, each a bounded group.  The tables of sources and shards hold one
+row per source and per shard and may be large as well: sources are numbered and
+quotients ranked by range partitions, levels and totals are aggregates, and what
+a source's shards are told reaches them by salted joins.
 
 Defined results: a null text has size 0 and takes 0; a null source is a source
 of its own, last in order; rows that repeat a doc_id are documents of their
@@ -27,6 +29,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landroll.operators.joins import hot_keys, salted_join
+from landroll.operators.keys import assign_ids
+
 from .common import WORD, staged, text_or_empty, word_count
 
 WEIGHTS = (3, 1, 2)     # of the sources in code point order, repeating
@@ -37,8 +42,9 @@ DOCS_PER_SHARD = 1024
 SEED = 20240917
 
 # Larger than any number of blocks of one shard and prime, so that
-# i -> (i * STRIDE + offset) mod n is a permutation of 0 .. n - 1.
-STRIDE = 2_147_483_647
+# i -> (i * STRIDE + offset) mod n is a permutation of 0 .. n - 1.  Where that of
+# the first is a mere shift or its mirror image, the second is taken.
+STRIDES = (2_147_483_647, 2_147_483_629)
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
@@ -46,29 +52,27 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, share: float =
     """``sources`` (key, source, source_size) with weight and target.
 
     The fixed point of "give by weight, stop at the cap, share the excess
-    again" is target = min(cap, level * weight).  In order of cap / weight,
-    the level is that of the first source which its own level does not stop.
+    again" is target = min(cap, level * weight).  A round gives what stopped
+    sources leave to the others by weight; it takes one aggregate, and rounds
+    end when the raised level stops no further source.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    everything = Window.partitionBy()
+    position = assign_ids(sources, [F.col("source").asc_nulls_last()], id_col="position", materialize=staged)
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]),
-                          ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
-    by_ratio = Window.orderBy("ratio", "key")
-    ranked = (sources
-              .withColumn("weight", weight.cast("double"))
-              .withColumn("cap", (F.col("source_size") * max_passes).cast("double"))
-              .withColumn("ratio", F.col("cap") / F.col("weight"))
-              .withColumn("mix_size", F.sum("source_size").over(everything) * F.lit(float(share)))
-              .withColumn("stopped", F.coalesce(F.sum("cap").over(
-                  by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-              .withColumn("open_weight", F.sum("weight").over(
-                  by_ratio.rowsBetween(0, Window.unboundedFollowing)))
-              .withColumn("own_level", (F.col("mix_size") - F.col("stopped")) / F.col("open_weight")))
-    level = F.coalesce(F.min(F.when(F.col("own_level") <= F.col("ratio"),
-                                    F.struct("ratio", "key", "own_level"))).over(everything)["own_level"],
-                       F.max("ratio").over(everything))
-    return (ranked.withColumn("target", F.least("cap", level * F.col("weight")))
-            .select("key", "source", "source_size", "weight", "target"))
+                          ((F.col("position") - 1) % len(weights) + 1).cast("int"))
+    capped = staged(position.withColumn("weight", weight).withColumn("cap", F.col("source_size") * max_passes)
+                    .drop("position"), "mix-weights")
+    mix_size = capped.agg(F.sum("source_size")).first()[0] or 0
+    level, n_stopped = 0.0, -1
+    while True:
+        stops = F.col("cap") < F.lit(level) * F.col("weight")
+        now = capped.agg(F.count(F.when(stops, 1)).alias("n"), F.sum(F.when(stops, F.col("cap"))).alias("caps"),
+                         F.sum(F.when(~stops, F.col("weight"))).alias("open")).first()
+        if now.n <= n_stopped or not now.open:
+            break
+        # The sums are of whole numbers, so levels do not depend on the order of rows.
+        n_stopped, level = now.n, (mix_size * share - (now.caps or 0)) / now.open
+    return (capped.withColumn("target", F.least(F.col("cap").cast("double"), F.lit(level) * F.col("weight")))
+            .select("key", "source", "source_size", F.col("weight").cast("double").alias("weight"), "target"))
 
 
 def apportion(items: DataFrame, group: Sequence[str], item: str, votes: str, seats: str) -> DataFrame:
@@ -78,31 +82,41 @@ def apportion(items: DataFrame, group: Sequence[str], item: str, votes: str, sea
     ``seats`` quotients of the group win, ties to the smaller ``item``.  With
     V votes over n items, every seat whose quotient beats the divisor
     V / (seats - n/2) is sure to win and none below V / (seats + n/2) can, so
-    only about two seats per item are listed and ranked.
+    only about two seats per item are listed and ranked.  A quotient's rank
+    in its group is its rank among all, less that of the group's first: no
+    group meets in one task.
     """
-    whole = Window.partitionBy(*group)
-    total, n = F.sum(votes).over(whole), F.count(F.lit(1)).over(whole)
-    per = F.when(total > 0, F.col(votes) / total).otherwise(0.0)
+    group, keys = list(group), [*group, item]
+    totals = staged(items.groupBy(*group).agg(F.sum(votes).alias("_votes"), F.count(F.lit(1)).alias("_n")),
+                    "seats-totals")
+    hot = hot_keys(totals, group, "_n")
+    n = F.col("_n")
+    per = F.when(F.col("_votes") > 0, F.col(votes) / F.col("_votes")).otherwise(0.0)
 
     def rounded(shift: Column) -> Column:
         return F.floor(per * shift + 0.5).cast("long")
 
-    bounded = (items
-               .withColumn("_sure", F.greatest(F.lit(0).cast("long"), rounded(F.col(seats) - n / 2.0) - 1))
-               .withColumn("_most", F.when(F.col(votes) > 0, rounded(F.col(seats) + n / 2.0) + 1)
-                           .otherwise(F.lit(0).cast("long")))
-               .withColumn("_left", F.col(seats) - F.sum("_sure").over(whole)))
-    keys = [*group, item]
+    bounded = staged(
+        salted_join(items, totals, group, "inner", hot=hot, salt_cols=[item])
+        .withColumn("_sure", F.greatest(F.lit(0).cast("long"), rounded(F.col(seats) - n / 2.0) - 1))
+        .withColumn("_most", F.when(F.col(votes) > 0, rounded(F.col(seats) + n / 2.0) + 1)
+                    .otherwise(F.lit(0).cast("long"))).drop("_votes", "_n"), "seats-bounds")
     listed = (bounded.where(F.col("_most") > F.col("_sure"))
-              .select(*keys, "_left", votes, F.explode(F.expr("sequence(_sure + 1, _most)")).alias("_seat"))
+              .select(*keys, votes, F.explode(F.expr("sequence(_sure + 1, _most)")).alias("_seat"))
               .withColumn("_quotient", F.col(votes) / (F.col("_seat") * 2 - 1)))
-    by_quotient = Window.partitionBy(*group).orderBy(F.col("_quotient").desc(), F.col(item), F.col("_seat"))
-    won = (listed.withColumn("_rank", F.row_number().over(by_quotient))
-           .where(F.col("_rank") <= F.col("_left"))
+    ranked = assign_ids(listed, [*group, F.col("_quotient").desc(), item, "_seat"], id_col="_rank",
+                        materialize=staged)
+    first = ranked.groupBy(*group).agg(F.min("_rank").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    left = bounded.groupBy(*group).agg((F.first(seats) - F.sum("_sure")).alias("_left"))
+    limits = staged(first.join(left, group).select(*group, "_n", (F.col("_first") + F.col("_left")).alias("_end")),
+                    "seats-limits")
+    won = (salted_join(ranked, limits.drop("_n"), group, "inner", hot=hot_keys(limits, group, "_n"),
+                       salt_cols=[item, "_seat"])
+           .where(F.col("_rank") < F.col("_end"))
            .groupBy(*keys).agg(F.count(F.lit(1)).alias("_won")))
     return (bounded.join(won, keys, "left")
             .withColumn("quota", F.col("_sure") + F.coalesce(F.col("_won"), F.lit(0)))
-            .drop("_sure", "_most", "_left", "_won"))
+            .drop("_sure", "_most", "_won"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, max_passes: int = MAX_PASSES,
@@ -123,41 +137,50 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
                                               F.count(F.lit(1)).alias("n_docs")), "mix-sources")
     goal = targets(sources, weights, share, max_passes)
 
-    dealt = (sizes.join(sources.select("key", F.ceil(F.col("n_docs") / docs_per_shard).alias("n_shards")), "key")
+    dealt = (salted_join(sizes, sources.select("key", F.ceil(F.col("n_docs") / docs_per_shard).alias("n_shards")),
+                         ["key"], "inner", hot=hot_keys(sources, ["key"], "n_docs"), salt_cols=["doc_id", "size"])
              .withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.col("n_shards"))))
     shards = staged(dealt.groupBy("key", "shard").agg(F.sum("size").alias("words"))
                     .withColumn("blocks", F.when(F.col("words") > 0, F.greatest(
                         F.lit(1), F.round(F.col("words") / block_words).cast("long"))).otherwise(0).cast("long")),
                     "mix-shards")
 
-    in_blocks = (shards.groupBy("key").agg(F.sum("blocks").alias("n_blocks")).join(goal, "key")
-                 .withColumn("votes", F.when(F.col("source_size") > 0,
-                                             F.col("target") / F.col("source_size") * F.col("n_blocks"))
-                             .otherwise(0.0))
-                 .withColumn("all", F.lit(0))
-                 .withColumn("seats", F.round(F.sum("votes").over(Window.partitionBy())).cast("long")))
+    in_blocks = staged(
+        shards.groupBy("key").agg(F.sum("blocks").alias("n_blocks"), F.count(F.lit(1)).alias("n_shards"))
+        .join(goal, "key")
+        .withColumn("votes", F.when(F.col("source_size") > 0,
+                                    F.col("target") / F.col("source_size") * F.col("n_blocks")).otherwise(0.0))
+        .withColumn("all", F.lit(0)), "mix-blocks")
+    # Summed as decimals: the same in any order.
+    seats = in_blocks.agg(F.coalesce(F.round(F.sum(F.col("votes").cast("decimal(38,12)"))), F.lit(0))
+                          .cast("long")).first()[0]
     source_quota = staged(
-        apportion(in_blocks, ["all"], "key", "votes", "seats")
-        .select("key", "source_size", "target",
+        apportion(in_blocks.withColumn("seats", F.lit(seats).cast("long")), ["all"], "key", "votes", "seats")
+        .select("key", "source_size", "target", "n_shards",
                 F.least("quota", F.col("n_blocks") * max_passes).alias("seats")), "mix-source-quota")
-    shard_quota = (apportion(shards.join(source_quota.select("key", "seats"), "key")
-                             .withColumn("votes", F.col("blocks").cast("double")),
+    of_source = salted_join(shards, source_quota.drop("n_shards"), ["key"], "inner",
+                            hot=hot_keys(source_quota, ["key"], "n_shards"), salt_cols=["shard"])
+    shard_quota = (apportion(of_source.withColumn("votes", F.col("blocks").cast("double")),
                              ["key"], "shard", "votes", "seats")
-                   .select("key", "shard", "words", "blocks",
+                   .select("key", "shard", "words", "blocks", "source_size", "target",
                            F.least("quota", F.col("blocks") * max_passes).alias("quota")))
 
     line = Window.partitionBy("key", "shard").orderBy(
         F.xxhash64(F.lit(seed + 1), "doc_id", "size"), "doc_id", "size")
+    stride = (F.when((F.lit(STRIDES[0]) % F.col("blocks")).isin(F.lit(1), F.col("blocks") - 1), F.lit(STRIDES[1]))
+              .otherwise(F.lit(STRIDES[0])))
     placed = (dealt.withColumn("end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("start", F.col("end") - F.col("size"))
               .join(staged(shard_quota, "mix-shard-quota"), ["key", "shard"])
-              .join(source_quota.select("key", "source_size", "target"), "key"))
+              .withColumn("stride", F.when(F.col("blocks") > 0, stride).otherwise(F.lit(1)).cast("long"))
+              .withColumn("offset", F.when(F.col("blocks") > 0, F.pmod(
+                  F.xxhash64(F.lit(seed + 2), "key", "shard"), F.col("blocks"))).otherwise(F.lit(0))))
     # Block i is the words [i * words div blocks, (i + 1) * words div blocks)
     # of the shard's line.
     picked = F.expr(
-        f"transform(filter(sequence((start * blocks) div words, least(blocks - 1, (end * blocks) div words + 1)),"
-        f" i -> pmod(i * {STRIDE} + {seed}, blocks) < quota % blocks"
-        f"      and (i * words) div blocks < end and ((i + 1) * words) div blocks > start),"
+        "transform(filter(sequence((start * blocks) div words, least(blocks - 1, (end * blocks) div words + 1)),"
+        " i -> pmod(i * stride + offset, blocks) < quota % blocks"
+        "      and (i * words) div blocks < end and ((i + 1) * words) div blocks > start),"
         " i -> named_struct('start', greatest(start, (i * words) div blocks) - start,"
         "                   'end', least(end, ((i + 1) * words) div blocks) - start))")
     return (placed

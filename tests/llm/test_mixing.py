@@ -82,3 +82,32 @@ def test_single_source_empty_texts_and_empty_table(spark):
     nothing = mixing.mix(brute.documents(spark, [(1, None, "en", "s"), (2, "", "en", None)])).collect()
     assert [(r.target, r.taken) for r in nothing] == [(0.0, 0), (0.0, 0)]
     assert mixing.mix(brute.documents(spark, [])).count() == 0
+
+
+def test_many_sources_without_a_window_of_all(spark, monkeypatch):
+    # 3,000 sources, one of them most of the documents, and joins that split keys of over 20 rows.
+    monkeypatch.setattr("landroll.operators.joins.ROWS_PER_SALT", 20)
+    r = random.Random(2)
+    rows = [(i, "w " * r.randrange(60), "en", f"s{i}") for i in range(3000)]
+    rows += [(10_000 + i, "w " * r.randrange(60), "en", "hot") for i in range(3000)]
+    docs = brute.documents(spark, rows)
+    mixed = mixing.mix(docs, docs_per_shard=20)
+    got = mixed.collect()
+    sizes = {}
+    for _, t, _, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(brute.words(t))
+    want = brute.mix_targets(sizes)
+    assert len(got) == len(rows) and all(x.target == pytest.approx(want[x.source]) for x in got)
+    assert sum(x.taken for x in got) == pytest.approx(1.5 * sum(sizes.values()), rel=0.02)
+    assert sum(x.taken for x in got if x.source == "hot") == pytest.approx(want["hot"], rel=0.02)
+    # Words of one shard's documents are ordered in a window; no other window is left in the plan.
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "CartesianProduct" not in plan
+
+
+def test_part_of_equal_shards_is_taken(spark):
+    rows = [(i, "w " * 32, "en", "s") for i in range(2000)] + [(5000, "w " * 90_000, "en", "t")]
+    got = mixing.mix(brute.documents(spark, rows), weights=(1, 5), share=1.0, docs_per_shard=100).collect()
+    of_s = [x for x in got if x.source == "s"]
+    assert 0 < sum(x.taken for x in of_s) < sum(x.size for x in of_s)
+    assert all(x.taken <= 2 * x.size for x in got)
