@@ -47,6 +47,21 @@ def test_assign_ids_ignores_input_order(spark):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
+@pytest.mark.parametrize("initial", [None, "13"])
+def test_assign_ids_in_a_session_that_sets_no_shuffle_partitions(spark, initial):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        spark.conf.unset(names[0])
+        if initial:
+            spark.conf.set(names[1], initial)
+        out = assign_ids(spark.range(3000).repartition(4), [(-F.col("id")).alias("k")], id_col="n")
+        assert {r["id"]: r["n"] for r in out.collect()} == {i: 3000 - i for i in range(3000)}
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_assign_ids_base_from_table_and_empty(spark):
     state = spark.createDataFrame([(5,), (9,)], "id long")
     empty = spark.createDataFrame([], "id long")
