@@ -1,11 +1,12 @@
 """Byte-level BPE encoding and decoding.
 
-A text is cut at the tokenizer's added tokens, then into pre-tokens; the bytes
-of a pre-token form a doubly linked list of symbols, and a priority queue of
-(merge rank, position) yields the next merge, entries that no longer match
-their symbols being skipped (:func:`merge`).  Decoding concatenates the byte
-strings of the ids.  Encodings of pre-tokens are remembered in a
-bounded table, and a worker process keeps it for its next tasks.
+A text is cut at the tokenizer's added tokens, at blanks into chunks, and each
+of these into pre-tokens unless it is a known one; the bytes of a pre-token form
+a doubly linked list of symbols, and a priority queue of (merge rank, position)
+yields the next merge, entries that no longer match their symbols being skipped
+(:func:`merge`).  Decoding concatenates the byte strings of the ids.  Encodings
+of pre-tokens are remembered in a bounded table, and a worker process keeps it
+for its next tasks.
 
 The vocabulary (tens of thousands of entries, a fixed file) is read on the
 driver from ``tokenizer_path`` and broadcast.  The job is one pass over the
@@ -37,6 +38,11 @@ from .common import text_or_empty
 PRE_TOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
              r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
+# Characters with the property White_Space, as a class of re (whose own \s has four more).
+BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# A text cut where PRE_TOKEN always cuts too: before a blank and, but for one space, after it.
+CHUNK = rf" ?[^{BLANKS}]+|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+"
+
 # Letters and numbers of Unicode 16, the version of the tokenizers library, that Python's tables lack.
 UNICODE_16 = """1c89-1c8a a7cb-a7cd a7da-a7dc 105c0-105f3 10d40-10d65 10d6f-10d85 10ec2-10ec4 11380-11389 1138b 1138e
     11390-113b5 113b7 113d1 113d3 116d0-116e3 11bc0-11be0 11bf0-11bf9 13460-143fa 16100-1611d 16130-16139 16d40-16d6c
@@ -107,44 +113,44 @@ def load(tokenizer_path: str) -> dict:
 def merge(piece: bytes, first: list[int], ranks: dict[int, int], joined: list[int]) -> tuple[int, ...]:
     """The ids of one pre-token.
 
-    A queue entry is rank << 32 | position of the left symbol.  It is stale,
-    and skipped, if the symbol there and the one that now follows it are no
-    longer the pair of that rank.  The symbol after the last, and one that was
-    merged into its left neighbour, is -1, which no pair has.
+    A queue entry is the rank and, in its low bits, the position of the left
+    symbol.  ``pairs`` has the rank of the pair that now starts at a position;
+    an entry of another rank is stale and skipped.  The symbol after the last,
+    and one that was merged into its left neighbour, is -1, which no pair has.
     """
     symbols = [first[b] for b in piece]
     n = len(symbols)
     rank_of = ranks.get
-    queue = []
-    for i in range(n - 1):
-        rank = rank_of(symbols[i] << PAIR_BITS | symbols[i + 1])
-        if rank is not None:
-            queue.append(rank << 32 | i)
+    pairs = [rank_of(left << PAIR_BITS | right) for left, right in zip(symbols, symbols[1:])]
+    bits = n.bit_length()  # short pieces have small entries
+    queue = [rank << bits | i for i, rank in enumerate(pairs) if rank is not None]
     if not queue:
         return tuple(symbols)
     symbols.append(-1)
+    pairs.append(None)
     before, after = list(range(-1, n)), list(range(1, n + 2))
-    push, pop = heapq.heappush, heapq.heappop
+    push, pop, low = heapq.heappush, heapq.heappop, (1 << bits) - 1
     heapq.heapify(queue)
     while queue:
         entry = pop(queue)
-        left, rank = entry & 0xFFFFFFFF, entry >> 32
-        right = after[left]
-        if symbols[left] < 0 or rank_of(symbols[left] << PAIR_BITS | symbols[right]) != rank:
+        left, rank = entry & low, entry >> bits
+        if pairs[left] != rank:
             continue
+        right = after[left]
         new = symbols[left] = joined[rank]
         symbols[right] = -1
+        pairs[right] = None
         following = after[left] = after[right]
         before[following] = left
-        rank = rank_of(new << PAIR_BITS | symbols[following])
+        rank = pairs[left] = rank_of(new << PAIR_BITS | symbols[following])
         if rank is not None:
-            push(queue, rank << 32 | left)
+            push(queue, rank << bits | left)
         previous = before[left]
         if previous >= 0:
-            rank = rank_of(symbols[previous] << PAIR_BITS | new)
+            rank = pairs[previous] = rank_of(symbols[previous] << PAIR_BITS | new)
             if rank is not None:
-                push(queue, rank << 32 | previous)
-    return tuple(s for s in symbols if s >= 0)
+                push(queue, rank << bits | previous)
+    return tuple([s for s in symbols if s >= 0])
 
 
 class Codec:
@@ -154,16 +160,16 @@ class Codec:
         self.tables = vocabulary["first"], vocabulary["ranks"], vocabulary["joined"]
         self.added, self.strings = vocabulary["added"], vocabulary["strings"]
         self.pieces = regex.compile(PRE_TOKEN)
-        # Only a text with a letter or number that is too new takes the classes without those.
+        self.chunks = re.compile(CHUNK)
+        # Only a chunk with a letter or number that is too new takes the classes without those.
         self.newer = set(vocabulary["later"])
-        self.high = re.compile(f"[{min(self.newer, default=chr(0x10FFFF))}-\U0010ffff]")
         self.pinned = regex.compile(without(PRE_TOKEN, vocabulary["later"]))
         # The longest added token wins where several start.
         names = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.memo: dict[str, tuple[int, ...]] = {}
 
-    def unknown(self, piece: str) -> tuple[int, ...]:
+    def learn(self, piece: str) -> tuple[int, ...]:
         ids = merge(piece.encode("utf-8"), *self.tables)
         if len(piece) <= 64:
             if len(self.memo) >= MEMO_ENTRIES:
@@ -171,21 +177,27 @@ class Codec:
             self.memo[piece] = ids
         return ids
 
+    def unknown(self, chunk: str) -> tuple[int, ...] | list[int]:
+        """The ids of a chunk that is no known pre-token."""
+        if chunk.removeprefix(" ").isalpha():
+            return self.learn(chunk)
+        pieces = self.pieces if chunk.isascii() or self.newer.isdisjoint(chunk) else self.pinned
+        out: list[int] = []
+        for piece in pieces.findall(chunk):
+            out.extend(self.memo.get(piece) or self.learn(piece))
+        return out
+
     def encode(self, text: str) -> array:
-        out = array("i")
-        known = self.memo.get
+        out: list[int] = []
+        extend, known, unknown = out.extend, self.memo.get, self.unknown
         parts = self.cut.split(text) if self.cut else [text]
         for k, part in enumerate(parts):
             if k % 2:
                 out.append(self.added[part])
                 continue
-            pieces = self.pieces
-            if not part.isascii() and self.high.search(part) and not self.newer.isdisjoint(part):
-                pieces = self.pinned
-            for piece in pieces.findall(part):
-                ids = known(piece)
-                out.extend(self.unknown(piece) if ids is None else ids)
-        return out
+            for chunk in self.chunks.findall(part):
+                extend(known(chunk) or unknown(chunk))
+        return array("i", out)
 
     def decode(self, ids: array) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")

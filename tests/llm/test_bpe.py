@@ -63,3 +63,22 @@ def test_every_code_point_is_classed_as_in_the_library(reference, codec):
         for text, want in zip(texts, reference.encode_batch(texts, add_special_tokens=False)):
             assert list(codec.encode(text)) == want.ids, hex(ord(text[0]))
         codec.memo.clear()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab's!,1 \n\t\x1c\x85\xa0 　é漢\U000125ed\U0001e5d0"), max_size=12),
+                max_size=6))
+def test_ids_do_not_depend_on_what_is_remembered(reference, codec, texts):
+    """Chunks cut at blanks, before and after their pre-tokens are remembered."""
+    codec.memo.clear()
+    for text in [*texts, " ".join(texts), *texts]:
+        assert list(codec.encode(text)) == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_a_word_that_is_known_is_not_split_again(codec):
+    once = list(codec.encode(" word été"))
+    pieces, codec.pieces = codec.pieces, None
+    try:
+        assert list(codec.encode(" word été" * 3)) == once * 3
+    finally:
+        codec.pieces = pieces
