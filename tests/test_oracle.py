@@ -52,3 +52,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["admid", "price", "identity_id", "entity_id", "owner", "a", "ci", "st", "attr"]
     assert df.count() > 0
+
+
+def test_entry_in_a_session_that_sets_no_shuffle_partitions(spark):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.unset(name)
+        problems, rows, _ = compare(spark, duck(entry.SMOKE_DIR), "full_cycle", lambda s, _: entry.entry(s),
+                                    entry.oracle_sql()["full_cycle"], entry.SMOKE_DIR)
+        assert not problems, problems
+        assert rows > 0
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
