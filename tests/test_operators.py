@@ -222,6 +222,30 @@ def test_a_key_of_more_than_512_salts(spark):
     assert not hasattr(joins, "MAX_SALTS") and not hasattr(joins, "MAX_HOT")
 
 
+def test_replicas_of_finely_salted_keys_are_never_broadcast(spark, workdir):
+    """A dimension of three rows has 3,001 replicas here, but Spark's size estimate counts the three rows."""
+    big = spark.range(3000).selectExpr("id as pk", "cast(id % 3 as int) as k").unionByName(
+        spark.range(1).selectExpr("9000 as pk", "7 as k"))
+    counted = f"{workdir}/counted"
+    big.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("d", F.col("k") * 2).write.parquet(counted)
+    dim = spark.read.parquet(counted)
+    hot = hot_keys(dim, ["k"], count_col="n", rows_per_salt=0)
+    out = salted_join(big, dim.select("k", "d"), ["k"], "left", hot=hot, salt_cols=["pk"], rows_per_salt=1)
+    assert sorted(map(tuple, out.select("pk", "d").collect())) == [(i, i % 3 * 2) for i in range(3000)] + [(9000, 14)]
+    # The joins with the table of salts may be broadcast, that with the replicas is merged.
+    joins = [x for x in out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines() if "Join" in x]
+    assert "_salt#" in joins[0] and "SortMergeJoin" in joins[0]
+
+
+def test_replicas_in_runs(spark, monkeypatch):
+    """Every salt once, also where a run ends just before, at or just after the last salt."""
+    from landroll.operators import joins
+    monkeypatch.setattr(joins, "_RUN", 4)
+    dim = spark.createDataFrame([(k, None if k == 0 else k) for k in range(14)], "k int, _salts int")
+    got = joins._many_replicas(dim, ["k"]).collect()
+    assert sorted(map(tuple, got)) == [(k, salt) for k in range(14) for salt in range(max(k, 1))]
+
+
 def test_id_plan_does_not_grow_with_partitions(spark):
     df = spark.range(500).selectExpr("cast(id * 7 % 500 as int) as k")
     sizes = {}
